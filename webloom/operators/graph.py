@@ -69,9 +69,9 @@ def adjacency_lines(edges: DataFrame, nodes: DataFrame | None = None,
             .select("src", F.lit(0).cast("long").alias("chunk"),
                     F.array().cast("array<bigint>").alias("targets"))
         lists = lists.unionByName(lonely)
-    return lists.withColumn(
-        "line", F.concat_ws(" ", F.col("src").cast("string"),
-                            F.array_join(F.transform("targets", lambda x: x.cast("string")), " ")))
+    words = F.concat(F.array(F.col("src").cast("string")),
+                     F.transform("targets", lambda x: x.cast("string")))
+    return lists.withColumn("line", F.array_join(words, " "))
 
 
 def out_degree(edges: DataFrame) -> DataFrame:
@@ -171,7 +171,7 @@ def _step(state: DataFrame, salted: DataFrame, n: int, damping: float) -> DataFr
     dangling = state.filter(F.col("out_degree") == 0).agg(
         F.coalesce(F.sum("rank"), F.lit(0.0))).scalar()
     nn = F.lit(float(n))
-    new_rank = (F.lit(1.0 - damping) / nn
+    new_rank = (F.lit(round(1.0 - damping, 12)) / nn
                 + F.lit(damping) * (F.coalesce(F.col("_in"), F.lit(0.0)) + dangling / nn))
     return state.join(sums, state.id == sums.dst, "left").select(
         "id", new_rank.alias("rank"), "out_degree", "nsalt")
