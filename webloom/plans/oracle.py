@@ -183,3 +183,72 @@ SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, line FROM (
   SELECT doc_id, generate_subscripts(string_split(content, chr(10)), 1) AS line_no,
          unnest(string_split(content, chr(10))) AS line FROM pages_t)
 WHERE contains(line, {q(I.PAGE_KEYWORD)})""")
+
+# -------------------------------------------------------------------- pages
+from webloom.functions import html as H  # noqa: E402
+
+
+def unescape_sql(s: str) -> str:
+    for ent, ch in H.ENTITIES:
+        s = f"replace({s}, {q(ent)}, {q(ch)})"
+    return s
+
+
+def html_text_sql(html: str) -> str:
+    node = (f"lambda p: CASE WHEN regexp_matches(p, {q(H.RAW_OPEN)}) THEN regexp_extract(p, {q(H.RAW_BODY)}, 1) "
+            f"WHEN starts_with(p, '<') AND length(p) > 1 THEN NULL ELSE {unescape_sql('p')} END")
+    nodes = (f"list_filter(list_transform(list_transform(regexp_extract_all({html}, {q(H.PIECE_PATTERN)}, 0), "
+             f"{node}), lambda t: regexp_replace(t, {q(H.TRIM_PATTERN)}, '', 'g')), "
+             f"lambda t: t IS NOT NULL AND length(t) > 0 AND NOT (starts_with(t, '<!--') AND ends_with(t, '-->')) "
+             f"AND NOT (starts_with(t, '/*') AND ends_with(t, '*/')))")
+    return (f"(CASE WHEN {html} IS NULL THEN NULL WHEN len({nodes}) = 0 THEN '' "
+            f"ELSE array_to_string({nodes}, chr(10)) || chr(10) END)")
+
+
+def _merged_sql() -> str:
+    m = ("sch || '://' || auth || (CASE WHEN regexp_replace(path, '[^/]*$', '') = '' THEN '/' "
+         "ELSE regexp_replace(path, '[^/]*$', '') END) || lk")
+    for _ in range(3):
+        m = f"regexp_replace({m}, '/\\./', '/', 'g')"
+        m = f"regexp_replace({m}, '/[^/?#]+/\\.\\./', '/', 'g')"
+    return m
+
+
+_CANDS = "\nUNION ALL\n".join(
+    f"SELECT page_url, tag, {k} AS k, regexp_extract(tag, {q(p)}, 1) AS raw FROM tags "
+    f"WHERE regexp_matches(tag, {q(p)})" for k, p in enumerate(H.LINK_PATTERNS))
+
+OUTLINKS_CTE = f"""tags AS (SELECT url AS page_url, unnest(regexp_extract_all(html, {q(H.TAG_PATTERN)}, 1)) AS tag FROM pages),
+cands AS ({_CANDS}),
+lks AS (SELECT page_url, tag, k,
+          CASE WHEN instr(raw, '?') > 1 THEN substring(raw, 1, instr(raw, '?') - 1) ELSE raw END AS lk,
+          regexp_extract(page_url, {q(H.SCHEME_RE)}, 1) AS sch,
+          regexp_extract(page_url, {q(H.AUTHORITY_RE)}, 1) AS auth,
+          regexp_extract(page_url, {q(H.PATH_RE)}, 1) AS path,
+          regexp_extract(page_url, {q(H.QUERY_RE)}, 1) AS qry
+        FROM cands),
+res AS (SELECT page_url, tag, k, CASE
+          WHEN regexp_matches(lk, {q(H.ILLEGAL_URI)}) THEN lk
+          WHEN regexp_matches(lk, {q(H.SCHEME_RE)}) THEN lk
+          WHEN starts_with(lk, '//') THEN sch || ':' || lk
+          WHEN starts_with(lk, '/') THEN sch || '://' || auth || lk
+          WHEN starts_with(lk, '#') THEN sch || '://' || auth || path || qry || lk
+          WHEN starts_with(lk, '?') THEN sch || '://' || auth || path || lk
+          WHEN lk = '' THEN sch || '://' || auth || regexp_replace(path, '[^/]*$', '')
+          ELSE {_merged_sql()} END AS cand
+        FROM lks),
+firsts AS (SELECT page_url, tag, arg_min(cand, k) AS out_url FROM res
+           WHERE regexp_matches(cand, {q(H.HTTP_PATTERN)}) AND cand <> page_url GROUP BY page_url, tag),
+links AS (SELECT DISTINCT page_url, out_url FROM firsts)"""
+
+sql("html_tags", f"""
+SELECT page_id, CAST(generate_subscripts(regexp_extract_all(html, {q(H.TAG_PATTERN)}, 1), 1) - 1 AS INTEGER) AS tag_no,
+       unnest(regexp_extract_all(html, {q(H.TAG_PATTERN)}, 1)) AS tag
+FROM pages""")
+sql("pages_text", f"SELECT page_id, url, {html_text_sql('html')} AS text FROM pages WHERE {html_text_sql('html')} IS NOT NULL")
+sql("outlinks", f"WITH {OUTLINKS_CTE}\nSELECT page_url, out_url FROM links")
+sql("web_pagerank", f"""WITH {OUTLINKS_CTE},
+wnodes AS (SELECT url AS id FROM pages),
+wedges AS (SELECT page_url AS src, out_url AS dst FROM links),
+{pagerank_ctes('wnodes', 'wedges', I.PAGERANK_ITERATIONS, 'wr')}
+SELECT id, round(rank, {R}) AS rank FROM wr{I.PAGERANK_ITERATIONS}""")

@@ -231,3 +231,28 @@ def q_get_page_snapshot(spark, sf):
 @query("page_keyword_lines")
 def q_page_keyword_lines(spark, sf):
     return S.page_keyword_lines(I.page_table(spark, sf), I.PAGE_KEYWORD)
+
+
+# -------------------------------------------------------------------- pages
+from webloom.operators import pages as P  # noqa: E402
+
+
+@query("html_tags")
+def q_html_tags(spark, sf):
+    return P.page_tags(table(spark, sf, "pages"))
+
+
+@query("pages_text")
+def q_pages_text(spark, sf):
+    return P.pages_text(table(spark, sf, "pages")).select("page_id", "url", "text")
+
+
+@query("outlinks")
+def q_outlinks(spark, sf):
+    return P.outlinks(table(spark, sf, "pages"))
+
+
+@query("web_pagerank")
+def q_web_pagerank(spark, sf):
+    r = P.web_pagerank(table(spark, sf, "pages"), iterations=I.PAGERANK_ITERATIONS)
+    return r.select("id", _r("rank").alias("rank"))
