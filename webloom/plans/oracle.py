@@ -252,3 +252,77 @@ wnodes AS (SELECT url AS id FROM pages),
 wedges AS (SELECT page_url AS src, out_url AS dst FROM links),
 {pagerank_ctes('wnodes', 'wedges', I.PAGERANK_ITERATIONS, 'wr')}
 SELECT id, round(rank, {R}) AS rank FROM wr{I.PAGERANK_ITERATIONS}""")
+
+# --------------------------------------------------------------- clustering
+from webloom.operators.sampling import seeded_hash_sql  # noqa: E402
+
+PTS = "pts AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings)"
+
+
+def dist_sql(a: str, b: str) -> str:
+    return (f"sqrt(list_reduce(list_transform(list_zip({a}, {b}), lambda z: (z[1] - z[2]) * (z[1] - z[2])), "
+            f"lambda x, y: x + y))")
+
+
+def init_cte(name: str = "c0") -> str:
+    h = seeded_hash_sql("id", I.KMEANS_SEED)
+    return (f"{name} AS (SELECT CAST(row_number() OVER (ORDER BY h, id) - 1 AS INTEGER) AS cid, id, f FROM "
+            f"(SELECT id, f, {h} AS h FROM pts ORDER BY h, id LIMIT {I.KMEANS_K}))")
+
+
+def assign_cte(name: str, points: str, cents: str) -> str:
+    return (f"{name} AS (SELECT id, list(cid ORDER BY d, cid)[1] AS cid, min(d) AS dist FROM "
+            f"(SELECT p.id, c.cid, {dist_sql('p.f', 'c.f')} AS d FROM {points} p, {cents} c) GROUP BY id)")
+
+
+def kmeans_ctes(iterations: int) -> str:
+    """c0 .. c{iterations}: the reset-count mini-batch update, unrolled."""
+    parts = [PTS, init_cte("c0")]
+    for i in range(1, iterations + 1):
+        h = seeded_hash_sql("id", I.KMEANS_SEED + i)
+        parts.append(f"b{i} AS (SELECT id, f FROM pts ORDER BY {h}, id LIMIT {I.KMEANS_BATCH})")
+        parts.append(assign_cte(f"a{i}", f"b{i}", f"c{i - 1}"))
+        parts.append(f"""s{i} AS (SELECT cid, pos, sum(v) AS s FROM (
+  SELECT a.cid, unnest(b.f) AS v, generate_subscripts(b.f, 1) AS pos FROM a{i} a JOIN b{i} b ON a.id = b.id)
+  GROUP BY cid, pos)""")
+        parts.append(f"n{i} AS (SELECT cid, count(*) AS n FROM a{i} GROUP BY cid)")
+        parts.append(f"""c{i} AS (
+  SELECT s.cid, NULL AS id, list(s.s / n.n ORDER BY s.pos) AS f FROM s{i} s JOIN n{i} n ON s.cid = n.cid GROUP BY s.cid
+  UNION ALL
+  SELECT cid, id, f FROM c{i - 1} WHERE cid NOT IN (SELECT cid FROM n{i}))""")
+    return ",\n".join(parts)
+
+
+def centroid_long(name: str) -> str:
+    return (f"SELECT cid, CAST(pos - 1 AS INTEGER) AS pos, round(v, {R}) AS value FROM "
+            f"(SELECT cid, unnest(f) AS v, generate_subscripts(f, 1) AS pos FROM {name})")
+
+
+sql("sample_fixed", f"WITH {PTS}\nSELECT id FROM pts ORDER BY {seeded_hash_sql('id', I.KMEANS_SEED)}, id "
+    f"LIMIT {I.SAMPLE_SIZE}")
+sql("kmeans_init", f"WITH {PTS},\n{init_cte()}\nSELECT cid, id FROM c0")
+sql("euclidean", f"WITH {PTS},\n{init_cte()}\nSELECT p.id, round({dist_sql('p.f', 'c.f')}, {R}) AS dist "
+    "FROM pts p, (SELECT f FROM c0 WHERE cid = 0) c")
+sql("vector_add", f"""WITH {PTS}
+SELECT id, CAST(pos - 1 AS INTEGER) AS pos, round(v, {R}) AS value FROM (
+  SELECT id, unnest(list_transform(list_zip(f, list_transform(f, lambda x: x * 2.0)), lambda z: z[1] + z[2])) AS v,
+         generate_subscripts(f, 1) AS pos FROM pts)""")
+sql("nearest_centroid", f"WITH {PTS},\n{init_cte()},\n{assign_cte('a0', 'pts', 'c0')}\n"
+    f"SELECT id, cid, round(dist, {R}) AS dist FROM a0")
+sql("cluster_sums", f"""WITH {PTS},
+{init_cte()},
+{assign_cte('a0', 'pts', 'c0')}
+SELECT s.cid, n.n, CAST(s.pos - 1 AS INTEGER) AS pos, round(s.total, {R}) AS total FROM
+  (SELECT cid, pos, sum(v) AS total FROM (
+     SELECT a.cid, unnest(p.f) AS v, generate_subscripts(p.f, 1) AS pos FROM a0 a JOIN pts p ON a.id = p.id)
+   GROUP BY cid, pos) s
+JOIN (SELECT cid, count(*) AS n FROM a0 GROUP BY cid) n ON s.cid = n.cid""")
+sql("kmeans_error", f"WITH {PTS},\n{init_cte()},\n{assign_cte('a0', 'pts', 'c0')}\n"
+    "SELECT round(sum(dist), 6) AS error FROM a0")
+sql("kmeans_step", f"WITH {kmeans_ctes(1)}\n{centroid_long('c1')}")
+_KL = f"c{I.KMEANS_ITERATIONS}"
+sql("kmeans_minibatch", f"WITH {kmeans_ctes(I.KMEANS_ITERATIONS)}\n{centroid_long(_KL)}")
+sql("cluster_assign", f"WITH {kmeans_ctes(I.KMEANS_ITERATIONS)},\n{assign_cte('fa', 'pts', _KL)}\n"
+    "SELECT id, cid FROM fa")
+sql("kmeans_centroids_text", f"WITH {kmeans_ctes(I.KMEANS_ITERATIONS)}\n"
+    f"SELECT cid, array_to_string(list_transform(f, lambda x: printf('%.6f', x)), chr(9)) || chr(9) AS line FROM {_KL}")

@@ -256,3 +256,92 @@ def q_outlinks(spark, sf):
 def q_web_pagerank(spark, sf):
     r = P.web_pagerank(table(spark, sf, "pages"), iterations=I.PAGERANK_ITERATIONS)
     return r.select("id", _r("rank").alias("rank"))
+
+
+# --------------------------------------------------------------- clustering
+from webloom.operators import cluster as C  # noqa: E402
+from webloom.operators import sampling as SM  # noqa: E402
+from pyspark.sql import Window  # noqa: E402
+
+
+def _init(spark, sf):
+    return C.init_centroids(I.points(spark, sf), I.KMEANS_K, I.KMEANS_SEED)
+
+
+def _final(spark, sf):
+    return C.kmeans_minibatch(I.points(spark, sf), I.KMEANS_K, I.KMEANS_BATCH,
+                              I.KMEANS_ITERATIONS, I.KMEANS_SEED)
+
+
+def _long(spark, cents):
+    df = cents.to_df(spark)
+    return df.select("cid", F.posexplode("features").alias("pos", "value")) \
+        .select("cid", "pos", _r("value").alias("value"))
+
+
+@query("sample_fixed")
+def q_sample_fixed(spark, sf):
+    return SM.sample_fixed(I.points(spark, sf), I.SAMPLE_SIZE, I.KMEANS_SEED).select("id")
+
+
+@query("kmeans_init")
+def q_kmeans_init(spark, sf):
+    pick = SM.sample_fixed(I.points(spark, sf), I.KMEANS_K, I.KMEANS_SEED).select("id")
+    w = Window.orderBy(SM.seeded_hash("id", I.KMEANS_SEED), "id")  # K rows only
+    return pick.select((F.row_number().over(w) - 1).cast("int").alias("cid"), "id")
+
+
+@query("euclidean")
+def q_euclidean(spark, sf):
+    p = I.points(spark, sf)
+    first = _init(spark, sf)
+    return p.select("id", _r(C.euclidean("features", F.array(*[F.lit(float(x)) for x in first.vectors[0]])))
+                    .alias("dist"))
+
+
+@query("vector_add")
+def q_vector_add(spark, sf):
+    p = I.points(spark, sf)
+    v = C.vector_add("features", F.transform("features", lambda x: x * 2.0))
+    return p.select("id", F.posexplode(v).alias("pos", "value")).select("id", "pos", _r("value").alias("value"))
+
+
+@query("nearest_centroid")
+def q_nearest_centroid(spark, sf):
+    a = C.assign(I.points(spark, sf), _init(spark, sf))
+    return a.select("id", "cid", _r("dist").alias("dist"))
+
+
+@query("cluster_sums")
+def q_cluster_sums(spark, sf):
+    s = C.cluster_sums(C.assign(I.points(spark, sf), _init(spark, sf)))
+    return s.select("cid", "n", F.posexplode("sum").alias("pos", "total")) \
+        .select("cid", "n", "pos", _r("total").alias("total"))
+
+
+@query("kmeans_error")
+def q_kmeans_error(spark, sf):
+    e = C.clustering_error(C.assign(I.points(spark, sf), _init(spark, sf)))
+    return e.select(_r("error", 6).alias("error"))
+
+
+@query("kmeans_step")
+def q_kmeans_step(spark, sf):
+    pts = I.points(spark, sf)
+    c1 = C.kmeans_step(pts, _init(spark, sf), I.KMEANS_BATCH, I.KMEANS_SEED + 1)
+    return _long(spark, c1)
+
+
+@query("kmeans_minibatch")
+def q_kmeans_minibatch(spark, sf):
+    return _long(spark, _final(spark, sf))
+
+
+@query("cluster_assign")
+def q_cluster_assign(spark, sf):
+    return C.assign(I.points(spark, sf), _final(spark, sf)).select("id", "cid")
+
+
+@query("kmeans_centroids_text")
+def q_kmeans_centroids_text(spark, sf):
+    return C.centroid_lines(_final(spark, sf).to_df(spark), digits=6)
