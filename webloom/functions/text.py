@@ -82,10 +82,10 @@ def strip_http_header(body) -> Column:
     the next '<'; no '<' after it -> empty; no 'Content-Length' -> unchanged."""
     s = _c(body)
     at = F.instr(s, "Content-Length")
-    lt = F.locate("<", s, at)
+    rel = F.instr(s.substr(at, F.length(s)), "<")
     return (F.when(at == 0, s)
-            .when(lt == 0, F.lit(""))
-            .otherwise(s.substr(lt, F.length(s))))
+            .when(rel == 0, F.lit(""))
+            .otherwise(s.substr(at + rel - 1, F.length(s))))
 
 
 def header_key(line) -> Column:

@@ -67,3 +67,42 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
     return e.select(F.col("vec_id").alias("id"),
                     F.transform("embedding", lambda x: x.cast("double")).alias("features"))
+
+
+# Parameters of the passage similarity query (fixed, shared with the oracle).
+SHINGLE_K = 5
+CONTAINMENT = 0.5
+MIN_SHARED = 3
+COMMAND_TEMPLATE = "blastx -db nr -query #_INPUTFILE_# -out #_OUTPUTFILE_#"
+HTTP_PREFIX = "HTTP/1.1 200 OK\nContent-Type: text/html\nContent-Length: "
+
+
+def http_body(pages: DataFrame) -> F.Column:
+    """An HTTP response (status line, headers, blank line, HTML) per page."""
+    return F.concat(F.lit(HTTP_PREFIX), F.octet_length("html").cast("string"), F.lit("\n\n"), F.col("html"))
+
+
+def page_trec_id(pages: DataFrame) -> F.Column:
+    return F.concat(F.lit("clueweb09-en0000-00-"), F.lpad(F.col("page_id").cast("string"), 5, "0"))
+
+
+def warc_record_text(pages: DataFrame) -> F.Column:
+    """A whole WARC record (version line, headers, blank line, body) per page."""
+    body = http_body(pages)
+    return F.concat(F.lit("WARC/0.18\nWARC-Type: response\nWARC-Target-URI: "), F.col("url"),
+                    F.lit("\nWARC-TREC-ID: "), page_trec_id(pages),
+                    F.lit("\nContent-Type: application/http;msgtype=response\nContent-Length: "),
+                    F.octet_length(body).cast("string"), F.lit("\n\n"), body, F.lit("\n"))
+
+
+def write_pages_as_warc(spark: SparkSession, sf_dir: str, files: int = 4) -> str:
+    """Write the pages as gzip WARC files into the shared checkpoint folder
+    (Spark job; the files grow with the table).  Returns the folder."""
+    import uuid
+
+    from webloom.session import scratch_path
+    path = scratch_path(spark, f"warc-{uuid.uuid4().hex}")
+    pages = table(spark, sf_dir, "pages")
+    pages.select(warc_record_text(pages).alias("value")).repartition(files) \
+        .write.option("compression", "gzip").text(path)
+    return path

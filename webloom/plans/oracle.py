@@ -326,3 +326,92 @@ sql("cluster_assign", f"WITH {kmeans_ctes(I.KMEANS_ITERATIONS)},\n{assign_cte('f
     "SELECT id, cid FROM fa")
 sql("kmeans_centroids_text", f"WITH {kmeans_ctes(I.KMEANS_ITERATIONS)}\n"
     f"SELECT cid, array_to_string(list_transform(f, lambda x: printf('%.6f', x)), chr(9)) || chr(9) AS line FROM {_KL}")
+
+# ------------------------------------------------------- keyed tables, misc
+sql("first_per_key", f"""
+SELECT l_orderkey, round(list(l_extendedprice ORDER BY l_linenumber, l_partkey, l_extendedprice)[1], {R}) AS l_extendedprice
+FROM lineitem GROUP BY l_orderkey""")
+sql("upsert_latest", f"""
+SELECT user_id, event_id, event_type, round(value, {R}) AS value, epoch_us(ts) AS ts_us FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
+sql("delete_by_key", """
+SELECT event_id, user_id FROM events
+WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'error' AND value >= 99.0)""")
+sql("table_peek", f"""WITH top AS (SELECT * FROM supplier ORDER BY s_suppkey LIMIT {I.PEEK_ROWS})
+SELECT CAST(s_suppkey AS VARCHAR) AS row_key, 's_name' AS qualifier, CAST(s_name AS VARCHAR) AS value FROM top
+UNION ALL SELECT CAST(s_suppkey AS VARCHAR), 's_nationkey', CAST(s_nationkey AS VARCHAR) FROM top
+UNION ALL SELECT CAST(s_suppkey AS VARCHAR), 's_acctbal', CAST(s_acctbal AS VARCHAR) FROM top""")
+sql("manifest_pack", f"""
+SELECT 'warcPaths_' || CAST(CAST(floor((row_number() OVER (ORDER BY url) - 1) / {I.MANIFEST_SIZE}) AS BIGINT) AS VARCHAR)
+       || '.txt' AS manifest, url FROM pages""")
+
+_PAGE_TREC = "('clueweb09-en0000-00-' || lpad(CAST(page_id AS VARCHAR), 5, '0'))"
+_HDR_LINES = ["'WARC-Type: response'", "'WARC-Target-URI: ' || url", f"'WARC-TREC-ID: ' || {_PAGE_TREC}",
+              "'Content-Length: ' || CAST(strlen(html) AS VARCHAR)", "'X-No-Colon-Flag'"]
+
+
+def _hkey(ln: str) -> str:
+    return f"trim(split_part({ln}, ':', 1))"
+
+
+def _hval(ln: str) -> str:
+    return f"(CASE WHEN instr({ln}, ':') > 0 THEN trim(substring({ln}, instr({ln}, ':') + 1)) ELSE '' END)"
+
+
+sql("header_map", "\nUNION ALL\n".join(
+    f"SELECT page_id, {_hkey(ln)} AS key, {_hval(ln)} AS value FROM pages" for ln in _HDR_LINES))
+
+_HTTP_BODY = (f"({q(I.HTTP_PREFIX)} || CAST(strlen(html) AS VARCHAR) || chr(10) || chr(10) || html)")
+sql("strip_http_header", f"""
+SELECT page_id, length(b) AS n_chars, md5(b) AS md5 FROM (
+  SELECT page_id, CASE WHEN instr(s, 'Content-Length') = 0 THEN s
+                       WHEN instr(substring(s, instr(s, 'Content-Length')), '<') = 0 THEN ''
+                       ELSE substring(s, instr(s, 'Content-Length') + instr(substring(s, instr(s, 'Content-Length')), '<') - 1)
+                  END AS b
+  FROM (SELECT page_id, {_HTTP_BODY} AS s FROM pages))""")
+sql("command_lines", f"""
+SELECT page_id, replace(replace({q(I.COMMAND_TEMPLATE)}, '#_INPUTFILE_#', 'data/' || CAST(page_id AS VARCHAR) || '.fa'),
+                        '#_OUTPUTFILE_#', 'out/' || CAST(page_id AS VARCHAR) || '.tab') AS command FROM pages""")
+sql("parse_datetime", """
+SELECT event_id, text, CAST(epoch(strptime(text, '%Y-%m-%dT%H:%M:%S')) AS BIGINT) AS epoch_s
+FROM (SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS text FROM events)""")
+sql("seconds_between", """
+SELECT l.l_orderkey, l.l_linenumber,
+       CAST(trunc((epoch_ms(l.l_shipdate) - epoch_ms(o.o_orderdate)) / 1000.0) AS BIGINT) AS secs
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""")
+sql("vectors_from_csv", f"""
+SELECT vec_id AS id, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos,
+       round(CAST(unnest(embedding) AS DOUBLE), {R}) AS value FROM embeddings""")
+sql("hits_best", f"""
+SELECT CAST(l_orderkey AS VARCHAR) AS query_id,
+       list(CAST(l_partkey AS VARCHAR) ORDER BY l_extendedprice DESC, l_discount, CAST(l_partkey AS VARCHAR))[1] AS best_subject,
+       round(max(l_extendedprice), {R}) AS best_bit_score,
+       round(list(l_discount ORDER BY l_extendedprice DESC, l_discount, CAST(l_partkey AS VARCHAR))[1], {R}) AS best_evalue,
+       count(*) AS n_hits
+FROM lineitem GROUP BY l_orderkey""")
+sql("numbers_stats", ORACLE["stats_global"])
+
+
+def shingle_rows(id_col: str, text_col: str, table: str) -> str:
+    k = I.SHINGLE_K
+    return (f"SELECT DISTINCT {id_col} AS id, array_to_string(t[i:i + {k - 1}], ' ') AS sh FROM ("
+            f"SELECT {id_col}, t, unnest(range(1, len(t) - {k - 2})) AS i FROM ("
+            f"SELECT {id_col}, {tokens_expr(text_col)} AS t FROM {table}))")
+
+
+sql("seed_similarity", f"""WITH qs AS ({shingle_rows('item_id', 'text', 'benchmark')}),
+ds AS ({shingle_rows('doc_id', 'text', 'documents')}),
+qsz AS (SELECT id, count(*) AS q_shingles FROM qs GROUP BY id)
+SELECT q.id AS item_id, d.id AS doc_id, count(*) AS shared, z.q_shingles
+FROM qs q JOIN ds d ON q.sh = d.sh JOIN qsz z ON z.id = q.id
+GROUP BY q.id, d.id, z.q_shingles
+HAVING count(*) >= greatest({I.MIN_SHARED}, CAST(ceil(z.q_shingles * {I.CONTAINMENT}) AS BIGINT))""")
+
+# --------------------------------------------------------- archives and files
+_BODY = (f"({q(I.HTTP_PREFIX)} || CAST(strlen(html) AS VARCHAR) || chr(10) || chr(10) || html)")
+sql("warc_records", f"""
+SELECT {_PAGE_TREC} AS trec_id, url AS uri, CAST(strlen({_BODY}) AS INTEGER) AS content_length
+FROM pages""")
+sql("pages_from_warc", f"""
+SELECT {doc_key_expr(_PAGE_TREC)} AS doc_id, url AS uri, {html_text_sql('html')} AS content FROM pages
+WHERE {html_text_sql('html')} IS NOT NULL""")

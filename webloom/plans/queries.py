@@ -345,3 +345,172 @@ def q_cluster_assign(spark, sf):
 @query("kmeans_centroids_text")
 def q_kmeans_centroids_text(spark, sf):
     return C.centroid_lines(_final(spark, sf).to_df(spark), digits=6)
+
+
+# ------------------------------------------------------- keyed tables, misc
+import uuid  # noqa: E402
+
+from webloom.functions import dates as D  # noqa: E402
+from webloom.functions import text as TX  # noqa: E402
+from webloom.operators import hits as HT  # noqa: E402
+from webloom.operators import keyed as K  # noqa: E402
+from webloom.operators import similarity as SIM  # noqa: E402
+from webloom.session import scratch_path  # noqa: E402
+from webloom.sources import text as SRC  # noqa: E402
+
+
+@query("first_per_key")
+def q_first_per_key(spark, sf):
+    li = table(spark, sf, "lineitem")
+    r = K.first_per_key(li, "l_orderkey", "l_extendedprice", ["l_linenumber", "l_partkey", "l_extendedprice"])
+    return r.select("l_orderkey", _r("l_extendedprice").alias("l_extendedprice"))
+
+
+def _event_out(df):
+    return df.select("user_id", "event_id", "event_type", _r("value").alias("value"),
+                     F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"))
+
+
+@query("upsert_latest")
+def q_upsert_latest(spark, sf):
+    ev = table(spark, sf, "events").drop("props")
+    base = ev.filter(F.col("event_type").isin("signup", "click", "view"))
+    upd = ev.filter(~F.col("event_type").isin("signup", "click", "view"))
+    return _event_out(K.upsert_latest(base, upd, "user_id", ["ts", "event_id"]))
+
+
+@query("delete_by_key")
+def q_delete_by_key(spark, sf):
+    ev = table(spark, sf, "events")
+    gone = ev.filter((F.col("event_type") == "error") & (F.col("value") >= 99.0)).select("user_id")
+    return K.delete_by_key(ev, gone, "user_id").select("event_id", "user_id")
+
+
+@query("table_peek")
+def q_table_peek(spark, sf):
+    return K.table_peek(table(spark, sf, "supplier"), "s_suppkey", I.PEEK_ROWS)
+
+
+@query("manifest_pack")
+def q_manifest_pack(spark, sf):
+    return K.pack_paths(table(spark, sf, "pages"), I.MANIFEST_SIZE, path_col="url")
+
+
+_HEADER_LINES = [
+    lambda p: F.lit("WARC-Type: response"),
+    lambda p: F.concat(F.lit("WARC-Target-URI: "), F.col("url")),
+    lambda p: F.concat(F.lit("WARC-TREC-ID: "), I.page_trec_id(p)),
+    lambda p: F.concat(F.lit("Content-Length: "), F.octet_length("html").cast("string")),
+    lambda p: F.lit("X-No-Colon-Flag"),
+]
+
+
+@query("header_map")
+def q_header_map(spark, sf):
+    p = table(spark, sf, "pages")
+    lines = F.array(*[f(p) for f in _HEADER_LINES])
+    kv = F.map_from_entries(F.transform(lines, lambda ln: F.struct(TX.header_key(ln), TX.header_value(ln))))
+    return p.select("page_id", F.explode(kv).alias("key", "value"))
+
+
+@query("strip_http_header")
+def q_strip_http_header(spark, sf):
+    p = table(spark, sf, "pages")
+    body = TX.strip_http_header(I.http_body(p))
+    return p.select("page_id", F.length(body).alias("n_chars"), F.md5(body).alias("md5"))
+
+
+@query("command_lines")
+def q_command_lines(spark, sf):
+    p = table(spark, sf, "pages")
+    inp = F.concat(F.lit("data/"), F.col("page_id").cast("string"), F.lit(".fa"))
+    out = F.concat(F.lit("out/"), F.col("page_id").cast("string"), F.lit(".tab"))
+    return p.select("page_id", TX.fill_command(F.lit(I.COMMAND_TEMPLATE), inp, out).alias("command"))
+
+
+@query("parse_datetime")
+def q_parse_datetime(spark, sf):
+    ev = table(spark, sf, "events")
+    txt = D.format_datetime("ts")
+    return ev.select("event_id", txt.alias("text"), F.unix_seconds(D.parse_datetime(txt)).alias("epoch_s"))
+
+
+@query("seconds_between")
+def q_seconds_between(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    od = table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+    return li.join(od, "l_orderkey").select("l_orderkey", "l_linenumber",
+                                             D.seconds_between("o_orderdate", "l_shipdate").alias("secs"))
+
+
+@query("vectors_from_csv")
+def q_vectors_from_csv(spark, sf):
+    e = table(spark, sf, "embeddings")
+    lines = e.select("vec_id", F.array_join(F.transform("embedding", lambda x: x.cast("double").cast("string")),
+                                            ",").alias("value"))
+    v = SRC.parse_vectors(lines, id_col="vec_id")
+    return v.select("id", F.posexplode("features").alias("pos", "value")).select("id", "pos", _r("value").alias("value"))
+
+
+def _hits(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return li.select(F.col("l_orderkey").cast("string").alias("query_id"),
+                     F.col("l_partkey").cast("string").alias("subject_id"),
+                     F.col("l_extendedprice").alias("bit_score"), F.col("l_discount").alias("evalue"))
+
+
+@query("hits_best")
+def q_hits_best(spark, sf):
+    b = HT.hits_best(_hits(spark, sf))
+    return b.select("query_id", "best_subject", _r("best_bit_score").alias("best_bit_score"),
+                    _r("best_evalue").alias("best_evalue"), "n_hits")
+
+
+@query("numbers_stats")
+def q_numbers_stats(spark, sf):
+    path = scratch_path(spark, f"numbers-{uuid.uuid4().hex}")
+    table(spark, sf, "lineitem").select(F.col("l_extendedprice").cast("string").alias("value")) \
+        .write.text(path)
+    st = ST.stats_global(SRC.read_numbers(spark, path), "value")
+    return st.select(_r("max", 6).alias("max"), _r("min", 6).alias("min"), _r("avg", 6).alias("avg"),
+                     _r("std_dev", 6).alias("std_dev"), "n")
+
+
+@query("seed_similarity")
+def q_seed_similarity(spark, sf):
+    return SIM.seed_similarity(table(spark, sf, "benchmark"), table(spark, sf, "documents"),
+                               I.SHINGLE_K, I.CONTAINMENT, I.MIN_SHARED)
+
+
+# ----------------------------------------------------- archives and files
+from webloom.operators import external as EX  # noqa: E402
+from webloom.sources import files as FS  # noqa: E402
+from webloom.sources import warc as W  # noqa: E402
+
+
+@query("warc_records")
+def q_warc_records(spark, sf):
+    recs = W.read_warc(spark, I.write_pages_as_warc(spark, sf))
+    resp = recs.filter(F.col("type") == "response")
+    return resp.select(F.col("metadata")["WARC-TREC-ID"].alias("trec_id"),
+                       F.col("metadata")["WARC-Target-URI"].alias("uri"), "content_length")
+
+
+@query("pages_from_warc")
+def q_pages_from_warc(spark, sf):
+    recs = W.read_warc(spark, I.write_pages_as_warc(spark, sf))
+    pages = W.response_pages(recs)
+    out = P.pages_text(pages, has_http_header=True)
+    return out.select(doc_key("trec_id").alias("doc_id"), "uri", F.col("text").alias("content"))
+
+
+@query("file_inventory")
+def q_file_inventory(spark, sf):
+    return FS.scan_files(spark, I.write_pages_as_warc(spark, sf), glob="*.gz").select("file_name", "length")
+
+
+@query("pipe_files")
+def q_pipe_files(spark, sf):
+    files = FS.scan_files(spark, I.write_pages_as_warc(spark, sf), glob="*.gz", with_content=True)
+    res = EX.pipe_files(files, "gzip -dc #_INPUTFILE_# | wc -c > #_OUTPUTFILE_#", timeout=120)
+    return res.select("file_name", "exit_code", F.trim("stdout").cast("long").alias("n_bytes"))
