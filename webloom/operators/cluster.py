@@ -73,7 +73,9 @@ def _assign_numpy(points: DataFrame, cents: Centroids, features: str) -> DataFra
     spark = points.sparkSession
     bc = spark.sparkContext.broadcast((np.asarray(cents.vectors, dtype=np.float64),
                                        np.asarray(cents.cids, dtype=np.int32)))
-    schema = points.schema.add("cid", "int").add("dist", "double")
+    from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
+    schema = StructType(list(points.schema.fields) + [StructField("cid", IntegerType()),
+                                                       StructField("dist", DoubleType())])
 
     def run(batches):
         mat, ids = bc.value
