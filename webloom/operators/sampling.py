@@ -51,12 +51,16 @@ def sample_fixed(df: DataFrame, size: int, seed: int, id_col: str = "id",
         return df
     tau = min(PRIME, int(PRIME * (size / n) * 1.2) + 1024)
     while True:
+        # One job: the candidate count and the (hash, id) of the size-th
+        # smallest candidate (a bounded top-``size`` heap per task).
         cand = keyed.select("_h", id_col).filter(F.col("_h") < tau)
-        if tau >= PRIME or cand.count() >= size:
+        top = cand.orderBy("_h", id_col).limit(size)
+        row = top.agg(F.count(F.lit(1)).alias("c"),
+                      F.max_by(F.struct("_h", id_col), F.struct("_h", id_col)).alias("last")).first()
+        if row["c"] >= size or tau >= PRIME:
             break
         tau = min(PRIME, tau * 2)
-    last = cand.orderBy("_h", id_col).limit(size).orderBy(F.desc("_h"), F.desc(id_col)).first()
-    h_cut, id_cut = last["_h"], last[id_col]
+    h_cut, id_cut = row["last"]["_h"], row["last"][id_col]
     keep = (F.col("_h") < h_cut) | ((F.col("_h") == h_cut) & (F.col(id_col) <= F.lit(id_cut)))
     return keyed.filter(keep).drop("_h")
 

@@ -35,7 +35,7 @@ def trec_id(df: DataFrame) -> F.Column:
 
 def page_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id string key, uri, content) built from ``documents``."""
-    d = table(spark, sf_dir, "documents")
+    d = table(spark, sf_dir, "documents", spread_out=True)
     return d.select(doc_key(trec_id(d)).alias("doc_id"),
                     F.concat(F.lit("http://"), F.col("source"), F.lit(".example.org/doc/"),
                              F.col("doc_id").cast("string")).alias("uri"),

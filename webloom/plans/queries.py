@@ -49,7 +49,7 @@ def q_stats_report(spark, sf):
 
 # ------------------------------------------------------------- text and index
 def _docs(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", "text")
+    return table(spark, sf, "documents", spread_out=True).select("doc_id", "text")
 
 
 @query("tokens")
@@ -239,22 +239,22 @@ from webloom.operators import pages as P  # noqa: E402
 
 @query("html_tags")
 def q_html_tags(spark, sf):
-    return P.page_tags(table(spark, sf, "pages"))
+    return P.page_tags(table(spark, sf, "pages", spread_out=True))
 
 
 @query("pages_text")
 def q_pages_text(spark, sf):
-    return P.pages_text(table(spark, sf, "pages")).select("page_id", "url", "text")
+    return P.pages_text(table(spark, sf, "pages", spread_out=True)).select("page_id", "url", "text")
 
 
 @query("outlinks")
 def q_outlinks(spark, sf):
-    return P.outlinks(table(spark, sf, "pages"))
+    return P.outlinks(table(spark, sf, "pages", spread_out=True))
 
 
 @query("web_pagerank")
 def q_web_pagerank(spark, sf):
-    r = P.web_pagerank(table(spark, sf, "pages"), iterations=I.PAGERANK_ITERATIONS)
+    r = P.web_pagerank(table(spark, sf, "pages", spread_out=True), iterations=I.PAGERANK_ITERATIONS)
     return r.select("id", _r("rank").alias("rank"))
 
 
@@ -478,7 +478,7 @@ def q_numbers_stats(spark, sf):
 
 @query("seed_similarity")
 def q_seed_similarity(spark, sf):
-    return SIM.seed_similarity(table(spark, sf, "benchmark"), table(spark, sf, "documents"),
+    return SIM.seed_similarity(table(spark, sf, "benchmark"), table(spark, sf, "documents", spread_out=True),
                                I.SHINGLE_K, I.CONTAINMENT, I.MIN_SHARED)
 
 

@@ -68,10 +68,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}"
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint to the shared folder (survives executor loss)."""
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint to the shared folder (survives executor loss).
+
+    The frame is persisted first: writing a checkpoint runs a second job over
+    the same partitions, which would otherwise recompute them.  The cached
+    copy is released once the checkpoint files are written.
+    """
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    df = df.persist()
+    out = df.checkpoint(eager=True)
+    df.unpersist()
+    return out
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
