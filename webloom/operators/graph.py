@@ -80,8 +80,10 @@ def out_degree(edges: DataFrame) -> DataFrame:
 
 
 def dangling_nodes(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Nodes with no outgoing link (anti join; no per-node scatter)."""
-    return nodes.join(edges.select(F.col("src").alias("id")), "id", "left_anti")
+    """Nodes with no outgoing link (anti join; no per-node scatter).  Sources
+    are de-duplicated first (map-side), so a hot source is one row by the time
+    it reaches the join."""
+    return nodes.join(edges.select(F.col("src").alias("id")).distinct(), "id", "left_anti")
 
 
 def all_nodes(nodes: DataFrame | None, edges: DataFrame) -> DataFrame:
