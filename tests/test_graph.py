@@ -80,3 +80,18 @@ def test_adjacency_lines_chunked_round_trip(spark):
     n2, e2 = G.edges_from_adjacency(lines.select(F.col("line").alias("value")))
     assert sorted(map(tuple, e2.collect())) == sorted(map(tuple, edges.collect()))
     assert n2.count() == 11
+
+
+@pytest.mark.parametrize("n", [1, 3, 57, 1234])
+def test_rule_graph_sieve_equals_brute_force(spark, n):
+    a = sorted(map(tuple, G.rule_graph(spark, n).collect()))
+    b = sorted(map(tuple, G.rule_graph_brute(spark, n).collect()))
+    assert a == b
+
+
+def test_primes_and_roots(spark):
+    ps = [r.p for r in G.primes_upto(spark, 100, segment=16).orderBy("p").collect()]
+    assert ps[:10] == [2, 3, 5, 7, 11, 13, 17, 19, 23, 29] and len(ps) == 25
+    for p in [3, 5, 17, 101, 1009, 10007]:
+        brute = [x for x in range(p) if (3 * x * x - x - 7) % p == 0]
+        assert G._rule_roots(p) == brute
