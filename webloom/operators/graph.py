@@ -296,16 +296,22 @@ def _salted_edges(edges: DataFrame, salt_chunk: int, num_partitions: int | None)
     return e.repartition(num_partitions, "src", "salt") if num_partitions else e
 
 
-def _step(state: DataFrame, salted: DataFrame, n: int, damping: float) -> DataFrame:
+def _dangling_mass(state: DataFrame) -> DataFrame:
+    return state.filter(F.col("out_degree") == 0).agg(F.coalesce(F.sum("rank"), F.lit(0.0)))
+
+
+def _step(state: DataFrame, salted: DataFrame, n: int, damping: float,
+          dangling: float | None = None) -> DataFrame:
+    """One update.  ``dangling`` (the rank mass of nodes without links) is a
+    number the caller already has; otherwise a scalar subquery computes it."""
     shares = state.filter(F.col("out_degree") > 0).select(
         F.col("id").alias("src"), (F.col("rank") / F.col("out_degree")).alias("share"),
         F.explode(F.sequence(F.lit(0), F.col("nsalt") - 1)).alias("salt"))
     sums = salted.join(shares, ["src", "salt"]).groupBy("dst").agg(F.sum("share").alias("_in"))
-    dangling = state.filter(F.col("out_degree") == 0).agg(
-        F.coalesce(F.sum("rank"), F.lit(0.0))).scalar()
+    mass = _dangling_mass(state).scalar() if dangling is None else F.lit(float(dangling))
     nn = F.lit(float(n))
     new_rank = (F.lit(round(1.0 - damping, 12)) / nn
-                + F.lit(damping) * (F.coalesce(F.col("_in"), F.lit(0.0)) + dangling / nn))
+                + F.lit(damping) * (F.coalesce(F.col("_in"), F.lit(0.0)) + mass / nn))
     return state.join(sums, state.id == sums.dst, "left").select(
         "id", new_rank.alias("rank"), "out_degree", "nsalt")
 
@@ -335,15 +341,26 @@ def pagerank(edges: DataFrame, nodes: DataFrame | None = None, iterations: int =
     n = num_nodes if num_nodes is not None else ids.count()
     state = _state(ids.select("id", (F.lit(1.0) / F.lit(float(n))).alias("rank")), deg, parts, salt_chunk)
     state = state.persist()
+    pending = [state]          # persisted states since the last checkpoint
     for it in range(1, iterations + 1):
         prev = state
-        state = _step(prev, salted, n, damping)
+        # One number to the driver per iteration, read from the persisted
+        # state; the next plan then references the previous state once, so
+        # the plan grows linearly between checkpoints (a subquery here would
+        # reference it twice and double the plan every iteration).
+        mass = _dangling_mass(prev).first()[0]
+        state = _step(prev, salted, n, damping, mass)
         if checkpoint_every and it % checkpoint_every == 0:
             state = cut_lineage(state)
+            # Released only now: un-caching a frame that a cached frame still
+            # depends on makes Spark rebuild the dependent cache from lineage.
+            for p in pending:
+                p.unpersist()
+            pending = []
         else:
             state = state.persist()
             state.count()
-        prev.unpersist()
+            pending.append(state)
     # ``salted`` stays cached while the lazy result may still be recomputed.
     return state.select("id", "rank")
 
