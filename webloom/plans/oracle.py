@@ -134,6 +134,7 @@ sql("index_scan", _PAGE_POST + "SELECT term, doc_id, tf FROM post ORDER BY term,
 
 # ------------------------------------------------------------------- graphs
 sql("rule_graph", f"WITH {GRAPH_A_CTE}\nSELECT src, dst FROM ga_edges")
+sql("rule_graph_dangling", f"WITH {GRAPH_A_CTE}\nSELECT id FROM ga_ids WHERE id NOT IN (SELECT src FROM ga_edges)")
 sql("out_degree", f"WITH {GRAPH_B_CTE}\nSELECT src, count(*) AS out_degree FROM edges GROUP BY src")
 sql("dangling_nodes", f"WITH {GRAPH_B_CTE}\nSELECT id FROM nodes WHERE id NOT IN (SELECT src FROM edges)")
 sql("adjacency_lists", f"""WITH {GRAPH_B_CTE}

@@ -111,6 +111,12 @@ def q_rule_graph(spark, sf):
     return G.rule_graph(spark, I.doc_count(spark, sf))
 
 
+@query("rule_graph_dangling")
+def q_rule_graph_dangling(spark, sf):
+    n = I.doc_count(spark, sf)
+    return G.dangling_nodes(spark.range(n), G.rule_graph(spark, n))
+
+
 @query("out_degree")
 def q_out_degree(spark, sf):
     return G.out_degree(_graph_b(spark, sf)[1])
@@ -368,7 +374,7 @@ def q_first_per_key(spark, sf):
 
 def _event_out(df):
     return df.select("user_id", "event_id", "event_type", _r("value").alias("value"),
-                     F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"))
+                     D.epoch_units("ts", "MICROSECOND").alias("ts_us"))
 
 
 @query("upsert_latest")
@@ -432,7 +438,7 @@ def q_command_lines(spark, sf):
 def q_parse_datetime(spark, sf):
     ev = table(spark, sf, "events")
     txt = D.format_datetime("ts")
-    return ev.select("event_id", txt.alias("text"), F.unix_seconds(D.parse_datetime(txt)).alias("epoch_s"))
+    return ev.select("event_id", txt.alias("text"), D.epoch_units(D.parse_datetime_ntz(txt), "SECOND").alias("epoch_s"))
 
 
 @query("seconds_between")
