@@ -9,6 +9,7 @@ from webloom.functions.html import (LINK_PATTERNS, cut_query, html_tags, html_to
                                     is_http_link, resolve_parts, url_parts)
 from webloom.functions.text import strip_http_header
 from webloom.operators import graph as G
+from webloom.operators.keyed import dense_index
 
 
 def pages_text(pages: DataFrame, html_col: str = "html", keep_script: bool = True,
@@ -63,8 +64,26 @@ def web_graph(links: DataFrame, pages: DataFrame | None = None, url_col: str = "
     return G.all_nodes(nodes, edges), edges
 
 
+def web_graph_ids(links: DataFrame, pages: DataFrame | None = None, url_col: str = "url"):
+    """(ids(url, id long), edges(src long, dst long)): every page and link
+    target gets a dense id once (range sort + per-partition offsets, no
+    single-partition window), so iterative jobs shuffle 8-byte keys instead
+    of URLs.  The two lookups are shuffle joins on the URL; a target with a
+    third of all links is split by AQE's skew join on the link side."""
+    urls = links.select(F.col("page_url").alias("url")).union(links.select(F.col("out_url").alias("url")))
+    if pages is not None:
+        urls = urls.union(pages.select(F.col(url_col).alias("url")))
+    ids = dense_index(urls.distinct(), ["url"], "id")
+    edges = (links.join(ids.select(F.col("url").alias("page_url"), F.col("id").alias("src")), "page_url")
+             .join(ids.select(F.col("url").alias("out_url"), F.col("id").alias("dst")), "out_url")
+             .select("src", "dst"))
+    return ids, edges
+
+
 def web_pagerank(pages: DataFrame, iterations: int = 5, url_col: str = "url",
                  html_col: str = "html") -> DataFrame:
-    """PageRank over the outlink graph of the pages: (id = url, rank)."""
-    nodes, edges = web_graph(outlinks(pages, url_col, html_col), pages, url_col)
-    return G.pagerank(edges, nodes, iterations=iterations)
+    """PageRank over the outlink graph of the pages: (id = url, rank).
+    Ranked on dense long ids; URLs are joined back once at the end."""
+    ids, edges = web_graph_ids(outlinks(pages, url_col, html_col), pages, url_col)
+    ranks = G.pagerank(edges, ids.select("id"), iterations=iterations)
+    return ranks.join(ids, "id").select(F.col("url").alias("id"), "rank")
