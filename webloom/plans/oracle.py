@@ -162,6 +162,7 @@ sql("pagerank_top10", _PR_B + f"SELECT id, round(rank, {R}) AS rank FROM {_LAST}
 sql("doc_key", f"SELECT doc_id, {TREC_ID} AS trec_id, {doc_key_expr(TREC_ID)} AS doc_key FROM documents")
 sql("doc_rank_load", f"WITH {DOC_RANKS_CTE}\n"
     f"SELECT doc_id, node_id, round(CAST(page_rank AS DOUBLE), {R}) AS page_rank FROM doc_ranks")
+sql("doc_rank_from_files", ORACLE["doc_rank_load"])
 sql("search_keyword", f"""WITH {PAGES_CTE},
 {POSTINGS_CTE},
 {DOC_RANKS_CTE}

@@ -520,3 +520,24 @@ def q_pipe_files(spark, sf):
     files = FS.scan_files(spark, I.write_pages_as_warc(spark, sf), glob="*.gz", with_content=True)
     res = EX.pipe_files(files, "gzip -dc #_INPUTFILE_# | wc -c > #_OUTPUTFILE_#", timeout=120)
     return res.select("file_name", "exit_code", F.trim("stdout").cast("long").alias("n_bytes"))
+
+
+@query("doc_rank_from_files")
+def q_doc_rank_from_files(spark, sf):
+    """Rank load through the reference's text formats: an id map file
+    ('trecId<TAB>nodeId') and a rank file (count line, then 'nodeId rank'),
+    both written by Spark from the tables, read back and joined."""
+    n = I.doc_count(spark, sf)
+    ranks = G.pagerank(G.rule_graph(spark, n), spark.range(n), iterations=I.DOC_RANK_ITERATIONS)
+    d = table(spark, sf, "documents")
+    base = scratch_path(spark, f"rankload-{uuid.uuid4().hex}")
+    d.select(F.concat_ws("\t", I.trec_id(d), F.col("doc_id").cast("string")).alias("value")) \
+        .write.text(f"{base}/idmap")
+    header = ranks.agg(F.count(F.lit(1)).cast("string").alias("value"))
+    pairs = ranks.select(F.concat_ws(" ", F.col("id").cast("string"), F.col("rank").cast("string")).alias("value"))
+    header.unionByName(pairs).write.text(f"{base}/ranks")
+    id_map = SRC.read_id_map(spark, f"{base}/idmap")
+    node_ranks = SRC.read_rank_pairs(spark, f"{base}/ranks")
+    r = S.doc_rank_load(id_map, node_ranks, order_col="line_no")
+    return r.select("doc_id", F.col("node_id").cast("long").alias("node_id"),
+                    _r(F.col("page_rank").cast("double")).alias("page_rank"))
