@@ -18,14 +18,15 @@ def test_stream_ingest_merges_by_key(spark, tmp_path):
         fh.write(_record("clueweb09-en0000-00-00001", "http://a.org/", "<p>alpha beta</p>"))
         fh.write(_record("clueweb09-en0000-00-00002", "http://b.org/", "<p>gamma</p>"))
     pages, post, ck = (str(tmp_path / n) for n in ("pages", "postings", "ck"))
-    q = start_ingest(spark, str(src), pages, post, ck, trigger_once=True)
+    q = start_ingest(spark, str(src), pages, post, ck, trigger_once=True, buckets=4)
     q.awaitTermination(120)
     got = {r.doc_id: r.content for r in spark.read.parquet(pages).collect()}
     assert got == {"00000000001": "alpha beta\n", "00000000002": "gamma\n"}
+    assert any(n.startswith("bucket=") for n in os.listdir(pages))
     # A re-crawl of page 1 replaces its row and all of its postings.
     with gzip.open(src / "b.warc.gz", "wb") as fh:
         fh.write(_record("clueweb09-en0000-00-00001", "http://a.org/", "<p>delta</p>"))
-    q = start_ingest(spark, str(src), pages, post, ck, trigger_once=True)
+    q = start_ingest(spark, str(src), pages, post, ck, trigger_once=True, buckets=4)
     q.awaitTermination(120)
     got = {r.doc_id: r.content for r in spark.read.parquet(pages).collect()}
     assert got["00000000001"] == "delta\n" and len(got) == 2

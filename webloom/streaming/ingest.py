@@ -7,6 +7,10 @@ are picked up by a ``binaryFile`` stream; each micro-batch is decoded
 cut, text extracted, doc key from the archive id) and merged into a parquet
 page table and postings table by key with ``foreachBatch`` -- last write
 wins per doc_id, so replaying a batch after a failure is idempotent.
+
+Both tables are partitioned by ``bucket = pmod(xxhash64(doc_id), buckets)``;
+a micro-batch reads, merges and (dynamically) overwrites only the buckets its
+pages fall into, so the cost of a batch follows the batch, not the table.
 Checkpoint and table folders must be on shared storage.
 """
 
@@ -49,23 +53,32 @@ def page_rows(records: DataFrame) -> DataFrame:
     return rows.groupBy("doc_id").agg(last.alias("_r")).select("doc_id", "_r.uri", "_r.content")
 
 
-def _merge(batch: DataFrame, path: str, key: list[str]) -> None:
+def _bucket(buckets: int):
+    return F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int")
+
+
+def _merge(batch: DataFrame, path: str, key: list[str], buckets: int) -> None:
     """Rows of ``path`` whose key is in the batch are replaced by the batch's
-    rows (anti join + union).  The result is checkpointed to the shared
-    folder before the table folder is overwritten, since it reads from it."""
+    rows (anti join + union), bucket by bucket: only the partitions the
+    batch touches are read (partition pruning) and overwritten (dynamic
+    partition overwrite).  The merged rows are checkpointed to the shared
+    folder first, since they are read from the partitions being replaced."""
     spark = batch.sparkSession
+    batch = batch.withColumn("bucket", _bucket(buckets))
+    touched = [r[0] for r in batch.select("bucket").distinct().collect()]   # <= buckets values
     try:
-        old = spark.read.parquet(path)
+        old = spark.read.parquet(path).filter(F.col("bucket").isin(touched))
     except Exception:  # noqa: BLE001 - first batch: no table yet
         old = None
     new = batch if old is None else old.join(batch.select(*key).distinct(), key, "left_anti") \
         .unionByName(batch)
-    cut_lineage(new).write.mode("overwrite").parquet(path)
+    (cut_lineage(new).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("bucket").parquet(path))
 
 
 def start_ingest(spark: SparkSession, input_dir: str, pages_path: str, postings_path: str,
                  checkpoint: str, glob: str = "*.gz", trigger_once: bool = False,
-                 max_files_per_trigger: int = 64):
+                 max_files_per_trigger: int = 64, buckets: int = 256):
     """Start the stream; returns the ``StreamingQuery``."""
     files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", glob)
              .option("maxFilesPerTrigger", max_files_per_trigger).load(input_dir)
@@ -77,10 +90,10 @@ def start_ingest(spark: SparkSession, input_dir: str, pages_path: str, postings_
         if pages.isEmpty():
             pages.unpersist()
             return
-        _merge(pages, pages_path, ["doc_id"])
+        _merge(pages, pages_path, ["doc_id"], buckets)
         # All postings of a re-ingested page are replaced, not only its current terms.
         _merge(term_freqs(pages, text_col="content").select("term", "doc_id", "tf"),
-               postings_path, ["doc_id"])
+               postings_path, ["doc_id"], buckets)
         pages.unpersist()
 
     w = recs.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
