@@ -62,3 +62,12 @@ def test_kmeans_minibatch_runs(spark):
     assert cents.vectors.shape == (2, 3)
     lines = C.centroid_lines(cents.to_df(spark), digits=3).collect()
     assert all(r.line.endswith("\t") and r.line.count("\t") == 3 for r in lines)
+
+
+def test_histogram_cut_equals_small_cut(spark, monkeypatch):
+    df = spark.range(5000)
+    a = sorted(r.id for r in SM.sample_fixed(df, 321, seed=9).collect())
+    monkeypatch.setattr(SM, "SMALL_SAMPLE", 0)
+    monkeypatch.setattr(SM, "HIST_BUCKETS", 64)
+    b = sorted(r.id for r in SM.sample_fixed(df, 321, seed=9).collect())
+    assert a == b and len(a) == 321

@@ -33,36 +33,67 @@ def seeded_hash_sql(id_expr: str, seed: int) -> str:
     return f"((({u}) * ({u}) + {c}) % {PRIME})"
 
 
+HIST_BUCKETS = 4096
+# Up to this many rows the cut-off comes from one bounded top-k merge (one
+# job); above it from the histogram (two jobs, no large single-task merge).
+SMALL_SAMPLE = 100_000
+
+
 def sample_fixed(df: DataFrame, size: int, seed: int, id_col: str = "id",
                  total: int | None = None) -> DataFrame:
     """Exactly ``min(size, n)`` rows without replacement: the rows with the
     smallest (hash, id).
 
-    Distributed: a hash threshold keeps ~1.2x ``size`` candidate keys, only
-    their (hash, id) pairs are ranked to find the cut-off, and the sample is
-    then a plain filter -- the sampled rows never gather in one task.
+    Distributed and exact: a hash threshold keeps ~1.2x ``size`` candidates;
+    a histogram of their hashes (at most ``HIST_BUCKETS`` counts reach the
+    driver) finds the bucket holding the size-th candidate; only that bucket
+    (~size / HIST_BUCKETS rows) is ordered to find the exact cut-off; the
+    sample is then a plain filter.  No task ever holds the whole sample.
     """
-    h = seeded_hash(id_col, seed)
-    keyed = df.withColumn("_h", h)
+    keyed = df.withColumn("_h", seeded_hash(id_col, seed))
     n = total if total is not None else df.count()
     if size <= 0:
         return df.limit(0)
     if size >= n:
         return df
     tau = min(PRIME, int(PRIME * (size / n) * 1.2) + 1024)
+    if size <= SMALL_SAMPLE:
+        h_cut, id_cut = _cut_small(keyed, size, tau, id_col)
+    else:
+        h_cut, id_cut = _cut_histogram(keyed, size, tau, id_col)
+    keep = (F.col("_h") < h_cut) | ((F.col("_h") == h_cut) & (F.col(id_col) <= F.lit(id_cut)))
+    return keyed.filter(keep).drop("_h")
+
+
+def _cut_small(keyed: DataFrame, size: int, tau: int, id_col: str):
     while True:
-        # One job: the candidate count and the (hash, id) of the size-th
-        # smallest candidate (a bounded top-``size`` heap per task).
-        cand = keyed.select("_h", id_col).filter(F.col("_h") < tau)
-        top = cand.orderBy("_h", id_col).limit(size)
+        # One job: candidate count and the size-th smallest (hash, id).
+        top = keyed.select("_h", id_col).filter(F.col("_h") < tau).orderBy("_h", id_col).limit(size)
         row = top.agg(F.count(F.lit(1)).alias("c"),
                       F.max_by(F.struct("_h", id_col), F.struct("_h", id_col)).alias("last")).first()
         if row["c"] >= size or tau >= PRIME:
+            return row["last"]["_h"], row["last"][id_col]
+        tau = min(PRIME, tau * 2)
+
+
+def _cut_histogram(keyed: DataFrame, size: int, tau: int, id_col: str):
+    while True:
+        width = -(-tau // HIST_BUCKETS)
+        cand = keyed.select("_h", id_col).filter(F.col("_h") < tau)
+        hist = sorted(tuple(r) for r in cand.groupBy(F.floor(F.col("_h") / width).alias("b"))
+                      .count().collect())
+        if sum(c for _, c in hist) >= size or tau >= PRIME:
             break
         tau = min(PRIME, tau * 2)
-    h_cut, id_cut = row["last"]["_h"], row["last"][id_col]
-    keep = (F.col("_h") < h_cut) | ((F.col("_h") == h_cut) & (F.col(id_col) <= F.lit(id_cut)))
-    return keyed.filter(keep).drop("_h")
+    before = 0
+    for b, c in hist:
+        if before + c >= size:
+            break
+        before += c
+    need = size - before
+    inner = cand.filter(F.floor(F.col("_h") / width) == F.lit(b)).orderBy("_h", id_col).limit(need)
+    last = inner.agg(F.max_by(F.struct("_h", id_col), F.struct("_h", id_col)).alias("last")).first()["last"]
+    return last["_h"], last[id_col]
 
 
 def sample_bernoulli(df: DataFrame, fraction: float, seed: int, id_col: str = "id") -> DataFrame:
