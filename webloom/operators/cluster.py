@@ -9,7 +9,7 @@ matrix (large K·D).  Points are never crossed with the centroid table.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -39,10 +39,13 @@ def vector_add(a, b) -> Column:
 
 @dataclass
 class Centroids:
-    """K x D centroid summary kept on the driver (cids in table order)."""
+    """K x D centroid summary kept on the driver (cids in table order), and
+    the clustering error of each iteration's batch (sum of distances to the
+    nearest previous centroid), as the reference prints per iteration."""
     cids: list
     vectors: np.ndarray           # K x D
     counts: np.ndarray            # K, the per-centroid count slot
+    errors: list = field(default_factory=list)
 
     def to_df(self, spark) -> DataFrame:
         rows = [(int(c), [float(x) for x in v], int(n))
@@ -100,9 +103,10 @@ def cluster_sums(assigned: DataFrame, features: str = "features") -> DataFrame:
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from pyspark.ml.stat import Summarizer
 
+    extra = [F.sum("dist").alias("err")] if "dist" in assigned.columns else []
     agg = assigned.groupBy("cid").agg(
-        Summarizer.sum(array_to_vector(features)).alias("_s"), F.count(F.lit(1)).alias("n"))
-    return agg.select("cid", vector_to_array("_s").alias("sum"), "n")
+        Summarizer.sum(array_to_vector(features)).alias("_s"), F.count(F.lit(1)).alias("n"), *extra)
+    return agg.select("cid", vector_to_array("_s").alias("sum"), "n", *[e for e in ["err"] if extra])
 
 
 def clustering_error(assigned: DataFrame) -> DataFrame:
@@ -143,8 +147,10 @@ def update_centroids(prev: Centroids, sums: list, count_mode: str = "reset",
             vecs.append(prev.vectors[i])
             counts.append(prev.counts[i])
             cids.append(c)
+    keys = (sums[0].asDict() if hasattr(sums[0], "asDict") else sums[0]).keys() if sums else ()
+    err = sum(float(r["err"]) for r in sums) if "err" in keys else None
     return Centroids(cids, np.array(vecs, dtype=np.float64).reshape(len(cids), -1),
-                     np.array(counts, dtype=np.int64))
+                     np.array(counts, dtype=np.int64), prev.errors + ([err] if err is not None else []))
 
 
 def kmeans_step(points: DataFrame, cents: Centroids, batch: int, seed: int,

@@ -541,3 +541,11 @@ def q_doc_rank_from_files(spark, sf):
     r = S.doc_rank_load(id_map, node_ranks, order_col="line_no")
     return r.select("doc_id", F.col("node_id").cast("long").alias("node_id"),
                     _r(F.col("page_rank").cast("double")).alias("page_rank"))
+
+
+@query("kmeans_error_trace")
+def q_kmeans_error_trace(spark, sf):
+    """Clustering error of each iteration's batch (the reference's per-iteration print)."""
+    errs = _final(spark, sf).errors
+    return spark.createDataFrame([(i + 1, float(e)) for i, e in enumerate(errs)], "iteration int, error double") \
+        .select("iteration", _r("error", 6).alias("error"))
