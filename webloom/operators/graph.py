@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.session import cut_lineage, shuffle_partitions
+from webloom.session import ensure_checkpoint_dir, shuffle_partitions
 
 # Damping factor of the reference's rank update (fixed value).
 DAMPING = 0.85
@@ -341,26 +341,29 @@ def pagerank(edges: DataFrame, nodes: DataFrame | None = None, iterations: int =
     n = num_nodes if num_nodes is not None else ids.count()
     state = _state(ids.select("id", (F.lit(1.0) / F.lit(float(n))).alias("rank")), deg, parts, salt_chunk)
     state = state.persist()
-    pending = [state]          # persisted states since the last checkpoint
+    pending = [state]          # persisted frames the current state may still read
+    mass = _dangling_mass(state).first()[0]
     for it in range(1, iterations + 1):
-        prev = state
-        # One number to the driver per iteration, read from the persisted
-        # state; the next plan then references the previous state once, so
-        # the plan grows linearly between checkpoints (a subquery here would
-        # reference it twice and double the plan every iteration).
-        mass = _dangling_mass(prev).first()[0]
-        state = _step(prev, salted, n, damping, mass)
+        # ``mass`` is one number on the driver, so the next plan references
+        # the previous state once (a subquery would reference it twice and
+        # double the plan every iteration).
+        nxt = _step(state, salted, n, damping, mass).persist()
         if checkpoint_every and it % checkpoint_every == 0:
-            state = cut_lineage(state)
+            ensure_checkpoint_dir(spark)
+            state = nxt.checkpoint(eager=False)
+            # This job computes the new state into the cache and returns the
+            # next dangling mass; Spark then writes the checkpoint from the
+            # cache.  Two jobs per iteration.
+            mass = _dangling_mass(state).first()[0]
             # Released only now: un-caching a frame that a cached frame still
             # depends on makes Spark rebuild the dependent cache from lineage.
-            for p in pending:
+            for p in pending + [nxt]:
                 p.unpersist()
             pending = []
         else:
-            state = state.persist()
-            state.count()
-            pending.append(state)
+            mass = _dangling_mass(nxt).first()[0]
+            pending.append(nxt)
+            state = nxt
     # ``salted`` stays cached while the lazy result may still be recomputed.
     return state.select("id", "rank")
 
