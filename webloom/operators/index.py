@@ -37,11 +37,25 @@ def number_flags(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def term_freqs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Postings (doc_id, term, tf): index terms counted per document.
 
-    A document lives in one input split, so the partial aggregate already
-    yields final counts; the shuffle carries only distinct (doc, term) pairs.
+    Map-only, like an in-mapper hash map per document: the document's terms
+    are sorted and runs of equal terms counted with array functions, so no
+    posting crosses a shuffle (a document is one row, in one task).  The
+    sorted array is projected before the run-counting lambdas so it is built
+    once per document.
     """
-    return (docs.select(F.col(id_col).alias("doc_id"), F.explode(index_terms(text_col)).alias("term"))
-            .groupBy("doc_id", "term").agg(F.count(F.lit(1)).cast("int").alias("tf")))
+    t = docs.select(F.col(id_col).alias("doc_id"), F.array_sort(index_terms(text_col)).alias("_terms"))
+    terms = F.col("_terms")
+    n = F.size(terms)
+    idx = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    t = t.select("doc_id", "_terms", F.filter(idx, lambda i: (i == 1) | (
+        F.try_element_at(terms, i) != F.try_element_at(terms, i - 1))).alias("_starts"))
+    st = F.col("_starts")
+    m = F.size(st)
+    runs = F.when(m > 0, F.sequence(F.lit(1), m)).otherwise(F.array().cast("array<int>"))
+    pairs = F.transform(runs, lambda k: F.struct(
+        F.try_element_at(terms, F.try_element_at(st, k)).alias("term"),
+        (F.coalesce(F.try_element_at(st, k + 1), n + 1) - F.try_element_at(st, k)).cast("int").alias("tf")))
+    return t.select("doc_id", F.explode(pairs).alias("_p")).select("doc_id", "_p.term", "_p.tf")
 
 
 def word_count(postings: DataFrame) -> DataFrame:
