@@ -4,7 +4,9 @@ Both sides become sets of word shingles (k consecutive tokens).  A pair
 (query, doc) is reported when the doc holds at least
 c = max(min_shared, ceil(containment * |Q|)) of the query's shingles.
 
-Exact prefix filtering keeps the join away from hot shingles: shingles are
+The corpus side is first reduced, map-side, to shingles that occur in some
+query (semi join with the size-checked query shingle set).  Exact prefix
+filtering then keeps the join away from hot shingles: shingles are
 ordered by document frequency (rarest first); a doc sharing >= c shingles of
 Q must share one of Q's first |Q| - c + 1 shingles, so candidate pairs are
 generated from those rare prefix shingles only, then verified by an exact
@@ -32,10 +34,12 @@ def shingles(toks, k: int) -> Column:
 
 
 def shingle_sets(df: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """Distinct (id, sh).  Tokens are projected first so the tokenizer runs
-    once per text (inside the shingle lambda it would rerun per shingle)."""
+    """(id, sh), each shingle once per text.  De-duplicated inside the row
+    (``array_distinct``), so no shuffle; tokens are projected first so the
+    tokenizer runs once per text (inside the shingle lambda it would rerun
+    per shingle)."""
     toks = df.select(F.col(id_col).alias("id"), tokenize(text_col).alias("_toks"))
-    return toks.select("id", F.explode(shingles("_toks", k)).alias("sh")).distinct()
+    return toks.select("id", F.explode(F.array_distinct(shingles("_toks", k))).alias("sh"))
 
 
 def _maybe_broadcast(df: DataFrame) -> DataFrame:
@@ -47,13 +51,16 @@ def seed_similarity(queries: DataFrame, corpus: DataFrame, k: int = 5, containme
                     d_id: str = "doc_id", d_text: str = "text") -> DataFrame:
     """(item_id, doc_id, shared, q_shingles) for every pair over the threshold."""
     qs = shingle_sets(queries, q_id, q_text, k).withColumnRenamed("id", "item_id").persist()
-    ds = shingle_sets(corpus, d_id, d_text, k).withColumnRenamed("id", "doc_id").persist()
     qsize = qs.groupBy("item_id").agg(F.count(F.lit(1)).alias("q_shingles"))
     need = F.greatest(F.lit(min_shared), F.ceil(F.col("q_shingles") * F.lit(containment))).cast("long")
 
-    # Document frequency of the query shingles only (semi join keeps it small).
+    # The corpus cut down to the query vocabulary, map-side (semi join with
+    # the size-checked query shingle set): every later shuffle only moves
+    # corpus shingles that occur in some query.
     qkeys = _maybe_broadcast(qs.select("sh").distinct())
-    dfreq = ds.join(qkeys, "sh", "left_semi").groupBy("sh").agg(F.count(F.lit(1)).alias("dfreq"))
+    ds = shingle_sets(corpus, d_id, d_text, k).withColumnRenamed("id", "doc_id") \
+        .join(qkeys, "sh", "left_semi").persist()
+    dfreq = ds.groupBy("sh").agg(F.count(F.lit(1)).alias("dfreq"))
     ranked = (qs.join(dfreq, "sh", "left").fillna(0, ["dfreq"]).join(qsize, "item_id")
               .withColumn("need", need)
               .withColumn("rk", F.row_number().over(Window.partitionBy("item_id").orderBy("dfreq", "sh"))))
