@@ -54,7 +54,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this setting points at shared storage and is only read.  When
     it is unset (local tests) a fresh scratch folder is created and set.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the setting
+        return spark.conf.get("spark.checkpoint.dir", None)
     cur = sc.getCheckpointDir()
     if cur:
         return cur

@@ -25,7 +25,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     parquet cannot split).  On large inputs the scan already yields far more
     splits than cores and this is a no-op -- no shuffle of the corpus.
     The split count comes from planning only (no job)."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Spark Connect session)
+        return df
+    return df.repartition(target) if splits < target else df
