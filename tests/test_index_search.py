@@ -57,3 +57,19 @@ def test_page_keyword_lines(spark):
     pages = spark.createDataFrame([("a", "u", "one kw\ntwo\nkw three")], "doc_id string, uri string, content string")
     rows = S.page_keyword_lines(pages, "kw").collect()
     assert [(r.line_no, r.line) for r in rows] == [(1, "one kw"), (3, "kw three")]
+
+
+def test_stored_index_pushdown(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"alpha{i % 7} beta{i % 3} gamma") for i in range(200)],
+                                 "doc_id long, text string")
+    path = str(tmp_path / "index")
+    IX.write_index(IX.term_freqs(docs), path, num_partitions=4)
+    stored = spark.read.parquet(path)
+    hits = stored.filter(F.col("term") == "beta1")
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(term), EqualTo(term,beta1)]" in plan
+    assert sorted(r.doc_id for r in hits.collect()) == [i for i in range(200) if i % 3 == 1]
+    ranges = sorted(tuple(r) for r in stored.groupBy(F.input_file_name()).agg(
+        F.min("term"), F.max("term")).select("min(term)", "max(term)").collect())
+    assert len(ranges) > 1
+    assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))   # disjoint term ranges per file

@@ -108,3 +108,13 @@ def postings_map(postings: DataFrame, max_entries: int = 100_000) -> DataFrame:
 def explode_postings_map(wide: DataFrame) -> DataFrame:
     """Back to the long form (term, doc_id, tf)."""
     return wide.select("term", F.explode("postings").alias("doc_id", "tf"))
+
+
+def write_index(postings: DataFrame, path: str, num_partitions: int | None = None,
+                row_group_bytes: int = 8 << 20) -> None:
+    """Store postings as parquet laid out by (term, doc_id): range-partitioned
+    and sorted, with modest row groups, so each file and row group covers a
+    narrow term range and a keyword filter (pushed to the scan) skips the
+    rest by min/max statistics."""
+    (inverted_index(postings, num_partitions).write.mode("overwrite")
+     .option("parquet.block.size", row_group_bytes).parquet(path))
