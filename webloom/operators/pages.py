@@ -34,27 +34,29 @@ def outlinks(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
     resolved against the page URL, query cut, the page itself excluded.
 
     Per tag the link patterns (a, area, frame, iframe) are tried in order and
-    the first one giving a valid link wins.  Staged projections compute the
-    base URL parts once per page and each candidate once per pattern, so the
-    generated code stays small; all of it is map-side, then one shuffle for
-    the de-duplication.
+    the first one giving a valid link wins.  Map-only: a page is one row, so
+    the tag array is carried through successive ``transform`` stages (raw
+    candidates, query cut, resolution, first valid link) and de-duplicated
+    with ``array_distinct`` inside the row -- no shuffle.  The base URL parts
+    are computed once per page.
     """
     parts = url_parts(url_col)
-    base = pages.select(F.col(url_col).alias("page_url"), *[v.alias(k) for k, v in parts.items()],
-                        F.explode(html_tags(html_col)).alias("tag"))
-    keep = ["page_url", "sch", "auth", "path", "qry"]
     n = len(LINK_PATTERNS)
-    raws = base.select(*keep, *[F.when(F.col("tag").rlike(p), F.regexp_extract("tag", p, 1)).alias(f"raw{k}")
-                                for k, p in enumerate(LINK_PATTERNS)])
-    lks = raws.select(*keep, *[cut_query(f"raw{k}").alias(f"lk{k}") for k in range(n)])
-    cands = lks.select("page_url", *[resolve_parts(f"lk{k}", "sch", "auth", "path", "qry").alias(f"c{k}")
-                                     for k in range(n)])
-    first = F.coalesce(*[F.when(is_http_link(f"c{k}", "page_url"), F.col(f"c{k}")) for k in range(n)])
-    # explode of [first] without nulls instead of a filter: a filter on the
-    # derived column would be pushed below the stages with every expression
-    # inlined into it.
-    links = cands.select("page_url", F.explode(F.array_compact(F.array(first))).alias("out_url"))
-    return links.dropDuplicates(["page_url", "out_url"])
+    # Every link pattern needs 'href=' or 'src=': tags without '=' are skipped
+    # before any pattern runs (exact, and most tags are <p>, <li>, </a> ...).
+    tags = F.filter(html_tags(html_col), lambda t: t.contains("="))
+    base = pages.select(F.col(url_col).alias("page_url"), *[v.alias(k) for k, v in parts.items()],
+                        tags.alias("_tags"))
+    raws = F.transform("_tags", lambda t: F.struct(*[
+        F.when(t.rlike(p), F.regexp_extract(t, p, 1)).alias(f"r{k}") for k, p in enumerate(LINK_PATTERNS)]))
+    lks = F.transform(raws, lambda x: F.struct(*[cut_query(x[f"r{k}"]).alias(f"l{k}") for k in range(n)]))
+    cands = F.transform(lks, lambda x: F.struct(*[
+        resolve_parts(x[f"l{k}"], F.col("sch"), F.col("auth"), F.col("path"), F.col("qry")).alias(f"c{k}")
+        for k in range(n)]))
+    firsts = F.transform(cands, lambda x: F.coalesce(*[
+        F.when(is_http_link(x[f"c{k}"], F.col("page_url")), x[f"c{k}"]) for k in range(n)]))
+    links = F.array_distinct(F.filter(firsts, lambda u: u.isNotNull()))
+    return base.select("page_url", F.explode(links).alias("out_url"))
 
 
 def web_graph(links: DataFrame, pages: DataFrame | None = None, url_col: str = "url"):
@@ -84,6 +86,8 @@ def web_pagerank(pages: DataFrame, iterations: int = 5, url_col: str = "url",
                  html_col: str = "html") -> DataFrame:
     """PageRank over the outlink graph of the pages: (id = url, rank).
     Ranked on dense long ids; URLs are joined back once at the end."""
-    ids, edges = web_graph_ids(outlinks(pages, url_col, html_col), pages, url_col)
+    links = outlinks(pages, url_col, html_col).persist()     # read three times below
+    ids, edges = web_graph_ids(links, pages, url_col)
     ranks = G.pagerank(edges, ids.select("id"), iterations=iterations)
+    links.unpersist()   # ranks and ids are checkpointed; nothing lazy reads the links any more
     return ranks.join(ids, "id").select(F.col("url").alias("id"), "rank")
