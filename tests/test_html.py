@@ -41,3 +41,9 @@ def test_outlinks(spark):
     df = spark.createDataFrame([("http://h.com/p/x", PAGE)], "url string, html string")
     got = sorted(r.out_url for r in P.outlinks(df).collect())
     assert got == ["http://h.com/rel", "http://o.org/a", "https://f.net/z"]
+
+
+def test_numeric_references(spark):
+    df = spark.createDataFrame([("<p>it&#8217;s &#x27;q&#X27; &#38;lt; &amp;#65; &#0; &#65;&amp;</p>",)], "html string")
+    got = df.select(H.html_to_text("html")).first()[0]
+    assert got == "it\u2019s 'q' &lt; &#65; &#0; A&\n"

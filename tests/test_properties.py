@@ -49,3 +49,24 @@ def test_tokenizer_spark_equals_sql(spark, texts):
         f"SELECT {tokens_expr('s')} FROM (SELECT unnest(?::VARCHAR[]) AS s, generate_subscripts(?::VARCHAR[], 1) AS i) ORDER BY i",
         [texts, texts]).fetchall()]
     assert got == sql
+
+
+HTML_CASES = [
+    "<p>it&#8217;s &#x27;q&#X27; &#38;lt; &amp;#65; &#0; &#65;&amp;</p>",
+    '<html><head><title>T &amp; U</title><script>var t="</p>";</script></head><body><!-- c --><p>a<b>b</b></p></body>',
+    "<div>\n  spaced   \n</div><p>&copy; &middot; &#128512;</p><br>tail",
+    "no tags at all &lt;x&gt;",
+    "",
+]
+
+
+def test_html_text_spark_equals_sql(spark):
+    from webloom.functions.html import html_to_text
+    from webloom.plans.oracle import html_text_sql
+    df = spark.createDataFrame([(i, h) for i, h in enumerate(HTML_CASES)], "i int, html string")
+    got = [r[0] for r in df.orderBy("i").select(html_to_text("html")).collect()]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t AS SELECT * FROM (SELECT unnest(?::VARCHAR[]) AS html, "
+                "generate_subscripts(?::VARCHAR[], 1) AS i)", [HTML_CASES, HTML_CASES])
+    sql = [r[0] for r in con.execute(f"SELECT {html_text_sql('html')} FROM t ORDER BY i").fetchall()]
+    assert got == sql

@@ -13,8 +13,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- fixed values ------------------------------------------------------------
-# Named character references decoded in text, in natural order; '&amp;' is
-# applied last so that '&amp;lt;' becomes '&lt;' and not '<'.
+# Named character references decoded in text, in natural order ('&amp;' is
+# applied last, after numeric references, so that '&amp;lt;' becomes '&lt;').
 ENTITIES = (
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " "),
     ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"), ("&hellip;", "…"),
@@ -63,11 +63,47 @@ def java_trim(s) -> Column:
     return F.regexp_replace(_c(s), TRIM_PATTERN, "")
 
 
+# Numeric character references: decimal (up to 7 digits) or hex (up to 6).
+NUMREF_PATTERN = r"&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+
+
+def _code_point(ref) -> Column:
+    """Code point of a reference body ('8217' or 'x2019')."""
+    hexed = ref.startswith("x") | ref.startswith("X")
+    return F.when(hexed, F.conv(ref.substr(F.lit(2), F.length(ref)), 16, 10)).otherwise(ref).cast("int")
+
+
+def _valid_code_point(cp) -> Column:
+    return (cp >= 1) & (cp <= 0x10FFFF) & ~cp.between(0xD800, 0xDFFF)
+
+
+def decode_numeric_refs(s) -> Column:
+    """Replace '&#N;' / '&#xH;' by their characters (invalid code points stay
+    as written).  A fold over the distinct references found in the text;
+    references that decode to '&' go last so nothing is decoded twice."""
+    s = _c(s)
+    refs = F.array_distinct(F.regexp_extract_all(s, F.lit(NUMREF_PATTERN), 1))
+    ordered = F.concat(F.filter(refs, lambda r: _code_point(r) != 38),
+                       F.filter(refs, lambda r: _code_point(r) == 38))
+
+    def step(acc, r):
+        cp = _code_point(r)
+        char = F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")
+        return F.when(_valid_code_point(cp), F.replace(acc, F.concat(F.lit("&#"), r, F.lit(";")), char)) \
+            .otherwise(acc)
+
+    return F.aggregate(ordered, s, step)
+
+
 def unescape(s) -> Column:
+    """Named references of ``ENTITIES`` (except '&amp;'), then numeric
+    references, then '&amp;' -- so '&amp;lt;' and '&#38;lt;' stay '&lt;'."""
     out = _c(s)
-    for ent, ch in ENTITIES:
+    named = [e for e in ENTITIES if e[0] != "&amp;"]
+    for ent, ch in named:
         out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+    out = decode_numeric_refs(out)
+    return F.replace(out, F.lit("&amp;"), F.lit("&"))
 
 
 def html_text_nodes(html, keep_script: bool = True) -> Column:

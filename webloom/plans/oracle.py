@@ -190,10 +190,22 @@ WHERE contains(line, {q(I.PAGE_KEYWORD)})""")
 from webloom.functions import html as H  # noqa: E402
 
 
+def _cp_sql(r: str) -> str:
+    return (f"(CASE WHEN starts_with({r}, 'x') OR starts_with({r}, 'X') "
+            f"THEN ('0x' || substr({r}, 2))::INTEGER ELSE {r}::INTEGER END)")
+
+
 def unescape_sql(s: str) -> str:
     for ent, ch in H.ENTITIES:
-        s = f"replace({s}, {q(ent)}, {q(ch)})"
-    return s
+        if ent != "&amp;":
+            s = f"replace({s}, {q(ent)}, {q(ch)})"
+    refs = f"list_distinct(regexp_extract_all({s}, {q(H.NUMREF_PATTERN)}, 1))"
+    ordered = (f"list_concat(list_filter({refs}, lambda r: {_cp_sql('r')} <> 38), "
+               f"list_filter({refs}, lambda r: {_cp_sql('r')} = 38))")
+    valid = f"({_cp_sql('r')} BETWEEN 1 AND 1114111 AND NOT {_cp_sql('r')} BETWEEN 55296 AND 57343)"
+    fold = (f"list_reduce({ordered}, lambda acc, r: CASE WHEN {valid} "
+            f"THEN replace(acc, '&#' || r || ';', chr({_cp_sql('r')})) ELSE acc END, {s})")
+    return f"replace({fold}, '&amp;', '&')"
 
 
 def html_text_sql(html: str) -> str:
