@@ -364,7 +364,11 @@ def pagerank(edges: DataFrame, nodes: DataFrame | None = None, iterations: int =
             mass = _dangling_mass(nxt).first()[0]
             pending.append(nxt)
             state = nxt
-    # ``salted`` stays cached while the lazy result may still be recomputed.
+    if iterations and checkpoint_every and iterations % checkpoint_every == 0:
+        # The result reads checkpoint files only; the cached edges can go.
+        salted.unpersist()
+    # Otherwise ``salted`` stays cached while the lazy result may still be
+    # recomputed from it.
     return state.select("id", "rank")
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webloom.functions.text import index_terms, is_number_string, is_stop_word, tokenize
+from webloom.functions.text import is_number_string, is_stop_word, tokenize
 
 
 def token_counts(docs: DataFrame, text_col: str = "text", stage: str = "raw") -> DataFrame:
@@ -37,13 +37,14 @@ def number_flags(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def term_freqs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Postings (doc_id, term, tf): index terms counted per document.
 
-    Map-only, like an in-mapper hash map per document: the document's terms
-    are sorted and runs of equal terms counted with array functions, so no
-    posting crosses a shuffle (a document is one row, in one task).  The
-    sorted array is projected before the run-counting lambdas so it is built
-    once per document.
+    Map-only, like an in-mapper hash map per document: the document's tokens
+    are sorted and runs of equal tokens counted with array functions, so no
+    posting crosses a shuffle (a document is one row, in one task); stop
+    words and numbers are then dropped once per distinct term.  The sorted
+    array is projected before the run-counting lambdas so it is built once
+    per document.
     """
-    t = docs.select(F.col(id_col).alias("doc_id"), F.array_sort(index_terms(text_col)).alias("_terms"))
+    t = docs.select(F.col(id_col).alias("doc_id"), F.array_sort(tokenize(text_col)).alias("_terms"))
     terms = F.col("_terms")
     n = F.size(terms)
     idx = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
@@ -55,7 +56,9 @@ def term_freqs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     pairs = F.transform(runs, lambda k: F.struct(
         F.try_element_at(terms, F.try_element_at(st, k)).alias("term"),
         (F.coalesce(F.try_element_at(st, k + 1), n + 1) - F.try_element_at(st, k)).cast("int").alias("tf")))
-    return t.select("doc_id", F.explode(pairs).alias("_p")).select("doc_id", "_p.term", "_p.tf")
+    # Stop words and numbers are dropped per distinct term, not per token.
+    kept = F.filter(pairs, lambda p: ~is_stop_word(p["term"]) & ~is_number_string(p["term"]))
+    return t.select("doc_id", F.explode(kept).alias("_p")).select("doc_id", "_p.term", "_p.tf")
 
 
 def word_count(postings: DataFrame) -> DataFrame:
