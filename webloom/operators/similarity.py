@@ -8,8 +8,8 @@ The corpus side is first reduced, map-side, to shingles that occur in some
 query (semi join with the size-checked query shingle set).  Exact prefix
 filtering then keeps the join away from hot shingles: shingles are
 ordered by document frequency (rarest first); a doc sharing >= c shingles of
-Q must share one of Q's first |Q| - c + 1 shingles, so candidate pairs are
-generated from those rare prefix shingles only, then verified by an exact
+Q must share one of any |Q| - c + 1 of Q's shingles, so candidate pairs are
+generated from a prefix of rare shingles only, then verified by an exact
 count.  The result equals the plain "join on every shingle, count, filter"
 (which the SQL oracle runs) without emitting pairs for common shingles.
 """
@@ -61,10 +61,22 @@ def seed_similarity(queries: DataFrame, corpus: DataFrame, k: int = 5, containme
     ds = shingle_sets(corpus, d_id, d_text, k).withColumnRenamed("id", "doc_id") \
         .join(qkeys, "sh", "left_semi").persist()
     dfreq = ds.groupBy("sh").agg(F.count(F.lit(1)).alias("dfreq"))
-    ranked = (qs.join(dfreq, "sh", "left").fillna(0, ["dfreq"]).join(qsize, "item_id")
-              .withColumn("need", need)
-              .withColumn("rk", F.row_number().over(Window.partitionBy("item_id").orderBy("dfreq", "sh"))))
-    prefix = ranked.filter(F.col("rk") <= F.col("q_shingles") - F.col("need") + 1).select("item_id", "sh")
+    # Prefix: a query's shingles in rarity order up to at least |Q| - c + 1 of
+    # them.  Rarity is bucketed by log2(document frequency) (bucket -1: not in
+    # the corpus), so the per-query cumulative count runs over at most 65
+    # aggregated rows per query -- never over a query's shingles -- and ties
+    # in the last bucket are all kept (a larger prefix stays exact).
+    qd = (qs.join(_maybe_broadcast(dfreq), "sh", "left").fillna(0, ["dfreq"])
+          .withColumn("b", F.when(F.col("dfreq") == 0, F.lit(-1))
+                      .otherwise(F.floor(F.log2(F.col("dfreq")))).cast("int")))
+    hist = qd.groupBy("item_id", "b").agg(F.count(F.lit(1)).alias("cnt")).join(qsize, "item_id")
+    cum = F.sum("cnt").over(Window.partitionBy("item_id").orderBy("b")
+                            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    last_b = (hist.withColumn("need", need).withColumn("cum", cum)
+              .filter(F.col("cum") >= F.col("q_shingles") - F.col("need") + 1)
+              .groupBy("item_id").agg(F.min("b").alias("b_max")))
+    prefix = qd.join(_maybe_broadcast(last_b), "item_id").filter(F.col("b") <= F.col("b_max")) \
+        .select("item_id", "sh")
 
     cand = ds.join(_maybe_broadcast(prefix), "sh").select("item_id", "doc_id").distinct()
     pairs = cand.join(qs, "item_id").join(ds, ["doc_id", "sh"], "left_semi")
