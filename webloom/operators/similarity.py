@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 
 from webloom.functions.text import tokenize
 
-# A side with at most this many rows may be broadcast (checked by count).
-BROADCAST_ROWS = 2_000_000
+# A side with at most this many rows may be broadcast (checked by count);
+# shingle rows are ~50 bytes, so the broadcast stays under ~50 MB.  Larger
+# sides fall back to shuffle joins (AQE splits skewed partitions).
+BROADCAST_ROWS = 1_000_000
 
 
 def shingles(toks, k: int) -> Column:
