@@ -71,6 +71,8 @@ def test_read_warc(spark, scratch):
     assert "Content-Length" not in r.metadata and r.content_length == len(body.encode())
     pages = W.response_pages(W.read_warc(spark, scratch, glob="*.warc.gz")).collect()
     assert len(pages) == 1 and pages[0].html == body
+    in_memory = W.read_warc(spark, scratch, glob="*.warc.gz", stream=False).orderBy("record_no").collect()
+    assert [tuple(r) for r in in_memory] == [tuple(r) for r in recs]
 
 
 def test_scan_and_pipe_files(spark, scratch):

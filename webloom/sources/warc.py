@@ -1,8 +1,15 @@
 """Web-archive (WARC) ingest.
 
-``binaryFile`` hands each archive file to one task (an archive is a single
-gzip stream, so it cannot be split); a ``mapInPandas`` generator decodes the
-stream and yields one row per record.  Record rules of the reference:
+``binaryFile`` lists the archive files (path only -- the content column is
+pruned, nothing is read) and hands each file to one task (an archive is a
+single gzip stream, so it cannot be split).  The task streams the file from
+storage through ``pyarrow.fs`` (local, HDFS, S3, GCS; '.gz' decompressed on
+the fly), so memory follows a record, not a file, and files over 2 GB work;
+a ``mapInPandas`` generator yields one row per record.  ``stream=False``
+reads the file bytes through ``binaryFile`` instead (whole file in memory;
+for URI schemes pyarrow cannot open, e.g. ``s3a://``).
+
+Record rules of the reference:
 
 * skip lines until one starts with the version mark (``WARC/0.18``);
 * header lines up to the first blank (trimmed) line;
@@ -88,6 +95,33 @@ def iter_warc_records(stream, version: str = WARC_VERSION):
         yield rec
 
 
+class _RawStream(io.RawIOBase):
+    """File-like adapter over a pyarrow input stream (for BufferedReader)."""
+
+    def __init__(self, native):
+        self._s = native
+
+    def readable(self):
+        return True
+
+    def readinto(self, buf):
+        data = self._s.read(len(buf))
+        n = len(data)
+        buf[:n] = data
+        return n
+
+    def close(self):
+        self._s.close()
+        super().close()
+
+
+def _open_path(path: str):
+    import pyarrow.fs as pfs
+    fs, p = pfs.FileSystem.from_uri(path)
+    native = fs.open_input_stream(p, compression="detect")   # '.gz' -> gunzip on the fly
+    return io.BufferedReader(_RawStream(native), buffer_size=1 << 20)
+
+
 def _open(path: str, content: bytes):
     raw = io.BytesIO(content)
     if path.endswith(".gz") or content[:2] == b"\x1f\x8b":
@@ -96,27 +130,33 @@ def _open(path: str, content: bytes):
 
 
 def read_warc(spark: SparkSession, path: str, glob: str | None = None,
-              version: str = WARC_VERSION, recursive: bool = True) -> DataFrame:
+              version: str = WARC_VERSION, recursive: bool = True,
+              stream: bool = True) -> DataFrame:
     """Records of every archive under ``path`` (schema ``RECORD_SCHEMA``)."""
     r = spark.read.format("binaryFile")
     if glob:
         r = r.option("pathGlobFilter", glob)
     if recursive:
         r = r.option("recursiveFileLookup", "true")
-    files = r.load(path).select("path", "content")
+    files = r.load(path).select("path", *([] if stream else ["content"]))
 
     def parse(batches):
         for pdf in batches:
-            for p, content in zip(pdf["path"], pdf["content"]):
+            contents = pdf["content"] if "content" in pdf else [None] * len(pdf)
+            for p, content in zip(pdf["path"], contents):
                 name = p.rsplit("/", 1)[-1]
+                src = _open_path(p) if content is None else _open(p, content)
                 rows = []
-                for i, rec in enumerate(iter_warc_records(_open(p, content), version)):
-                    rec["file_name"] = name
-                    rec["record_no"] = i
-                    rows.append(rec)
-                    if len(rows) >= 256:
-                        yield pd.DataFrame(rows)
-                        rows = []
+                try:
+                    for i, rec in enumerate(iter_warc_records(src, version)):
+                        rec["file_name"] = name
+                        rec["record_no"] = i
+                        rows.append(rec)
+                        if len(rows) >= 256:
+                            yield pd.DataFrame(rows)
+                            rows = []
+                finally:
+                    src.close()
                 if rows:
                     yield pd.DataFrame(rows)
 
