@@ -82,14 +82,31 @@ def _assign_numpy(points: DataFrame, cents: Centroids, features: str) -> DataFra
 
     def run(batches):
         mat, ids = bc.value
+        c2 = (mat * mat).sum(axis=1)
+        k = mat.shape[0]
+        rows = max(1, (4 << 20) // max(k, 1))          # chunk: rows x K <= 4M cells
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            x = np.stack(pdf[features].to_numpy())
-            d2 = ((x[:, None, :] - mat[None, :, :]) ** 2).sum(axis=2)
-            dist = np.sqrt(d2)
-            j = dist.argmin(axis=1)
-            yield pdf.assign(cid=ids[j], dist=dist[np.arange(len(j)), j])
+            x_all = np.stack(pdf[features].to_numpy())
+            cid = np.empty(len(pdf), dtype=np.int32)
+            dist = np.empty(len(pdf), dtype=np.float64)
+            for s in range(0, len(pdf), rows):
+                x = x_all[s:s + rows]
+                # ||x||^2 - 2 x.c + ||c||^2 ranks the centroids with n x K memory
+                # (never an n x K x D tensor); the two best are then re-measured
+                # exactly, ties going to the first centroid.
+                approx = (x * x).sum(axis=1)[:, None] - 2.0 * (x @ mat.T) + c2[None, :]
+                top = np.argsort(approx, axis=1, kind="stable")[:, :min(2, k)]
+                exact = np.sqrt(((x[:, None, :] - mat[top]) ** 2).sum(axis=2))
+                pick = np.zeros(len(x), dtype=np.int64)
+                if exact.shape[1] > 1:
+                    second = (exact[:, 1] < exact[:, 0]) | ((exact[:, 1] == exact[:, 0]) & (top[:, 1] < top[:, 0]))
+                    pick = second.astype(np.int64)
+                j = top[np.arange(len(x)), pick]
+                cid[s:s + len(x)] = ids[j]
+                dist[s:s + len(x)] = exact[np.arange(len(x)), pick]
+            yield pdf.assign(cid=cid, dist=dist)
 
     return points.mapInPandas(run, schema)
 
