@@ -73,3 +73,12 @@ def test_stored_index_pushdown(spark, tmp_path):
         F.min("term"), F.max("term")).select("min(term)", "max(term)").collect())
     assert len(ranges) > 1
     assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))   # disjoint term ranges per file
+
+
+def test_keyword_postings_from_text_equals_index(spark):
+    docs = spark.createDataFrame([(1, "Der Hund und der Ball"), (2, "oder anders"), (3, "DER"),
+                                  (4, "the the"), (5, "nothing")], "doc_id long, content string")
+    for kw in ["der", "DER", "the", "hund", "zz"]:
+        a = sorted(map(tuple, S.keyword_postings_from_text(docs, kw).collect()))
+        b = sorted(map(tuple, S.keyword_postings(IX.term_freqs(docs, text_col="content"), kw).collect()))
+        assert a == b, kw

@@ -20,8 +20,10 @@ def pages_text(pages: DataFrame, html_col: str = "html", keep_script: bool = Tru
     html = F.col(html_col)
     if has_http_header:
         html = strip_http_header(html)
-    out = pages.withColumn("text", html_to_text(html, keep_script))
-    return out.filter(F.col("text").isNotNull())
+    # The text is null exactly when the HTML is null, so the filter tests the
+    # input column (a filter on the derived text would be pushed below the
+    # projection and run the extractor twice).
+    return pages.filter(F.col(html_col).isNotNull()).withColumn("text", html_to_text(html, keep_script))
 
 
 def page_tags(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:

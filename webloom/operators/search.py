@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from webloom.functions.text import doc_key, lines_containing
+from webloom.functions.text import doc_key, index_terms, lines_containing
 
 
 def doc_rank_load(id_map: DataFrame, node_ranks: DataFrame, order_col: str | None = None) -> DataFrame:
@@ -33,6 +33,28 @@ def keyword_postings(postings: DataFrame, keyword: str) -> DataFrame:
     return postings.filter(F.col("term") == kw).select("doc_id", F.col("tf").alias("term_freq"))
 
 
+def keyword_postings_from_text(pages: DataFrame, keyword: str, id_col: str = "doc_id",
+                               text_col: str = "content") -> DataFrame:
+    """(doc_id, term_freq) of one keyword, straight from the page text: the
+    same rows as ``keyword_postings(term_freqs(pages), keyword)``.
+
+    A page can only hold the keyword token if its lower-cased text holds the
+    keyword as a substring, so a cheap (code-generated) substring test drops
+    the other pages before any tokenizing; the survivors count only the
+    keyword among their index terms (stop words and numbers never match).
+    """
+    kw = F.lower(F.lit(keyword))
+    text = F.col(text_col)
+    cand = pages.filter(F.instr(F.lower(text), kw) > 0)
+    tf = F.size(F.filter(index_terms(text), lambda t: t == kw)).cast("int")
+    # Rows with tf > 0 come from exploding a filtered one-element array, not
+    # from a Filter: a filter on the derived tf would be pushed below the
+    # projection and tokenize every page a second time.
+    hit = F.filter(F.array(F.struct(F.col(id_col).alias("doc_id"), tf.alias("term_freq"))),
+                   lambda x: x["term_freq"] > 0)
+    return cand.select(F.explode(hit).alias("_h")).select("_h.doc_id", "_h.term_freq")
+
+
 def search_eval_count(postings: DataFrame, keyword: str) -> DataFrame:
     """Number of pages evaluated for the keyword (its posting count)."""
     return keyword_postings(postings, keyword).agg(F.count(F.lit(1)).alias("pages_evaluated"))

@@ -209,9 +209,15 @@ def q_doc_rank_load(spark, sf):
     return r.select("doc_id", "node_id", _r(F.col("page_rank").cast("double")).alias("page_rank"))
 
 
+def _keyword_postings(spark, sf, keyword):
+    """Postings of one keyword in the shape of the index table (term, doc_id, tf)."""
+    kp = S.keyword_postings_from_text(I.page_table(spark, sf), keyword)
+    return kp.select(F.lower(F.lit(keyword)).alias("term"), "doc_id", F.col("term_freq").alias("tf"))
+
+
 @query("search_keyword")
 def q_search_keyword(spark, sf):
-    res = S.search_keyword(_page_postings(spark, sf), I.page_table(spark, sf),
+    res = S.search_keyword(_keyword_postings(spark, sf, I.SEARCH_KEYWORD), I.page_table(spark, sf),
                            _doc_ranks(spark, sf), I.SEARCH_KEYWORD, 20)
     return res.select("doc_id", "uri", _r(F.col("page_rank").cast("double")).alias("page_rank"),
                       F.col("term_freq").cast("long").alias("term_freq"))
@@ -219,12 +225,12 @@ def q_search_keyword(spark, sf):
 
 @query("search_eval_count")
 def q_search_eval_count(spark, sf):
-    return S.search_eval_count(_page_postings(spark, sf), I.SEARCH_KEYWORD)
+    return S.search_eval_count(_keyword_postings(spark, sf, I.SEARCH_KEYWORD), I.SEARCH_KEYWORD)
 
 
 def _snapshot_key(spark, sf):
     # The page with the most keyword occurrences (ties: smallest key), found by Spark.
-    post = S.keyword_postings(_page_postings(spark, sf), I.PAGE_KEYWORD)
+    post = S.keyword_postings(_keyword_postings(spark, sf, I.PAGE_KEYWORD), I.PAGE_KEYWORD)
     return post.orderBy(F.desc("term_freq"), F.asc("doc_id")).limit(1).select("doc_id")
 
 

@@ -42,12 +42,11 @@ def _decode(batches, version: str = WARC_VERSION):
 
 def page_rows(records: DataFrame) -> DataFrame:
     """(doc_id, uri, content) from decoded records (response records only)."""
-    resp = records.filter(F.col("type") == "response")
+    resp = records.filter((F.col("type") == "response") & F.col("content").isNotNull())
     html = strip_http_header(F.decode(F.col("content"), "UTF-8"))
     rows = resp.select(doc_key(F.col("metadata")["WARC-TREC-ID"]).alias("doc_id"),
                        F.col("metadata")["WARC-Target-URI"].alias("uri"),
                        html_to_text(html).alias("content"), "file_name", "record_no")
-    rows = rows.filter(F.col("content").isNotNull())
     # Several records for one page in a batch: the last one (file, record order) wins.
     last = F.max_by(F.struct("uri", "content"), F.struct("file_name", "record_no"))
     return rows.groupBy("doc_id").agg(last.alias("_r")).select("doc_id", "_r.uri", "_r.content")
