@@ -6,10 +6,10 @@ Tables: ``pages(doc_id, uri, content)``, postings ``(term, doc_id, tf)`` and
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webloom.functions.text import doc_key, index_terms, lines_containing
+from webloom.functions.text import doc_key, index_terms
 
 
 def doc_rank_load(id_map: DataFrame, node_ranks: DataFrame, order_col: str | None = None) -> DataFrame:
