@@ -44,8 +44,9 @@ def shingle_sets(df: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame
     return toks.select("id", F.explode(F.array_distinct(shingles("_toks", k))).alias("sh"))
 
 
-def _maybe_broadcast(df: DataFrame) -> DataFrame:
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def _bounded(df: DataFrame, ok: bool) -> DataFrame:
+    """Broadcast hint only when the caller proved the size bound."""
+    return F.broadcast(df) if ok else df
 
 
 def seed_similarity(queries: DataFrame, corpus: DataFrame, k: int = 5, containment: float = 0.5,
@@ -53,13 +54,17 @@ def seed_similarity(queries: DataFrame, corpus: DataFrame, k: int = 5, containme
                     d_id: str = "doc_id", d_text: str = "text") -> DataFrame:
     """(item_id, doc_id, shared, q_shingles) for every pair over the threshold."""
     qs = shingle_sets(queries, q_id, q_text, k).withColumnRenamed("id", "item_id").persist()
+    # One count bounds every query-side table below: distinct query shingles,
+    # their frequencies, per-query buckets and the prefix all have at most
+    # as many rows as ``qs``.
+    small = qs.count() <= BROADCAST_ROWS
     qsize = qs.groupBy("item_id").agg(F.count(F.lit(1)).alias("q_shingles"))
     need = F.greatest(F.lit(min_shared), F.ceil(F.col("q_shingles") * F.lit(containment))).cast("long")
 
     # The corpus cut down to the query vocabulary, map-side (semi join with
     # the size-checked query shingle set): every later shuffle only moves
     # corpus shingles that occur in some query.
-    qkeys = _maybe_broadcast(qs.select("sh").distinct())
+    qkeys = _bounded(qs.select("sh").distinct(), small)
     ds = shingle_sets(corpus, d_id, d_text, k).withColumnRenamed("id", "doc_id") \
         .join(qkeys, "sh", "left_semi").persist()
     dfreq = ds.groupBy("sh").agg(F.count(F.lit(1)).alias("dfreq"))
@@ -68,7 +73,7 @@ def seed_similarity(queries: DataFrame, corpus: DataFrame, k: int = 5, containme
     # the corpus), so the per-query cumulative count runs over at most 65
     # aggregated rows per query -- never over a query's shingles -- and ties
     # in the last bucket are all kept (a larger prefix stays exact).
-    qd = (qs.join(_maybe_broadcast(dfreq), "sh", "left").fillna(0, ["dfreq"])
+    qd = (qs.join(_bounded(dfreq, small), "sh", "left").fillna(0, ["dfreq"])
           .withColumn("b", F.when(F.col("dfreq") == 0, F.lit(-1))
                       .otherwise(F.floor(F.log2(F.col("dfreq")))).cast("int")))
     hist = qd.groupBy("item_id", "b").agg(F.count(F.lit(1)).alias("cnt")).join(qsize, "item_id")
@@ -77,10 +82,10 @@ def seed_similarity(queries: DataFrame, corpus: DataFrame, k: int = 5, containme
     last_b = (hist.withColumn("need", need).withColumn("cum", cum)
               .filter(F.col("cum") >= F.col("q_shingles") - F.col("need") + 1)
               .groupBy("item_id").agg(F.min("b").alias("b_max")))
-    prefix = qd.join(_maybe_broadcast(last_b), "item_id").filter(F.col("b") <= F.col("b_max")) \
+    prefix = qd.join(_bounded(last_b, small), "item_id").filter(F.col("b") <= F.col("b_max")) \
         .select("item_id", "sh")
 
-    cand = ds.join(_maybe_broadcast(prefix), "sh").select("item_id", "doc_id").distinct()
+    cand = ds.join(_bounded(prefix, small), "sh").select("item_id", "doc_id").distinct()
     pairs = cand.join(qs, "item_id").join(ds, ["doc_id", "sh"], "left_semi")
     counts = pairs.groupBy("item_id", "doc_id").agg(F.count(F.lit(1)).alias("shared"))
     out = counts.join(qsize, "item_id").withColumn("need", need)
