@@ -71,3 +71,13 @@ def test_histogram_cut_equals_small_cut(spark, monkeypatch):
     monkeypatch.setattr(SM, "HIST_BUCKETS", 64)
     b = sorted(r.id for r in SM.sample_fixed(df, 321, seed=9).collect())
     assert a == b and len(a) == 321
+
+
+def test_sample_cutoffs_equal_sample_fixed(spark):
+    df = spark.range(3000)
+    cuts = SM.sample_cutoffs(df, 77, [1, 2, 3])
+    assert set(cuts) == {1, 2, 3}
+    for sd in (1, 2, 3):
+        a = sorted(r.id for r in SM.sample_by_cutoff(df, sd, cuts[sd]).collect())
+        b = sorted(r.id for r in SM.sample_fixed(df, 77, sd).collect())
+        assert a == b and len(a) == 77

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webloom.operators.sampling import sample_fixed, seeded_hash
+from webloom.operators.sampling import sample_by_cutoff, sample_cutoffs, sample_fixed, seeded_hash
 
 # Above this many centroid cells the assignment runs as a vectorised NumPy
 # batch (mapInPandas) instead of a JVM expression with the centroids inlined.
@@ -171,10 +171,14 @@ def update_centroids(prev: Centroids, sums: list, count_mode: str = "reset",
 
 def kmeans_step(points: DataFrame, cents: Centroids, batch: int, seed: int,
                 count_mode: str = "reset", drop_empty: bool = False,
-                id_col: str = "id", features: str = "features", total: int | None = None) -> Centroids:
+                id_col: str = "id", features: str = "features", total: int | None = None,
+                cutoff: tuple | None = None) -> Centroids:
     """One iteration: sample a batch, assign, sum per cluster (K rows to the
-    driver), update."""
-    b = sample_fixed(points.select(id_col, features), batch, seed, id_col, total)
+    driver), update.  With a precomputed ``cutoff`` the batch is a plain
+    filter and the iteration is a single job."""
+    pts = points.select(id_col, features)
+    b = (sample_by_cutoff(pts, seed, cutoff, id_col) if cutoff is not None
+         else sample_fixed(pts, batch, seed, id_col, total))
     sums = cluster_sums(assign(b, cents, features), features).collect()
     return update_centroids(cents, sums, count_mode, drop_empty)
 
@@ -193,9 +197,11 @@ def kmeans_minibatch(points: DataFrame, k: int, batch: int, iterations: int, see
     try:
         n = pts.count()
         cents = init if init is not None else init_centroids(pts, k, seed, id_col, features, n)
-        for i in range(iterations):
-            cents = kmeans_step(pts, cents, batch, seed + i + 1, count_mode, drop_empty,
-                                id_col, features, n)
+        seeds = [seed + i + 1 for i in range(iterations)]
+        cuts = sample_cutoffs(pts, batch, seeds, id_col, n)      # one job for every batch
+        for sd in seeds:
+            cents = kmeans_step(pts, cents, batch, sd, count_mode, drop_empty,
+                                id_col, features, n, cuts.get(sd))
         return cents
     finally:
         pts.unpersist()

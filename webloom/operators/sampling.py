@@ -7,7 +7,7 @@ Mersenne prime 2^31-1; all products stay below 2^62 (no overflow under ANSI).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PRIME = 2147483647  # 2^31 - 1
@@ -96,6 +96,33 @@ def _cut_histogram(keyed: DataFrame, size: int, tau: int, id_col: str):
     return last["_h"], last[id_col]
 
 
+def sample_cutoffs(df: DataFrame, size: int, seeds: list[int], id_col: str = "id",
+                   total: int | None = None) -> dict:
+    """{seed: (hash, id) cut-off} of ``sample_fixed`` for several seeds in one
+    job (for ``size <= SMALL_SAMPLE``): each row's hash under every seed is
+    kept when below the shared threshold, and a window per seed ranks those
+    candidates (about 1.2 x ``size`` rows per seed -- bounded by the sample
+    size, not the data).  Seeds whose candidates fall short are left out;
+    callers fall back to ``sample_fixed`` for them."""
+    n = total if total is not None else df.count()
+    if size <= 0 or size >= n or size > SMALL_SAMPLE:
+        return {}
+    tau = min(PRIME, int(PRIME * (size / n) * 1.2) + 1024)
+    hashed = F.array(*[F.struct(F.lit(sd).alias("seed"), seeded_hash(id_col, sd).alias("h")) for sd in seeds])
+    cand = (df.select(id_col, F.explode(F.filter(hashed, lambda x: x["h"] < tau)).alias("_x"))
+            .select(id_col, "_x.seed", "_x.h"))
+    rn = F.row_number().over(Window.partitionBy("seed").orderBy("h", id_col))
+    rows = cand.withColumn("_rn", rn).filter(F.col("_rn") == size).collect()   # one row per seed
+    return {r["seed"]: (r["h"], r[id_col]) for r in rows}
+
+
+def sample_by_cutoff(df: DataFrame, seed: int, cut: tuple, id_col: str = "id") -> DataFrame:
+    """The sample defined by a cut-off from ``sample_cutoffs``."""
+    h = seeded_hash(id_col, seed)
+    h_cut, id_cut = cut
+    return df.filter((h < F.lit(h_cut)) | ((h == F.lit(h_cut)) & (F.col(id_col) <= F.lit(id_cut))))
+
+
 def sample_bernoulli(df: DataFrame, fraction: float, seed: int, id_col: str = "id") -> DataFrame:
     """Each row kept independently with probability ``fraction`` (by hash)."""
     return df.filter(seeded_hash(id_col, seed) < F.lit(int(PRIME * fraction)))
