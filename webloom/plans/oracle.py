@@ -433,3 +433,5 @@ WHERE {html_text_sql('html')} IS NOT NULL""")
 sql("kmeans_error_trace", f"WITH {kmeans_ctes(I.KMEANS_ITERATIONS)}\n" + "\nUNION ALL\n".join(
     f"SELECT CAST({i} AS INTEGER) AS iteration, round(sum(dist), 6) AS error FROM a{i}"
     for i in range(1, I.KMEANS_ITERATIONS + 1)))
+
+sql("pagerank_kv_text", ORACLE["pagerank"])

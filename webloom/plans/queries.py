@@ -555,3 +555,13 @@ def q_kmeans_error_trace(spark, sf):
     errs = _final(spark, sf).errors
     return spark.createDataFrame([(i + 1, float(e)) for i, e in enumerate(errs)], "iteration int, error double") \
         .select("iteration", _r("error", 6).alias("error"))
+
+
+@query("pagerank_kv_text")
+def q_pagerank_kv_text(spark, sf):
+    """PageRank output through the key<TAB>value text sink and back."""
+    from webloom.sinks.text import write_key_value
+    path = scratch_path(spark, f"ranks-kv-{uuid.uuid4().hex}")
+    write_key_value(_pagerank_b(spark, sf), "id", "rank", path)
+    back = spark.read.schema("id long, rank double").option("sep", "\t").csv(path)
+    return back.select("id", _r("rank").alias("rank"))
