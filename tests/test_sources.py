@@ -86,3 +86,11 @@ def test_scan_and_pipe_files(spark, scratch):
     assert all(r.exit_code == 3 for r in bad)
     with pytest.raises(Exception):
         EX.pipe_files(files, "exit 3", fail_on_error=True).collect()
+
+
+def test_stats_report_formats(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (4.0,)], "value double")
+    st = ST.stats_global(df)
+    assert ST.stats_report(st).first()[0] == "Max: 4.0\tMin: 1.0\tAvg: 2.5\tStdDev: 1.118033988749895"
+    assert ST.stats_report(st, leading_tab=True).first()[0].startswith("\tMax: 4.0\t")
+    assert ST.stats_report(st, digits=2).first()[0] == "Max: 4.00\tMin: 1.00\tAvg: 2.50\tStdDev: 1.12"

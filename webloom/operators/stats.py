@@ -18,10 +18,18 @@ def stats_global(df: DataFrame, col: str = "value") -> DataFrame:
                   F.stddev_pop(x).alias("std_dev"), F.count(x).alias("n"))
 
 
-def stats_report(stats: DataFrame, digits: int = 6) -> DataFrame:
-    """The labelled report line ``Max: ..\\tMin: ..\\tAvg: ..\\tStdDev: ..``."""
+def stats_report(stats: DataFrame, digits: int | None = None, leading_tab: bool = False) -> DataFrame:
+    """The labelled report line ``Max: ..\tMin: ..\tAvg: ..\tStdDev: ..``.
+
+    ``digits=None`` prints each value the way the JVM prints a double
+    (shortest form, as the reference's line does); an integer prints fixed
+    decimals.  ``leading_tab`` adds the TAB of the reference's key/value
+    output line, whose key is empty.
+    """
     def r(c):
-        return F.format_string(f"%.{digits}f", F.col(c))
-    return stats.select(F.concat(
-        F.lit("Max: "), r("max"), F.lit("\tMin: "), r("min"),
-        F.lit("\tAvg: "), r("avg"), F.lit("\tStdDev: "), r("std_dev")).alias("report"))
+        return F.col(c).cast("string") if digits is None else F.format_string(f"%.{digits}f", F.col(c))
+    line = F.concat(F.lit("Max: "), r("max"), F.lit("\tMin: "), r("min"),
+                    F.lit("\tAvg: "), r("avg"), F.lit("\tStdDev: "), r("std_dev"))
+    if leading_tab:
+        line = F.concat(F.lit("\t"), line)
+    return stats.select(line.alias("report"))
