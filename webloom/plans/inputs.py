@@ -95,14 +95,21 @@ def warc_record_text(pages: DataFrame) -> F.Column:
                     F.octet_length(body).cast("string"), F.lit("\n\n"), body, F.lit("\n"))
 
 
-def write_pages_as_warc(spark: SparkSession, sf_dir: str, files: int = 4) -> str:
+def write_pages_as_warc(spark: SparkSession, sf_dir: str, files: int | None = None) -> str:
     """Write the pages as gzip WARC files into the shared checkpoint folder
-    (Spark job; the files grow with the table).  Returns the folder."""
+    (Spark job).  One archive per core of the cluster by default, so archive
+    count -- and ingest parallelism -- grows with the cluster rather than
+    each archive growing with the table.  Returns the folder."""
     import uuid
 
     from webloom.session import scratch_path
     path = scratch_path(spark, f"warc-{uuid.uuid4().hex}")
     pages = table(spark, sf_dir, "pages")
+    if files is None:
+        try:
+            files = spark.sparkContext.defaultParallelism
+        except Exception:  # noqa: BLE001 - no SparkContext view
+            files = 8
     pages.select(warc_record_text(pages).alias("value")).repartition(files) \
         .write.option("compression", "gzip").text(path)
     return path
