@@ -32,3 +32,28 @@ def test_stream_ingest_merges_by_key(spark, tmp_path):
     assert got["00000000001"] == "delta\n" and len(got) == 2
     terms = sorted((r.doc_id, r.term) for r in spark.read.parquet(post).collect())
     assert terms == [("00000000001", "delta"), ("00000000002", "gamma")]
+
+
+def test_stream_batch_rewrites_only_touched_buckets(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    with gzip.open(src / "a.warc.gz", "wb") as fh:
+        for i in range(12):
+            fh.write(_record(f"clueweb09-en0000-00-{i:05d}", f"http://p{i}.org/", f"<p>w{i}</p>"))
+    pages, post, ck = (str(tmp_path / n) for n in ("pages", "postings", "ck"))
+    start_ingest(spark, str(src), pages, post, ck, trigger_once=True, buckets=8).awaitTermination(120)
+
+    def files():
+        return {b: sorted(os.listdir(os.path.join(pages, b)))
+                for b in os.listdir(pages) if b.startswith("bucket=")}
+
+    before = files()
+    assert len(before) > 1
+    with gzip.open(src / "b.warc.gz", "wb") as fh:
+        fh.write(_record("clueweb09-en0000-00-00003", "http://p3.org/", "<p>changed</p>"))
+    start_ingest(spark, str(src), pages, post, ck, trigger_once=True, buckets=8).awaitTermination(120)
+    after = files()
+    changed = [b for b in before if before[b] != after.get(b)]
+    assert len(changed) == 1                     # only the bucket of doc 3 was rewritten
+    got = {r.doc_id: r.content for r in spark.read.parquet(pages).collect()}
+    assert len(got) == 12 and got["00000000003"] == "changed\n"
