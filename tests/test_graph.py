@@ -95,3 +95,16 @@ def test_primes_and_roots(spark):
     for p in [3, 5, 17, 101, 1009, 10007]:
         brute = [x for x in range(p) if (3 * x * x - x - 7) % p == 0]
         assert G._rule_roots(p) == brute
+
+
+def test_hot_node_edges_spread_over_partitions(spark):
+    star = spark.range(1, 2001).select(F.lit(0).cast("long").alias("src"), F.col("id").alias("dst"))
+    edges = star.union(spark.createDataFrame([(5, 6), (6, 0)], "src long, dst long"))
+    salted = G._salted_edges(edges, salt_chunk=100, num_partitions=8)
+    per_part = (salted.filter("src = 0").withColumn("p", F.spark_partition_id())
+                .groupBy("p").count().collect())
+    assert len(per_part) == 8                            # the hot node's 2000 edges use every partition
+    assert max(r["count"] for r in per_part) < 2000 / 2
+    a = {r.id: r.rank for r in G.pagerank(edges, iterations=3, salt_chunk=100).collect()}
+    b = {r.id: r.rank for r in G.pagerank(edges, iterations=3).collect()}
+    assert all(a[k] == pytest.approx(b[k], abs=1e-15) for k in b)
