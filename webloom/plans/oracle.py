@@ -435,3 +435,5 @@ sql("kmeans_error_trace", f"WITH {kmeans_ctes(I.KMEANS_ITERATIONS)}\n" + "\nUNIO
     for i in range(1, I.KMEANS_ITERATIONS + 1)))
 
 sql("pagerank_kv_text", ORACLE["pagerank"])
+
+sql("hits_from_files", ORACLE["hits_best"])

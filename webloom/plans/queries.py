@@ -565,3 +565,22 @@ def q_pagerank_kv_text(spark, sf):
     write_key_value(_pagerank_b(spark, sf), "id", "rank", path)
     back = spark.read.schema("id long, rank double").option("sep", "\t").csv(path)
     return back.select("id", _r("rank").alias("rank"))
+
+
+@query("hits_from_files")
+def q_hits_from_files(spark, sf):
+    """Best hit per query through the tool's 12-column TAB files (written by
+    Spark from lineitem, read back with ``read_hits``)."""
+    li = table(spark, sf, "lineitem")
+    path = scratch_path(spark, f"hits-{uuid.uuid4().hex}")
+    li.select(F.col("l_orderkey").cast("string").alias("query_id"),
+              F.col("l_partkey").cast("string").alias("subject_id"),
+              (F.col("l_quantity") * 2).alias("pct_identity"),
+              F.col("l_linenumber").alias("aln_length"), F.lit(0).alias("mismatches"),
+              F.lit(0).alias("gap_opens"), F.col("l_linenumber").alias("q_start"),
+              F.lit(1).alias("q_end"), F.lit(1).alias("s_start"), F.col("l_linenumber").alias("s_end"),
+              F.col("l_discount").alias("evalue"), F.col("l_extendedprice").alias("bit_score")) \
+        .write.option("sep", "\t").csv(path)
+    b = HT.hits_best(SRC.read_hits(spark, path))
+    return b.select("query_id", "best_subject", _r("best_bit_score").alias("best_bit_score"),
+                    _r("best_evalue").alias("best_evalue"), "n_hits")
