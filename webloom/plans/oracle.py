@@ -437,3 +437,5 @@ sql("kmeans_error_trace", f"WITH {kmeans_ctes(I.KMEANS_ITERATIONS)}\n" + "\nUNIO
 sql("pagerank_kv_text", ORACLE["pagerank"])
 
 sql("hits_from_files", ORACLE["hits_best"])
+
+sql("edges_from_adjacency_files", ORACLE["edges_from_adjacency"])

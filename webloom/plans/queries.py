@@ -584,3 +584,13 @@ def q_hits_from_files(spark, sf):
     b = HT.hits_best(SRC.read_hits(spark, path))
     return b.select("query_id", "best_subject", _r("best_bit_score").alias("best_bit_score"),
                     _r("best_evalue").alias("best_evalue"), "n_hits")
+
+
+@query("edges_from_adjacency_files")
+def q_edges_from_adjacency_files(spark, sf):
+    """Graph B through adjacency text files ('src t1 t2 ...'), read back with
+    ``read_adjacency`` (single-space separator, as the reference's parser)."""
+    nodes, edges = _graph_b(spark, sf)
+    path = scratch_path(spark, f"adjacency-{uuid.uuid4().hex}")
+    G.adjacency_lines(edges, nodes).select(F.col("line").alias("value")).write.text(path)
+    return SRC.read_adjacency(spark, path, sep=" ")[1]
