@@ -52,3 +52,20 @@ def test_rows_only_queries_run(spark, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
     assert df.count() >= 0
+
+
+def test_runs_from_another_working_directory(tmp_path):
+    """Python workers must import the package wherever the driver starts."""
+    import subprocess
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled','false').getOrCreate()\n"
+        "import __spark_entry__ as E\n"
+        "print('ENTRY', E.entry(spark).count())\n"
+        "print('RULE', E.queries()['rule_graph'](spark, %r).count())\n" % (repo, SF))
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True,
+                         timeout=600, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert "ENTRY 20" in out.stdout and "RULE 435" in out.stdout

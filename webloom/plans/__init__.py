@@ -5,11 +5,12 @@ from __future__ import annotations
 
 def all_queries():
     from webloom.plans.queries import REGISTRY
-    from webloom.session import ensure_checkpoint_dir
+    from webloom.session import ensure_checkpoint_dir, ship_package
 
     def wrap(fn):
         def run(spark, sf_dir):
             ensure_checkpoint_dir(spark)
+            ship_package(spark)
             return fn(spark, sf_dir)
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__

@@ -45,6 +45,7 @@ def get_session(master: str | None = None, app: str = "webloom",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -68,6 +69,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make ``webloom`` importable in Python workers (``mapInPandas`` steps
+    refer to its functions by module): zip the package once per
+    SparkContext and ``addPyFile`` it -- what ``--py-files`` does for a
+    submitted job.  The zip is code shipped through Spark's file server, so
+    a driver-local build folder is fine."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: ship with the server's --py-files
+        return
+    if getattr(sc, "_webloom_shipped", False):
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="webloom-pyfiles-"), "webloom.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+        for d, _, names in os.walk(pkg):
+            if "__pycache__" in d:
+                continue
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(d, n)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    sc._webloom_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for materialised intermediate tables inside the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
