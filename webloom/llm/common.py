@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -117,6 +118,16 @@ def mix64(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def utf8(texts: pa.Array) -> list[bytes]:
+    """The texts as UTF-8; null is empty."""
+    return [b or b"" for b in texts.cast(pa.binary()).to_pylist()]
+
+
+def with_columns(batch: pa.RecordBatch, keep: list[str], **columns: pa.Array) -> pa.RecordBatch:
+    """Some columns of a batch, untouched, and new ones."""
+    return pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *columns.values()], [*keep, *columns])
+
+
 def word_bounds(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bytes as an array, and the starts and ends of the words in it."""
     b = np.frombuffer(data, dtype=np.uint8)

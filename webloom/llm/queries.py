@@ -11,6 +11,13 @@ URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow",
              ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
 
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of each document."""
+    from webloom.llm.simhash import near_duplicates
+    return near_duplicates(load(spark, sf_dir, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document."""
     from webloom.llm.mixing import quotas
@@ -28,13 +35,19 @@ def op4_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the verified overlap."""
+    from webloom.llm.decontaminate import contaminated
+    return contaminated(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 def op10_filter_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict for each page's url, by rule or by its host's place in the link graph."""
     from webloom.llm.url_filter import filter_urls
     return filter_urls(load(spark, sf_dir, "pages"), URL_RULES)
 
 
-_QUERIES = [op3_mix_sources, op4_shard_documents, op10_filter_urls]
+_QUERIES = [op2_simhash_near_dedup, op3_mix_sources, op4_shard_documents, op8_decontaminate, op10_filter_urls]
 
 
 def _ready(fn):
