@@ -1,0 +1,78 @@
+import zlib
+
+import numpy as np
+import pytest
+
+from webloom.llm import quality
+from webloom.llm.queries import op9_quality
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_held_out_accuracy_on_driver_table(spark):
+    got = op9_quality(spark, SF).toPandas()
+    docs = spark.read.parquet(f"{SF}/documents.parquet").toPandas()
+    assert sorted(got.doc_id) == sorted(docs.doc_id) and list(got.columns) == ["doc_id", "held_out", "score", "predicted"]
+    assert (got.held_out == [zlib.crc32(str(i).encode()) % 4 == 2 for i in got.doc_id]).all()
+    assert got.score.between(0, 1).all() and (got.predicted == (got.score >= 0.7)).all()
+    both = got.merge(spark.read.parquet(f"{SF}/labels.parquet").toPandas(), on="doc_id")
+    test = both[both.held_out]
+    good, bad = test[test.quality == 1], test[test.quality == 0]
+    assert (good.predicted == 1).mean() >= 0.95 and (bad.predicted == 0).mean() >= 0.95
+
+
+def test_held_out_labels_are_never_learnt(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    flipped = labels.withColumn("quality", quality.F.when(quality.held_out(), 1 - quality.F.col("quality")).otherwise(quality.F.col("quality")))
+    a, b = (sorted(map(tuple, quality.score(docs, quality.train(docs, x)).collect())) for x in (labels, flipped))
+    assert a == b
+
+
+def test_gram_sets():
+    of = quality.Grams()
+    a, b = set(of(b"ab ab xyz")), set(of(b"ab xyz ab"))
+    assert a != b and set(of(b"")) == set() and not of.flags.any()
+    big = b"word one two " * 200_000
+    assert len(of(big)) < 200 and set(of(b"word one two " * 3)) <= set(of(big))
+
+
+def test_dual_coordinate_descent_reaches_the_optimum():
+    rng = np.random.default_rng(0)
+    y = (rng.random(60) < 0.4).astype(int)
+    rows = [np.sort(rng.choice(40, 8, replace=False)) for _ in y]
+    values = [rng.normal(size=8) * 0.3 + 0.2 * t for t in y]
+    w, b = quality.hinge(rows, values, y, epochs=2000, tolerance=1e-6)
+    cost = len(y) / (2 * np.where(y == 1, y.sum(), len(y) - y.sum()))
+    sign = np.where(y == 1, 1, -1)
+
+    def loss(w, b):
+        m = np.array([w[r] @ v + b for r, v in zip(rows, values)])
+        return 0.5 * (w @ w + b * b) + (cost * np.maximum(0, 1 - sign * m)).sum()
+    best = loss(w, b)
+    for _ in range(300):
+        step = np.zeros_like(w)
+        step[:40] = rng.normal(size=40) * 0.01
+        assert loss(w + step, b + rng.normal() * 0.01) >= best - 1e-6
+
+
+@pytest.mark.parametrize("labels,score", [([], 0.5), ([(1, 1, 0), (3, 1, 0)], 1.0), ([(1, 0, 1)], 0.0), ([(None, 1, 0), (1, None, 0)], 0.5)])
+def test_without_two_classes(spark, labels, score):
+    docs = spark.createDataFrame([(1, "a b", "k"), (3, None, "k"), (None, "", "k"), (1, "a b", "k")], "doc_id long, text string, quality string")
+    lab = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = quality.train(docs, lab)
+    got = quality.score(docs, model).collect()
+    assert len(got) == 4 and all(r.score == pytest.approx(score, abs=1e-5) for r in got)
+    assert quality.score(docs.limit(0), model).count() == 0
+    kept = quality.keep_good(docs, model)
+    assert kept.schema == docs.schema and kept.count() == (4 if score >= 0.7 else 0)
+
+
+def test_ties_repeats_and_long_texts(spark):
+    rows = [(i, "good words here and there " * 3 if i % 2 else "BAD!! BAD!! SPAM!! " * 4) for i in range(60)] + [(200, "fine text " * 40_000), (0, "BAD!! BAD!!")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lab = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(1, 1), (1, 0)], "doc_id long, quality int")
+    got = {}
+    for r in quality.score(docs, quality.train(docs, lab)).collect():
+        got.setdefault(r.doc_id, []).append(r.score)
+    assert got[3][0] >= 0.7 > got[4][0] and got[5] == got[7] and got[4] == got[6] and len(got[0]) == 2

@@ -41,13 +41,21 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of each document."""
+    from webloom.llm.quality import THRESHOLD, score, train
+    docs = load(spark, sf_dir, "documents")
+    scores = score(docs, train(docs, load(spark, sf_dir, "labels")))
+    return scores.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
 def op10_filter_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict for each page's url, by rule or by its host's place in the link graph."""
     from webloom.llm.url_filter import filter_urls
     return filter_urls(load(spark, sf_dir, "pages"), URL_RULES)
 
 
-_QUERIES = [op2_simhash_near_dedup, op3_mix_sources, op4_shard_documents, op8_decontaminate, op10_filter_urls]
+_QUERIES = [op2_simhash_near_dedup, op3_mix_sources, op4_shard_documents, op8_decontaminate, op9_quality, op10_filter_urls]
 
 
 def _ready(fn):
