@@ -158,20 +158,25 @@ def _hash_words(b: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
     return mix64(sums ^ (lens.astype(np.uint64) << np.uint64(56)))
 
 
-def rolling(words: np.ndarray, k: int, odd: int) -> np.ndarray:
-    """Hash of every run of ``k`` words, by doubling: O(n log k)."""
-    n = len(words) - k + 1
-    if n <= 0:
-        return np.zeros(0, dtype=np.uint64)
-    m = np.uint64(odd | 1)
-    part, width, step = words, 1, m
-    out, done, scale = None, 0, np.uint64(1)
-    while True:
-        if k & width:
-            piece = part[done:done + n]
-            out = piece * scale if out is None else out + piece * scale
-            scale, done = scale * step, done + width
-        if done == k:
-            return mix64(out)
-        part = part[:-width] + part[width:] * step
-        width, step = width * 2, step * step
+class Runs:
+    """Hashes of any runs of a word sequence, from prefix sums: a run's hash is
+    the sum of word x odd^offset, so equal runs hash alike wherever they are."""
+
+    _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def __init__(self, words: np.ndarray, odd: int):
+        odd |= 1
+        power, inverse = self._tables.get(odd, (np.zeros(0, np.uint64),) * 2)
+        if len(power) < len(words) + 1:
+            n = max(len(words) + 1, 2 * len(power), 4096)
+            tables = []
+            for base in (odd, pow(odd, -1, 1 << 64)):
+                p = np.full(n, base, dtype=np.uint64)
+                p[0] = 1
+                tables.append(np.multiply.accumulate(p))
+            power, inverse = self._tables[odd] = tuple(tables)
+        self.inverse = inverse
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * power[:len(words)], dtype=np.uint64)])
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix64((self.sums[ends] - self.sums[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))

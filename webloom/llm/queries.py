@@ -35,6 +35,12 @@ def op4_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document that repeat an earlier document's 50-word windows."""
+    from webloom.llm.substring import find_repeats
+    return find_repeats(load(spark, sf_dir, "documents")).drop("spans")
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, with the verified overlap."""
     from webloom.llm.decontaminate import contaminated
@@ -55,7 +61,7 @@ def op10_filter_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(load(spark, sf_dir, "pages"), URL_RULES)
 
 
-_QUERIES = [op2_simhash_near_dedup, op3_mix_sources, op4_shard_documents, op8_decontaminate, op9_quality, op10_filter_urls]
+_QUERIES = [op2_simhash_near_dedup, op3_mix_sources, op4_shard_documents, op5_substring_dedup, op8_decontaminate, op9_quality, op10_filter_urls]
 
 
 def _ready(fn):
