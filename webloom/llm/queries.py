@@ -43,6 +43,12 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_repeats(load(spark, sf_dir, "documents")).drop("spans")
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of each embedding."""
+    from webloom.llm.embeddings import near_duplicates
+    return near_duplicates(load(spark, sf_dir, "embeddings"))
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str, tokenizer_json: str = TOKENIZER) -> DataFrame:
     """Digests read back from the formatted conversations and their masks."""
     import hashlib
@@ -90,7 +96,7 @@ def op10_filter_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(load(spark, sf_dir, "pages"), URL_RULES)
 
 
-_QUERIES = [op2_simhash_near_dedup, op3_mix_sources, op4_shard_documents, op5_substring_dedup, op7_chat_format, op8_decontaminate, op9_quality, op10_filter_urls]
+_QUERIES = [op2_simhash_near_dedup, op3_mix_sources, op4_shard_documents, op5_substring_dedup, op6_embedding_near_dedup, op7_chat_format, op8_decontaminate, op9_quality, op10_filter_urls]
 
 
 def _ready(fn):
