@@ -13,6 +13,12 @@ URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow",
              ("block", "net", "/es/"), ("block", "net", "/fr/")]
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of each page."""
+    from webloom.llm.html_extract import main_texts
+    return main_texts(load(spark, sf_dir, "pages"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of each document."""
     from webloom.llm.simhash import near_duplicates
@@ -96,7 +102,7 @@ def op10_filter_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(load(spark, sf_dir, "pages"), URL_RULES)
 
 
-_QUERIES = [op2_simhash_near_dedup, op3_mix_sources, op4_shard_documents, op5_substring_dedup, op6_embedding_near_dedup, op7_chat_format, op8_decontaminate, op9_quality, op10_filter_urls]
+_QUERIES = [op1_html_extract, op2_simhash_near_dedup, op3_mix_sources, op4_shard_documents, op5_substring_dedup, op6_embedding_near_dedup, op7_chat_format, op8_decontaminate, op9_quality, op10_filter_urls]
 
 
 def _ready(fn):
