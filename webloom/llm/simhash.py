@@ -39,8 +39,8 @@ DISTANCE = 4
 SEED = 42
 SAMPLE = 20_000
 MAX_PARTITIONS = 5
-#: Cost of a probe row against that of a verified candidate.
-PROBE_COST = 4.0
+#: Cost of a probe row (written, shuffled, sorted) against that of a candidate (one comparison in the merge).
+PROBE_COST = 10.0
 _PIECE = 1 << 16
 
 
