@@ -9,18 +9,13 @@ kept when non-empty, and written on its own line.
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- fixed values ------------------------------------------------------------
-# Named character references decoded in text, in natural order ('&amp;' is
-# applied last, after numeric references, so that '&amp;lt;' becomes '&lt;').
-ENTITIES = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " "),
-    ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"), ("&hellip;", "…"),
-    ("&ndash;", "–"), ("&mdash;", "—"), ("&laquo;", "«"), ("&raquo;", "»"),
-    ("&amp;", "&"),
-)
 # Link patterns of the reference, tried in this order on each tag body.
 A_HREF = r"""[aA].+?[hH][rR][eE][fF]=['"](.+?)['"].*?"""
 AREA_HREF = r"""[aA][rR][eE][aA].+?[hH][rR][eE][fF]=['"](.*?)['"].*?"""
@@ -36,13 +31,14 @@ TAG_PATTERN = "<([^>" + _EOL + "]*)>"
 HTTP_PATTERN = r"^[hH][tT][tT][pP][sS]?://[^" + _EOL + r"]*\z"
 
 # HTML split into pieces: raw-text elements, comments, tags, text runs.
-PIECE_PATTERN = (r"(?i:<script\b)[^>]*>(?s:.*?)(?i:</script\s*>)"
-                 r"|(?i:<style\b)[^>]*>(?s:.*?)(?i:</style\s*>)"
+# An unclosed raw-text element runs to the end of the page.
+PIECE_PATTERN = (r"(?i:<script\b)[^>]*>(?s:.*?)(?:(?i:</script\s*>)|\z)"
+                 r"|(?i:<style\b)[^>]*>(?s:.*?)(?:(?i:</style\s*>)|\z)"
                  r"|<!--(?s:.*?)-->"
                  r"|<[a-zA-Z/!?][^>]*>"
                  r"|[^<]+|<")
 RAW_OPEN = r"^(?i:<(?:script|style)\b)"
-RAW_BODY = r"^(?s:<[^>]*>(.*)</[^>]*>)$"
+RAW_BODY = r"^(?s:<[^>]*>(.*?)(?i:</(?:script|style)\s*>)?)$"
 # Characters Java's String.trim removes (every char <= U+0020).
 TRIM_PATTERN = r"^[\x00-\x20]+|[\x00-\x20]+$"
 
@@ -63,47 +59,39 @@ def java_trim(s) -> Column:
     return F.regexp_replace(_c(s), TRIM_PATTERN, "")
 
 
-# Numeric character references: decimal (up to 7 digits) or hex (up to 6).
-NUMREF_PATTERN = r"&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+# A text cut into character references and what lies between them.
+REFERENCE_PATTERN = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);|[^&]+|&"
 
 
-def _code_point(ref) -> Column:
-    """Code point of a reference body ('8217' or 'x2019')."""
-    hexed = ref.startswith("x") | ref.startswith("X")
-    return F.when(hexed, F.conv(ref.substr(F.lit(2), F.length(ref)), 16, 10)).otherwise(ref).cast("int")
+def _named_references() -> Column:
+    """The standard's named references ('&name;' -> characters) as one map
+    literal, from the table of Python's standard library."""
+    table = {f"&{k}": v for k, v in html5.items() if k.endswith(";")}
+    return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
 
 
-def _valid_code_point(cp) -> Column:
-    return (cp >= 1) & (cp <= 0x10FFFF) & ~cp.between(0xD800, 0xDFFF)
+def _numeric_reference(ref) -> Column:
+    """The character of '&#N;' or '&#xH;' (any number of leading zeros);
+    references to no valid code point stay as written."""
+    hexed = ref.rlike("^&#[xX]")
+    digits = F.regexp_extract(ref, r"^&#[xX]?0*([0-9a-fA-F]*);$", 1)
+    short = F.when(F.length(digits) <= 7, digits).otherwise(F.lit("0"))
+    cp = F.when(hexed, F.conv(short, 16, 10)).otherwise(F.when(short == "", "0").otherwise(short)).cast("bigint")
+    valid = (cp >= 1) & (cp <= 0x10FFFF) & ~cp.between(0xD800, 0xDFFF)
+    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(F.when(valid, cp).otherwise(63)), 8, "0")), "UTF-32")).otherwise(ref)
 
 
-def decode_numeric_refs(s) -> Column:
-    """Replace '&#N;' / '&#xH;' by their characters (invalid code points stay
-    as written).  A fold over the distinct references found in the text;
-    references that decode to '&' go last so nothing is decoded twice."""
+def unescape(s) -> Column:
+    """Decodes every character reference once ('&amp;lt;' becomes '&lt;')."""
     s = _c(s)
-    refs = F.array_distinct(F.regexp_extract_all(s, F.lit(NUMREF_PATTERN), 1))
-    ordered = F.concat(F.filter(refs, lambda r: _code_point(r) != 38),
-                       F.filter(refs, lambda r: _code_point(r) == 38))
-
-    def step(acc, r):
-        cp = _code_point(r)
-        char = F.decode(F.unhex(F.lpad(F.hex(cp), 8, "0")), "UTF-32")
-        return F.when(_valid_code_point(cp), F.replace(acc, F.concat(F.lit("&#"), r, F.lit(";")), char)) \
-            .otherwise(acc)
+    names = _named_references()
 
-    return F.aggregate(ordered, s, step)
+    def piece(p):
+        return (F.when(~p.startswith("&") | (p == "&"), p).when(p.startswith("&#"), _numeric_reference(p))
+                .otherwise(F.coalesce(names[p], p)))
 
-
-def unescape(s) -> Column:
-    """Named references of ``ENTITIES`` (except '&amp;'), then numeric
-    references, then '&amp;' -- so '&amp;lt;' and '&#38;lt;' stay '&lt;'."""
-    out = _c(s)
-    named = [e for e in ENTITIES if e[0] != "&amp;"]
-    for ent, ch in named:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    out = decode_numeric_refs(out)
-    return F.replace(out, F.lit("&amp;"), F.lit("&"))
+    decoded = F.array_join(F.transform(F.regexp_extract_all(s, F.lit(REFERENCE_PATTERN), 0), piece), "")
+    return F.when(F.contains(s, F.lit("&")), decoded).otherwise(s)
 
 
 def html_text_nodes(html, keep_script: bool = True) -> Column:
@@ -148,17 +136,30 @@ def cut_query(link) -> Column:
     return F.when(q > 1, raw.substr(F.lit(1), q - 1)).otherwise(raw)
 
 
+def remove_dot_segments(path) -> Column:
+    """An absolute path without '.' and '..' segments; '..' at the root stays there."""
+    path = _c(path)
+
+    def step(done, seg):
+        return (F.when(seg == ".", done).when(seg == "..", F.regexp_replace(done, r"/[^/]*$", ""))
+                .otherwise(F.concat(done, F.lit("/"), seg)))
+
+    segments = F.split(F.regexp_replace(path, r"^/", ""), "/")
+    folded = F.aggregate(segments, F.lit(""), step)
+    return F.when(path.rlike(r"/\.{1,2}$"), F.concat(folded, F.lit("/"))).otherwise(folded)
+
+
 def resolve_parts(lk, sch, auth, path, qry) -> Column:
     """Resolve a query-cut link against a base given by its parts.  Absolute,
     network-path, root-relative, fragment, query and relative-path links;
-    '.' and '..' segments removed.  An unparseable link comes back as is."""
+    '.' and '..' segments of the path removed.  An unparseable link comes back as is."""
     lk, sch, auth, path, qry = (_c(x) for x in (lk, sch, auth, path, qry))
     origin = F.concat(sch, F.lit("://"), auth)
     base_dir = F.regexp_replace(path, r"[^/]*$", "")
-    merged = F.concat(origin, F.when(base_dir == "", F.lit("/")).otherwise(base_dir), lk)
-    for _ in range(3):
-        merged = F.regexp_replace(merged, r"/\./", "/")
-        merged = F.regexp_replace(merged, r"/[^/?#]+/\.\./", "/")
+    start = F.instr(lk, "#")
+    rel = F.when(start > 0, lk.substr(F.lit(1), start - 1)).otherwise(lk)
+    rest = F.when(start > 0, lk.substr(start, F.length(lk))).otherwise(F.lit(""))
+    merged = F.concat(origin, remove_dot_segments(F.concat(F.when(base_dir == "", F.lit("/")).otherwise(base_dir), rel)), rest)
     return (F.when(lk.rlike(ILLEGAL_URI), lk)
             .when(lk.rlike(SCHEME_RE), lk)
             .when(lk.startswith("//"), F.concat(sch, F.lit(":"), lk))

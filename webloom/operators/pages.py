@@ -10,6 +10,7 @@ from webloom.functions.html import (LINK_PATTERNS, cut_query, html_tags, html_to
 from webloom.functions.text import strip_http_header
 from webloom.operators import graph as G
 from webloom.operators.keyed import dense_index
+from webloom.session import Scratch
 
 
 def pages_text(pages: DataFrame, html_col: str = "html", keep_script: bool = True,
@@ -36,11 +37,10 @@ def outlinks(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
     resolved against the page URL, query cut, the page itself excluded.
 
     Per tag the link patterns (a, area, frame, iframe) are tried in order and
-    the first one giving a valid link wins.  Map-only: a page is one row, so
-    the tag array is carried through successive ``transform`` stages (raw
-    candidates, query cut, resolution, first valid link) and de-duplicated
-    with ``array_distinct`` inside the row -- no shuffle.  The base URL parts
-    are computed once per page.
+    the first one giving a valid link wins.  A page is one row: the tag array
+    is carried through successive ``transform`` stages (raw candidates, query
+    cut, resolution, first valid link) and repeats inside the row go before
+    the one shuffle that makes pairs distinct over rows with the same URL.
     """
     parts = url_parts(url_col)
     n = len(LINK_PATTERNS)
@@ -58,7 +58,7 @@ def outlinks(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
     firsts = F.transform(cands, lambda x: F.coalesce(*[
         F.when(is_http_link(x[f"c{k}"], F.col("page_url")), x[f"c{k}"]) for k in range(n)]))
     links = F.array_distinct(F.filter(firsts, lambda u: u.isNotNull()))
-    return base.select("page_url", F.explode(links).alias("out_url"))
+    return base.select("page_url", F.explode(links).alias("out_url")).dropDuplicates(["page_url", "out_url"])
 
 
 def web_graph(links: DataFrame, pages: DataFrame | None = None, url_col: str = "url"):
@@ -88,8 +88,7 @@ def web_pagerank(pages: DataFrame, iterations: int = 5, url_col: str = "url",
                  html_col: str = "html") -> DataFrame:
     """PageRank over the outlink graph of the pages: (id = url, rank).
     Ranked on dense long ids; URLs are joined back once at the end."""
-    links = outlinks(pages, url_col, html_col).persist()     # read three times below
+    links = Scratch(pages.sparkSession, "links").save(outlinks(pages, url_col, html_col))  # read three times below
     ids, edges = web_graph_ids(links, pages, url_col)
     ranks = G.pagerank(edges, ids.select("id"), iterations=iterations)
-    links.unpersist()   # ranks and ids are checkpointed; nothing lazy reads the links any more
     return ranks.join(ids, "id").select(F.col("url").alias("id"), "rank")
