@@ -65,7 +65,8 @@ def test_read_warc(spark, scratch):
     with gzip.open(os.path.join(scratch, "a.warc.gz"), "wb") as fh:
         fh.write(data)
     recs = W.read_warc(spark, scratch, glob="*.warc.gz").orderBy("record_no").collect()
-    assert [r.type for r in recs] == ["warcinfo", "response"]
+    assert [r.type for r in recs] == ["warcinfo", "response", "response"]
+    assert recs[2].error == "bad Content-Length: oops" and recs[2].content is None and recs[0].error is recs[1].error is None
     r = recs[1]
     assert r.metadata["WARC-Target-URI"] == "http://x.org/" and r.metadata["NoColonLine"] == ""
     assert "Content-Length" not in r.metadata and r.content_length == len(body.encode())
@@ -94,3 +95,74 @@ def test_stats_report_formats(spark):
     assert ST.stats_report(st).first()[0] == "Max: 4.0\tMin: 1.0\tAvg: 2.5\tStdDev: 1.118033988749895"
     assert ST.stats_report(st, leading_tab=True).first()[0].startswith("\tMax: 4.0\t")
     assert ST.stats_report(st, digits=2).first()[0] == "Max: 4.00\tMin: 1.00\tAvg: 2.50\tStdDev: 1.12"
+
+
+def test_a_bad_record_does_not_end_the_archive(spark, scratch):
+    bad = b"WARC/0.18\nWARC-Type: response\nWARC-TREC-ID: b\n\nlost body\n"
+    data = _record("response", "http://x.org/1", "one") + bad + _record("response", "http://x.org/2", "two")
+    cut = _record("response", "http://x.org/3", "three").replace(b"Content-Length: 5", b"Content-Length: 50")
+    with gzip.open(os.path.join(scratch, "a.warc.gz"), "wb") as fh:
+        fh.write(data + cut)
+    with gzip.open(os.path.join(scratch, "b.warc.gz"), "wb") as fh:
+        fh.write(b"no archive at all")
+    recs = W.read_warc(spark, scratch).orderBy("file_name", "record_no").collect()
+    assert [(r.content and bytes(r.content), r.error) for r in recs] == [
+        (b"one", None), (None, "no Content-Length"), (b"two", None), (b"three\n\n", "body ends after 7 of 50 bytes"), (None, "no record")]
+
+
+def test_other_versions_and_charsets(spark, scratch):
+    body = "HTTP/1.1 200 OK\nContent-Type: text/html; charset=ISO-8859-1\n\n<p>caf\u00e9</p>".encode("latin-1")
+    head = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-TREC-ID: t\r\nContent-Length: {len(body)}\r\n\r\n".encode()
+    with open(os.path.join(scratch, "a.warc"), "wb") as fh:
+        fh.write(head + body + b"\r\n\r\n")
+    (page,) = W.response_pages(W.read_warc(spark, scratch)).collect()
+    assert page.charset == "iso-8859-1" and page.html.endswith("<p>caf\ufffd</p>") and page.trec_id == "t"
+
+
+def test_archives_by_manifest(spark, scratch):
+    for i in range(3):
+        with gzip.open(os.path.join(scratch, f"{i}.warc.gz"), "wb") as fh:
+            fh.write(_record("response", f"http://x.org/{i}", "b"))
+    write(os.path.join(scratch, "warcPaths_0.txt"), f"{scratch}/0.warc.gz\n\n file:{scratch}/2.warc.gz \n")
+    recs = W.read_warc_manifests(spark, os.path.join(scratch, "warcPaths_0.txt")).collect()
+    assert sorted(r.file_name for r in recs) == ["0.warc.gz", "2.warc.gz"]
+
+
+def test_last_mapping_wins_over_files_and_splits(spark, scratch):
+    # The earlier file is the larger one: packed first into a split, it must not win.
+    write(os.path.join(scratch, "a.txt"), "k\t1\n" + "x\t5\n" * 5000)
+    write(os.path.join(scratch, "b.txt"), "k\t2\nk\t3000000000\n")
+    from webloom.operators.search import doc_rank_load
+    none = spark.createDataFrame([], "node_id long, rank double")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("4096", old):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            m = SRC.read_id_map(spark, scratch).cache()
+            got = {r.doc_id: r.node_id for r in doc_rank_load(m.withColumn("trec_id", F.concat(F.lit("en"), F.ascii("trec_id").cast("string"))),
+                                                              none, "line_no").collect()}
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        assert got == {"107": 3000000000, "120": 5}
+
+
+def test_vector_ids_do_not_depend_on_splits(spark, scratch):
+    write(os.path.join(scratch, "v.csv"), "".join(f"{i % 50},{i % 3}.5\n" for i in range(3000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    one = sorted(map(str, SRC.read_vectors(spark, scratch).collect()))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2048")
+    try:
+        many = sorted(map(str, SRC.read_vectors(spark, scratch).collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert one == many and len(set(one)) == 3000
+
+
+def test_keys_stay_unique_beyond_their_width(spark):
+    from webloom.functions.text import doc_key
+    from webloom.plans import inputs as I
+    ids = [12345, 123450, 123451, 10 ** 8, 10 ** 8 + 1, 2345678912, 2 ** 63 - 1]
+    d = spark.createDataFrame([(i, f"src{s}") for i in ids for s in (1, 11, 12345)], "doc_id long, source string")
+    assert d.select(doc_key(I.trec_id(d))).distinct().count() == d.count()
+    p = spark.range(200_000).select((F.col("id") * 7919).alias("page_id"))
+    assert p.select(doc_key(I.page_trec_id(p))).distinct().count() == 200_000

@@ -4,7 +4,7 @@ parsed with Column expressions (no Python per line)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from webloom.operators.graph import edges_from_adjacency
@@ -24,26 +24,41 @@ def read_adjacency(spark: SparkSession, path: str, sep: str = r"\s+"):
     return edges_from_adjacency(spark.read.text(path), "value", sep)
 
 
-def parse_vectors(lines: DataFrame, col: str = "value", id_col: str | None = None) -> DataFrame:
-    """(id, features array<double>) from comma-separated lines; without an id
-    column the id is a stable per-file position."""
+def parse_vectors(lines: DataFrame, id_col: str, col: str = "value") -> DataFrame:
+    """(id, features array<double>) from comma-separated lines."""
     feats = F.transform(F.split(F.trim(F.col(col)), ","), lambda x: F.trim(x).cast("double"))
-    ident = F.col(id_col) if id_col else F.monotonically_increasing_id()
-    return lines.filter(F.length(F.trim(F.col(col))) > 0).select(ident.alias("id"), feats.alias("features"))
+    return lines.filter(F.length(F.trim(F.col(col))) > 0).select(F.col(id_col).alias("id"), feats.alias("features"))
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line_no, value): the lines of every text file with their place.
+
+    Spark gives no line numbers, but it names the file and the byte where each
+    split of it starts; inside a split, lines keep their order.  (file, split
+    start, order inside the split) therefore is the file order, whatever files
+    or splits a task packs together; it is made dense per file by sums per split."""
+    rows = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("_at"), "value")
+    return rows.select("file", F.struct("start", "_at").alias("line_no"), "value")
 
 
 def read_vectors(spark: SparkSession, path: str) -> DataFrame:
-    return parse_vectors(spark.read.text(path))
+    """(id, features): the id is a hash of (file, text, how many equal lines of
+    the file come before), so it is the same however files are split."""
+    rows = numbered_lines(spark, path).filter(F.length(F.trim("value")) > 0)
+    again = F.row_number().over(Window.partitionBy("file", "value").orderBy("line_no"))
+    return parse_vectors(rows.select(F.xxhash64("file", "value", again).alias("id"), "value"), "id")
 
 
 def read_id_map(spark: SparkSession, path: str) -> DataFrame:
     """(trec_id, node_id, line_no): trimmed lines split at the first TAB;
-    blank lines skipped.  ``line_no`` orders duplicate ids (last wins)."""
-    lines = spark.read.text(path).select(F.trim("value").alias("v"),
-                                         F.monotonically_increasing_id().alias("line_no"))
+    blank lines skipped.  ``line_no`` orders duplicate ids (last wins): by
+    file path, then by place in the file."""
+    lines = numbered_lines(spark, path).select(F.trim("value").alias("v"), F.struct("file", "line_no").alias("line_no"))
     parts = F.split(F.col("v"), "\t", 2)
     return lines.filter(F.col("v") != "").select(
-        parts.getItem(0).alias("trec_id"), F.trim(parts.getItem(1)).cast("int").alias("node_id"), "line_no")
+        parts.getItem(0).alias("trec_id"), F.trim(parts.getItem(1)).cast("long").alias("node_id"), "line_no")
 
 
 def read_rank_pairs(spark: SparkSession, path: str) -> DataFrame:
@@ -52,7 +67,7 @@ def read_rank_pairs(spark: SparkSession, path: str) -> DataFrame:
     v = F.trim(F.col("value"))
     parts = F.split(v, " ", 2)
     return (spark.read.text(path).filter(F.instr(v, " ") > 0)
-            .select(parts.getItem(0).cast("int").alias("node_id"),
+            .select(parts.getItem(0).cast("long").alias("node_id"),
                     F.trim(parts.getItem(1)).cast("float").alias("rank")))
 
 

@@ -9,17 +9,21 @@ a ``mapInPandas`` generator yields one row per record.  ``stream=False``
 reads the file bytes through ``binaryFile`` instead (whole file in memory;
 for URI schemes pyarrow cannot open, e.g. ``s3a://``).
 
-Record rules of the reference:
-
-* skip lines until one starts with the version mark (``WARC/0.18``);
-* header lines up to the first blank (trimmed) line;
-* the first line whose key is exactly ``Content-Length`` gives the body
-  length; a missing or bad length ends the file silently;
-* the body is that many bytes (a short read at end of file keeps what came);
-* header lines are split at the first ':' and trimmed; ``WARC-Type``,
-  ``WARC-Date``, ``WARC-Record-ID`` and ``Content-Type`` are lifted into
-  columns, every other key goes to ``metadata`` (a line without ':' is kept
-  as a key with an empty value; ``Content-Length`` is not repeated there).
+Record rules (the public archive format, read tolerantly):
+
+* a record starts at a line that begins with the version mark (``WARC/``);
+* header lines run up to the first blank line, each split at its first ':' and
+  trimmed; ``WARC-Type``, ``WARC-Date``, ``WARC-Record-ID`` and ``Content-Type``
+  are lifted into columns, every other key goes to ``metadata`` (a line without
+  ':' is a key with an empty value; ``Content-Length`` is not repeated there);
+* ``Content-Length`` gives the body's bytes.  Where it is missing or no
+  number, the record comes out with an ``error`` and no body, and reading goes
+  on at the next version mark; a body cut off by the end of the file keeps
+  what came and says so in ``error``;
+* a file without any record yields one row that says so.
+
+The body is bytes; ``response_pages`` decodes it as UTF-8 with replacement
+characters for what is not, and gives the declared charset beside it.
 """
 
 from __future__ import annotations
@@ -31,68 +35,74 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed values of the archive format the reference reads.
-WARC_VERSION = "WARC/0.18"
+# Fixed values of the archive format.
+WARC_MARK = b"WARC/"
 LIFTED_KEYS = ("WARC-Type", "WARC-Date", "WARC-Record-ID", "Content-Type")
 
 RECORD_SCHEMA = ("file_name string, record_no int, type string, date string, record_id string, "
-                 "content_type string, metadata map<string,string>, content binary, content_length int")
-
-
-def _lines(stream):
-    while True:
-        raw = stream.readline()
-        if not raw:
-            return
-        yield raw
-
-
-def iter_warc_records(stream, version: str = WARC_VERSION):
-    """Yield dicts for each record of a binary stream (already decompressed)."""
-    mark = version.encode()
-    while True:
-        found = False
-        for raw in _lines(stream):
-            if raw.startswith(mark):
-                found = True
-                break
-        if not found:
-            return
-        header = []
-        for raw in _lines(stream):
-            line = raw.decode("utf-8", errors="replace").rstrip("\n")
-            if line.strip() == "":
-                break
-            header.append(line)
-        length = -1
-        for line in header:
-            parts = line.split(":", 1)
-            if len(parts) == 2 and parts[0] == "Content-Length":
-                try:
-                    length = int(parts[1].strip())
-                except ValueError:
-                    length = -1
-                break
-        if length < 0:
-            return
-        body = stream.read(length)
-        if len(body) == 0 and length > 0:
-            return
-        rec = {"type": None, "date": None, "record_id": None, "content_type": None, "metadata": {}}
-        for line in header:
-            parts = line.split(":", 1)
-            if len(parts) != 2:
-                key, val = parts[0], ""
-            else:
-                key, val = parts[0].strip(), parts[1].strip()
-            if len(parts) == 2 and key in LIFTED_KEYS:
-                rec[{"WARC-Type": "type", "WARC-Date": "date", "WARC-Record-ID": "record_id",
-                     "Content-Type": "content_type"}[key]] = val
-            elif key not in LIFTED_KEYS and key != "Content-Length":
-                rec["metadata"][key] = val
-        rec["content"] = bytes(body)
-        rec["content_length"] = len(body)
+                 "content_type string, metadata map<string,string>, content binary, content_length int, error string")
+
+#: Rows, or bytes of content, that are handed on at a time.
+BATCH_ROWS, BATCH_BYTES = 256, 16 << 20
+
+
+_COLUMN = dict(zip(LIFTED_KEYS, ("type", "date", "record_id", "content_type")))
+
+
+def _header(stream) -> tuple[dict, str | None]:
+    """The record's columns from its header lines, and the length as written."""
+    rec = {"type": None, "date": None, "record_id": None, "content_type": None, "metadata": {}, "content": None,
+           "content_length": None, "error": None}
+    length = None
+    for raw in iter(stream.readline, b""):
+        line = raw.decode("utf-8", errors="replace").strip()
+        if not line:
+            break
+        key, colon, value = (x.strip() for x in line.partition(":"))
+        if colon and key == "Content-Length":
+            length = value if length is None else length
+        elif colon and key in _COLUMN:
+            rec[_COLUMN[key]] = value
+        elif key not in _COLUMN:
+            rec["metadata"][key] = value
+    return rec, length
+
+
+def iter_warc_records(stream):
+    """Yields a dict for each record of a binary stream (already decompressed)."""
+    found = False
+    for raw in iter(stream.readline, b""):
+        if not raw.startswith(WARC_MARK):
+            continue
+        found = True
+        rec, length = _header(stream)
+        if length is None or not length.isascii() or not length.isdigit():
+            rec["error"] = "no Content-Length" if length is None else f"bad Content-Length: {length}"
+        else:
+            rec["content"] = stream.read(int(length))
+            rec["content_length"] = len(rec["content"])
+            if len(rec["content"]) < int(length):
+                rec["error"] = f"body ends after {len(rec['content'])} of {length} bytes"
         yield rec
+    if not found:
+        yield {"type": None, "date": None, "record_id": None, "content_type": None, "metadata": {}, "content": None,
+               "content_length": None, "error": "no record"}
+
+
+def record_batches(path: str, stream):
+    """Frames of an archive's records, bounded in rows and bytes; closes the stream."""
+    name, rows, size = path.rsplit("/", 1)[-1], [], 0
+    try:
+        for i, rec in enumerate(iter_warc_records(stream)):
+            rows.append(rec | {"file_name": name, "record_no": i})
+            size += len(rec["content"] or b"")
+            if len(rows) >= BATCH_ROWS or size >= BATCH_BYTES:
+                yield pd.DataFrame(rows)
+                rows, size = [], 0
+    finally:
+        stream.close()
+    if rows:
+        yield pd.DataFrame(rows)
 
 
 class _RawStream(io.RawIOBase):
@@ -130,8 +140,7 @@ def _open(path: str, content: bytes):
 
 
 def read_warc(spark: SparkSession, path: str, glob: str | None = None,
-              version: str = WARC_VERSION, recursive: bool = True,
-              stream: bool = True) -> DataFrame:
+              recursive: bool = True, stream: bool = True) -> DataFrame:
     """Records of every archive under ``path`` (schema ``RECORD_SCHEMA``)."""
     r = spark.read.format("binaryFile")
     if glob:
@@ -144,29 +153,46 @@ def read_warc(spark: SparkSession, path: str, glob: str | None = None,
         for pdf in batches:
             contents = pdf["content"] if "content" in pdf else [None] * len(pdf)
             for p, content in zip(pdf["path"], contents):
-                name = p.rsplit("/", 1)[-1]
-                src = _open_path(p) if content is None else _open(p, content)
-                rows = []
-                try:
-                    for i, rec in enumerate(iter_warc_records(src, version)):
-                        rec["file_name"] = name
-                        rec["record_no"] = i
-                        rows.append(rec)
-                        if len(rows) >= 256:
-                            yield pd.DataFrame(rows)
-                            rows = []
-                finally:
-                    src.close()
-                if rows:
-                    yield pd.DataFrame(rows)
+                yield from record_batches(p, _open_path(p) if content is None else _open(p, content))
 
     cols = [c.split()[0] for c in RECORD_SCHEMA.split(", ")]
     return files.mapInPandas(parse, RECORD_SCHEMA).select(*cols)
 
 
+def manifest_paths(spark: SparkSession, path: str) -> DataFrame:
+    """(path): the archive paths named by manifest files, one a line; blank lines skipped."""
+    return spark.read.text(path).select(F.trim("value").alias("path")).filter("path <> ''")
+
+
+def read_warc_manifests(spark: SparkSession, path: str) -> DataFrame:
+    """Records of every archive that the manifests under ``path`` name.  Each
+    archive is one task's work, as with ``read_warc``."""
+    paths = manifest_paths(spark, path)
+    paths = paths.repartition(max(paths.count(), 1), "path")
+
+    def parse(batches):
+        for pdf in batches:
+            for p in pdf["path"]:
+                yield from record_batches(p, _open_path(p if "://" in p or p.startswith("file:") else f"file://{p}"))
+
+    cols = [c.split()[0] for c in RECORD_SCHEMA.split(", ")]
+    return paths.mapInPandas(parse, RECORD_SCHEMA).select(*cols)
+
+
+def text_of(content) -> F.Column:
+    """Bytes as UTF-8 text; what is not UTF-8 becomes replacement characters."""
+    return F.make_valid_utf8(F.col(content).cast("string"))
+
+
+def declared_charset(content) -> F.Column:
+    """The charset a page names in its HTTP header or markup, lower-cased; null without one."""
+    found = F.lower(F.regexp_extract(text_of(content), r"(?i)charset\s*=\s*[\"']?([a-z0-9_:.\-]+)", 1))
+    return F.when(found != "", found)
+
+
 def response_pages(records: DataFrame) -> DataFrame:
-    """(trec_id, uri, html) of response records (type equals 'response')."""
-    return records.filter(F.col("type") == "response").select(
+    """(trec_id, uri, html, charset) of response records (type equals 'response')."""
+    return records.filter((F.col("type") == "response") & F.col("content").isNotNull()).select(
         F.col("metadata")["WARC-TREC-ID"].alias("trec_id"),
         F.col("metadata")["WARC-Target-URI"].alias("uri"),
-        F.decode(F.col("content"), "UTF-8").alias("html"))
+        text_of("content").alias("html"), declared_charset("content").alias("charset"))

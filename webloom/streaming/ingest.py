@@ -1,49 +1,47 @@
 """Incremental crawl ingest with Structured Streaming.
 
-The reference loads archive files into the page table and then rebuilds the
-index in separate batch jobs.  Here new archive files dropped into a folder
-are picked up by a ``binaryFile`` stream; each micro-batch is decoded
-(``read_warc`` rules), turned into page rows (response records, HTTP header
-cut, text extracted, doc key from the archive id) and merged into a parquet
-page table and postings table by key with ``foreachBatch`` -- last write
-wins per doc_id, so replaying a batch after a failure is idempotent.
-
-Both tables are partitioned by ``bucket = pmod(xxhash64(doc_id), buckets)``;
-a micro-batch reads, merges and (dynamically) overwrites only the buckets its
-pages fall into, so the cost of a batch follows the batch, not the table.
+New archive files dropped into a folder are picked up by a ``binaryFile``
+stream (paths only; a task streams each archive from storage); each
+micro-batch is decoded, turned into page rows (response records, HTTP header
+cut, text extracted, doc key from the archive id) and *appended* to a page
+table and a postings table.  Nothing stored is read or rewritten by a batch,
+so its cost follows the batch and an unreadable old file can lose nothing.
+
+Both tables are partitioned by (stream, batch); a batch that is replayed after
+a failure overwrites its own partition only, so replays are idempotent.  Rows
+carry the time their batch was loaded, and readers take the latest version of a
+page (``current_pages``) and the postings of that version
+(``current_postings``).  ``compact`` writes the current rows to new folders.
 Checkpoint and table folders must be on shared storage.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webloom.functions.html import html_to_text
 from webloom.functions.text import doc_key, strip_http_header
 from webloom.operators.index import term_freqs
-from webloom.session import cut_lineage
-from webloom.sources.warc import RECORD_SCHEMA, WARC_VERSION, _open, iter_warc_records
-
+from webloom.sources.warc import RECORD_SCHEMA, _open_path, record_batches, text_of
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+PAGES_SCHEMA = "doc_id string, uri string, content string, loaded long, stream string, batch long"
+POSTINGS_SCHEMA = "term string, doc_id string, tf int, loaded long, stream string, batch long"
 
 
-def _decode(batches, version: str = WARC_VERSION):
+def _decode(batches):
     for pdf in batches:
-        for p, content in zip(pdf["path"], pdf["content"]):
-            name = p.rsplit("/", 1)[-1]
-            rows = [dict(rec, file_name=name, record_no=i)
-                    for i, rec in enumerate(iter_warc_records(_open(p, content), version))]
-            if rows:
-                yield pd.DataFrame(rows)
+        for path in pdf["path"]:
+            yield from record_batches(path, _open_path(path))
 
 
 def page_rows(records: DataFrame) -> DataFrame:
     """(doc_id, uri, content) from decoded records (response records only)."""
     resp = records.filter((F.col("type") == "response") & F.col("content").isNotNull())
-    html = strip_http_header(F.decode(F.col("content"), "UTF-8"))
+    html = strip_http_header(text_of("content"))
     rows = resp.select(doc_key(F.col("metadata")["WARC-TREC-ID"]).alias("doc_id"),
                        F.col("metadata")["WARC-Target-URI"].alias("uri"),
                        html_to_text(html).alias("content"), "file_name", "record_no")
@@ -52,47 +50,53 @@ def page_rows(records: DataFrame) -> DataFrame:
     return rows.groupBy("doc_id").agg(last.alias("_r")).select("doc_id", "_r.uri", "_r.content")
 
 
-def _bucket(buckets: int):
-    return F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int")
+def _append(rows: DataFrame, path: str, stream: str, batch: int, loaded: int) -> None:
+    """Writes the batch's own partition; no other is touched."""
+    rows = rows.withColumns({"loaded": F.lit(loaded).cast("long"), "stream": F.lit(stream), "batch": F.lit(batch).cast("long")})
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("stream", "batch").parquet(path))
+
+
+def _versions(spark: SparkSession, pages_path: str) -> DataFrame:
+    return spark.read.schema(PAGES_SCHEMA).parquet(pages_path)
+
+
+def current_pages(spark: SparkSession, pages_path: str) -> DataFrame:
+    """(doc_id, uri, content): the latest version of every page."""
+    last = F.max_by(F.struct("uri", "content"), F.struct("loaded", "stream", "batch"))
+    return _versions(spark, pages_path).groupBy("doc_id").agg(last.alias("_r")).select("doc_id", "_r.uri", "_r.content")
+
+
+def current_postings(spark: SparkSession, postings_path: str, pages_path: str) -> DataFrame:
+    """(term, doc_id, tf) of the latest version of every page, and of no earlier one."""
+    at = ["loaded", "stream", "batch"]
+    latest = _versions(spark, pages_path).groupBy("doc_id").agg(F.max(F.struct(*at)).alias("_v")).select("doc_id", "_v.*")
+    posts = spark.read.schema(POSTINGS_SCHEMA).parquet(postings_path)
+    return posts.join(latest, ["doc_id", *at]).select("term", "doc_id", "tf")
 
 
-def _merge(batch: DataFrame, path: str, key: list[str], buckets: int) -> None:
-    """Rows of ``path`` whose key is in the batch are replaced by the batch's
-    rows (anti join + union), bucket by bucket: only the partitions the
-    batch touches are read (partition pruning) and overwritten (dynamic
-    partition overwrite).  The merged rows are checkpointed to the shared
-    folder first, since they are read from the partitions being replaced."""
-    spark = batch.sparkSession
-    batch = batch.withColumn("bucket", _bucket(buckets))
-    touched = [r[0] for r in batch.select("bucket").distinct().collect()]   # <= buckets values
-    try:
-        old = spark.read.parquet(path).filter(F.col("bucket").isin(touched))
-    except Exception:  # noqa: BLE001 - first batch: no table yet
-        old = None
-    new = batch if old is None else old.join(batch.select(*key).distinct(), key, "left_anti") \
-        .unionByName(batch)
-    (cut_lineage(new).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("bucket").parquet(path))
+def compact(spark: SparkSession, pages_path: str, postings_path: str, new_pages: str, new_postings: str) -> None:
+    """Writes the current rows, as one version, to new folders; the old ones stay as they are."""
+    loaded = time.time_ns() // 1000
+    _append(current_pages(spark, pages_path), new_pages, "compacted", 0, loaded)
+    _append(current_postings(spark, postings_path, pages_path), new_postings, "compacted", 0, loaded)
 
 
 def start_ingest(spark: SparkSession, input_dir: str, pages_path: str, postings_path: str,
                  checkpoint: str, glob: str = "*.gz", trigger_once: bool = False,
-                 max_files_per_trigger: int = 64, buckets: int = 256):
+                 max_files_per_trigger: int = 64):
     """Start the stream; returns the ``StreamingQuery``."""
     files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", glob)
-             .option("maxFilesPerTrigger", max_files_per_trigger).load(input_dir)
-             .select("path", "content"))
+             .option("maxFilesPerTrigger", max_files_per_trigger).load(input_dir).select("path"))
     recs = files.mapInPandas(_decode, RECORD_SCHEMA)
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
+        # The query's id is kept in its checkpoint: the same after a restart.
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        loaded = time.time_ns() // 1000
         pages = page_rows(batch).persist()
-        if pages.isEmpty():
-            pages.unpersist()
-            return
-        _merge(pages, pages_path, ["doc_id"], buckets)
-        # All postings of a re-ingested page are replaced, not only its current terms.
-        _merge(term_freqs(pages, text_col="content").select("term", "doc_id", "tf"),
-               postings_path, ["doc_id"], buckets)
+        if not pages.isEmpty():
+            _append(term_freqs(pages, text_col="content").select("term", "doc_id", "tf"), postings_path, stream, epoch_id, loaded)
+            _append(pages, pages_path, stream, epoch_id, loaded)  # last: a page is current only with its postings
         pages.unpersist()
 
     w = recs.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
