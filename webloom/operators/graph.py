@@ -4,33 +4,31 @@ Graphs are two tables: ``nodes(id long)`` and ``edges(src long, dst long)``.
 Duplicate edges keep their weight (they count in the out-degree), as in the
 reference.
 
-PageRank plan, per iteration:
-  * edges are cached once, hash-partitioned on (src, salt).  A node whose
-    out-degree exceeds ``salt_chunk`` gets ceil(deg / salt_chunk) salts, and
-    its edges are spread over them by a hash of dst; its rank share is
-    replicated once per salt.  So even a node holding a third of all edges is
-    split evenly over tasks, and the big edge table never moves again;
-  * only the per-node share table (one row per node and salt) is shuffled to
-    meet the edges; contributions are summed per dst with a map-side partial
-    aggregate (hot in-degree nodes collapse before the shuffle);
-  * dangling mass is one scalar subquery (no per-dangling-node scatter, which
-    would emit N rows per dangling node), added as mass / N to every node;
-  * the state is checkpointed to the shared checkpoint folder every
-    ``checkpoint_every`` iterations so lineage stays short and a lost executor
-    only replays work since the last checkpoint.
+PageRank plan:
+  * links are counted to distinct weighted ones, then dealt to (src, salt)
+    keys: a node with over ``salt_chunk`` distinct links gets several salts by
+    a hash of dst, and its rank share is replicated once per salt, so a node
+    holding a third of all links is split evenly over tasks;
+  * per iteration the small share table (a row per node and salt) meets the
+    links; contributions are summed per dst with a map-side partial sum;
+  * the mass of nodes without links is one number, added as mass / N to every
+    node (no scatter of N rows per such node);
+  * links, degrees and each state are tables in the shared folder, so lineage
+    stays short, a lost executor replays one iteration, and adaptive
+    execution can split what is hot.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from webloom.session import ensure_checkpoint_dir, shuffle_partitions
+from webloom.session import Scratch
 
 # Damping factor of the reference's rank update (fixed value).
 DAMPING = 0.85
+# Distinct links of one source that go by one key.
+SALT_CHUNK = 1_000_000
 
 
 # ---------------------------------------------------------------- structure
@@ -51,19 +49,28 @@ def edges_from_adjacency(lines: DataFrame, col: str = "value", sep: str = r"\s+"
     return nodes, edges
 
 
+def weighted(edges: DataFrame) -> DataFrame:
+    """(src, dst, w): each distinct link with the number of times it occurs.
+    Counted map-side first, so repeats of one hot link are a row per task."""
+    return edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("w"))
+
+
 def adjacency_lines(edges: DataFrame, nodes: DataFrame | None = None,
                     max_targets: int = 100_000) -> DataFrame:
     """(src, chunk, targets, line) -- the adjacency text form, targets sorted.
 
-    A source with more than ``max_targets`` links is written as several lines
-    (chunks picked by a hash of dst), which the reader unions back; so no
-    collect group grows with the graph.  Sources in ``nodes`` without links get
-    a line holding only their id.
+    A source with more than ``max_targets`` distinct targets is written as
+    several lines (picked by a hash of dst), which the reader unions back.
+    Degrees and links meet as plain tables, so a hot source can be split
+    there; a repeated link is one weighted row until its line is written.
+    Sources in ``nodes`` without links get a line holding only their id.
     """
-    deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("_deg"))
-    nch = F.greatest(F.lit(1), F.ceil(F.col("_deg") / F.lit(max_targets))).cast("long")
-    keyed = edges.join(deg, "src").withColumn("chunk", F.pmod(F.xxhash64("dst"), nch))
-    lists = keyed.groupBy("src", "chunk").agg(F.sort_array(F.collect_list("dst")).alias("targets"))
+    scratch = Scratch(edges.sparkSession, "adjacency")
+    links = scratch.save(weighted(edges))
+    deg = scratch.save(links.groupBy("src").agg(F.ceil(F.count(F.lit(1)) / F.lit(max_targets)).cast("long").alias("_n")))
+    keyed = links.join(deg, "src").withColumn("chunk", F.pmod(F.xxhash64("dst"), F.col("_n")))
+    each = F.array_repeat("dst", F.col("w").cast("int"))
+    lists = keyed.groupBy("src", "chunk").agg(F.sort_array(F.flatten(F.collect_list(each))).alias("targets"))
     if nodes is not None:
         lonely = nodes.select(F.col("id").alias("src")).join(deg, "src", "left_anti") \
             .select("src", F.lit(0).cast("long").alias("chunk"),
@@ -94,168 +101,6 @@ def all_nodes(nodes: DataFrame | None, edges: DataFrame) -> DataFrame:
     return ids.distinct()
 
 
-# Edge rule of the reference's synthetic graph generator (fixed values):
-# i -> j  iff  (-3*i*i + 7 + i) mod (j + 3) == 0,  0 <= i, j < n.
-# Equivalently (j + 3) divides g(i) = 3*i*i - i - 7 (the sign does not matter).
-RULE_A, RULE_B, RULE_C = 3, -1, -7          # g(x) = A x^2 + B x + C
-RULE_OFFSET = 3                              # modulus = j + 3
-
-
-def _rule_value(i: np.ndarray) -> np.ndarray:
-    return np.abs(-3 * i * i + 7 + i)
-
-
-def _sqrt_mod(a: int, p: int) -> int | None:
-    """A square root of a mod an odd prime p (Tonelli-Shanks), or None."""
-    a %= p
-    if a == 0:
-        return 0
-    if pow(a, (p - 1) // 2, p) != 1:
-        return None
-    if p % 4 == 3:
-        return pow(a, (p + 1) // 4, p)
-    q, s = p - 1, 0
-    while q % 2 == 0:
-        q //= 2
-        s += 1
-    z = 2
-    while pow(z, (p - 1) // 2, p) != p - 1:
-        z += 1
-    m, c, t, r = s, pow(z, q, p), pow(a, q, p), pow(a, (q + 1) // 2, p)
-    while t != 1:
-        i, t2 = 0, t
-        while t2 != 1:
-            t2 = t2 * t2 % p
-            i += 1
-        b = pow(c, 1 << (m - i - 1), p)
-        m, c, t, r = i, b * b % p, t * b * b % p, r * b % p
-    return r
-
-
-def _rule_roots(p: int) -> list[int]:
-    """Roots of g(x) = 3x^2 - x - 7 modulo a prime p."""
-    if p < 50:
-        return [x for x in range(p) if (RULE_A * x * x + RULE_B * x + RULE_C) % p == 0]
-    disc = RULE_B * RULE_B - 4 * RULE_A * RULE_C          # 85
-    s = _sqrt_mod(disc, p)
-    if s is None:
-        return []
-    inv = pow(2 * RULE_A, -1, p)
-    return sorted({(-RULE_B + s) * inv % p, (-RULE_B - s) * inv % p})
-
-
-def primes_upto(spark: SparkSession, m: int, segment: int = 1 << 20) -> DataFrame:
-    """(p) for every prime p <= m: a segmented sieve, one segment per task
-    (base primes up to sqrt(m) are recomputed in each task)."""
-    nseg = max(1, -(-(m + 1) // segment))
-
-    def sieve(batches):
-        root = int(m ** 0.5) + 1
-        base = np.ones(root + 1, dtype=bool)
-        base[:2] = False
-        for k in range(2, int(root ** 0.5) + 1):
-            if base[k]:
-                base[k * k::k] = False
-        small = np.nonzero(base)[0]
-        for pdf in batches:
-            for seg in pdf["id"].to_numpy():
-                lo, hi = int(seg) * segment, min(m + 1, (int(seg) + 1) * segment)
-                mark = np.ones(hi - lo, dtype=bool)
-                for q in small:
-                    q = int(q)
-                    if q * q >= hi:
-                        break
-                    first = max(q * q, -(-lo // q) * q)
-                    mark[first - lo::q] = False
-                if lo < 2:
-                    mark[:2 - lo] = False
-                yield pd.DataFrame({"p": np.nonzero(mark)[0].astype(np.int64) + lo})
-
-    return spark.range(0, nseg, numPartitions=max(1, min(nseg, 1024))).mapInPandas(sieve, "p long")
-
-
-def rule_graph(spark: SparkSession, n: int, chunk: int = 1 << 16) -> DataFrame:
-    """Edges (src, dst) of the divisibility-rule graph over ids 0..n-1.
-
-    Exact sieve formulation, about n log log n work instead of n^2:
-      1. primes p <= n + 2 and the roots r of g(x) = 0 (mod p);
-      2. every source i = r (mod p) is divisible by p: the arithmetic
-         progressions are cut into chunks of at most ``chunk`` terms and
-         spread over tasks before they are exploded, so p = 3 (a third of
-         all sources) is not one task's work;
-      3. per source (at most ~15 distinct primes): the exponents of those
-         primes in g(i) and every divisor d in [3, n + 2] -> edge (i, d - 3).
-    Only real edges are emitted; no candidate pairs.
-    """
-    m = n + RULE_OFFSET - 1                 # largest modulus
-    parts = shuffle_partitions(spark)
-
-    def roots(batches):
-        for pdf in batches:
-            ps, rs = [], []
-            for p in pdf["p"].to_numpy():
-                for r in _rule_roots(int(p)):
-                    if r < n:
-                        ps.append(int(p))
-                        rs.append(r)
-            yield pd.DataFrame({"p": np.array(ps, dtype=np.int64), "r": np.array(rs, dtype=np.int64)})
-
-    pr = primes_upto(spark, m).mapInPandas(roots, "p long, r long")
-    terms = F.floor((F.lit(n - 1) - F.col("r")) / F.col("p")) + 1          # progression length
-    chunks = pr.select("p", "r", F.explode(F.sequence(F.lit(0), F.ceil(terms / F.lit(chunk)).cast("long") - 1))
-                       .alias("c"))
-    lo = F.col("r") + F.col("p") * F.col("c") * F.lit(chunk)
-    hi = F.least(F.lit(n - 1), lo + F.col("p") * F.lit(chunk - 1))
-    hits = chunks.repartition(parts).select(F.explode(F.sequence(lo, hi, F.col("p"))).alias("i"), "p")
-    per_source = hits.groupBy("i").agg(F.collect_list("p").alias("ps"))
-
-    def divisors(batches):
-        for pdf in batches:
-            src, dst = [], []
-            for i, ps in zip(pdf["i"].to_numpy(), pdf["ps"]):
-                i = int(i)
-                v = abs(RULE_A * i * i + RULE_B * i + RULE_C)
-                divs = [1]
-                for p in ps:
-                    p = int(p)
-                    e = 0
-                    while v % p == 0:
-                        v //= p
-                        e += 1
-                    pk, new = 1, []
-                    for _ in range(e):
-                        pk *= p
-                        if pk > m:
-                            break
-                        new.extend(d * pk for d in divs if d * pk <= m)
-                    divs.extend(new)
-                for d in divs:
-                    if d >= RULE_OFFSET:
-                        src.append(i)
-                        dst.append(d - RULE_OFFSET)
-            yield pd.DataFrame({"src": np.array(src, dtype=np.int64), "dst": np.array(dst, dtype=np.int64)})
-
-    return per_source.mapInPandas(divisors, "src long, dst long")
-
-
-def rule_graph_brute(spark: SparkSession, n: int, cells_per_batch: int = 4_000_000) -> DataFrame:
-    """Reference check for ``rule_graph``: every source tested against every
-    modulus (O(n^2) work, vectorised per task).  For tests on small n."""
-    rows = max(1, cells_per_batch // max(n, 1))
-
-    def gen(batches):
-        mod = np.arange(RULE_OFFSET, n + RULE_OFFSET, dtype=np.int64)
-        for pdf in batches:
-            ids = pdf["id"].to_numpy(dtype=np.int64)
-            for s in range(0, len(ids), rows):
-                blk = ids[s:s + rows]
-                hit = (_rule_value(blk)[:, None] % mod[None, :]) == 0
-                r, k = np.nonzero(hit)
-                yield pd.DataFrame({"src": blk[r], "dst": mod[k] - RULE_OFFSET})
-
-    return spark.range(0, n, numPartitions=max(1, shuffle_partitions(spark))).mapInPandas(gen, "src long, dst long")
-
-
 # ---------------------------------------------------------------- PageRank
 def pagerank_init(nodes: DataFrame, num_nodes: int | None = None) -> DataFrame:
     """(id, rank) with the uniform start 1/N."""
@@ -263,52 +108,57 @@ def pagerank_init(nodes: DataFrame, num_nodes: int | None = None) -> DataFrame:
     return nodes.select("id", (F.lit(1.0) / F.lit(float(n))).alias("rank"))
 
 
-def pagerank_contrib(ranks: DataFrame, edges: DataFrame) -> DataFrame:
-    """(dst, contrib): every link carries rank(src) / out_degree(src)."""
-    share = ranks.join(out_degree(edges), ranks.id == F.col("src")) \
-        .select("src", (F.col("rank") / F.col("out_degree")).alias("share"))
-    return edges.join(share, "src").select("dst", F.col("share").alias("contrib"))
+def pagerank_contrib(ranks: DataFrame, edges: DataFrame, salt_chunk: int = SALT_CHUNK) -> DataFrame:
+    """(dst, contrib): every distinct link carries w * rank(src) / out_degree(src)."""
+    salted, deg = _salted_edges(edges, salt_chunk, Scratch(edges.sparkSession, "contrib"))
+    state = _state(ranks, deg)
+    return salted.join(_shares(state), ["src", "salt"]).select("dst", (F.col("share") * F.col("w")).alias("contrib"))
 
 
 def pagerank_step(ranks: DataFrame, edges: DataFrame, num_nodes: int,
-                  damping: float = DAMPING) -> DataFrame:
+                  damping: float = DAMPING, salt_chunk: int = SALT_CHUNK) -> DataFrame:
     """One synchronous update: (1-d)/N + d * (sum of contributions + dangling mass / N)."""
-    salted = _salted_edges(edges, 1 << 62, None)
-    return _step(_state(ranks, out_degree(edges), None, 1 << 62), salted,
-                 num_nodes, damping).select("id", "rank")
+    salted, deg = _salted_edges(edges, salt_chunk, Scratch(edges.sparkSession, "step"))
+    return _step(_state(ranks, deg), salted, num_nodes, damping).select("id", "rank")
+
 
+def _salted_edges(edges: DataFrame, salt_chunk: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(src, salt, dst, w) and (src, out_degree, nsalt).
 
-def _nsalt(salt_chunk: int):
-    return F.greatest(F.lit(1), F.ceil(F.col("out_degree") / F.lit(salt_chunk))).cast("int")
+    Links are counted to distinct weighted ones before anything is keyed by
+    src; degrees are a plain table before links meet them, so adaptive
+    execution splits a hot src there; then its links are dealt to ``nsalt``
+    keys of about ``salt_chunk`` distinct links."""
+    links = scratch.save(weighted(edges))
+    deg = scratch.save(links.groupBy("src").agg(
+        F.sum("w").alias("out_degree"), F.ceil(F.count(F.lit(1)) / F.lit(salt_chunk)).cast("int").alias("nsalt")))
+    salted = scratch.save(links.join(deg.select("src", "nsalt"), "src").select(
+        "src", F.pmod(F.xxhash64("dst"), F.col("nsalt")).cast("int").alias("salt"), "dst", "w"))
+    scratch.drop(links)
+    return salted, deg
 
 
-def _state(ranks: DataFrame, deg: DataFrame, num_partitions: int | None, salt_chunk: int) -> DataFrame:
-    st = ranks.join(deg, ranks.id == deg.src, "left").select(
-        "id", "rank", F.coalesce("out_degree", F.lit(0)).alias("out_degree"))
-    st = st.withColumn("nsalt", _nsalt(salt_chunk))
-    return st.repartition(num_partitions, "id") if num_partitions else st
+def _state(ranks: DataFrame, deg: DataFrame) -> DataFrame:
+    return ranks.join(deg, ranks.id == deg.src, "left").select(
+        "id", "rank", F.coalesce("out_degree", F.lit(0)).alias("out_degree"), F.coalesce("nsalt", F.lit(1)).alias("nsalt"))
 
 
-def _salted_edges(edges: DataFrame, salt_chunk: int, num_partitions: int | None) -> DataFrame:
-    e = edges.join(out_degree(edges), "src") \
-        .withColumn("salt", F.pmod(F.xxhash64("src", "dst"), _nsalt(salt_chunk)).cast("int")) \
-        .select("src", "salt", "dst")
-    return e.repartition(num_partitions, "src", "salt") if num_partitions else e
+def _dangling_mass():
+    return F.coalesce(F.sum(F.when(F.col("out_degree") == 0, F.col("rank"))), F.lit(0.0))
 
 
-def _dangling_mass(state: DataFrame) -> DataFrame:
-    return state.filter(F.col("out_degree") == 0).agg(F.coalesce(F.sum("rank"), F.lit(0.0)))
+def _shares(state: DataFrame) -> DataFrame:
+    return state.filter(F.col("out_degree") > 0).select(
+        F.col("id").alias("src"), (F.col("rank") / F.col("out_degree")).alias("share"),
+        F.explode(F.sequence(F.lit(0), F.col("nsalt") - 1)).alias("salt"))
 
 
 def _step(state: DataFrame, salted: DataFrame, n: int, damping: float,
           dangling: float | None = None) -> DataFrame:
     """One update.  ``dangling`` (the rank mass of nodes without links) is a
     number the caller already has; otherwise a scalar subquery computes it."""
-    shares = state.filter(F.col("out_degree") > 0).select(
-        F.col("id").alias("src"), (F.col("rank") / F.col("out_degree")).alias("share"),
-        F.explode(F.sequence(F.lit(0), F.col("nsalt") - 1)).alias("salt"))
-    sums = salted.join(shares, ["src", "salt"]).groupBy("dst").agg(F.sum("share").alias("_in"))
-    mass = _dangling_mass(state).scalar() if dangling is None else F.lit(float(dangling))
+    sums = salted.join(_shares(state), ["src", "salt"]).groupBy("dst").agg(F.sum(F.col("share") * F.col("w")).alias("_in"))
+    mass = state.agg(_dangling_mass()).scalar() if dangling is None else F.lit(float(dangling))
     nn = F.lit(float(n))
     new_rank = (F.lit(round(1.0 - damping, 12)) / nn
                 + F.lit(damping) * (F.coalesce(F.col("_in"), F.lit(0.0)) + mass / nn))
@@ -318,57 +168,35 @@ def _step(state: DataFrame, salted: DataFrame, n: int, damping: float,
 
 def pagerank(edges: DataFrame, nodes: DataFrame | None = None, iterations: int = 5,
              damping: float = DAMPING, num_nodes: int | None = None,
-             checkpoint_every: int = 1, salt_chunk: int = 1_000_000,
-             num_partitions: int | None = None) -> DataFrame:
+             salt_chunk: int = SALT_CHUNK) -> DataFrame:
     """Ranks (id, rank) after a fixed number of iterations (no convergence test).
 
     Every node of ``nodes`` and every id seen in ``edges`` starts at 1/N and is
     always present; mass is conserved (ranks sum to 1).  ``num_nodes``
-    overrides N (the reference passes it on the command line).
-
-    The edge table is cached once.  Each iteration's node state (id, rank,
-    degree; N rows, small next to the edges) is written to the shared
-    checkpoint folder every ``checkpoint_every`` iterations (default: every
-    one, as the reference writes each iteration to HDFS).  That keeps the
-    logical plan flat -- without it planning time grows with the iteration
-    count -- and a lost executor replays at most that many iterations.
+    overrides N.
+
+    Links, degrees and each iteration's state (id, rank, degree; N rows, small
+    next to the links) are tables in the shared folder; the state before the
+    previous one is deleted, so at most two are left.  One job per iteration:
+    the mass of nodes without links is observed while the state is written.
     """
-    spark = edges.sparkSession
-    parts = num_partitions or shuffle_partitions(spark)
-    salted = _salted_edges(edges, salt_chunk, parts).persist()
-    deg = salted.groupBy("src").agg(F.count(F.lit(1)).alias("out_degree"))
-    ids = all_nodes(nodes, salted.select("src", "dst"))
+    scratch = Scratch(edges.sparkSession, "pagerank")
+    salted, deg = _salted_edges(edges, salt_chunk, scratch)
+    ids = scratch.save(all_nodes(nodes, salted.select("src", "dst")))
     n = num_nodes if num_nodes is not None else ids.count()
-    state = _state(ids.select("id", (F.lit(1.0) / F.lit(float(n))).alias("rank")), deg, parts, salt_chunk)
-    state = state.persist()
-    pending = [state]          # persisted frames the current state may still read
-    mass = _dangling_mass(state).first()[0]
-    for it in range(1, iterations + 1):
-        # ``mass`` is one number on the driver, so the next plan references
-        # the previous state once (a subquery would reference it twice and
-        # double the plan every iteration).
-        nxt = _step(state, salted, n, damping, mass).persist()
-        if checkpoint_every and it % checkpoint_every == 0:
-            ensure_checkpoint_dir(spark)
-            state = nxt.checkpoint(eager=False)
-            # This job computes the new state into the cache and returns the
-            # next dangling mass; Spark then writes the checkpoint from the
-            # cache.  Two jobs per iteration.
-            mass = _dangling_mass(state).first()[0]
-            # Released only now: un-caching a frame that a cached frame still
-            # depends on makes Spark rebuild the dependent cache from lineage.
-            for p in pending + [nxt]:
-                p.unpersist()
-            pending = []
-        else:
-            mass = _dangling_mass(nxt).first()[0]
-            pending.append(nxt)
-            state = nxt
-    if iterations and checkpoint_every and iterations % checkpoint_every == 0:
-        # The result reads checkpoint files only; the cached edges can go.
-        salted.unpersist()
-    # Otherwise ``salted`` stays cached while the lazy result may still be
-    # recomputed from it.
+
+    def written(state):
+        seen = Observation()
+        out = scratch.save(state.observe(seen, _dangling_mass().alias("mass")))
+        return out, seen.get["mass"] or 0.0
+
+    state, mass = written(_state(ids.select("id", (F.lit(1.0) / F.lit(float(n))).alias("rank")), deg))
+    scratch.drop(ids, deg)
+    for _ in range(iterations):
+        old = state
+        state, mass = written(_step(old, salted, n, damping, mass))
+        scratch.drop(old)
+    scratch.drop(salted)
     return state.select("id", "rank")
 
 

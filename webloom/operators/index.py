@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webloom.functions.text import is_number_string, is_stop_word, tokenize
+from webloom.session import Scratch
 
 
 def token_counts(docs: DataFrame, text_col: str = "text", stage: str = "raw") -> DataFrame:
@@ -74,7 +75,8 @@ def inverted_index(postings: DataFrame, num_partitions: int | None = None) -> Da
     a keyword filter skips almost every row group.  Range bounds include
     doc_id, so a hot term is split across several partitions.
     """
-    df = postings.select("term", "doc_id", "tf")
+    # Range partitioning samples its input first: stored, the text is tokenized once.
+    df = Scratch(postings.sparkSession, "postings").save(postings.select("term", "doc_id", "tf"))
     df = (df.repartitionByRange(num_partitions, "term", "doc_id") if num_partitions
           else df.repartitionByRange("term", "doc_id"))
     return df.sortWithinPartitions("term", "doc_id")
@@ -84,7 +86,7 @@ def index_scan(postings: DataFrame, start_term: str | None = None,
                stop_term: str | None = None) -> DataFrame:
     """Key-ordered scan (bytewise by term, then doc_id), optionally between a
     start term (inclusive) and a stop term (exclusive), like a table scan."""
-    df = postings
+    df = Scratch(postings.sparkSession, "postings").save(postings)  # the sort samples its input
     if start_term is not None:
         df = df.filter(F.col("term") >= start_term)
     if stop_term is not None:
@@ -99,10 +101,11 @@ def postings_map(postings: DataFrame, max_entries: int = 100_000) -> DataFrame:
     ceil(df / max_entries) chunks by a hash of doc_id, so no map (and no
     collect group) grows beyond about ``max_entries`` entries.
     """
-    df_counts = postings.groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
-    nchunks = F.greatest(F.lit(1), F.ceil(F.col("_df") / F.lit(max_entries))).cast("long")
-    keyed = (postings.join(df_counts, "term")
-             .withColumn("chunk", F.pmod(F.xxhash64("doc_id"), nchunks)))
+    scratch = Scratch(postings.sparkSession, "postings-map")
+    postings = scratch.save(postings.select("term", "doc_id", "tf"))
+    # A plain table on either side, so that a hot term can be split in the join.
+    chunks = scratch.save(postings.groupBy("term").agg(F.ceil(F.count(F.lit(1)) / F.lit(max_entries)).cast("long").alias("_n")))
+    keyed = postings.join(chunks, "term").withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("_n")))
     return (keyed.groupBy("term", "chunk")
             .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("doc_id", "tf"))))
                  .alias("postings")))

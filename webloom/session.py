@@ -8,7 +8,9 @@ read settings from the active session (checkpoint dir, shuffle partitions).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +25,8 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.speculation": "false",
+    # Checkpoint files go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -52,33 +56,34 @@ def get_session(master: str | None = None, app: str = "webloom",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is only read.  When
-    it is unset (local tests) a fresh scratch folder is created and set.
+    On a cluster this setting must point at shared storage; it is an error if
+    it is unset there, since a folder of one machine is not seen by the others.
+    In local mode a fresh scratch folder is created and set.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the setting
-        return spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
     cur = sc.getCheckpointDir()
     if cur:
         return cur
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        require_local(sc.master)
         conf_dir = tempfile.mkdtemp(prefix="webloom-ckpt-", dir=os.environ.get("WEBLOOM_SCRATCH", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
+def require_local(master: str) -> None:
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make ``webloom`` importable in Python workers (``mapInPandas`` steps
     refer to its functions by module): zip the package once per
     SparkContext and ``addPyFile`` it -- what ``--py-files`` does for a
     submitted job.  The zip is code shipped through Spark's file server, so
     a driver-local build folder is fine."""
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect: ship with the server's --py-files
-        return
+    sc = spark.sparkContext
     if getattr(sc, "_webloom_shipped", False):
         return
     import zipfile
@@ -103,6 +108,36 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table through Hadoop's file system API."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+class Scratch:
+    """Intermediate tables in the shared folder: they cut lineage, survive the
+    loss of executors, and as plain tables let adaptive execution split a hot
+    key of either side of a join.  ``drop`` deletes what a later table replaces."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.base, self.n = spark, scratch_path(spark, f"{name}-{uuid.uuid4().hex}"), 0
+        self.paths: dict[int, str] = {}
+
+    def save(self, df: DataFrame, partition_by: str | None = None) -> DataFrame:
+        self.n += 1
+        path = f"{self.base}/{self.n}"
+        w = df.write.partitionBy(partition_by) if partition_by else df.write
+        w.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = path
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        for t in tables:
+            if id(t) in self.paths:
+                delete_path(self.spark, self.paths.pop(id(t)))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint to the shared folder (survives executor loss).
 
