@@ -15,16 +15,16 @@ def test_assign_ties_go_to_first_centroid(spark):
     assert got == {1: (0, 1.0), 2: (1, 1.0)}
 
 
-def test_numpy_path_matches_expression(spark, monkeypatch):
+@pytest.mark.parametrize("k,scale", [(3, 1.0), (50, 1e8)])
+def test_assignment_is_exact_at_any_size(spark, k, scale):
+    """Coordinates near 1e8, where |x|^2 - 2xc + |c|^2 cancels, agree with brute force."""
     rng = np.random.default_rng(3)
-    data = [(i, rng.normal(size=4)) for i in range(60)]
-    cents = C.Centroids([0, 1, 2], rng.normal(size=(3, 4)), np.zeros(3, dtype=np.int64))
-    a = {r.id: (r.cid, r.dist) for r in C.assign(pts(spark, data), cents).collect()}
-    monkeypatch.setattr(C, "EXPR_CELLS_LIMIT", 0)
-    b = {r.id: (r.cid, r.dist) for r in C.assign(pts(spark, data), cents).collect()}
-    assert a.keys() == b.keys()
-    for k in a:
-        assert a[k][0] == b[k][0] and a[k][1] == pytest.approx(b[k][1], abs=1e-12)
+    data = [(i, scale + rng.normal(size=4)) for i in range(500)]
+    cents = C.Centroids(list(range(k)), scale + rng.normal(size=(k, 4)), np.zeros(k, dtype=np.int64))
+    got = {r.id: (r.cid, r.dist) for r in C.assign(pts(spark, data), cents).collect()}
+    for i, x in data:
+        d = [float(sum((a - b) ** 2 for a, b in zip(x, c))) for c in cents.vectors]
+        assert got[i][0] == int(np.argmin(d)) and got[i][1] == pytest.approx(min(d) ** 0.5, rel=1e-12)
 
 
 def test_cluster_sums_and_error(spark):
@@ -64,20 +64,27 @@ def test_kmeans_minibatch_runs(spark):
     assert all(r.line.endswith("\t") and r.line.count("\t") == 3 for r in lines)
 
 
-def test_histogram_cut_equals_small_cut(spark, monkeypatch):
+def test_cut_off_does_not_depend_on_the_histogram(spark, monkeypatch):
     df = spark.range(5000)
     a = sorted(r.id for r in SM.sample_fixed(df, 321, seed=9).collect())
-    monkeypatch.setattr(SM, "SMALL_SAMPLE", 0)
-    monkeypatch.setattr(SM, "HIST_BUCKETS", 64)
+    monkeypatch.setattr(SM, "HIST_BUCKETS", 3)
     b = sorted(r.id for r in SM.sample_fixed(df, 321, seed=9).collect())
     assert a == b and len(a) == 321
 
 
+def test_seeds_and_ids_draw_independently(spark):
+    df = spark.range(20_000)
+    h = df.select("id", *[SM.seeded_hash("id", s).alias(f"h{s}") for s in (1, 2)]).toPandas()
+    assert h.h1.nunique() == h.h2.nunique() == 20_000 and abs(np.corrcoef(h.h1, h.h2)[0, 1]) < 0.03
+    both = df.select((SM.seeded_hash("id", 1) == SM.seeded_hash(SM.F.col("id") + SM.F.lit(2 ** 31 - 1), 1)).cast("int").alias("e"))
+    assert both.agg({"e": "sum"}).first()[0] == 0
+
+
 def test_sample_cutoffs_equal_sample_fixed(spark):
     df = spark.range(3000)
     cuts = SM.sample_cutoffs(df, 77, [1, 2, 3])
     assert set(cuts) == {1, 2, 3}
     for sd in (1, 2, 3):
-        a = sorted(r.id for r in SM.sample_by_cutoff(df, sd, cuts[sd]).collect())
+        a = sorted(r.id for r in df.filter(SM.in_sample(sd, cuts[sd])).collect())
         b = sorted(r.id for r in SM.sample_fixed(df, 77, sd).collect())
         assert a == b and len(a) == 77

@@ -2,9 +2,8 @@
 
 Points: ``(id, features array<double>)``.  Centroids are a K x D summary
 (bounded by the parameters, not by the data): the driver holds them between
-iterations, exactly as the reference's master does, and every task receives
-them inside the assignment expression (small K·D) or as a broadcast NumPy
-matrix (large K·D).  Points are never crossed with the centroid table.
+iterations and every task receives them as a NumPy matrix.  Points are never
+crossed with the centroid table.
 """
 
 from __future__ import annotations
@@ -15,11 +14,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webloom.operators.sampling import sample_by_cutoff, sample_cutoffs, sample_fixed, seeded_hash
+from webloom.operators.sampling import in_sample, sample_cutoffs, sample_fixed, seeded_hash
+from webloom.session import Scratch
 
-# Above this many centroid cells the assignment runs as a vectorised NumPy
-# batch (mapInPandas) instead of a JVM expression with the centroids inlined.
-EXPR_CELLS_LIMIT = 20_000
+# Cells of distances that a task holds at a time.
+CELLS = 1 << 20
 
 
 def euclidean(a, b) -> Column:
@@ -52,62 +51,40 @@ class Centroids:
         return spark.createDataFrame(rows, "cid int, features array<double>, n long")
 
 
-def nearest_expr(cents: Centroids, features: str = "features") -> Column:
-    """struct(cid, dist) of the nearest centroid; the first in table order wins ties."""
-    lit = F.array(*[F.array(*[F.lit(float(x)) for x in v]) for v in cents.vectors])
-    dists = F.transform(lit, lambda c: euclidean(F.col(features), c))
-    best = F.array_min(dists)
-    pos = F.array_position(dists, best)
-    cid_arr = F.array(*[F.lit(int(c)) for c in cents.cids])
-    return F.struct(F.element_at(cid_arr, pos.cast("int")).alias("cid"), best.alias("dist"))
+def nearest(x: np.ndarray, mat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row of the nearest centroid (the first wins ties) and the distance to it.
+
+    Squared differences are summed left to right over the dimensions, for all
+    pairs of a chunk at once, so results don't depend on the size of K or D."""
+    pick, dist = np.zeros(len(x), dtype=np.int64), np.full(len(x), np.inf)
+    rows = max(1, CELLS // max(1, len(mat)))
+    for s in range(0, len(x), rows):
+        part = x[s:s + rows]
+        total = np.zeros((len(part), len(mat)))
+        for j in range(mat.shape[1]):
+            diff = part[:, j, None] - mat[None, :, j]
+            total += diff * diff
+        pick[s:s + rows] = total.argmin(axis=1)
+        dist[s:s + rows] = np.sqrt(total.min(axis=1))
+    return pick, dist
 
 
 def assign(points: DataFrame, cents: Centroids, features: str = "features") -> DataFrame:
     """Points with their nearest centroid: (..., cid, dist)."""
-    k, d = cents.vectors.shape if cents.vectors.size else (0, 0)
-    if k * d <= EXPR_CELLS_LIMIT:
-        return points.withColumn("_n", nearest_expr(cents, features)) \
-            .select("*", "_n.cid", "_n.dist").drop("_n")
-    return _assign_numpy(points, cents, features)
-
-
-def _assign_numpy(points: DataFrame, cents: Centroids, features: str) -> DataFrame:
-    spark = points.sparkSession
-    bc = spark.sparkContext.broadcast((np.asarray(cents.vectors, dtype=np.float64),
-                                       np.asarray(cents.cids, dtype=np.int32)))
     from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
-    schema = StructType(list(points.schema.fields) + [StructField("cid", IntegerType()),
-                                                       StructField("dist", DoubleType())])
+    import pyarrow as pa
+    mat, ids = np.asarray(cents.vectors, dtype=np.float64), np.asarray(cents.cids, dtype=np.int32)
+    schema = StructType([*points.schema.fields, StructField("cid", IntegerType()), StructField("dist", DoubleType())])
 
     def run(batches):
-        mat, ids = bc.value
-        c2 = (mat * mat).sum(axis=1)
-        k = mat.shape[0]
-        rows = max(1, (4 << 20) // max(k, 1))          # chunk: rows x K <= 4M cells
-        for pdf in batches:
-            if len(pdf) == 0:
+        for b in batches:
+            if not b.num_rows:
                 continue
-            x_all = np.stack(pdf[features].to_numpy())
-            cid = np.empty(len(pdf), dtype=np.int32)
-            dist = np.empty(len(pdf), dtype=np.float64)
-            for s in range(0, len(pdf), rows):
-                x = x_all[s:s + rows]
-                # ||x||^2 - 2 x.c + ||c||^2 ranks the centroids with n x K memory
-                # (never an n x K x D tensor); the two best are then re-measured
-                # exactly, ties going to the first centroid.
-                approx = (x * x).sum(axis=1)[:, None] - 2.0 * (x @ mat.T) + c2[None, :]
-                top = np.argsort(approx, axis=1, kind="stable")[:, :min(2, k)]
-                exact = np.sqrt(((x[:, None, :] - mat[top]) ** 2).sum(axis=2))
-                pick = np.zeros(len(x), dtype=np.int64)
-                if exact.shape[1] > 1:
-                    second = (exact[:, 1] < exact[:, 0]) | ((exact[:, 1] == exact[:, 0]) & (top[:, 1] < top[:, 0]))
-                    pick = second.astype(np.int64)
-                j = top[np.arange(len(x)), pick]
-                cid[s:s + len(x)] = ids[j]
-                dist[s:s + len(x)] = exact[np.arange(len(x)), pick]
-            yield pdf.assign(cid=cid, dist=dist)
-
-    return points.mapInPandas(run, schema)
+            col = b.column(features)
+            pick, dist = nearest(col.flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1), mat)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids[pick]), pa.array(dist)], [*b.schema.names, "cid", "dist"])
+
+    return points.mapInArrow(run, schema)
 
 
 def cluster_sums(assigned: DataFrame, features: str = "features") -> DataFrame:
@@ -134,7 +111,10 @@ def init_centroids(points: DataFrame, k: int, seed: int, id_col: str = "id",
                    features: str = "features", total: int | None = None) -> Centroids:
     """K start centroids: the points with the smallest seeded hash (cid 0..K-1
     in hash order).  K rows reach the driver."""
-    pick = sample_fixed(points.select(id_col, features), k, seed, id_col, total)
+    return _start(sample_fixed(points.select(id_col, features), k, seed, id_col, total), seed, id_col, features)
+
+
+def _start(pick: DataFrame, seed: int, id_col: str, features: str) -> Centroids:
     rows = pick.withColumn("_h", seeded_hash(id_col, seed)).orderBy("_h", id_col).collect()
     vecs = np.array([r[features] for r in rows], dtype=np.float64)
     return Centroids(list(range(len(rows))), vecs, np.zeros(len(rows), dtype=np.int64))
@@ -171,16 +151,15 @@ def update_centroids(prev: Centroids, sums: list, count_mode: str = "reset",
 
 def kmeans_step(points: DataFrame, cents: Centroids, batch: int, seed: int,
                 count_mode: str = "reset", drop_empty: bool = False,
-                id_col: str = "id", features: str = "features", total: int | None = None,
-                cutoff: tuple | None = None) -> Centroids:
+                id_col: str = "id", features: str = "features", total: int | None = None) -> Centroids:
     """One iteration: sample a batch, assign, sum per cluster (K rows to the
-    driver), update.  With a precomputed ``cutoff`` the batch is a plain
-    filter and the iteration is a single job."""
-    pts = points.select(id_col, features)
-    b = (sample_by_cutoff(pts, seed, cutoff, id_col) if cutoff is not None
-         else sample_fixed(pts, batch, seed, id_col, total))
-    sums = cluster_sums(assign(b, cents, features), features).collect()
-    return update_centroids(cents, sums, count_mode, drop_empty)
+    driver), update."""
+    drawn = sample_fixed(points.select(id_col, features), batch, seed, id_col, total)
+    return _update(drawn, cents, count_mode, drop_empty, features)
+
+
+def _update(batch: DataFrame, cents: Centroids, count_mode: str, drop_empty: bool, features: str) -> Centroids:
+    return update_centroids(cents, cluster_sums(assign(batch, cents, features), features).collect(), count_mode, drop_empty)
 
 
 def kmeans_minibatch(points: DataFrame, k: int, batch: int, iterations: int, seed: int = 0,
@@ -190,21 +169,26 @@ def kmeans_minibatch(points: DataFrame, k: int, batch: int, iterations: int, see
     """Mini-batch k-means with a fixed iteration count.
 
     Iteration i samples its batch with seed ``seed + i + 1`` (init uses
-    ``seed``).  Points are cached once; each iteration reads them, filters the
-    batch by hash and aggregates K rows.
+    ``seed``).  All cut-offs come from one pass over ids; one more scan writes
+    the rows of all batches (iterations x batch, plus the start), tagged by
+    seed; iterations read only their own rows.  The point table is never cached.
     """
-    pts = points.select(id_col, features).persist()
-    try:
-        n = pts.count()
-        cents = init if init is not None else init_centroids(pts, k, seed, id_col, features, n)
-        seeds = [seed + i + 1 for i in range(iterations)]
-        cuts = sample_cutoffs(pts, batch, seeds, id_col, n)      # one job for every batch
-        for sd in seeds:
-            cents = kmeans_step(pts, cents, batch, sd, count_mode, drop_empty,
-                                id_col, features, n, cuts.get(sd))
-        return cents
-    finally:
-        pts.unpersist()
+    pts = points.select(id_col, features)
+    scratch = Scratch(points.sparkSession, "kmeans")
+    n = pts.count()
+    seeds = [seed + i + 1 for i in range(iterations)]
+    wanted = [(sd, batch) for sd in seeds] + ([] if init is not None else [(seed, k)])
+    cuts = {sd: c for size in {b for _, b in wanted}
+            for sd, c in sample_cutoffs(pts, size, [s for s, b in wanted if b == size], id_col, n).items()}
+    tags = F.filter(F.array(*[F.when(in_sample(sd, cuts[sd], id_col), F.lit(sd)) for sd, _ in wanted]), lambda t: t.isNotNull())
+    drawn = scratch.save(pts.withColumn("_seed", F.explode(tags)).coalesce(max(1, -(-iterations * batch // 100_000)))
+                         if batch < n else pts.withColumn("_seed", F.explode(tags)), "_seed")
+    of = lambda sd: drawn.filter(F.col("_seed") == sd).select(id_col, features)
+    cents = init if init is not None else _start(of(seed), seed, id_col, features)
+    for sd in seeds:
+        cents = _update(of(sd), cents, count_mode, drop_empty, features)
+    scratch.drop(drawn)
+    return cents
 
 
 def centroid_lines(cents_df: DataFrame, digits: int | None = None) -> DataFrame:

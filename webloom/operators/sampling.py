@@ -1,128 +1,86 @@
 """Deterministic seeded sampling.
 
-The hash is plain 64-bit integer arithmetic so the SQL oracle computes the
-same values: h = (u*u + c) mod p with u = (pmod(id, p)*a + b) mod p, p the
-Mersenne prime 2^31-1; all products stay below 2^62 (no overflow under ANSI).
+The hash is the first 60 bits of md5(seed:id), which the SQL oracle computes
+alike: seeds give independent orders and different ids different hashes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PRIME = 2147483647  # 2^31 - 1
-
-
-def hash_params(seed: int) -> tuple[int, int, int]:
-    a = 1 + (seed * 7919 + 104729) % (PRIME - 1)
-    b = (seed * 15485863 + 32452843) % PRIME
-    c = (seed * 49979687 + 86028121) % PRIME
-    return a, b, c
+HEX_DIGITS = 15
+SPACE = 16 ** HEX_DIGITS
+HIST_BUCKETS = 4096
 
 
 def seeded_hash(id_col, seed: int) -> Column:
-    a, b, c = hash_params(seed)
     x = F.col(id_col) if isinstance(id_col, str) else id_col
-    u = F.pmod(F.pmod(x.cast("long"), F.lit(PRIME)) * F.lit(a) + F.lit(b), F.lit(PRIME))
-    return F.pmod(u * u + F.lit(c), F.lit(PRIME))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), x.cast("string")).cast("binary"))
+    return F.conv(F.substring(digest, 1, HEX_DIGITS), 16, 10).cast("long")
 
 
 def seeded_hash_sql(id_expr: str, seed: int) -> str:
-    a, b, c = hash_params(seed)
-    u = f"(((({id_expr}) % {PRIME} + {PRIME}) % {PRIME}) * {a} + {b}) % {PRIME}"
-    return f"((({u}) * ({u}) + {c}) % {PRIME})"
+    return f"('0x' || substr(md5('{seed}:' || CAST({id_expr} AS VARCHAR)), 1, {HEX_DIGITS}))::BIGINT"
 
 
-HIST_BUCKETS = 4096
-# Up to this many rows the cut-off comes from one bounded top-k merge (one
-# job); above it from the histogram (two jobs, no large single-task merge).
-SMALL_SAMPLE = 100_000
-
-
-def sample_fixed(df: DataFrame, size: int, seed: int, id_col: str = "id",
-                 total: int | None = None) -> DataFrame:
-    """Exactly ``min(size, n)`` rows without replacement: the rows with the
-    smallest (hash, id).
+def sample_cutoffs(df: DataFrame, size: int, seeds: list[int], id_col: str = "id",
+                   total: int | None = None) -> dict:
+    """{seed: (hash, id)} of the ``size``-th row in (hash, id) order under each
+    seed; None where the whole table is the sample.
 
-    Distributed and exact: a hash threshold keeps ~1.2x ``size`` candidates;
-    a histogram of their hashes (at most ``HIST_BUCKETS`` counts reach the
-    driver) finds the bucket holding the size-th candidate; only that bucket
-    (~size / HIST_BUCKETS rows) is ordered to find the exact cut-off; the
-    sample is then a plain filter.  No task ever holds the whole sample.
+    A threshold keeps about 1.2 x ``size`` candidates per seed; a histogram of
+    their hashes (at most ``HIST_BUCKETS`` counts per seed reach the driver)
+    finds the bucket that holds the cut-off, and only rows of that bucket
+    (about size / HIST_BUCKETS) are put in order.  No task holds a sample.
     """
-    keyed = df.withColumn("_h", seeded_hash(id_col, seed))
     n = total if total is not None else df.count()
-    if size <= 0:
-        return df.limit(0)
     if size >= n:
-        return df
-    tau = min(PRIME, int(PRIME * (size / n) * 1.2) + 1024)
-    if size <= SMALL_SAMPLE:
-        h_cut, id_cut = _cut_small(keyed, size, tau, id_col)
-    else:
-        h_cut, id_cut = _cut_histogram(keyed, size, tau, id_col)
-    keep = (F.col("_h") < h_cut) | ((F.col("_h") == h_cut) & (F.col(id_col) <= F.lit(id_cut)))
-    return keyed.filter(keep).drop("_h")
-
-
-def _cut_small(keyed: DataFrame, size: int, tau: int, id_col: str):
-    while True:
-        # One job: candidate count and the size-th smallest (hash, id).
-        top = keyed.select("_h", id_col).filter(F.col("_h") < tau).orderBy("_h", id_col).limit(size)
-        row = top.agg(F.count(F.lit(1)).alias("c"),
-                      F.max_by(F.struct("_h", id_col), F.struct("_h", id_col)).alias("last")).first()
-        if row["c"] >= size or tau >= PRIME:
-            return row["last"]["_h"], row["last"][id_col]
-        tau = min(PRIME, tau * 2)
-
-
-def _cut_histogram(keyed: DataFrame, size: int, tau: int, id_col: str):
+        return dict.fromkeys(seeds)
+    tau = min(SPACE, int(SPACE * (1.2 * size + 64) / n))
+    hashed = F.array(*[F.struct(F.lit(sd).alias("seed"), seeded_hash(id_col, sd).alias("h")) for sd in seeds])
     while True:
         width = -(-tau // HIST_BUCKETS)
-        cand = keyed.select("_h", id_col).filter(F.col("_h") < tau)
-        hist = sorted(tuple(r) for r in cand.groupBy(F.floor(F.col("_h") / width).alias("b"))
-                      .count().collect())
-        if sum(c for _, c in hist) >= size or tau >= PRIME:
+        cand = (df.select(id_col, F.explode(F.filter(hashed, lambda x: x["h"] < tau)).alias("_x"))
+                .select(id_col, "_x.seed", "_x.h", F.expr(f"_x.h div {width}").alias("b")))
+        hist: dict[int, list] = {sd: [] for sd in seeds}
+        for sd, b, c in cand.groupBy("seed", "b").count().collect():
+            hist[sd].append((b, c))
+        if all(sum(c for _, c in h) >= size for h in hist.values()) or tau >= SPACE:
             break
-        tau = min(PRIME, tau * 2)
-    before = 0
-    for b, c in hist:
-        if before + c >= size:
-            break
-        before += c
-    need = size - before
-    inner = cand.filter(F.floor(F.col("_h") / width) == F.lit(b)).orderBy("_h", id_col).limit(need)
-    last = inner.agg(F.max_by(F.struct("_h", id_col), F.struct("_h", id_col)).alias("last")).first()["last"]
-    return last["_h"], last[id_col]
-
-
-def sample_cutoffs(df: DataFrame, size: int, seeds: list[int], id_col: str = "id",
-                   total: int | None = None) -> dict:
-    """{seed: (hash, id) cut-off} of ``sample_fixed`` for several seeds in one
-    job (for ``size <= SMALL_SAMPLE``): each row's hash under every seed is
-    kept when below the shared threshold, and a window per seed ranks those
-    candidates (about 1.2 x ``size`` rows per seed -- bounded by the sample
-    size, not the data).  Seeds whose candidates fall short are left out;
-    callers fall back to ``sample_fixed`` for them."""
-    n = total if total is not None else df.count()
-    if size <= 0 or size >= n or size > SMALL_SAMPLE:
-        return {}
-    tau = min(PRIME, int(PRIME * (size / n) * 1.2) + 1024)
-    hashed = F.array(*[F.struct(F.lit(sd).alias("seed"), seeded_hash(id_col, sd).alias("h")) for sd in seeds])
-    cand = (df.select(id_col, F.explode(F.filter(hashed, lambda x: x["h"] < tau)).alias("_x"))
-            .select(id_col, "_x.seed", "_x.h"))
-    rn = F.row_number().over(Window.partitionBy("seed").orderBy("h", id_col))
-    rows = cand.withColumn("_rn", rn).filter(F.col("_rn") == size).collect()   # one row per seed
-    return {r["seed"]: (r["h"], r[id_col]) for r in rows}
+        tau = min(SPACE, tau * 2)
+    picked, need = F.lit(False), {}
+    for sd, counts in hist.items():
+        before = 0
+        for b, c in sorted(counts):
+            if before + c >= size:
+                need[sd] = size - before
+                picked = picked | ((F.col("seed") == sd) & (F.col("b") == b))
+                break
+            before += c
+    inner: dict[int, list] = {sd: [] for sd in seeds}
+    for sd, h, i in cand.filter(picked).select("seed", "h", id_col).collect():
+        inner[sd].append((h, i))
+    return {sd: sorted(inner[sd])[need[sd] - 1] for sd in seeds}
+
+
+def in_sample(seed: int, cut: tuple | None, id_col: str = "id") -> Column:
+    """Whether a row belongs to the sample that a cut-off of ``sample_cutoffs`` defines."""
+    if cut is None:
+        return F.lit(True)
+    h = seeded_hash(id_col, seed)
+    return (h < F.lit(cut[0])) | ((h == F.lit(cut[0])) & (F.col(id_col) <= F.lit(cut[1])))
 
 
-def sample_by_cutoff(df: DataFrame, seed: int, cut: tuple, id_col: str = "id") -> DataFrame:
-    """The sample defined by a cut-off from ``sample_cutoffs``."""
-    h = seeded_hash(id_col, seed)
-    h_cut, id_cut = cut
-    return df.filter((h < F.lit(h_cut)) | ((h == F.lit(h_cut)) & (F.col(id_col) <= F.lit(id_cut))))
+def sample_fixed(df: DataFrame, size: int, seed: int, id_col: str = "id",
+                 total: int | None = None) -> DataFrame:
+    """Exactly ``min(size, n)`` rows without replacement: the rows with the
+    smallest (hash, id)."""
+    if size <= 0:
+        return df.limit(0)
+    return df.filter(in_sample(seed, sample_cutoffs(df, size, [seed], id_col, total)[seed], id_col))
 
 
 def sample_bernoulli(df: DataFrame, fraction: float, seed: int, id_col: str = "id") -> DataFrame:
     """Each row kept independently with probability ``fraction`` (by hash)."""
-    return df.filter(seeded_hash(id_col, seed) < F.lit(int(PRIME * fraction)))
+    return df.filter(seeded_hash(id_col, seed) < F.lit(int(SPACE * fraction)))
