@@ -64,8 +64,8 @@ def test_runs_from_another_working_directory(tmp_path):
         "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled','false').getOrCreate()\n"
         "import __spark_entry__ as E\n"
         "print('ENTRY', E.entry(spark).count())\n"
-        "print('RULE', E.queries()['rule_graph'](spark, %r).count())\n" % (repo, SF))
+        "print('WARC', E.queries()['warc_records'](spark, %r).count())\n" % (repo, SF))
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True,
                          timeout=600, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
     assert out.returncode == 0, out.stderr[-2000:]
-    assert "ENTRY 20" in out.stdout and "RULE 435" in out.stdout
+    assert "ENTRY 20" in out.stdout and "WARC 50" in out.stdout

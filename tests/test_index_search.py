@@ -75,10 +75,15 @@ def test_stored_index_pushdown(spark, tmp_path):
     assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))   # disjoint term ranges per file
 
 
-def test_keyword_postings_from_text_equals_index(spark):
-    docs = spark.createDataFrame([(1, "Der Hund und der Ball"), (2, "oder anders"), (3, "DER"),
-                                  (4, "the the"), (5, "nothing")], "doc_id long, content string")
-    for kw in ["der", "DER", "the", "hund", "zz"]:
-        a = sorted(map(tuple, S.keyword_postings_from_text(docs, kw).collect()))
-        b = sorted(map(tuple, S.keyword_postings(IX.term_freqs(docs, text_col="content"), kw).collect()))
-        assert a == b, kw
+def test_search_reads_the_stored_tables_by_key(spark):
+    """Filters on term and doc_id reach the parquet scans of the stored tables."""
+    from webloom.plans import inputs as I
+    sf = "/root/testdata/sf0.001"
+    t = I.search_tables(spark, sf)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    hits = plan(S.search_keyword(t["postings"], t["pages"], t["ranks"], "der"))
+    assert "PushedFilters: [IsNotNull(term), EqualTo(term,der)" in hits
+    key = t["pages"].first().doc_id
+    page = S.get_page(t["pages"], key)
+    assert f"EqualTo(doc_id,{key})" in plan(page) and page.count() == 1
+    assert S.search_keyword(t["postings"], t["pages"], t["ranks"], "nosuchword").count() == 0

@@ -16,7 +16,6 @@ from webloom.sources.tables import table
 SEARCH_KEYWORD = "der"
 PAGE_KEYWORD = "und"
 PAGERANK_ITERATIONS = 5
-DOC_RANK_ITERATIONS = 5
 KMEANS_K = 5
 KMEANS_ITERATIONS = 10
 KMEANS_BATCH = 100
@@ -27,10 +26,20 @@ MANIFEST_SIZE = 7
 ROUND = 9
 
 
+#: Digits of a long: ids padded to this width are never cut and, being at the
+#: end of every key, keep keys of different ids apart.
+ID_WIDTH = 19
+
+
+def _padded(c, width: int):
+    c = c.cast("string")
+    return F.lpad(c, F.greatest(F.lit(width), F.length(c)), "0")
+
+
 def trec_id(df: DataFrame) -> F.Column:
-    """Archive-style id for a document: clueweb09-en<source 4 digits>-<doc_id 8 digits>."""
-    return F.concat(F.lit("clueweb09-en"), F.lpad(F.substring("source", 4, 100), 4, "0"),
-                    F.lit("-"), F.lpad(F.col("doc_id").cast("string"), 8, "0"))
+    """Archive-style id for a document: clueweb09-en<source, 4 digits at least>-<doc_id, 19 digits>."""
+    return F.concat(F.lit("clueweb09-en"), _padded(F.substring("source", 4, 100), 4),
+                    F.lit("-"), _padded(F.col("doc_id"), ID_WIDTH))
 
 
 def page_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +51,48 @@ def page_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("text").alias("content"))
 
 
+def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, uri, content): the text of every page, keyed by its archive id."""
+    from webloom.operators.pages import pages_text
+    p = table(spark, sf_dir, "pages", spread_out=True)
+    return pages_text(p).select(doc_key(page_trec_id(p)).alias("doc_id"), F.col("url").alias("uri"), F.col("text").alias("content"))
+
+
+def page_ranks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(trec_id, node_id) of every page and (node_id, rank) of every node of the link graph."""
+    from webloom.operators import graph as G
+    from webloom.operators.pages import outlinks, web_graph_ids
+    from webloom.session import Scratch
+    p = table(spark, sf_dir, "pages", spread_out=True)
+    links = Scratch(spark, "links").save(outlinks(p))
+    ids, edges = web_graph_ids(links, p)
+    ranks = G.pagerank(edges, ids.select("id"), iterations=PAGERANK_ITERATIONS)
+    id_map = p.select(page_trec_id(p).alias("trec_id"), "url").join(ids, "url").select("trec_id", F.col("id").alias("node_id"))
+    return id_map, ranks.select(F.col("id").alias("node_id"), "rank")
+
+
+def search_tables(spark: SparkSession, sf_dir: str, ranks: bool = True) -> dict[str, DataFrame]:
+    """The stored page table, index and (if asked for) rank table of the pages,
+    each laid out by the key it is looked up by, and read back."""
+    import uuid
+
+    from webloom.operators.index import term_freqs, write_index
+    from webloom.operators.search import doc_rank_load
+    from webloom.session import scratch_path
+    base = scratch_path(spark, f"search-{uuid.uuid4().hex}")
+
+    def stored(name, df):
+        df.repartitionByRange("doc_id").sortWithinPartitions("doc_id").write.parquet(f"{base}/{name}")
+        return spark.read.parquet(f"{base}/{name}")
+
+    out = {"pages": stored("pages", search_pages(spark, sf_dir))}
+    write_index(term_freqs(out["pages"], text_col="content"), f"{base}/postings")
+    out["postings"] = spark.read.parquet(f"{base}/postings")
+    if ranks:
+        out["ranks"] = stored("ranks", doc_rank_load(*page_ranks(spark, sf_dir)).select("doc_id", "page_rank"))
+    return out
+
+
 def part_chain_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Graph B: part of line k -> part of line k+1 of the same order.
 
@@ -58,10 +109,6 @@ def part_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"))
 
 
-def doc_count(spark: SparkSession, sf_dir: str) -> int:
-    return table(spark, sf_dir, "documents").count()
-
-
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, features array<double>) from ``embeddings``."""
     e = table(spark, sf_dir, "embeddings")
@@ -83,7 +130,7 @@ def http_body(pages: DataFrame) -> F.Column:
 
 
 def page_trec_id(pages: DataFrame) -> F.Column:
-    return F.concat(F.lit("clueweb09-en0000-00-"), F.lpad(F.col("page_id").cast("string"), 5, "0"))
+    return F.concat(F.lit("clueweb09-en0000-00-"), _padded(F.col("page_id"), ID_WIDTH))
 
 
 def warc_record_text(pages: DataFrame) -> F.Column:

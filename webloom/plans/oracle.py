@@ -29,7 +29,7 @@ STOP_LIST = "[" + ", ".join(q(w) for w in T.STOP_WORDS) + "]"
 
 def tokens_expr(col: str) -> str:
     return (f"list_filter(regexp_extract_all(lower({col}), {q(T.TOKEN_PATTERN)}, 0), "
-            f"lambda t: length(t) <= {T.MAX_TOKEN_LENGTH} AND regexp_matches(t, {q(T.WORDISH_PATTERN)}))")
+            f"lambda t: regexp_matches(t, {q(T.WORDISH_PATTERN)}))")
 
 
 def is_number_expr(t: str) -> str:
@@ -46,8 +46,10 @@ def doc_key_expr(s: str) -> str:
     return f"regexp_replace(substring({s}, greatest(instr({s}, 'en'), 1)), '[^\\p{{Nd}}]', '', 'g')"
 
 
-TREC_ID = ("('clueweb09-en' || lpad(substring(source, 4, 100), 4, '0') || '-' || "
-           "lpad(CAST(doc_id AS VARCHAR), 8, '0'))")
+TREC_ID = ("('clueweb09-en' || repeat('0', greatest(0, 4 - CAST(length(substring(source, 4, 100)) AS INTEGER))) || "
+           "substring(source, 4, 100) || '-' || printf('%019d', doc_id))")
+
+PAGE_TREC = "('clueweb09-en0000-00-' || printf('%019d', page_id))"
 
 PAGES_CTE = f"""pages_t AS (
   SELECT {doc_key_expr('tid')} AS doc_id,
@@ -65,11 +67,6 @@ edges AS (SELECT a.l_partkey AS src, b.l_partkey AS dst
           FROM lineitem a JOIN lineitem b
             ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1)"""
 
-GRAPH_A_CTE = """ga_ids AS (SELECT unnest(range(0, (SELECT count(*) FROM documents))) AS id),
-ga_edges AS (SELECT i.id AS src, j.id AS dst FROM ga_ids i, ga_ids j
-             WHERE (-3 * i.id * i.id + 7 + i.id) % (j.id + 3) = 0)"""
-
-
 def pagerank_ctes(nodes: str, edges: str, iterations: int, p: str = "pr") -> str:
     """CTE chain ``{p}_ids, {p}_deg, {p}_n, {p}0 .. {p}{iterations}`` (unrolled loop)."""
     parts = [
@@ -91,14 +88,6 @@ def pagerank_ctes(nodes: str, edges: str, iterations: int, p: str = "pr") -> str
     return ",\n".join(parts)
 
 
-DOC_RANKS_CTE = (GRAPH_A_CTE + ",\n" + pagerank_ctes("ga_ids", "ga_edges", I.DOC_RANK_ITERATIONS, "gr") + f""",
-doc_ranks AS (
-  SELECT {doc_key_expr('m.tid')} AS doc_id, m.node_id,
-         CAST(coalesce(r.rank, 0.0) AS FLOAT) AS page_rank
-  FROM (SELECT {TREC_ID} AS tid, doc_id AS node_id FROM documents) m
-  LEFT JOIN gr{I.DOC_RANK_ITERATIONS} r ON m.node_id = r.id)""")
-
-
 # ------------------------------------------------------------------ statistics
 sql("stats_global", """
 SELECT round(max(l_extendedprice), 6) AS max, round(min(l_extendedprice), 6) AS min,
@@ -133,10 +122,10 @@ sql("inverted_index_map", _PAGE_POST + "SELECT term, doc_id, tf FROM post")
 sql("index_scan", _PAGE_POST + "SELECT term, doc_id, tf FROM post ORDER BY term, doc_id")
 
 # ------------------------------------------------------------------- graphs
-sql("rule_graph", f"WITH {GRAPH_A_CTE}\nSELECT src, dst FROM ga_edges")
-sql("rule_graph_dangling", f"WITH {GRAPH_A_CTE}\nSELECT id FROM ga_ids WHERE id NOT IN (SELECT src FROM ga_edges)")
 sql("out_degree", f"WITH {GRAPH_B_CTE}\nSELECT src, count(*) AS out_degree FROM edges GROUP BY src")
-sql("dangling_nodes", f"WITH {GRAPH_B_CTE}\nSELECT id FROM nodes WHERE id NOT IN (SELECT src FROM edges)")
+# Nodes of another given table too (customers), which have no links: the check is not 0 rows = 0 rows.
+sql("dangling_nodes", f"""WITH {GRAPH_B_CTE}
+SELECT id FROM (SELECT id FROM nodes UNION SELECT c_custkey AS id FROM customer) WHERE id NOT IN (SELECT src FROM edges)""")
 sql("adjacency_lists", f"""WITH {GRAPH_B_CTE}
 SELECT src, array_to_string(list_prepend(src, list_sort(list(dst))), ' ') AS line
 FROM edges GROUP BY src
@@ -160,26 +149,6 @@ sql("pagerank_top10", _PR_B + f"SELECT id, round(rank, {R}) AS rank FROM {_LAST}
 
 # ------------------------------------------------------------------- search
 sql("doc_key", f"SELECT doc_id, {TREC_ID} AS trec_id, {doc_key_expr(TREC_ID)} AS doc_key FROM documents")
-sql("doc_rank_load", f"WITH {DOC_RANKS_CTE}\n"
-    f"SELECT doc_id, node_id, round(CAST(page_rank AS DOUBLE), {R}) AS page_rank FROM doc_ranks")
-sql("doc_rank_from_files", ORACLE["doc_rank_load"])
-sql("search_keyword", f"""WITH {PAGES_CTE},
-{POSTINGS_CTE},
-{DOC_RANKS_CTE}
-SELECT t.doc_id, p.uri, round(CAST(t.page_rank AS DOUBLE), {R}) AS page_rank, CAST(t.term_freq AS BIGINT) AS term_freq
-FROM (SELECT h.doc_id, h.tf AS term_freq, r.page_rank
-      FROM post h JOIN doc_ranks r ON h.doc_id = r.doc_id
-      WHERE h.term = lower({q(I.SEARCH_KEYWORD)}) AND h.doc_id IN (SELECT doc_id FROM pages_t)
-      ORDER BY r.page_rank DESC, h.doc_id ASC LIMIT 20) t
-JOIN pages_t p ON p.doc_id = t.doc_id
-ORDER BY page_rank DESC, t.doc_id""")
-sql("search_eval_count", _PAGE_POST +
-    f"SELECT count(*) AS pages_evaluated FROM post WHERE term = lower({q(I.SEARCH_KEYWORD)})")
-
-_SNAP = f"""snap AS (SELECT doc_id FROM post WHERE term = lower({q(I.PAGE_KEYWORD)})
-                ORDER BY tf DESC, doc_id ASC LIMIT 1)"""
-sql("get_page_snapshot", f"WITH {PAGES_CTE},\n{POSTINGS_CTE},\n{_SNAP}\n"
-    "SELECT p.doc_id, p.uri, p.content FROM pages_t p JOIN snap s ON p.doc_id = s.doc_id")
 sql("page_keyword_lines", f"""WITH {PAGES_CTE}
 SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, line FROM (
   SELECT doc_id, generate_subscripts(string_split(content, chr(10)), 1) AS line_no,
@@ -190,22 +159,21 @@ WHERE contains(line, {q(I.PAGE_KEYWORD)})""")
 from webloom.functions import html as H  # noqa: E402
 
 
-def _cp_sql(r: str) -> str:
-    return (f"(CASE WHEN starts_with({r}, 'x') OR starts_with({r}, 'X') "
-            f"THEN ('0x' || substr({r}, 2))::INTEGER ELSE {r}::INTEGER END)")
+# Named references that the given pages use, written out here on purpose: the
+# library takes the whole standard table from elsewhere.
+NAMED = (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "\'"), ("nbsp", "\u00a0"), ("copy", "©"), ("reg", "®"),
+         ("middot", "·"), ("hellip", "…"), ("ndash", "–"), ("mdash", "—"), ("laquo", "«"), ("raquo", "»"), ("amp", "&"))
 
 
 def unescape_sql(s: str) -> str:
-    for ent, ch in H.ENTITIES:
-        if ent != "&amp;":
-            s = f"replace({s}, {q(ent)}, {q(ch)})"
-    refs = f"list_distinct(regexp_extract_all({s}, {q(H.NUMREF_PATTERN)}, 1))"
-    ordered = (f"list_concat(list_filter({refs}, lambda r: {_cp_sql('r')} <> 38), "
-               f"list_filter({refs}, lambda r: {_cp_sql('r')} = 38))")
-    valid = f"({_cp_sql('r')} BETWEEN 1 AND 1114111 AND NOT {_cp_sql('r')} BETWEEN 55296 AND 57343)"
-    fold = (f"list_reduce({ordered}, lambda acc, r: CASE WHEN {valid} "
-            f"THEN replace(acc, '&#' || r || ';', chr({_cp_sql('r')})) ELSE acc END, {s})")
-    return f"replace({fold}, '&amp;', '&')"
+    pieces = f"regexp_extract_all({s}, '&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);|[^&]+|&', 0)"
+    digits = "regexp_extract(r, '^&#[xX]?0*([0-9a-fA-F]*);$', 1)"
+    cp = (f"(CASE WHEN length({digits}) NOT BETWEEN 1 AND 7 THEN 0 WHEN r[3] IN ('x', 'X') THEN ('0x' || {digits})::INTEGER "
+          f"ELSE {digits}::INTEGER END)")
+    named = " ".join(f"WHEN r = '&{n};' THEN {q(c)}" for n, c in NAMED)
+    one = (f"CASE WHEN NOT starts_with(r, '&') OR r = '&' THEN r {named} WHEN NOT starts_with(r, '&#') THEN r "
+           f"WHEN {cp} BETWEEN 1 AND 1114111 AND NOT {cp} BETWEEN 55296 AND 57343 THEN chr({cp}) ELSE r END")
+    return f"array_to_string(list_transform({pieces}, lambda r: {one}), '')"
 
 
 def html_text_sql(html: str) -> str:
@@ -220,12 +188,14 @@ def html_text_sql(html: str) -> str:
 
 
 def _merged_sql() -> str:
-    m = ("sch || '://' || auth || (CASE WHEN regexp_replace(path, '[^/]*$', '') = '' THEN '/' "
-         "ELSE regexp_replace(path, '[^/]*$', '') END) || lk")
-    for _ in range(3):
-        m = f"regexp_replace({m}, '/\\./', '/', 'g')"
-        m = f"regexp_replace({m}, '/[^/?#]+/\\.\\./', '/', 'g')"
-    return m
+    base = "regexp_replace(path, '[^/]*$', '')"
+    rel = "(CASE WHEN instr(lk, '#') > 0 THEN substring(lk, 1, instr(lk, '#') - 1) ELSE lk END)"
+    rest = "(CASE WHEN instr(lk, '#') > 0 THEN substring(lk, instr(lk, '#')) ELSE '' END)"
+    whole = f"((CASE WHEN {base} = '' THEN '/' ELSE {base} END) || {rel})"
+    fold = (f"list_reduce(string_split(substring({whole}, 2), '/'), lambda acc, x: CASE WHEN x = '.' THEN acc "
+            f"WHEN x = '..' THEN regexp_replace(acc, '/[^/]*$', '') ELSE acc || '/' || x END, '')")
+    end = f"(CASE WHEN regexp_matches({whole}, '/[.]{{1,2}}$') THEN '/' ELSE '' END)"
+    return f"sch || '://' || auth || {fold} || {end} || {rest}"
 
 
 _CANDS = "\nUNION ALL\n".join(
@@ -267,6 +237,32 @@ wedges AS (SELECT page_url AS src, out_url AS dst FROM links),
 {pagerank_ctes('wnodes', 'wedges', I.PAGERANK_ITERATIONS, 'wr')}
 SELECT id, round(rank, {R}) AS rank FROM wr{I.PAGERANK_ITERATIONS}""")
 
+# ------------------------------------------------------------------- search
+# The page table, its index and its ranks, all from ``pages``.
+SEARCH_CTE = f"""{OUTLINKS_CTE},
+wnodes AS (SELECT url AS id FROM pages),
+wedges AS (SELECT page_url AS src, out_url AS dst FROM links),
+{pagerank_ctes('wnodes', 'wedges', I.PAGERANK_ITERATIONS, 'wr')},
+urls AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS node_id FROM wr0),
+pages_t AS (SELECT {doc_key_expr(PAGE_TREC)} AS doc_id, url AS uri, {html_text_sql('html')} AS content
+            FROM pages WHERE html IS NOT NULL),
+doc_ranks AS (SELECT {doc_key_expr(PAGE_TREC)} AS doc_id, u.node_id, CAST(coalesce(r.rank, 0.0) AS FLOAT) AS page_rank
+              FROM pages p JOIN urls u ON p.url = u.id LEFT JOIN wr{I.PAGERANK_ITERATIONS} r ON r.id = u.id),
+{POSTINGS_CTE}"""
+sql("doc_rank_load", f"""WITH {SEARCH_CTE}
+SELECT doc_id, node_id, round(CAST(page_rank AS DOUBLE), {R}) AS page_rank FROM doc_ranks""")
+sql("doc_rank_from_files", ORACLE["doc_rank_load"])
+sql("search_keyword", f"""WITH {SEARCH_CTE}
+SELECT h.doc_id, p.uri, round(CAST(r.page_rank AS DOUBLE), {R}) AS page_rank, CAST(h.tf AS BIGINT) AS term_freq
+FROM post h JOIN doc_ranks r ON h.doc_id = r.doc_id JOIN pages_t p ON p.doc_id = h.doc_id
+WHERE h.term = lower({q(I.SEARCH_KEYWORD)})
+ORDER BY r.page_rank DESC, h.doc_id ASC LIMIT 20""")
+sql("search_eval_count", f"""WITH {SEARCH_CTE}
+SELECT count(*) AS pages_evaluated FROM post WHERE term = lower({q(I.SEARCH_KEYWORD)})""")
+sql("get_page_snapshot", f"""WITH {SEARCH_CTE},
+snap AS (SELECT doc_id FROM post WHERE term = lower({q(I.PAGE_KEYWORD)}) ORDER BY tf DESC, doc_id ASC LIMIT 1)
+SELECT p.doc_id, p.uri, p.content FROM pages_t p JOIN snap s ON p.doc_id = s.doc_id""")
+
 # --------------------------------------------------------------- clustering
 from webloom.operators.sampling import seeded_hash_sql  # noqa: E402
 
@@ -346,7 +342,7 @@ sql("first_per_key", f"""
 SELECT l_orderkey, round(list(l_extendedprice ORDER BY l_linenumber, l_partkey, l_extendedprice)[1], {R}) AS l_extendedprice
 FROM lineitem GROUP BY l_orderkey""")
 sql("upsert_latest", f"""
-SELECT user_id, event_id, event_type, round(value, {R}) AS value, epoch_us(ts) AS ts_us FROM events
+SELECT user_id, event_id, event_type, round(value, {R}) AS value, props, epoch_us(ts) AS ts_us FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""")
 sql("delete_by_key", """
 SELECT event_id, user_id FROM events
@@ -359,7 +355,7 @@ sql("manifest_pack", f"""
 SELECT 'warcPaths_' || CAST(CAST(floor((row_number() OVER (ORDER BY url) - 1) / {I.MANIFEST_SIZE}) AS BIGINT) AS VARCHAR)
        || '.txt' AS manifest, url FROM pages""")
 
-_PAGE_TREC = "('clueweb09-en0000-00-' || lpad(CAST(page_id AS VARCHAR), 5, '0'))"
+_PAGE_TREC = PAGE_TREC
 _HDR_LINES = ["'WARC-Type: response'", "'WARC-Target-URI: ' || url", f"'WARC-TREC-ID: ' || {_PAGE_TREC}",
               "'Content-Length: ' || CAST(strlen(html) AS VARCHAR)", "'X-No-Colon-Flag'"]
 
@@ -419,7 +415,7 @@ qsz AS (SELECT id, count(*) AS q_shingles FROM qs GROUP BY id)
 SELECT q.id AS item_id, d.id AS doc_id, count(*) AS shared, z.q_shingles
 FROM qs q JOIN ds d ON q.sh = d.sh JOIN qsz z ON z.id = q.id
 GROUP BY q.id, d.id, z.q_shingles
-HAVING count(*) >= greatest({I.MIN_SHARED}, CAST(ceil(z.q_shingles * {I.CONTAINMENT}) AS BIGINT))""")
+HAVING count(*) >= least(z.q_shingles, greatest({I.MIN_SHARED}, CAST(ceil(z.q_shingles * {I.CONTAINMENT}) AS BIGINT)))""")
 
 # --------------------------------------------------------- archives and files
 _BODY = (f"({q(I.HTTP_PREFIX)} || CAST(strlen(html) AS VARCHAR) || chr(10) || chr(10) || html)")
@@ -439,3 +435,16 @@ sql("pagerank_kv_text", ORACLE["pagerank"])
 sql("hits_from_files", ORACLE["hits_best"])
 
 sql("edges_from_adjacency_files", ORACLE["edges_from_adjacency"])
+
+sql("read_manifests", ORACLE["warc_records"])
+sql("file_inventory", """
+SELECT 'bucket=' || CAST(page_id % 7 AS VARCHAR) AS folder, count(DISTINCT page_id % 7) AS files,
+       CAST(sum(strlen(html) + 1) AS BIGINT) AS bytes FROM pages GROUP BY page_id % 7""")
+sql("load_tables", """
+SELECT 'pages' AS name, count(*) AS n FROM pages
+UNION ALL SELECT 'page_rank', 0 UNION ALL SELECT 'postings', 0 UNION ALL SELECT 'word_count', 0""")
+sql("outputs_by_input", """
+SELECT source AS file_name, 'documents ' || CAST(count(*) AS VARCHAR) AS line FROM documents GROUP BY source""")
+sql("vectors_from_files", f"""
+SELECT CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos, round(CAST(unnest(embedding) AS DOUBLE), {R}) AS value
+FROM embeddings""")

@@ -8,6 +8,7 @@ doubles are rounded to ``ROUND`` digits on both sides.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -106,17 +107,6 @@ def _graph_b(spark, sf):
     return I.part_nodes(spark, sf), I.part_chain_edges(spark, sf)
 
 
-@query("rule_graph")
-def q_rule_graph(spark, sf):
-    return G.rule_graph(spark, I.doc_count(spark, sf))
-
-
-@query("rule_graph_dangling")
-def q_rule_graph_dangling(spark, sf):
-    n = I.doc_count(spark, sf)
-    return G.dangling_nodes(spark.range(n), G.rule_graph(spark, n))
-
-
 @query("out_degree")
 def q_out_degree(spark, sf):
     return G.out_degree(_graph_b(spark, sf)[1])
@@ -125,7 +115,8 @@ def q_out_degree(spark, sf):
 @query("dangling_nodes")
 def q_dangling_nodes(spark, sf):
     nodes, edges = _graph_b(spark, sf)
-    return G.dangling_nodes(nodes, edges)
+    more = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"))  # customers have no links
+    return G.dangling_nodes(nodes.union(more).distinct(), edges)
 
 
 @query("adjacency_lists")
@@ -187,16 +178,6 @@ def q_pagerank_top10(spark, sf):
 
 
 # ------------------------------------------------------------------- search
-def _doc_ranks(spark, sf):
-    """Graph A (divisibility rule over document ids) -> PageRank -> doc ranks."""
-    n = I.doc_count(spark, sf)
-    edges = G.rule_graph(spark, n)
-    ranks = G.pagerank(edges, spark.range(n), iterations=I.DOC_RANK_ITERATIONS)
-    d = table(spark, sf, "documents")
-    id_map = d.select(I.trec_id(d).alias("trec_id"), F.col("doc_id").alias("node_id"))
-    return S.doc_rank_load(id_map, ranks.select(F.col("id").alias("node_id"), "rank"))
-
-
 @query("doc_key")
 def q_doc_key(spark, sf):
     d = table(spark, sf, "documents")
@@ -205,39 +186,31 @@ def q_doc_key(spark, sf):
 
 @query("doc_rank_load")
 def q_doc_rank_load(spark, sf):
-    r = _doc_ranks(spark, sf)
+    """Ranks of the pages' link graph, loaded by archive id."""
+    r = S.doc_rank_load(*I.page_ranks(spark, sf))
     return r.select("doc_id", "node_id", _r(F.col("page_rank").cast("double")).alias("page_rank"))
 
 
-def _keyword_postings(spark, sf, keyword):
-    """Postings of one keyword in the shape of the index table (term, doc_id, tf)."""
-    kp = S.keyword_postings_from_text(I.page_table(spark, sf), keyword)
-    return kp.select(F.lower(F.lit(keyword)).alias("term"), "doc_id", F.col("term_freq").alias("tf"))
-
-
 @query("search_keyword")
 def q_search_keyword(spark, sf):
-    res = S.search_keyword(_keyword_postings(spark, sf, I.SEARCH_KEYWORD), I.page_table(spark, sf),
-                           _doc_ranks(spark, sf), I.SEARCH_KEYWORD, 20)
+    """Lookup in the stored index, ranks and pages; filters reach their scans."""
+    t = I.search_tables(spark, sf)
+    res = S.search_keyword(t["postings"], t["pages"], t["ranks"], I.SEARCH_KEYWORD, 20)
     return res.select("doc_id", "uri", _r(F.col("page_rank").cast("double")).alias("page_rank"),
                       F.col("term_freq").cast("long").alias("term_freq"))
 
 
 @query("search_eval_count")
 def q_search_eval_count(spark, sf):
-    return S.search_eval_count(_keyword_postings(spark, sf, I.SEARCH_KEYWORD), I.SEARCH_KEYWORD)
-
-
-def _snapshot_key(spark, sf):
-    # The page with the most keyword occurrences (ties: smallest key), found by Spark.
-    post = S.keyword_postings(_keyword_postings(spark, sf, I.PAGE_KEYWORD), I.PAGE_KEYWORD)
-    return post.orderBy(F.desc("term_freq"), F.asc("doc_id")).limit(1).select("doc_id")
+    return S.search_eval_count(I.search_tables(spark, sf, ranks=False)["postings"], I.SEARCH_KEYWORD)
 
 
 @query("get_page_snapshot")
 def q_get_page_snapshot(spark, sf):
-    pages = I.page_table(spark, sf)
-    return pages.join(F.broadcast(_snapshot_key(spark, sf)), "doc_id").select("doc_id", "uri", "content")
+    """The page with the most keyword occurrences (ties: smallest key), by its key."""
+    t = I.search_tables(spark, sf, ranks=False)
+    hit = S.keyword_postings(t["postings"], I.PAGE_KEYWORD).orderBy(F.desc("term_freq"), F.asc("doc_id")).first()
+    return S.get_page(t["pages"], hit["doc_id"] if hit else "")
 
 
 @query("page_keyword_lines")
@@ -379,13 +352,13 @@ def q_first_per_key(spark, sf):
 
 
 def _event_out(df):
-    return df.select("user_id", "event_id", "event_type", _r("value").alias("value"),
+    return df.select("user_id", "event_id", "event_type", _r("value").alias("value"), "props",
                      D.epoch_units("ts", "MICROSECOND").alias("ts_us"))
 
 
 @query("upsert_latest")
 def q_upsert_latest(spark, sf):
-    ev = table(spark, sf, "events").drop("props")
+    ev = table(spark, sf, "events")
     base = ev.filter(F.col("event_type").isin("signup", "click", "view"))
     upd = ev.filter(~F.col("event_type").isin("signup", "click", "view"))
     return _event_out(K.upsert_latest(base, upd, "user_id", ["ts", "event_id"]))
@@ -518,14 +491,57 @@ def q_pages_from_warc(spark, sf):
 
 @query("file_inventory")
 def q_file_inventory(spark, sf):
-    return FS.scan_files(spark, I.write_pages_as_warc(spark, sf), glob="*.gz").select("file_name", "length")
+    """Files and bytes per folder of a table written as one file per folder."""
+    path = scratch_path(spark, f"inventory-{uuid.uuid4().hex}")
+    p = table(spark, sf, "pages").select((F.col("page_id") % 7).alias("bucket"), F.col("html").alias("value"))
+    p.repartition("bucket").write.partitionBy("bucket").text(path)
+    files = FS.scan_files(spark, path, recursive=True).filter(F.col("file_name").startswith("part-"))
+    folder = F.element_at(F.split("path", "/"), -2)
+    return files.groupBy(folder.alias("folder")).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+
+
+@query("read_manifests")
+def q_read_manifests(spark, sf):
+    """Archives through manifests: the paths are packed into manifest files, written, and read by them."""
+    archives = FS.scan_files(spark, I.write_pages_as_warc(spark, sf), glob="*.gz").select("path")
+    path = scratch_path(spark, f"manifests-{uuid.uuid4().hex}")
+    K.pack_paths(archives, I.MANIFEST_SIZE, path_col="path").select("path", "manifest") \
+        .write.partitionBy("manifest").text(path)
+    recs = W.read_warc_manifests(spark, path).filter(F.col("type") == "response")
+    return recs.select(F.col("metadata")["WARC-TREC-ID"].alias("trec_id"),
+                       F.col("metadata")["WARC-Target-URI"].alias("uri"), "content_length")
+
 
+@query("load_tables")
+def q_load_tables(spark, sf):
+    """The crawl tables created empty, the page table then filled; rows of each."""
+    from webloom.sinks.text import TABLE_SCHEMAS, init_tables
+    base = scratch_path(spark, f"tables-{uuid.uuid4().hex}")
+    paths = dict(zip(TABLE_SCHEMAS, init_tables(spark, base)))
+    I.search_pages(spark, sf).write.mode("append").parquet(paths["pages"])
+    counts = [spark.read.schema(TABLE_SCHEMAS[n]).parquet(p).agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("n"))
+              for n, p in paths.items()]
+    return reduce(DataFrame.unionByName, counts)
 
-@query("pipe_files")
-def q_pipe_files(spark, sf):
-    files = FS.scan_files(spark, I.write_pages_as_warc(spark, sf), glob="*.gz", with_content=True)
-    res = EX.pipe_files(files, "gzip -dc #_INPUTFILE_# | wc -c > #_OUTPUTFILE_#", timeout=120)
-    return res.select("file_name", "exit_code", F.trim("stdout").cast("long").alias("n_bytes"))
+
+@query("outputs_by_input")
+def q_outputs_by_input(spark, sf):
+    """A result per input name through the per-input sink, read back."""
+    path = scratch_path(spark, f"outputs-{uuid.uuid4().hex}")
+    n = table(spark, sf, "documents").groupBy(F.col("source").alias("file_name")).agg(
+        F.concat(F.lit("documents "), F.count(F.lit(1)).cast("string")).alias("output"))
+    EX.write_outputs(n.withColumn("stdout", F.lit(None).cast("string")), path)
+    return spark.read.text(path).select("file_name", F.col("value").alias("line"))
+
+
+@query("vectors_from_files")
+def q_vectors_from_files(spark, sf):
+    """Vectors through comma-separated files (ids are by file and place there)."""
+    path = scratch_path(spark, f"vectors-{uuid.uuid4().hex}")
+    table(spark, sf, "embeddings").select(F.array_join(F.transform("embedding", lambda x: x.cast("double").cast("string")), ",")
+                                          .alias("value")).write.text(path)
+    v = SRC.read_vectors(spark, path)
+    return v.select(F.posexplode("features").alias("pos", "value")).select("pos", _r("value").alias("value"))
 
 
 @query("doc_rank_from_files")
@@ -533,14 +549,12 @@ def q_doc_rank_from_files(spark, sf):
     """Rank load through the reference's text formats: an id map file
     ('trecId<TAB>nodeId') and a rank file (count line, then 'nodeId rank'),
     both written by Spark from the tables, read back and joined."""
-    n = I.doc_count(spark, sf)
-    ranks = G.pagerank(G.rule_graph(spark, n), spark.range(n), iterations=I.DOC_RANK_ITERATIONS)
-    d = table(spark, sf, "documents")
+    ids, ranks = I.page_ranks(spark, sf)
     base = scratch_path(spark, f"rankload-{uuid.uuid4().hex}")
-    d.select(F.concat_ws("\t", I.trec_id(d), F.col("doc_id").cast("string")).alias("value")) \
+    ids.select(F.concat_ws("\t", "trec_id", F.col("node_id").cast("string")).alias("value")) \
         .write.text(f"{base}/idmap")
     header = ranks.agg(F.count(F.lit(1)).cast("string").alias("value"))
-    pairs = ranks.select(F.concat_ws(" ", F.col("id").cast("string"), F.col("rank").cast("string")).alias("value"))
+    pairs = ranks.select(F.concat_ws(" ", F.col("node_id").cast("string"), F.col("rank").cast("string")).alias("value"))
     header.unionByName(pairs).write.text(f"{base}/ranks")
     id_map = SRC.read_id_map(spark, f"{base}/idmap")
     node_ranks = SRC.read_rank_pairs(spark, f"{base}/ranks")
