@@ -99,7 +99,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_filter_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict for each page's url, by rule or by its host's place in the link graph."""
     from webloom.llm.url_filter import filter_urls
-    return filter_urls(load(spark, sf_dir, "pages"), URL_RULES)
+    return filter_urls(load(spark, sf_dir, "pages"), URL_RULES).drop("trust", "distrust")
 
 
 _QUERIES = [op1_html_extract, op2_simhash_near_dedup, op3_mix_sources, op4_shard_documents, op5_substring_dedup, op6_embedding_near_dedup, op7_chat_format, op8_decontaminate, op9_quality, op10_filter_urls]
@@ -118,4 +118,5 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from webloom.llm.oracle import ORACLE
+    return dict(ORACLE)
