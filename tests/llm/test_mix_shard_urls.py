@@ -50,6 +50,13 @@ def test_mix_quotas_and_edge_cases(spark):
     assert mixing.quotas(d.limit(0)).count() == 0 and mixing.mix(d.limit(0)).count() == 0
 
 
+def test_buckets_do_not_change_the_mix(spark, monkeypatch):
+    d = docs(spark, [(i, "w " * (i * 7 % 11), f"s{i % 2}" if i % 5 else None) for i in range(400)])
+    whole = sorted(map(tuple, mixing.quotas(d).collect()))
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 9)
+    assert sorted(map(tuple, mixing.quotas(d).collect())) == whole
+
+
 def test_mix_on_driver_table(spark):
     got = op3_mix_sources(spark, SF).toPandas()
     docs_ = spark.read.parquet(f"{SF}/documents.parquet").toPandas().set_index("doc_id")

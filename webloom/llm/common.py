@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.session import ensure_checkpoint_dir, scratch_path, ship_package
+from webloom.session import Scratch as _Scratch
+from webloom.session import ensure_checkpoint_dir, ship_package
 
 #: Java pattern of a word: everything between ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -38,51 +37,18 @@ def ascii_lower(col) -> F.Column:
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-class Scratch:
-    """Tables written to the shared folder to cut lineage; they survive the
-    loss of any executor.  ``drop`` deletes a table that a later one replaces."""
+def hash60(text) -> F.Column:
+    """60 bits of the MD5 of a string, as a long that is never negative; null is the empty string."""
+    digest = F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+
+
+class Scratch(_Scratch):
+    """Scratch tables of an operator; makes the session ready for it."""
 
     def __init__(self, spark: SparkSession, name: str):
         prepare(spark)
-        self.spark, self.base, self.n = spark, scratch_path(spark, f"{name}-{uuid.uuid4().hex}"), 0
-        self.paths: dict[int, str] = {}
-
-    def save(self, df: DataFrame) -> DataFrame:
-        self.n += 1
-        path = f"{self.base}/{self.n}"
-        df.write.parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(out)] = path
-        return out
-
-    def drop(self, *tables: DataFrame) -> None:
-        for t in tables:
-            path = self.paths.pop(id(t), None)
-            if path:
-                p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-                p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """Pieces of a key-sorted partition that hold whole groups (often many at
-    once).  Only the group that crosses a batch border is carried over."""
-    rest: list[pd.DataFrame] = []
-    for pdf in batches:
-        if not len(pdf):
-            continue
-        k = pdf[keys].to_numpy()
-        same = (k == k[-1]).all(axis=1)
-        first = int(len(same) - np.argmin(same[::-1])) if not same.all() else 0
-        if rest and not (rest[-1][keys].iloc[-1].to_numpy() == k[0]).all():
-            yield pd.concat(rest, ignore_index=True)
-            rest = []
-        if first:
-            yield pd.concat([*rest, pdf.iloc[:first]], ignore_index=True) if rest else pdf.iloc[:first]
-            rest = [pdf.iloc[first:]]
-        else:
-            rest.append(pdf)
-    if rest:
-        yield pd.concat(rest, ignore_index=True)
+        super().__init__(spark, name)
 
 
 def cut_points(*columns: np.ndarray) -> np.ndarray:
@@ -118,9 +84,21 @@ def mix64(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def utf8(texts: pa.Array) -> list[bytes]:
-    """The texts as UTF-8; null is empty."""
-    return [b or b"" for b in texts.cast(pa.binary()).to_pylist()]
+#: Rows of a batch that are worked on at a time; results are handed on piece by piece.
+PIECE_ROWS = 1024
+
+
+def in_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Short slices of the batches, so that a task holds little besides them."""
+    for b in batches:
+        for i in range(0, b.num_rows, PIECE_ROWS):
+            yield b.slice(i, PIECE_ROWS)
+
+
+def utf8(texts: pa.Array) -> Iterator[bytes]:
+    """The texts as UTF-8, one at a time; null is empty."""
+    for x in texts.cast(pa.binary()):
+        yield x.as_py() or b""
 
 
 def with_columns(batch: pa.RecordBatch, keep: list[str], **columns: pa.Array) -> pa.RecordBatch:

@@ -87,3 +87,67 @@ FROM said j JOIN s{steps} s ON s.host = j.host"""
 
 
 ORACLE["op10_filter_urls"] = _op10()
+
+
+_BITS60 = "('0x' || substr(md5({0}), 1, 15))::BIGINT"
+
+ORACLE["op3_mix_sources"] = f"""
+WITH docs AS (
+  SELECT doc_id, source, CAST(len({_WORDS.format('text')}) AS BIGINT) AS size,
+         {_BITS60.format("'20240:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))")} AS key
+  FROM documents),
+sources AS (
+  SELECT source, sum(size) AS size, 2.0::DOUBLE * sum(size) AS cap,
+         [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w FROM docs GROUP BY source),
+ranked AS (  -- the sources that stop at their cap are the first in this order
+  SELECT *, sum(cap) OVER o AS caps, sum(w) OVER () - sum(w) OVER o AS rest_w,
+         row_number() OVER (ORDER BY cap / w, source) AS k, lead(cap / w) OVER (ORDER BY cap / w, source) AS next
+  FROM sources WINDOW o AS (ORDER BY cap / w, source ROWS UNBOUNDED PRECEDING)),
+steps AS (
+  SELECT 0 AS k, (SELECT 1.5 * sum(size) / sum(w) FROM sources) AS level, (SELECT min(cap / w) FROM sources) AS next
+  UNION ALL SELECT k, CASE WHEN rest_w > 0 THEN ((SELECT 1.5 * sum(size) FROM sources) - caps) / rest_w END, next FROM ranked),
+found AS (SELECT level FROM steps WHERE next IS NULL OR level <= next ORDER BY k LIMIT 1),
+goals AS (
+  SELECT source, size AS source_size, least(cap, coalesce(w * (SELECT level FROM found), cap)) AS target FROM sources),
+placed AS (
+  SELECT d.doc_id, d.size, g.source_size, g.target, CAST(floor(g.target + 0.5) AS BIGINT) AS quota,
+         coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM docs d JOIN goals g ON d.source IS NOT DISTINCT FROM g.source),
+epochs AS (SELECT *, CASE WHEN source_size > 0 THEN quota // source_size ELSE 0 END AS whole FROM placed)
+SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, round(target, 6) AS target,
+       CAST(whole * size + least(greatest(quota - whole * source_size - before, 0), size) AS BIGINT) AS taken
+FROM epochs"""
+
+_STEP = "CASE WHEN {0} & 1 = 1 THEN xor({0} >> 1, 3988292384) ELSE {0} >> 1 END"
+
+
+def _crc_table() -> str:
+    """CRC-32 of every byte: eight shifts with the reversed polynomial 0xEDB88320."""
+    steps = ["SELECT i, i::BIGINT AS v FROM range(256) AS r(i)"]
+    for _ in range(8):
+        steps.append(f"SELECT i, {_STEP.format('v')} AS v FROM ({steps[-1]})")
+    return f"SELECT list(v ORDER BY i) AS t FROM ({steps[-1]})"
+
+
+ORACLE["op4_shard_documents"] = f"""
+WITH crc AS MATERIALIZED ({_crc_table()}),
+docs AS (
+  SELECT doc_id, CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS size, {_BITS60.format("coalesce(text, '')")} AS k,
+         hex(encode(coalesce(text, ''))) AS hx FROM documents),
+upto AS (SELECT *, sum(size) OVER (ORDER BY k, doc_id ROWS UNBOUNDED PRECEDING) AS s, sum(size) OVER () AS total FROM docs),
+cuts AS (
+  SELECT j, arg_min(k, (k, doc_id)) AS k, arg_min(doc_id, (k, doc_id)) AS id
+  FROM upto, unnest(range(1, 8)) AS g(j) WHERE s - size / 2.0 >= total * j // 8 GROUP BY j),
+groups AS (
+  SELECT c.j, c.k, c.id, sum(d.size) AS a, coalesce(sum(d.size) FILTER (d.doc_id < c.id), 0) AS low
+  FROM cuts c JOIN docs d ON d.k = c.k GROUP BY c.j, c.k, c.id),
+moved AS (
+  SELECT j, CASE WHEN a > 0.02 * (SELECT sum(size) FROM docs) / 8 OR low * 2 <= a THEN k ELSE k + 1 END AS k,
+         CASE WHEN a > 0.02 * (SELECT sum(size) FROM docs) / 8 THEN id ELSE -9223372036854775808 END AS id
+  FROM groups),
+placed AS (
+  SELECT doc_id, size, k, hx, CAST((SELECT count(*) FROM moved m WHERE (m.k, m.id) <= (d.k, d.doc_id)) AS INTEGER) AS shard FROM docs d)
+SELECT doc_id, size, xor(list_reduce(list_transform(regexp_extract_all(hx, '..'), lambda h: ('0x' || h)::BIGINT),
+         lambda acc, x: xor(acc >> 8, t[(xor(acc, x) & 255) + 1]), 4294967295::BIGINT), 4294967295::BIGINT) AS text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY k, doc_id) - 1 AS slot, NULL::INTEGER AS grown_shard
+FROM placed, crc"""

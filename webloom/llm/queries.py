@@ -29,7 +29,7 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document."""
     from webloom.llm.mixing import quotas
-    return quotas(load(spark, sf_dir, "documents"))
+    return quotas(load(spark, sf_dir, "documents")).withColumn("target", F.round("target", 6))
 
 
 def op4_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Sharding by sampled splitters; the shards' bytes are near equal.
 
-Records are ordered by (hash of the text, doc_id), so copies lie side by side.
+Records are ordered by (60 bits of the text's MD5, doc_id), so copies lie side by side.
 A size-weighted sample of keys gives quantile boundaries of many small ranges;
 ranges that turn out overfull are sampled again and subdivided, down to single
 keys.  Exact sums per range then place the cuts between shards; a cut that
@@ -22,10 +22,11 @@ from __future__ import annotations
 from bisect import bisect_right
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from webloom.llm.common import Scratch
+from webloom.llm.common import Scratch, hash60
 
 RANGE_ROWS = 100_000
 MIN_RANGES, MAX_RANGES = 128, 16_384
@@ -39,7 +40,7 @@ _LEAST = -(2 ** 63)
 def _keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.withColumns({
-        "_sh_size": (F.octet_length(text) + 1).cast("long"), "_sh_k": F.xxhash64(text),
+        "_sh_size": (F.octet_length(text) + 1).cast("long"), "_sh_k": hash60(text),
         "_sh_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST))})
 
 
@@ -49,19 +50,18 @@ def _range_of(df: DataFrame, splits: list[tuple[int, int]]) -> DataFrame:
     ids = np.array([i for _, i in splits], dtype=np.int64)
 
     @F.pandas_udf("int")
-    def find(k, i):
+    def find(k: pd.Series, i: pd.Series) -> pd.Series:
         k, i = k.to_numpy(), i.to_numpy()
         low, high = np.searchsorted(ks, k, "left"), np.searchsorted(ks, k, "right")
         for at in np.unique(low[high > low]):  # a text whose copies hold a splitter
             rows = np.flatnonzero((low == at) & (high > low))
             low[rows] = at + np.searchsorted(ids[at:high[rows[0]]], i[rows], "right")
-        return type_(low.astype(np.int32))
+        return pd.Series(low.astype(np.int32))
 
-    from pandas import Series as type_
     return df.withColumn("_sh_range", find("_sh_k", "_sh_id"))
 
 
-def _sample(keys: DataFrame, ranges: DataFrame | None, rate: float, salt: int) -> list:
+def _sample(keys: DataFrame, rate: float, salt: int) -> list:
     """Keys drawn with probability size x rate (at most 1), as (range, k, id, weight)."""
     u = (F.xxhash64("_sh_k", "_sh_id", F.lit(salt)).cast("double") + 2.0 ** 63) / 2.0 ** 64
     return [(r[0], r[1], r[2], max(r[3], 1 / rate)) for r in
@@ -86,7 +86,7 @@ def plan(keys: DataFrame, n_shards: int) -> tuple[list[tuple[int, int]], list[tu
     if not rows:
         return [], []
     n = min(MAX_RANGES, max(MIN_RANGES, -(-rows // RANGE_ROWS)))
-    splits = _quantiles(_sample(keys.withColumn("_sh_range", F.lit(0)), None, n * PER_RANGE / total, 0), n)
+    splits = _quantiles(_sample(keys.withColumn("_sh_range", F.lit(0)), n * PER_RANGE / total, 0), n)
     sums: dict[int, tuple] = {}
     for turn in range(1, MAX_ROUNDS + 1):
         placed = _range_of(keys, splits)
@@ -96,7 +96,7 @@ def plan(keys: DataFrame, n_shards: int) -> tuple[list[tuple[int, int]], list[tu
         if not full or turn == MAX_ROUNDS:
             break
         parts = {r: int(np.ceil(2 * sums[r][1] * n / total)) for r in full}
-        drawn = _sample(placed.filter(F.col("_sh_range").isin(full)), None, 2 * n * PER_RANGE / total, turn)
+        drawn = _sample(placed.filter(F.col("_sh_range").isin(full)), 2 * n * PER_RANGE / total, turn)
         more = {tuple(sums[r][4]) for r in full}
         for r in full:
             more |= set(_quantiles([x for x in drawn if x[0] == r], parts[r]))
@@ -134,7 +134,7 @@ def _cut(keys, splits, sums, total, n_shards):
         for j, c in cuts.items():
             if c and (got[f"a{j}"] or 0) <= GROUP_SHARE * total / n_shards:
                 low = (got[f"l{j}"] or 0) * 2 <= (got[f"a{j}"] or 0)
-                cuts[j] = (c[0], _LEAST) if low or c[0] == 2 ** 63 - 1 else (c[0] + 1, _LEAST)
+                cuts[j] = (c[0], _LEAST) if low else (c[0] + 1, _LEAST)
     inner = sorted(c for c in cuts.values() if c)
     splits[:] = sorted(set(splits) | set(inner))
     counts = dict(_range_of(keys, splits).groupBy("_sh_range").count().collect())
