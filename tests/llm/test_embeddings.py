@@ -61,17 +61,17 @@ def test_groups_chains_and_edge_cases(spark):
     rows |= {9000: None, 9001: [], 9002: [0.0] * 16, 9003: [1.0, None] * 8, 9004: [float("nan")] * 16, 9005: [float("inf")] * 16,
              9006: [1e-200] * 16, 9007: [1e200] * 16}
     d = spark.createDataFrame([(i, v, 0) for i, v in rows.items()] + [(0, rows[0], 0)], "vec_id long, embedding array<double>, n_links int")
-    got, want = result(embeddings.near_duplicates(d)), brute({i: v for i, v in rows.items() if i < 9006})
+    got, want = result(embeddings.near_duplicates(d, rounds=2)), brute({i: v for i, v in rows.items() if i < 9006})
     have = sum(min(got[i][0], want[i][0]) for i in want)
     assert all(got[i][0] <= want[i][0] for i in want) and have >= 0.99 * sum(w[0] for w in want.values())
     assert np.mean([got[i][1:] == want[i][1:] for i in want]) >= 0.99
     assert got[9006][:2] == (1, 9006) and got[9007][:2] == (1, 9006) and len(got) == len(rows)
-    assert embeddings.near_duplicates(d.limit(0)).count() == 0
+    assert embeddings.near_duplicates(d.limit(0), rounds=1).count() == 0
 
 
 def test_null_id_and_lone_vector(spark):
     d = spark.createDataFrame([(None, [1.0, 0.0]), (4, [1.0, 0.0]), (5, [1.0, 0.0, 0.0])], "vec_id long, embedding array<float>")
-    assert result(embeddings.near_duplicates(d)) == {None: (0, None, False), 4: (0, 4, True), 5: (0, 5, True)}
+    assert result(embeddings.near_duplicates(d, rounds=1)) == {None: (0, None, False), 4: (0, 4, True), 5: (0, 5, True)}
 
 
 @pytest.mark.parametrize("k", [2, 5])

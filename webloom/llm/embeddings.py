@@ -29,6 +29,8 @@ unlinked and not kept; an empty table gives no rows; extra columns are not read.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, Window
@@ -61,6 +63,7 @@ def _angle(cos: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(cos, -1.0, 1.0))
 
 
+@lru_cache(maxsize=64)
 def _planes(dim: int, bits: int, turn: int) -> np.ndarray:
     return np.random.default_rng([SEED, turn, bits]).standard_normal((dim, bits))
 
@@ -94,17 +97,9 @@ def _balls(rows: DataFrame, scratch: Scratch, n: int, half: float, rounds: int)
     def place(turn):
         def run(batches):
             for b in batches:
-                keys = []
-                for v in b.column("v").to_pylist():
-                    x = np.frombuffer(v)
-                    keys.append(int(((x @ _plane(len(x), turn)) > 0) @ weights))
+                keys = [int(((x @ _planes(len(x), bits, turn)) > 0) @ weights) for x in map(np.frombuffer, b.column("v").to_pylist())]
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys, pa.int64())], [*b.schema.names, "bucket"])
-        weights, cache = 1 << np.arange(bits), {}
-
-        def _plane(dim, turn):
-            if dim not in cache:
-                cache[dim] = _planes(dim, bits, turn)
-            return cache[dim]
+        weights = 1 << np.arange(bits)
         return run
 
     def near(batches):
@@ -132,13 +127,12 @@ def _balls(rows: DataFrame, scratch: Scratch, n: int, half: float, rounds: int)
         moved = paired.mapInArrow(near, schema).select(
             "vec_id", "v", "dim", F.when(moves, F.col("p")).otherwise(F.col("ball")).alias("ball"),
             F.when(moves, F.col("far")).otherwise(F.col("angle")).alias("angle"))
-        # a centre may have joined another ball in the same step as it got members: they are alone again
         moved = scratch.save(moved)
+        # a centre may have joined another ball in the step in which it got members: those are alone again
         centres = moved.filter("vec_id = ball").select(F.col("ball").alias("c"))
         old, now = now, scratch.save(moved.join(scratch.save(centres), F.col("ball") == F.col("c"), "left").select(
             "vec_id", "v", "dim", F.coalesce("c", "vec_id").alias("ball"), F.when(F.col("c").isNull(), 0.0).otherwise(F.col("angle")).alias("angle")))
         scratch.drop(old, keyed, moved)
-    # whoever lost its centre is alone
     return now
 
 
@@ -173,7 +167,7 @@ def _joined(keys: list[str], k: int | None):
     """Groups of a sorted partition -> (u, v, d)."""
     def run(batches):
         rest = None
-        for b in [*_with_end(batches)]:
+        for b in _with_end(batches):
             t = b if rest is None else (rest if b is None else pa.Table.from_batches([*rest.to_batches(), *b.to_batches()]))
             if t is None or not t.num_rows:
                 continue
@@ -247,8 +241,7 @@ def descend(nodes: DataFrame, scratch: Scratch, n: int, theta: float, k: int, li
     lists = scratch.save(_best(extra if lists is None else extra.unionByName(lists.withColumn("new", F.lit(True))), None, k))
     limits = None
     for step in range(MAX_STEPS):
-        most = F.count(F.lit(1)) if limits is None else F.count(F.lit(1))
-        own = lists.groupBy("u").agg(most.alias("have"), F.max("d").alias("far"))
+        own = lists.groupBy("u").agg(F.count(F.lit(1)).alias("have"), F.max("d").alias("far"))
         own = own if limits is None else own.join(limits, "u", "left")
         room = F.coalesce("k", F.lit(k)) if limits is not None else F.lit(k)
         full = F.col("have") >= room
