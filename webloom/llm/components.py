@@ -1,7 +1,7 @@
 """Connected components of a link table.
 
-Each round first joins what one partition's links show alone (union-find over
-that partition's links only), then contracts: every node points to its smallest
+First each batch of links is joined by itself (union-find over the batch
+only).  Each round then contracts: every node points to its smallest
 neighbour, pointers are jumped to the end, links are renamed and made distinct.
 The number of links at least halves with every round.  Tables are cut from
 their lineage in the shared folder; both sides of every join are plain tables
@@ -11,16 +11,12 @@ there, so adaptive execution can split a hot root.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from webloom.llm.common import Scratch
 
-#: Links that a partition joins at a time.
-_PIECE = 1 << 20
-
-
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(node, smallest node of its tree) of the links a-b, roots left out."""
     nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
@@ -38,11 +34,9 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _joined(batches):
-    for pdf in batches:
-        a, b = pdf["a"].to_numpy(), pdf["b"].to_numpy()
-        for i in range(0, len(a), _PIECE):
-            node, root = forest(a[i:i + _PIECE], b[i:i + _PIECE])
-            yield pd.DataFrame({"a": node, "b": root})
+    for batch in batches:
+        node, root = forest(batch.column("a").to_numpy(), batch.column("b").to_numpy())
+        yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(root)], ["a", "b"])
 
 
 def _flat(parents: DataFrame, scratch: Scratch) -> DataFrame:
@@ -64,7 +58,7 @@ def connected_components(links: DataFrame, scratch: Scratch) -> DataFrame:
     ``links`` (a long, b long; self links and repeats allowed, nulls are not
     links) that is not its component's smallest."""
     edges = scratch.save(links.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
-                         .filter("a <> b").mapInPandas(_joined, "a long, b long"))
+                         .filter("a <> b").mapInArrow(_joined, "a long, b long"))
     maps = []
     while edges.take(1):
         smaller = (edges.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("parent"))

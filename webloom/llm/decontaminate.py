@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webloom.llm.common import mix64, prepare, utf8, word_hashes
+from webloom.llm.common import mix64, in_pieces, prepare, utf8, word_hashes
 
 #: Positions that a mask looks at, of weight six (fixed values).
 MASKS = ((0, 2, 3, 4, 8, 9), (0, 3, 6, 7, 9, 10), (0, 1, 3, 5, 8, 10), (0, 4, 5, 6, 7, 9))
@@ -152,7 +152,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WOR
     def matcher(shared):
         def run(batches):
             block = shared.value
-            for b in batches:
+            for b in in_pieces(batches):
                 at, found = [], []
                 for k, text in enumerate(utf8(b.column("text"))):
                     for item, equal, length, start in block.matches(words_of(text), min_words, similarity):
@@ -177,7 +177,7 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, min_words: int =
     def cleaner(shared):
         def run(batches):
             block = shared.value
-            for b in batches:
+            for b in in_pieces(batches):
                 keep = [not block.matches(words_of(t), min_words, similarity) for t in utf8(b.column("text"))]
                 yield b.filter(pa.array(keep, pa.bool_()))
         return run

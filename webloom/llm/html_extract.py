@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webloom.llm import boosting, dom
-from webloom.llm.common import prepare, with_columns
+from webloom.llm.common import in_pieces, prepare, with_columns
 
 TRAINING_PAGES = 400
 SEED = 5
@@ -166,7 +166,7 @@ def main_texts(pages: DataFrame, model: boosting.Boosted | None = None) -> DataF
     shared = spark.sparkContext.broadcast(model or train())
 
     def run(batches):
-        for b in batches:
+        for b in in_pieces(batches):
             htmls = [h or "" for h in b.column("html").to_pylist()]
             texts = [t for i in range(0, len(htmls), 256) for t in extract(htmls[i:i + 256], shared.value)]
             yield with_columns(b, ["page_id", "url"], text=pa.array(texts, pa.string()), n_chars=pa.array([len(t) for t in texts], pa.int64()))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webloom.llm.common import prepare, utf8, with_columns, word_bounds, word_hashes
+from webloom.llm.common import in_pieces, prepare, utf8, with_columns, word_bounds, word_hashes
 
 GRAMS = (1, 2, 3, 4)
 BUCKETS = 1 << 18
@@ -114,7 +114,7 @@ def hinge(rows: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, cost:
     sign = np.where(y == 1, 1.0, -1.0)
     upper = cost * len(y) / (2 * np.where(y == 1, y.sum(), len(y) - y.sum()))
     alpha, w, bias = np.zeros(len(y)), np.zeros(BUCKETS), 0.0
-    norm = np.array([v @ v for v in values]) + 1.0
+    norm = np.array([float(v @ v) for v in values]) + 1.0
     rng = np.random.default_rng(0)
     for _ in range(epochs):
         worst = 0.0
@@ -165,7 +165,7 @@ def fit(rows: list[np.ndarray], y: np.ndarray, check: np.ndarray) -> Model:
     ratio = log_count_ratio([rows[i] for i in learn], y[learn])
     squares = ratio ** 2
     prior = PRIOR * float(np.median([squares[rows[i]].sum() for i in learn])) + 1e-9
-    values = [ratio[r] / np.sqrt(squares[r].sum() + prior) for r in (rows[i] for i in learn)]
+    values = [(ratio[r] / np.sqrt(squares[r].sum() + prior)).astype(np.float32) for r in (rows[i] for i in learn)]
     w, bias = hinge([rows[i] for i in learn], values, y[learn])
     model = Model((ratio * w).astype(np.float32), squares.astype(np.float32), bias, 1.0, 0.0, prior)
     seen = np.flatnonzero(check) if check.any() else learn
@@ -190,15 +190,24 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     def grams(batches):
         of = Grams()
-        for b in batches:
+        for b in in_pieces(batches):
             found = [of(t).astype(np.int32) for t in utf8(b.column("text"))]
             yield with_columns(b, ["_q_id", "_q"], grams=pa.array([f.tobytes() for f in found], pa.binary()))
 
     got = rows.select("_q_id", "_q", "text").mapInArrow(grams, "_q_id long, _q int, grams binary").toArrow()
-    got = got.sort_by([("_q_id", "ascending"), ("grams", "ascending")])
     ids, y = got.column("_q_id").to_numpy(), got.column("_q").to_numpy()
-    sets = [np.frombuffer(g, dtype=np.int32) for g in got.column("grams").to_pylist()]
-    return fit(sets, y, ids % 5 == 3)
+    sets = [s for chunk in got.column("grams").chunks for s in _views(chunk)]
+    order = sorted(range(len(ids)), key=lambda i: (ids[i], len(sets[i]), sets[i][:50].tolist()))
+    return fit([sets[i] for i in order], y[order], ids[order] % 5 == 3)
+
+
+def _views(chunk: pa.Array) -> list[np.ndarray]:
+    """The n-gram sets in a chunk, without copies."""
+    _, offsets, data = chunk.buffers()
+    at = np.frombuffer(offsets, dtype=np.int32)[chunk.offset:chunk.offset + len(chunk) + 1]
+    if data is None:
+        return [np.zeros(0, dtype=np.int32)] * len(chunk)
+    return [np.frombuffer(data, dtype=np.int32, count=(b - a) // 4, offset=a) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
 
 
 def _scores(model):
@@ -212,7 +221,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches):
         of = _scores(shared)
-        for b in batches:
+        for b in in_pieces(batches):
             yield with_columns(b, ["doc_id", "held_out"], score=pa.array(of(b)))
     rows = docs.select("doc_id", held_out().alias("held_out"), "text")
     return rows.mapInArrow(run, "doc_id long, held_out boolean, score double")
@@ -224,6 +233,6 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Da
 
     def run(batches):
         of = _scores(shared)
-        for b in batches:
+        for b in in_pieces(batches):
             yield b.filter(pa.array(of(b) >= threshold))
     return docs.mapInArrow(run, docs.schema)

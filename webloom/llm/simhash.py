@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webloom.llm.common import Scratch, utf8, with_columns
+from webloom.llm.common import Scratch, in_pieces, utf8, with_columns
 from webloom.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -69,7 +69,7 @@ def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, fp long) of every row."""
     def run(batches):
-        for b in batches:
+        for b in in_pieces(batches):
             fp = np.array([fingerprint(t, shingle_words) for t in utf8(b.column("text"))], dtype=np.uint64)
             yield with_columns(b, ["doc_id"], fp=pa.array(fp.view(np.int64)))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
@@ -198,9 +198,13 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, distanc
 def keep_one(docs: DataFrame, **how) -> DataFrame:
     """``docs`` without near-duplicates: of each component, the row of its smallest
     doc_id stays (one row of it, if that doc_id repeats); rows without a doc_id stay."""
-    found = near_duplicates(docs, **how)
-    kept = (found.filter("component_id = doc_id").select("doc_id").distinct()
-            .withColumnRenamed("doc_id", "_sim_id"))
-    named = docs.filter("doc_id IS NOT NULL")
-    first = named.join(kept, named.doc_id == F.col("_sim_id"), "left_semi").dropDuplicates(["doc_id"])
-    return first.unionByName(docs.filter("doc_id IS NULL"))
+    found = near_duplicates(docs, **how).filter("component_id = doc_id")
+    kept = Scratch(docs.sparkSession, "simhash-kept").save(
+        found.groupBy("doc_id").agg((F.count(F.lit(1)) > 1).alias("_sim_again")).withColumnRenamed("doc_id", "_sim_id"))
+    # rows stream past a hash table of the ids: texts are shuffled once and not sorted
+    own = lambda again: docs.join(kept.filter(F.col("_sim_again") == again).hint("shuffle_hash"),
+                                  docs.doc_id == F.col("_sim_id"), "left_semi")
+    out = own(False).unionByName(docs.filter("doc_id IS NULL"))
+    if kept.filter("_sim_again").take(1):  # doc_ids that repeat need one of their rows
+        out = out.unionByName(own(True).dropDuplicates(["doc_id"]))
+    return out

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webloom.llm.common import Runs, Scratch, utf8, with_columns, word_hashes
+from webloom.llm.common import Runs, Scratch, in_pieces, utf8, with_columns, word_hashes
 
 WINDOW = 50
 SEED = 20
@@ -109,7 +109,7 @@ def _digest(words: list[bytes]) -> str:
 
 def _survey(window: int, seed: int):
     def run(batches):
-        for b in batches:
+        for b in in_pieces(batches):
             at, cols = [], [[] for _ in range(6)]
             for k, text in enumerate(utf8(b.column("text"))):
                 words = word_hashes(text)
@@ -141,7 +141,7 @@ def _some(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
     def run(batches):
         bits = np.unpackbits(shared.value.view(np.uint8), bitorder="little").astype(bool)
-        for b in batches:
+        for b in in_pieces(batches):
             b = b.filter(pa.array(bits[b.column("_place").to_numpy()]))
             own = pa.array([_text_hash(t) for t in utf8(b.column("text"))], pa.int32())
             yield with_columns(b, ["doc_id", "text"], t=own)
@@ -151,7 +151,7 @@ def _some(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def _windows(window: int):
     def run(batches):
-        for b in batches:
+        for b in in_pieces(batches):
             out = []
             for text, doc, todo in zip(utf8(b.column("text")), b.column("doc_id").to_pylist(), b.column("todo").to_pylist()):
                 words = word_hashes(text)
@@ -170,7 +170,7 @@ def _windows(window: int):
 
 def _parse(window: int):
     def run(batches):
-        for b in batches:
+        for b in in_pieces(batches):
             counts, removed, shas, spans = [], [], [], []
             for text, pieces in zip(utf8(b.column("text")), b.column("pieces").to_pylist()):
                 words = text.split()
