@@ -68,4 +68,4 @@ def test_runs_from_another_working_directory(tmp_path):
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True,
                          timeout=600, env={k: v for k, v in os.environ.items() if k != "PYTHONPATH"})
     assert out.returncode == 0, out.stderr[-2000:]
-    assert "ENTRY 20" in out.stdout and "WARC 50" in out.stdout
+    assert "ENTRY 16" in out.stdout and "WARC 50" in out.stdout
