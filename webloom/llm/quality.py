@@ -103,8 +103,9 @@ class Model:
 
 
 def log_count_ratio(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
-    counts = [np.bincount(np.concatenate([r for r, t in zip(rows, y) if t == c] or [np.zeros(0, int)]),
-                          minlength=BUCKETS) + SMOOTHING for c in (0, 1)]
+    counts = np.full((2, BUCKETS), SMOOTHING)
+    for r, t in zip(rows, y):
+        counts[t, r] += 1  # a set: each n-gram once
     return np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
 
 
