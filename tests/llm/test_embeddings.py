@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 
 from webloom.llm import embeddings
+from webloom.llm.common import Scratch
 from webloom.llm.queries import op6_embedding_near_dedup
 
 
@@ -85,3 +86,27 @@ def test_leaf_pairs_are_the_nearest(k):
     np.fill_diagonal(full, 9)
     for i in range(30):
         assert np.allclose(np.sort(d[u == i]), np.sort(full[i])[:k], atol=1e-3)
+
+
+def planted(n, pairs, dim=64, seed=9):
+    """Random unit vectors, the first 2 x ``pairs`` of them isolated pairs just inside the link angle."""
+    rng = np.random.default_rng(seed)
+    x = rng.standard_normal((n, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    side = rng.standard_normal((pairs, dim))
+    side -= (side * x[:pairs]).sum(1, keepdims=True) * x[:pairs]
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    x[pairs:2 * pairs] = 0.92 * x[:pairs] + np.sqrt(1 - 0.92 ** 2) * side
+    return x
+
+
+def test_first_descent_crosses_leaves(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "LEAF", 32)  # 256 leaves
+    n, pairs = 6000, 300
+    x = planted(n, pairs)
+    q = np.round(x * (127 / np.abs(x).max(1, keepdims=True))).astype(np.int8)
+    nodes = spark.createDataFrame([(i, 0.0, bytearray(v.tobytes())) for i, v in enumerate(q)], "x long, r float, q binary")
+    lists = embeddings.descend(nodes, Scratch(spark, "t"), n, float(np.arccos(0.9)), 10)
+    near = {(r.u, r.v) for r in lists.filter("d < 0.5").collect()}
+    met = np.mean([(i, i + pairs) in near or (i + pairs, i) in near for i in range(pairs)])
+    assert met >= 0.9

@@ -7,7 +7,9 @@
    the centre of its largest ball, and near vectors move to that ball if it is
    larger than their own.  What stays alone is a ball of radius 0.
 2. NN-descent over the balls, by angle between centres less both radii: neighbour
-   lists begin with the exact neighbours inside random-projection leaves, then
+   lists begin with the nearest inside the leaves of several independent random
+   projections and, for the first step, random balls of other leaves, so that the
+   graph is connected across leaves (one projection's lists never leave a leaf); then
    every ball's neighbours and reverse neighbours are joined with each other
    (pairs with a new entry only) until few lists change.  A list whose entries
    are all links is saturated and is doubled.  A ball that many lists name has its
@@ -43,6 +45,8 @@ COSINE = 0.9
 NEIGHBOURS = 10
 ROUNDS = 6
 LEAF = 256
+TREES = 4
+STRAYS = 4
 MAX_STEPS = 12
 SETTLED = 0.02
 GROUP = 256
@@ -218,27 +222,54 @@ def _best(cand: DataFrame, limits: DataFrame | None, k: int) -> DataFrame:
             .filter(F.col("at") <= F.coalesce("k", F.lit(k))).select("u", "v", "d", "new"))
 
 
-def _leaves(nodes: DataFrame, scratch: Scratch, n: int, k: int, turn: int) -> DataFrame:
-    """Exact neighbours inside random-projection leaves of about LEAF balls, cut further if larger."""
+def _leaves(nodes: DataFrame, scratch: Scratch, n: int, k: int, first: int, trees: int) -> DataFrame:
+    """Exact neighbours inside leaves of about LEAF balls, cut further if larger, of the random projections ``first`` ..."""
     bits = int(np.clip(np.ceil(np.log2(max(1.0, n / LEAF))), 0, 30))
+    at = np.arange(trees, dtype=np.int64) << 32  # each projection has leaves of its own
 
     def run(batches):
+        weights = 1 << np.arange(bits)
         for b in batches:
-            keys = [int(((x @ _planes(len(x), bits, 100 + turn)) > 0) @ (1 << np.arange(bits))) if bits else 0
-                    for x in (np.frombuffer(q, dtype=np.int8).astype(np.float32) for q in b.column("q").to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column("x"), pa.array(keys, pa.int64())], ["x", "leaf"])
+            keys = []
+            for x in (np.frombuffer(q, dtype=np.int8).astype(np.float32) for q in b.column("q").to_pylist()):
+                signs = np.array([(x @ _planes(len(x), bits, 100 + first + t)) > 0 for t in range(trees)]).reshape(trees, bits)
+                keys.append(at + signs @ weights if bits else at)
+            if keys:
+                yield pa.RecordBatch.from_arrays([b.column("x").take(pa.array(np.repeat(np.arange(b.num_rows), trees))),
+                                                  pa.array(np.concatenate(keys), pa.int64())], ["x", "leaf"])
     keyed = scratch.save(nodes.select("x", "q").mapInArrow(run, "x long, leaf long"))
     sizes = scratch.save(keyed.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / (2 * LEAF)).cast("long").alias("parts")))
-    placed = keyed.join(sizes, "leaf").withColumn("part", F.pmod(F.xxhash64("x", F.lit(turn)), F.col("parts"))).drop("parts")
+    placed = keyed.join(sizes, "leaf").withColumn("part", F.pmod(F.xxhash64("x", "leaf", F.lit(first)), F.col("parts"))).drop("parts")
     full = placed.join(nodes, "x").select("leaf", "part", "x", "q", "r", F.lit(float("inf")).cast("float").alias("worst"), F.lit(True).alias("new"))
     return (full.repartition("leaf", "part").sortWithinPartitions("leaf", "part")
             .mapInArrow(_joined(["leaf", "part"], k), "u long, v long, d float").withColumn("new", F.lit(True)))
 
 
-def descend(nodes: DataFrame, scratch: Scratch, n: int, theta: float, k: int, lists: DataFrame | None = None) -> DataFrame:
+def _seeded(nodes: DataFrame, scratch: Scratch, n: int, k: int, lists: DataFrame | None, first: int, trees: int) -> DataFrame:
+    """``lists`` with the neighbours in the leaves of ``trees`` more projections, ``TREES`` at a time."""
+    if n <= LEAF:
+        trees = 1  # one leaf holds all
+    lists = None if lists is None else lists.withColumn("new", F.lit(True))
+    for t in range(0, trees, TREES):
+        extra = _leaves(nodes, scratch, n, k, first + t, min(TREES, trees - t))
+        old, lists = lists, scratch.save(_best(extra if lists is None else extra.unionByName(lists), None, k))
+        if t:
+            scratch.drop(old)
+    return lists
+
+
+def _strays(nodes: DataFrame, n: int, first: int) -> DataFrame:
+    """(w, x, new): some random balls for each ball."""
+    ring = F.floor(F.pmod(F.xxhash64("x", F.lit(first)), F.lit(1 << 40)) / max(1, (1 << 40) * STRAYS // max(1, n)))
+    dealt = nodes.select("x", ring.alias("ring"))
+    return (dealt.select("ring", F.col("x").alias("w")).join(dealt, "ring").filter("w <> x")
+            .select("w", "x", F.lit(True).alias("new")))
+
+
+def descend(nodes: DataFrame, scratch: Scratch, n: int, theta: float, k: int, lists: DataFrame | None = None,
+            first: int = 0, trees: int = TREES) -> DataFrame:
     """Neighbour lists (u, v, d, new) of the balls ``nodes`` (x, q, r)."""
-    extra = _leaves(nodes, scratch, n, k, 0 if lists is None else k)
-    lists = scratch.save(_best(extra if lists is None else extra.unionByName(lists.withColumn("new", F.lit(True))), None, k))
+    lists = _seeded(nodes, scratch, n, k, lists, first, trees)
     limits = None
     for step in range(MAX_STEPS):
         own = lists.groupBy("u").agg(F.count(F.lit(1)).alias("have"), F.max("d").alias("far"))
@@ -251,6 +282,8 @@ def descend(nodes: DataFrame, scratch: Scratch, n: int, theta: float, k: int, li
         limits = state.select("u", "k")
         both = lists.select(F.col("u").alias("w"), F.col("v").alias("x"), "new").unionByName(
             lists.select(F.col("v").alias("w"), F.col("u").alias("x"), "new"))
+        if not step and n > LEAF:
+            both = both.unionByName(_strays(nodes, n, first))
         both = scratch.save(both.groupBy("w", "x").agg(F.max("new").alias("new")))
         parts = scratch.save(both.groupBy("w").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("long").alias("parts"), F.max("new").alias("any"))
                              .filter("any").drop("any"))
@@ -359,9 +392,11 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, neighbours: int
     n = balls.count()
     nodes = scratch.save(balls.select(F.col("ball").alias("x"), F.col("r").cast("float").alias("r"), "v")
                          .mapInArrow(_rounded, "x long, r float, v binary, q binary").drop("v"))
-    lists, k = None, neighbours
+    lists, k, first = None, neighbours, 0
     for turn in range(MAX_AUDITS):
-        lists = descend(nodes, scratch, n, theta, k, lists)
+        trees = TREES << turn
+        lists = descend(nodes, scratch, n, theta, k, lists, first, trees)
+        first += trees
         per_ball, per_vector, edges = _links(members, balls, lists, scratch, theta, cosine)
         linked = scratch.save(
             members.select("vec_id", "ball").join(balls.select("ball", "size", "low"), "ball")
