@@ -110,3 +110,33 @@ def test_first_descent_crosses_leaves(spark, monkeypatch):
     near = {(r.u, r.v) for r in lists.filter("d < 0.5").collect()}
     met = np.mean([(i, i + pairs) in near or (i + pairs, i) in near for i in range(pairs)])
     assert met >= 0.9
+
+
+def frame(spark, x):
+    return spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+
+
+@pytest.mark.parametrize("pairs,hot", [(3, 0), (40, 1500)])
+def test_audit_sees_links_of_few_vectors(spark, monkeypatch, pairs, hot):
+    n = 3000
+    x = planted(n, pairs)
+    if hot:  # a tight group: its links are all inside a ball
+        x[-hot:] = x[-1]
+    seen = []
+
+    def lossy(nodes, scratch, n, theta, k, lists=None, *more):
+        """A descent that proposes none of the planted pairs, then all."""
+        seen.append(k)
+        rows = [(i, i + pairs, 0.0, True) for i in range(pairs)] if len(seen) > 1 else []
+        return nodes.sparkSession.createDataFrame(rows, "u long, v long, d float, new boolean")
+    monkeypatch.setattr(embeddings, "descend", lossy)
+    got = result(embeddings.near_duplicates(frame(spark, x), rounds=1))
+    assert len(seen) == 2 and all(got[i + pairs][:2] == (1, i) for i in range(pairs))
+
+
+def test_recall_below_the_bound_is_an_error(spark, monkeypatch):
+    none = lambda nodes, *more: nodes.sparkSession.createDataFrame([], "u long, v long, d float, new boolean")
+    monkeypatch.setattr(embeddings, "descend", none)
+    monkeypatch.setattr(embeddings, "MAX_TURNS", 2, raising=False)
+    with pytest.raises(RuntimeError, match="recall"):
+        embeddings.near_duplicates(frame(spark, planted(300, 30)), rounds=1)

@@ -17,8 +17,12 @@
    The search uses vectors rounded to bytes; it only proposes.
 3. Links.  Proposed pairs of balls are decided in double precision: all members
    linked, none, or, in between, members compared in chunks.
-4. Audit.  For a bounded sample of vectors all links are counted by brute force;
-   below ``RECALL`` the descent goes on with lists twice as long.
+4. Audit.  Random vectors are compared with all others, block by block, until
+   ``AUDIT`` of them have a link outside their own ball or no vector is left.
+   Recall is the mean over those of the share of such links that was found, so
+   neither vectors without links nor large groups hide what small ones lose.  Below
+   ``RECALL`` the descent goes on with twice the projections (and, ``MAX_AUDITS``
+   times, lists twice as long); after ``MAX_TURNS`` it fails.
 
 No pairs of vectors are ever emitted, only links between balls.  Joins take plain
 tables of the shared folder on both sides, so hot balls can be split.
@@ -54,6 +58,8 @@ CHUNK = 256
 AUDIT = 256
 RECALL = 0.98
 MAX_AUDITS = 4
+AUDIT_BYTES = 1 << 21  # of the vectors that are compared with all others at a time
+MAX_TURNS = 9
 SEED = 77
 _SLACK = 0.03  # of an angle, for vectors rounded to bytes
 
@@ -351,31 +357,51 @@ def _links(members: DataFrame, balls: DataFrame, lists: DataFrame, scratch: Scra
     return scratch.save(per_ball), counted.groupBy("vec_id").agg(F.sum("n").alias("n")), edges
 
 
-def _audit(members: DataFrame, found: DataFrame, n: int, cosine: float) -> float:
-    """Share of the links of a bounded sample of vectors that were found."""
-    u = F.pmod(F.xxhash64("vec_id", F.lit(SEED)), F.lit(1 << 30))
-    rate = min(1.0, AUDIT / max(1, n))
-    asked = members.filter(u < int(rate * (1 << 30))).select("vec_id", "v").limit(4 * AUDIT).collect()
-    if not asked:
+def _outside(members: DataFrame, sizes: DataFrame, n: int, cosine: float) -> list[tuple[int, int, int]]:
+    """(vec_id, size of its ball, links outside it, by brute force) of ``AUDIT`` or a few more random
+    vectors that have such links; of all that have, if there are fewer."""
+    spark = members.sparkSession
+    top = 1 << 40
+    u = F.pmod(F.xxhash64("vec_id", F.lit(SEED)), F.lit(top))
+    widest = members.agg(F.max(F.octet_length("v"))).first()[0]
+    if not widest:
+        return []
+    most = max(AUDIT, AUDIT_BYTES // widest)
+    low, rows, out = 0, AUDIT, []
+    while low < top and len(out) < AUDIT:
+        high = min(top, low + max(1, top * rows // n))
+        asked = members.filter((u >= low) & (u < high)).join(sizes, "ball").select("vec_id", "size", "v").collect()
+        low, rows = high, min(most, 2 * rows)
+        by_dim: dict[int, list] = {}
+        for r in asked:
+            by_dim.setdefault(len(r.v), []).append(r)
+        sample = spark.sparkContext.broadcast({d: (np.array([r.vec_id for r in rs]), np.frombuffer(b"".join(r.v for r in rs)).reshape(len(rs), -1))
+                                               for d, rs in by_dim.items()})
+
+        def run(batches, sample=sample):
+            hits = {d: np.zeros(len(ids), np.int64) for d, (ids, _) in sample.value.items()}
+            for b in batches:
+                vs = b.column("v").to_pylist()
+                for d, (_, q) in sample.value.items():
+                    x = [v for v in vs if len(v) == d]
+                    for i in range(0, len(x), CHUNK):
+                        some = x[i:i + CHUNK]
+                        hits[d] += np.count_nonzero(q @ np.frombuffer(b"".join(some)).reshape(len(some), -1).T >= cosine, axis=1)
+            for d, (ids, _) in sample.value.items():
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hits[d])], ["vec_id", "n"])
+        true = dict(members.select("v").mapInArrow(run, "vec_id long, n long").groupBy("vec_id").agg(F.sum("n")).collect()) if asked else {}
+        out += [(r.vec_id, r.size, true[r.vec_id] - r.size) for r in asked if true[r.vec_id] > r.size]
+        sample.unpersist()
+    return out
+
+
+def _audit(truth: list[tuple[int, int, int]], found: DataFrame) -> float:
+    """Mean share of its links outside its ball that each vector of ``truth`` got."""
+    if not truth:
         return 1.0
-    by_dim: dict[int, tuple[list, list]] = {}
-    for i, v in asked:
-        by_dim.setdefault(len(v) // 8, ([], []))
-        by_dim[len(v) // 8][0].append(i)
-        by_dim[len(v) // 8][1].append(np.frombuffer(v))
-    sample = {d: (np.array(i), np.array(v)) for d, (i, v) in by_dim.items()}
-
-    def run(batches):
-        for b in batches:
-            vs = b.column("v").to_pylist()
-            for d, (ids, q) in sample.items():
-                x = [v for v in vs if len(v) == 8 * d]
-                if x:
-                    hits = (q @ np.frombuffer(b"".join(x)).reshape(len(x), d).T >= cosine).sum(1)
-                    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(hits.astype(np.int64))], ["vec_id", "n"])
-    true = members.select("v").mapInArrow(run, "vec_id long, n long").groupBy("vec_id").agg((F.sum("n") - 1).alias("truth"))
-    have, want = found.join(true, "vec_id").agg(F.sum(F.least("n_links", "truth")), F.sum("truth")).first()
-    return have / want if want else 1.0
+    asked = found.sparkSession.createDataFrame(truth, "vec_id long, size long, truth long")
+    share = F.least(F.col("n_links") - (F.col("size") - 1), F.col("truth")) / F.col("truth")
+    return found.join(F.broadcast(asked), "vec_id").agg(F.avg(share)).first()[0]
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, neighbours: int = NEIGHBOURS, rounds: int = ROUNDS) -> DataFrame:
@@ -392,8 +418,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, neighbours: int
     n = balls.count()
     nodes = scratch.save(balls.select(F.col("ball").alias("x"), F.col("r").cast("float").alias("r"), "v")
                          .mapInArrow(_rounded, "x long, r float, v binary, q binary").drop("v"))
+    truth = _outside(members, balls.select("ball", "size"), members.count(), cosine)
     lists, k, first = None, neighbours, 0
-    for turn in range(MAX_AUDITS):
+    for turn in range(MAX_TURNS):
         trees = TREES << turn
         lists = descend(nodes, scratch, n, theta, k, lists, first, trees)
         first += trees
@@ -402,9 +429,13 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, neighbours: int
             members.select("vec_id", "ball").join(balls.select("ball", "size", "low"), "ball")
             .join(per_ball, "ball", "left").withColumnRenamed("n", "outside").join(per_vector, "vec_id", "left")
             .select("vec_id", "low", (F.col("size") - 1 + F.coalesce("outside", F.lit(0)) + F.coalesce("n", F.lit(0))).alias("n_links")))
-        if _audit(members, linked, members.count(), cosine) >= RECALL or turn == MAX_AUDITS - 1:
+        recall = _audit(truth, linked)
+        if recall >= RECALL:
             break
-        k *= 2
+        if turn < MAX_AUDITS - 1:
+            k *= 2
+    else:
+        raise RuntimeError(f"recall of links is {recall:.4f} after {MAX_TURNS} turns, below {RECALL}")
     low = balls.select("ball", "low")
     edges = (edges.join(low.withColumnRenamed("ball", "a").withColumnRenamed("low", "la"), "a")
              .join(low.withColumnRenamed("ball", "b").withColumnRenamed("low", "lb"), "b"))
