@@ -158,3 +158,19 @@ def test_links_and_verdicts(spark):
     assert got[5].host == "" and got[5].path == "" and got[5].verdict == "allow"
     assert url_filter.filter_urls(pages.limit(0), URL_RULES).count() == 0
     assert url_filter.filter_urls(pages, URL_RULES).count() == 6
+
+
+def test_links_do_not_shrink_distrust(spark):
+    page = lambda host, path, to="": (f"http://{host}{path}", f"<a href='http://{to}/'>x</a>" if to else None)
+    bad = lambda host: [page(host, p) for p in ("/fr/1", "/fr/2", "/es/3", "/x", "/y")]
+    rows = [*bad("alone.net"), *bad("linked.net"), page("fan.org", "/", "linked.net"),
+            *bad("known.net"), page("fine.com", "/", "known.net"), page("half.net", "/fr/1"), page("half.net", "/x"),
+            *bad("ring.net"), page("ring.net", "/fr/2", "friend.org"), page("friend.org", "/", "ring.net")]
+    pages = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string")
+    got = {r.host: r for r in url_filter.filter_urls(pages, URL_RULES).filter("rule IS NULL").collect()}
+    assert {h: r.verdict for h, r in got.items()} == {
+        "alone.net": "block", "linked.net": "block", "fan.org": "allow", "known.net": "block", "half.net": "block",
+        "ring.net": "block", "friend.org": "allow"}
+    for h in ("alone.net", "linked.net", "known.net"):
+        assert got[h].distrust == pytest.approx(0.6)
+    assert all(0 <= x <= 1 for r in got.values() for x in (r.trust, r.distrust))

@@ -5,8 +5,11 @@ seed by the share of its pages that an allow rule covers and a distrusted
 seed by the share that a block rule covers.  Trust is a personalised PageRank
 along the links; distrust is one against them (who links to a blocked host is
 suspect).  A host without arcs in a direction keeps its own mass, so an
-isolated host scores its own shares.  A host is blocked if its distrust
-exceeds its trust and reaches ``threshold``.
+isolated host scores its own shares.  How much mass reaches a host depends on
+its links, so each score is divided by that of a run in which every host is a
+full seed: what remains is the mean share of the hosts that reach it, between 0
+and 1; and no score falls below the host's own share.  A host is blocked if its
+distrust on that scale exceeds its trust and reaches ``threshold``.
 
 DataFrame functions only; the graph holds hosts, not pages, and links are
 counted per (from, to) with a map-side partial sum, so a host with a third of
@@ -30,6 +33,7 @@ DAMPING = 0.85
 THRESHOLD = 0.5
 TOLERANCE = 1e-6
 MAX_STEPS = 50
+_EPS = 1e-9  # of a score, for sums in any order
 
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _LINK = r"""(?i)\bhref\s*+=\s*+["']?\s*+(?:[a-z][a-z0-9+.\-]{0,20}:)?//([^/?#"'\s<>]++)"""
@@ -65,7 +69,8 @@ def host_links(pages: DataFrame) -> DataFrame:
 
 def propagate(seeds: DataFrame, links: DataFrame, scratch: Scratch, damping: float = DAMPING,
               tolerance: float = TOLERANCE, max_steps: int = MAX_STEPS) -> DataFrame:
-    """(host, trust, distrust) from seeds (host, t0, d0) and links (src, dst, n)."""
+    """(host, t0, d0, trust, distrust, most_trust, most_distrust) from seeds (host, t0, d0) and
+    links (src, dst, n); the last two are the scores if all hosts were full seeds."""
     both = links.select(F.col("src").alias("src"), F.col("dst").alias("dst"), F.col("n").cast("double").alias("n"))
     both = scratch.save(both)
     out = scratch.save(both.groupBy("src").agg(F.sum("n").alias("total")))
@@ -82,25 +87,26 @@ def propagate(seeds: DataFrame, links: DataFrame, scratch: Scratch, damping: flo
         .join(out.select(F.col("src").alias("host"), F.lit(True).alias("has_out")), "host", "left")
         .join(into.select(F.col("dst").alias("host"), F.lit(True).alias("has_in")), "host", "left")
         .fillna(False, ["has_out", "has_in"]))
-    scores = scratch.save(nodes.withColumns({"trust": F.col("t0"), "distrust": F.col("d0")}))
+    scores = scratch.save(nodes.withColumns({"trust": F.col("t0"), "distrust": F.col("d0"), "most_trust": F.lit(1.0), "most_distrust": F.lit(1.0)}))
     keep = lambda x, has: F.when(F.col(has), 0.0).otherwise(F.col(x))
+    law = {"trust": ("wt", F.col("t0"), "has_out"), "distrust": ("wd", F.col("d0"), "has_in"),
+           "most_trust": ("wt", F.lit(1.0), "has_out"), "most_distrust": ("wd", F.lit(1.0), "has_in")}
     for _ in range(max_steps if arcs.take(1) else 0):
-        sent = (arcs.join(scores.select(F.col("host").alias("a"), "trust", "distrust"), "a")
+        sent = (arcs.join(scores.select(F.col("host").alias("a"), "trust", "distrust", "most_trust", "most_distrust"), "a")
                 .groupBy(F.col("b").alias("host"))
-                .agg(F.sum(F.col("wt") * F.col("trust")).alias("rt"), F.sum(F.col("wd") * F.col("distrust")).alias("rd")))
+                .agg(*(F.sum(F.col(w) * F.col(x)).alias(f"r_{x}") for x, (w, _, _) in law.items())))
         moved = Observation()
         new = (scores.join(scratch.save(sent), "host", "left")
-               .withColumns({
-                   "t1": (1 - damping) * F.col("t0") + damping * (F.coalesce("rt", F.lit(0.0)) + keep("trust", "has_out")),
-                   "d1": (1 - damping) * F.col("d0") + damping * (F.coalesce("rd", F.lit(0.0)) + keep("distrust", "has_in"))})
-               .observe(moved, F.max(F.greatest(F.abs(F.col("t1") - F.col("trust")),
-                                                F.abs(F.col("d1") - F.col("distrust")))).alias("most"))
-               .select("host", "t0", "d0", "has_out", "has_in", F.col("t1").alias("trust"), F.col("d1").alias("distrust")))
+               .withColumns({f"n_{x}": (1 - damping) * seed + damping * (F.coalesce(f"r_{x}", F.lit(0.0)) + keep(x, has))
+                             for x, (_, seed, has) in law.items()})
+               .observe(moved, F.max(F.greatest(*(F.abs(F.col(f"n_{x}") - F.col(x)) / (F.col(f"n_{x}") if x.startswith("most") else F.lit(1.0))
+                                                  for x in law))).alias("most"))
+               .select("host", "t0", "d0", "has_out", "has_in", *(F.col(f"n_{x}").alias(x) for x in law)))
         old, scores = scores, scratch.save(new)
         scratch.drop(old)
         if (moved.get["most"] or 0.0) < tolerance:
             break
-    return scores.select("host", "trust", "distrust")
+    return scores.select("host", "t0", "d0", *law)
 
 
 def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], threshold: float = THRESHOLD,
@@ -113,7 +119,9 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]], threshold:
     share = lambda v: F.avg((F.coalesce("by_rule", F.lit("")) == v).cast("double"))
     seeds = judged.groupBy("host").agg(share("allow").alias("t0"), share("block").alias("d0"))
     scores = propagate(seeds, host_links(judged), scratch, **how)
-    blocked = (F.col("distrust") > F.col("trust")) & (F.col("distrust") >= threshold)
+    scores = scores.select("host", F.greatest("t0", F.col("trust") / F.col("most_trust")).alias("trust"),
+                           F.greatest("d0", F.col("distrust") / F.col("most_distrust")).alias("distrust"))
+    blocked = (F.col("distrust") > F.col("trust") + _EPS) & (F.col("distrust") >= threshold - _EPS)
     slim = scratch.save(judged.select("page_id", "host", "path", "rule", "by_rule"))
     return (slim.join(scores, "host", "left")
             .select("page_id", "host", "path", "rule",
