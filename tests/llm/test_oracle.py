@@ -23,4 +23,4 @@ def test_query_matches_sql(spark, name, sf):
 
 def test_registry():
     names = [n for n in E.queries() if n.startswith("op")]
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11)) and "pipeline" in E.queries()
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14)) and "pipeline" in E.queries()

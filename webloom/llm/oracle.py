@@ -151,3 +151,52 @@ SELECT doc_id, size, xor(list_reduce(list_transform(regexp_extract_all(hx, '..')
          lambda acc, x: xor(acc >> 8, t[(xor(acc, x) & 255) + 1]), 4294967295::BIGINT), 4294967295::BIGINT) AS text_crc32, 'bytes' AS law, shard,
        row_number() OVER (PARTITION BY shard ORDER BY k, doc_id) - 1 AS slot, NULL::INTEGER AS grown_shard
 FROM placed, crc"""
+
+
+ORACLE["op12_collocations"] = r"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents)),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+phrases AS (
+  SELECT lang, g, count(*) AS f FROM (
+    SELECT lang, w[i:i + k - 1] AS g FROM (
+      SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, unnest(range(1, 6)) AS s(k) WHERE len(w) >= k))
+  GROUP BY lang, g HAVING count(*) >= 100),
+inside AS (
+  SELECT lang, g, max(f) AS longer FROM (
+    SELECT lang, g[:len(g) - 1] AS g, f FROM phrases WHERE len(g) > 2 UNION ALL SELECT lang, g[2:], f FROM phrases WHERE len(g) > 2)
+  GROUP BY lang, g),
+kept AS (
+  SELECT p.lang, p.g, p.f AS a FROM phrases p LEFT JOIN inside i ON p.lang = i.lang AND p.g = i.g
+  WHERE len(p.g) >= 2 AND (i.longer IS NULL OR i.longer < p.f)),
+cuts AS (SELECT lang, g, a, unnest(range(1, len(g))) AS k FROM kept),
+scored AS (
+  SELECT c.lang, c.g, c.a, c.k, l.f AS l, r.f AS r, t.n,
+         CAST((1000::HUGEINT * c.a * t.n) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM cuts c JOIN totals t ON t.lang = c.lang JOIN phrases l ON l.lang = c.lang AND l.g = c.g[:c.k]
+  JOIN phrases r ON r.lang = c.lang AND r.g = c.g[c.k + 1:]),
+best AS (SELECT lang, array_to_string(g, ' ') AS phrase, a, n, arg_min({'l': l, 'r': r, 'score': score}, (score, k)) AS b
+         FROM scored GROUP BY lang, g, a, n),
+ranked AS (
+  SELECT lang, phrase, a, b.l AS l, b.r AS r, n, b.score AS score,
+         row_number() OVER (PARTITION BY lang ORDER BY b.score DESC, a DESC, encode(phrase)) AS rank FROM best)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000"""
+
+
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+ORACLE["op13_rank_documents"] = f"""
+WITH docs AS (SELECT doc_id, {_TERMS} AS ts FROM documents),
+stats AS (SELECT count(*) AS nn, sum(len(ts))::BIGINT AS ll FROM docs WHERE len(ts) > 0),
+tfs AS (SELECT doc_id, n, t, count(*) AS tf FROM (SELECT doc_id, len(ts) AS n, unnest(ts) AS t FROM docs) GROUP BY ALL),
+dfs AS (SELECT t, CAST(floor(1000 * ln((2 * nn + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tfs, stats GROUP BY t, nn),
+items AS (SELECT item_id, t, count(*) AS c FROM (SELECT item_id, unnest({_TERMS}) AS t FROM benchmark) GROUP BY ALL),
+scored AS (
+  SELECT i.item_id, f.doc_id,
+         sum(i.c * d.w * ((1000000000 * f.tf) // (1000 * f.tf + 8 * (25 + (75 * f.n * nn) // ll))))::BIGINT AS score
+  FROM items i JOIN dfs d ON d.t = i.t JOIN tfs f ON f.t = i.t, stats GROUP BY i.item_id, f.doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10"""

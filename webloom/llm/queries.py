@@ -102,7 +102,27 @@ def op10_filter_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(load(spark, sf_dir, "pages"), URL_RULES).drop("trust", "distrust")
 
 
-_QUERIES = [op1_html_extract, op2_simhash_near_dedup, op3_mix_sources, op4_shard_documents, op5_substring_dedup, op6_embedding_near_dedup, op7_chat_format, op8_decontaminate, op9_quality, op10_filter_urls]
+def op11_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every twentieth embedding, by inner product."""
+    from webloom.llm.multi_index import search
+    rows = load(spark, sf_dir, "embeddings")
+    return search(rows, rows.filter("vec_id % 20 = 0"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases of each language that say more than their parts."""
+    from webloom.llm.collocations import collocations
+    return collocations(load(spark, sf_dir, "documents"))
+
+
+def op13_rank_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    from webloom.llm.lexical import rank_documents
+    return rank_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+_QUERIES = [op1_html_extract, op2_simhash_near_dedup, op3_mix_sources, op4_shard_documents, op5_substring_dedup, op6_embedding_near_dedup,
+            op7_chat_format, op8_decontaminate, op9_quality, op10_filter_urls, op11_nearest_vectors, op12_collocations, op13_rank_documents]
 
 
 def _ready(fn):
