@@ -215,7 +215,7 @@ class Prefixes:
 
 
 def _extend(prefixes: Prefixes, dtype):
-    """Counts (prefix of the last level, next word)."""
+    """Counts (prefix of the last level, next word); only a word over the budget can bring a longer prefix over it."""
     def run(batches):
         j = len(prefixes.levels)
         for b in batches:
@@ -224,7 +224,8 @@ def _extend(prefixes: Prefixes, dtype):
                 at, number = prefixes.hot(ids)
                 at, number = at[at + j < n], number[at + j < n]
                 word = ids[at + j]
-                at, number, word = at[word > 0], number[word > 0], word[word > 0]
+                large = prefixes._found(0, np.zeros(len(word), dtype=np.int64), word) >= 0
+                number, word = number[large], word[large]
                 order = np.lexsort((word, number))
                 cut = cut_points(number[order], word[order])
                 yield pa.RecordBatch.from_arrays([pa.array(number[order][cut[:-1]]), pa.array(word[order][cut[:-1]].astype(np.int64)),
