@@ -57,7 +57,8 @@ def test_all_is_found_when_all_is_visited(spark, monkeypatch):
     monkeypatch.setattr(M, "RECALL", 1.0)
     monkeypatch.setattr(M, "CONFIRM", 1.0)
     monkeypatch.setattr(M, "CELL", 8)
-    monkeypatch.setattr(M, "CHUNK", 5)
+    monkeypatch.setattr(M, "PART", 5)
+    monkeypatch.setattr(M, "ASKED", 9)
     monkeypatch.setattr(M, "PACK", 3)
     rng = np.random.default_rng(5)
     x = table(rng, 400, 6).tolist()
@@ -75,7 +76,7 @@ def test_all_is_found_when_all_is_visited(spark, monkeypatch):
 
 def test_heap_visits_cells_in_order():
     rng = np.random.default_rng(1)
-    index = M.Codebooks(rng.standard_normal((5, 2)), rng.standard_normal((7, 3)), 1.0, rng.integers(0, 4, 35))
+    index = M.Codebooks(rng.standard_normal((5, 2)), rng.standard_normal((7, 3)), 1.0, "<f8", rng.integers(0, 4, 35))
     q = rng.standard_normal(4)
     d1, d2 = index.distances(q)
     sums = (d1[:, None] + d2).ravel()

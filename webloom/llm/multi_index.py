@@ -16,11 +16,12 @@ below that bound is never returned.  How large it has to be lies in the data: on
 structure every index has to look at much of the table.
 
 Equal vectors are one entry with its k + 1 smallest ids, which is all that a list of k can
-hold, so a vector that a third of the rows share costs as much as any other.  Entries
-of a cell lie in chunks of about ``CHUNK``, queries of a cell in packs of about
-``PACK``; a chunk meets a pack as two matrices, and a task hands on the k best of each
-query only: no pairs are listed.  Centroids (2 x ``MAX_K``), cell sizes (``MAX_K`` squared) and audit
-queries are all that the driver and the tasks share.
+hold, so a vector that a third of the rows share costs as much as any other.  A cell is
+dealt to parts of about ``PART`` entries and ``ASKED`` queries, so a cell that is large or often
+visited is many tasks' work.  A part's rows come sorted, entries first; its queries then
+meet them as matrices, and a task hands on the k best of each query only: no pairs are
+listed.  Centroids (2 x ``MAX_K``), cell sizes (``MAX_K`` squared) and audit queries are all
+that the driver and the tasks share.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components take no
 part, nor do rows with a null vec_id; vectors of different length do not meet (an index for each
@@ -49,14 +50,20 @@ PER_CENTROID = 64
 TURNS = 10           # of k-means
 AUDIT = 512
 RECALL, CONFIRM = 0.95, 0.93
-CHUNK = 1_024
-PACK = 1_024
+PART = 8_192
+ASKED = 65_536
+PACK = 256           # queries of a batch that visit a cell and travel together
 HELD = 400_000       # results that a task holds before it thins them out
 SEED = 11
 
 
-def valid_vectors(rows: DataFrame) -> DataFrame:
-    """(vec_id, v binary, dim, norm): one row per vec_id with a vector that takes part; v holds doubles."""
+def component_type(rows: DataFrame) -> str:
+    """Vectors are kept in the type they came in: single precision, or else double."""
+    return "<f4" if rows.schema["embedding"].dataType.simpleString() == "array<float>" else "<f8"
+
+
+def valid_vectors(rows: DataFrame, kind: str = "<f8") -> DataFrame:
+    """(vec_id, v binary, dim, norm): one row per vec_id with a vector that takes part."""
     def run(batches):
         for b in batches:
             keep, out, dims, norms = [], [], [], []
@@ -66,7 +73,7 @@ def valid_vectors(rows: DataFrame) -> DataFrame:
                 a = np.array(x, dtype=np.float64) + 0.0  # no negative zeros
                 if np.isfinite(a).all() and a.any():
                     keep.append(i)
-                    out.append(a.tobytes())
+                    out.append(a.astype(kind).tobytes())
                     dims.append(len(x))
                     with np.errstate(over="ignore"):
                         norms.append(float(np.sqrt(a @ a)))
@@ -77,8 +84,8 @@ def valid_vectors(rows: DataFrame) -> DataFrame:
     return one.mapInArrow(run, "vec_id long, v binary, dim int, norm double")
 
 
-def _matrix(column, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column), dtype=np.float64).reshape(-1, dim)
+def _matrix(column, dim: int, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column), dtype=kind).reshape(-1, dim).astype(np.float64)
 
 
 def k_means(x: np.ndarray, k: int, seed: int) -> np.ndarray:
@@ -104,6 +111,7 @@ class Codebooks:
     first: np.ndarray
     second: np.ndarray
     norm: float
+    kind: str
     sizes: np.ndarray
 
     @property
@@ -155,14 +163,14 @@ def _entries(vectors: DataFrame, scratch: Scratch, k: int) -> DataFrame:
                                              F.array_sort(F.collect_list("vec_id")).alias("ids")))
 
 
-def fit(entries: DataFrame, dim: int, n: int, norm: float) -> Codebooks:
+def fit(entries: DataFrame, dim: int, n: int, norm: float, kind: str) -> Codebooks:
     """Codebooks from a bounded sample; cell sizes are still to be counted."""
     k = int(np.clip(np.ceil(np.sqrt(n / CELL)), 1, MAX_K))
     want = min(n, max(SAMPLE, PER_CENTROID * k))
     u = F.pmod(F.xxhash64("v", F.lit(SEED)), F.lit(1 << 40))
     drawn = entries.filter(u < int((1 << 40) * min(1.0, 1.2 * want / n))).select("v").limit(want).collect()
-    index = Codebooks(np.zeros((1, dim // 2)), np.zeros((1, dim - dim // 2 + 1)), norm, np.zeros(1, dtype=np.int64))
-    x = index.lift(_matrix([r[0] for r in drawn], dim))
+    index = Codebooks(np.zeros((1, dim // 2)), np.zeros((1, dim - dim // 2 + 1)), norm, kind, np.zeros(1, dtype=np.int64))
+    x = index.lift(_matrix([r[0] for r in drawn], dim, kind))
     k = min(k, len(x))
     index.first, index.second = k_means(x[:, :dim // 2], k if dim > 1 else 1, 1), k_means(x[:, dim // 2:], k, 2)
     return index
@@ -171,7 +179,7 @@ def fit(entries: DataFrame, dim: int, n: int, norm: float) -> Codebooks:
 def _in_cells(index: Codebooks, dim: int):
     def run(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(index.cells(_matrix(b.column("v").to_pylist(), dim))), b.column("v"), b.column("ids")],
+            yield pa.RecordBatch.from_arrays([pa.array(index.cells(_matrix(b.column("v").to_pylist(), dim, index.kind))), b.column("v"), b.column("ids")],
                                              ["cell", "v", "ids"])
     return run
 
@@ -224,15 +232,15 @@ def _results(found: Iterator[tuple[np.ndarray, ...]], k: int, names: list[str]):
         yield batch(_thinned(held, k))
 
 
-def _audit(cells: DataFrame, queries: list, dim: int, k: int) -> DataFrame:
+def _audit(cells: DataFrame, queries: list, dim: int, kind: str, k: int) -> DataFrame:
     """(query, vec_id, score, cell): the exact neighbours of a few queries."""
-    own, q = np.array([r[0] for r in queries], dtype=np.int64), _matrix([r[1] for r in queries], dim)
+    own, q = np.array([r[0] for r in queries], dtype=np.int64), _matrix([r[1] for r in queries], dim, kind)
 
     def run(batches):
         def found():
             for b in batches:
                 ids, cell = b.column("ids").to_pylist(), b.column("cell").to_numpy()
-                i, j, s = _best_pairs(q, _matrix(b.column("v").to_pylist(), dim), k + 1)
+                i, j, s = _best_pairs(q, _matrix(b.column("v").to_pylist(), dim, kind), k + 1)
                 yield _spread(own[i], j, s, ids, cell[j])
         yield from _results(found(), k, ["query", "vec_id", "score", "cell"])
     return _top(cells.mapInArrow(run, "query long, vec_id long, score double, cell long"), k)
@@ -254,12 +262,12 @@ def _top(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def calibrate(index: Codebooks, queries: list, truth: list, dim: int) -> tuple[int, float]:
+def calibrate(index: Codebooks, queries: list, truth: list) -> tuple[int, float]:
     """Entries that a query must visit, and the recall this gave on queries that did not set it."""
     found: dict[int, list] = {}
     for r in truth:
         found.setdefault(r["query"], []).append(r["cell"])
-    needs = [(index.ahead(np.frombuffer(v), np.array(found[i])) + 1) for i, v in queries if i in found]
+    needs = [(index.ahead(np.frombuffer(v, dtype=index.kind).astype(np.float64), np.array(found[i])) + 1) for i, v in queries if i in found]
     if not needs:
         return 1, 1.0
 
@@ -273,40 +281,57 @@ def calibrate(index: Codebooks, queries: list, truth: list, dim: int) -> tuple[i
 
 
 def _probes(index: Codebooks, visit: int, dim: int):
-    """Queries packed by the cells they visit."""
+    """Queries packed by the cells they visit: (cell, ids, v), the vectors end to end."""
     def run(batches):
         for b in batches:
             for start in range(0, b.num_rows, PACK):
                 some = b.slice(start, PACK)
-                ids, v = some.column("vec_id").to_numpy(), _matrix(some.column("v").to_pylist(), dim)
-                own = [np.fromiter(index.visited(q, visit), dtype=np.int64) for q in v]
-                row, cell = np.repeat(np.arange(len(v)), [len(x) for x in own]), np.concatenate(own)
+                ids, raw = some.column("vec_id").to_numpy(), some.column("v").to_pylist()
+                own = [np.fromiter(index.visited(q, visit), dtype=np.int64) for q in _matrix(raw, dim, index.kind)]
+                row, cell = np.repeat(np.arange(len(raw)), [len(x) for x in own]), np.concatenate(own)
                 order = np.argsort(cell, kind="stable")
-                cut = cut_points(cell[order])
-                packs = [row[order[i:j]] for i, j in zip(cut[:-1], cut[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(cell[order[cut[:-1]]]), pa.array([len(p) for p in packs], pa.int64()),
-                                                  pa.array([ids[p].tobytes() for p in packs], pa.binary()),
-                                                  pa.array([v[p].tobytes() for p in packs], pa.binary())], ["cell", "n", "qids", "qs"])
+                row, cell = row[order], cell[order]
+                cut = cut_points(cell)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cell[cut[:-1]]), pa.array([b"".join(raw[r] for r in row[i:j]) for i, j in zip(cut[:-1], cut[1:])], pa.binary()),
+                     pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(ids[row]))], ["cell", "v", "ids"])
     return run
 
 
-def _dealt(rows: DataFrame, weight: F.Column, size: int, unit: F.Column, scratch: Scratch, **lists) -> DataFrame:
-    """Rows of a cell gathered into lists of about ``size``; ``unit`` spreads them."""
-    totals = scratch.save(rows.groupBy("cell").agg(F.ceil(F.sum(weight) / size).alias("parts")))
-    return (rows.join(totals, "cell").withColumn("part", F.pmod(unit, F.col("parts"))).groupBy("cell", "part")
-            .agg(*(F.collect_list(x).alias(name) for name, x in lists.items())).drop("part"))
+def _met(cells: DataFrame, probes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(cell, part, asked, kind, v, ids): entries (kind 0) and queries (kind 1), dealt to the parts where they meet."""
+    layout = scratch.save(cells.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / PART).alias("parts"))
+                          .join(probes.groupBy("cell").agg(F.ceil(F.sum(F.size("ids")) / ASKED).alias("turns")), "cell"))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    one = lambda n: F.pmod(F.xxhash64("v"), F.col(n))
+    entries = cells.join(layout, "cell").withColumn("part", one("parts")).withColumn("asked", each("turns"))
+    queries = probes.join(layout, "cell").withColumn("part", each("parts")).withColumn("asked", one("turns"))
+    row = lambda df, kind: df.select("cell", "part", "asked", F.lit(kind).alias("kind"), "v", "ids")
+    return (row(entries, 0).unionByName(row(queries, 1)).repartition("cell", "part", "asked")
+            .sortWithinPartitions("cell", "part", "asked", "kind"))
 
 
-def _rerank(dim: int, k: int):
+def _rerank(dim: int, kind: str, k: int):
     def run(batches):
         def found():
+            key, entries, ids, x = None, [], [], None
             for b in batches:
-                for i in range(b.num_rows):
-                    qids, qs = (b.column(c)[i].as_py() for c in ("qids", "qs"))
-                    own, q = np.frombuffer(b"".join(qids), dtype=np.int64), _matrix(qs, dim)
-                    chunk = b.column("entries")[i].as_py()
-                    rows, cols, s = _best_pairs(q, _matrix([e["v"] for e in chunk], dim), k + 1)
-                    yield _thinned([_spread(own[rows], cols, s, [e["ids"] for e in chunk])], k)
+                cols = [b.column(c).to_numpy() for c in ("cell", "part", "asked", "kind")]
+                cut = cut_points(*cols)
+                for i, j in zip(cut[:-1], cut[1:]):
+                    *here, asks = (int(c[i]) for c in cols)
+                    if here != key:
+                        key, entries, ids, x = here, [], [], None
+                    v, own = b.column("v").slice(i, j - i).to_pylist(), b.column("ids").slice(i, j - i).to_pylist()
+                    if not asks:
+                        entries += v
+                        ids += own
+                        continue
+                    x = _matrix(entries, dim, kind) if x is None else x
+                    for at in range(0, len(v), 4):  # about a thousand queries
+                        query = np.concatenate([np.array(y, dtype=np.int64) for y in own[at:at + 4]])
+                        rows, near, score = _best_pairs(_matrix(v[at:at + 4], dim, kind), x, k + 1)
+                        yield _thinned([_spread(query[rows], near, score, ids)], k)
         yield from _results(found(), k, ["query", "vec_id", "score"])
     return run
 
@@ -314,24 +339,23 @@ def _rerank(dim: int, k: int):
 def search(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score): for each of ``queries`` (vec_id, embedding) the ``k`` rows of
     ``vectors`` with the largest inner product, the row of the query's own vec_id left out."""
-    scratch = Scratch(vectors.sparkSession, "multi-index")
-    entries = _entries(scratch.save(valid_vectors(vectors)), scratch, k)
-    asked = scratch.save(valid_vectors(queries).select("vec_id", "v", "dim"))
+    scratch, kind = Scratch(vectors.sparkSession, "multi-index"), max(component_type(vectors), component_type(queries))
+    entries = _entries(scratch.save(valid_vectors(vectors, kind)), scratch, k)
+    asked = scratch.save(valid_vectors(queries, kind).select("vec_id", "v", "dim"))
     out = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     for dim, n, norm in entries.groupBy("dim").agg(F.count(F.lit(1)), F.max("norm")).collect():  # one row per length of a vector
         here, own = entries.filter(F.col("dim") == dim), asked.filter(F.col("dim") == dim).select("vec_id", "v")
         sample = own.orderBy(F.xxhash64("vec_id", F.lit(SEED)), "vec_id").limit(AUDIT).collect()
         if not sample:
             continue
-        index = fit(here, dim, n, norm)
+        index = fit(here, dim, n, norm, kind)
         cells = scratch.save(here.mapInArrow(_in_cells(index, dim), "cell long, v binary, ids array<long>"))
         index.sizes = np.zeros(len(index.first) * len(index.second), dtype=np.int64)
         for cell, size in cells.groupBy("cell").count().collect():  # at most MAX_K x MAX_K
             index.sizes[cell] = size
-        visit, _ = calibrate(index, sample, _audit(cells, sample, dim, k).select("query", "cell").collect(), dim)
-        probes = scratch.save(own.mapInArrow(_probes(index, visit, dim), "cell long, n long, qids binary, qs binary"))
-        packs = scratch.save(_dealt(probes, F.col("n"), PACK, F.xxhash64("qids"), scratch, qids="qids", qs="qs"))
-        chunks = scratch.save(_dealt(cells, F.lit(1), CHUNK, F.xxhash64("v"), scratch, entries=F.struct("v", "ids")))
-        found = packs.join(chunks, "cell").select("qids", "qs", "entries").mapInArrow(_rerank(dim, k), "query long, vec_id long, score double")
-        out = out.unionByName(_top(scratch.save(found), k).select(F.col("query").alias("query_id"), F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
+        visit, _ = calibrate(index, sample, _audit(cells, sample, dim, kind, k).select("query", "cell").collect())
+        probes = scratch.save(own.mapInArrow(_probes(index, visit, dim), "cell long, v binary, ids array<long>"))
+        found = scratch.save(_met(cells, probes, scratch).mapInArrow(_rerank(dim, kind, k), "query long, vec_id long, score double"))
+        scratch.drop(cells, probes)
+        out = out.unionByName(_top(found, k).select(F.col("query").alias("query_id"), F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
     return out
