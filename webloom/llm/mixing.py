@@ -17,8 +17,9 @@ source with a third of all rows is spread over many tasks.
 
 Defined results: null or empty text has size 0, takes 0 words and appears in
 no shard; null source is a source of its own, last in order; repeated rows are
-separate documents; an empty table gives no rows; extra columns pass through
-``mix``.  Column names that start with ``_mx_`` are reserved.
+separate documents, and equal ones are interchangeable; an empty table gives no rows; extra columns
+pass through ``mix``, but columns named ``shard`` and ``place`` are replaced by the mixture's.  Column
+names that start with ``_mx_`` are reserved.
 """
 
 from __future__ import annotations
@@ -117,16 +118,28 @@ def _taken(rows: DataFrame, scratch: Scratch) -> DataFrame:
     size, total, quota, before = (F.col(c) for c in ("_mx_size", "_mx_source_size", "_mx_quota", "_mx_before"))
     whole = F.when(total > 0, F.floor(quota / F.greatest(total, F.lit(1)))).otherwise(0).cast("long")
     part = F.least(F.greatest(quota - whole * total - before, F.lit(0)), size)
-    return rows.withColumns({"_mx_whole": whole, "_mx_part": part, "_mx_taken": whole * size + part})
+    return rows.withColumns({"_mx_whole": whole, "_mx_part": part})
 
 
-def quotas(docs: DataFrame, seed: int = SEED, **law) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) for every row of ``docs``."""
+def _drawn(shards: int) -> F.Column:
+    """The document's copies that the shards draw, as (copy, words, shard): a copy belongs to the
+    block it begins in, and a block to the shard whose run of the source's blocks holds it."""
+    def copy(i):
+        words = F.when(i < F.col("_mx_whole"), F.col("_mx_size")).otherwise(F.col("_mx_part"))
+        block = F.floor((i * F.col("_mx_source_size") + F.col("_mx_before")) / BLOCK_WORDS)
+        return F.struct(i.alias("copy"), words.alias("words"), F.size(F.filter("_mx_ends", lambda end: end <= block)).alias("shard"))
+    return F.filter(F.transform(F.sequence(F.lit(0).cast("long"), F.col("_mx_whole")), copy), lambda c: (c["words"] > 0) & (c["shard"] < shards))
+
+
+def quotas(docs: DataFrame, seed: int = SEED, shards: int = OUTPUT_SHARDS, **law) -> DataFrame:
+    """(doc_id, size, source_size, target, taken) for every row of ``docs``; taken is the
+    sum over the copies that the shards draw."""
     scratch = Scratch(docs.sparkSession, "mixing")
     sized = scratch.save(_sized(docs.select("doc_id", "text", "source"), seed).drop("text"))
-    return _taken(_planned(sized, seed, OUTPUT_SHARDS, **law), scratch).select(
+    taken = F.aggregate(_drawn(shards), F.lit(0).cast("long"), lambda n, c: n + c["words"])
+    return _taken(_planned(sized, seed, shards, **law), scratch).select(
         "doc_id", F.col("_mx_size").alias("size"), F.col("_mx_source_size").alias("source_size"),
-        F.col("_mx_target").alias("target"), F.col("_mx_taken").alias("taken"))
+        F.col("_mx_target").alias("target"), taken.alias("taken"))
 
 
 def _first_words(text: str, n: F.Column) -> F.Column:
@@ -141,16 +154,12 @@ def mix(docs: DataFrame, shards: int = OUTPUT_SHARDS, seed: int = SEED, **law) -
     others = [c for c in docs.columns if c not in ("shard", "place")]
     rows = _planned(_sized(docs, seed), seed, shards, **law)
     slim = ["_mx_sid", "_mx_bucket", "_mx_size", "_mx_key", "_mx_source_size", "_mx_quota", "_mx_ends", *others]
-    rows = _taken(rows.select(*slim), scratch).filter("_mx_taken > 0")
-    copies = rows.withColumn("_mx_copy", F.explode(F.sequence(
-        F.lit(0), (F.col("_mx_whole") - F.when(F.col("_mx_part") > 0, 0).otherwise(1)).cast("int"))))
-    words = F.when(F.col("_mx_copy") < F.col("_mx_whole"), F.col("_mx_size")).otherwise(F.col("_mx_part"))
-    block = F.floor((F.col("_mx_copy") * F.col("_mx_source_size") + F.col("_mx_before")) / BLOCK_WORDS)
-    shard = F.size(F.filter("_mx_ends", lambda e: e <= F.col("_mx_block")))
-    copies = copies.withColumns({"_mx_words": words, "_mx_block": block}).withColumns({
+    rows = _taken(rows.select(*slim), scratch)
+    copies = rows.withColumn("_mx_copy", F.explode(_drawn(shards))).withColumn("_mx_words", F.col("_mx_copy.words"))
+    copies = copies.withColumns({
         "text": F.when(F.col("_mx_words") < F.col("_mx_size"), _first_words("text", F.col("_mx_words"))).otherwise(F.col("text")),
-        "shard": F.least(shard, F.lit(shards - 1)), "place": F.xxhash64(F.lit(seed + 1), "_mx_key", "_mx_copy")})
+        "_mx_shard": F.col("_mx_copy.shard"), "_mx_place": F.xxhash64(F.lit(seed + 1), "_mx_key", F.col("_mx_copy.copy").cast("int"))})
     if "n_chars" in others:
         copies = copies.withColumn("n_chars", F.when(F.col("_mx_words") < F.col("_mx_size"), F.length("text").cast("long"))
                                    .otherwise(F.col("n_chars")))
-    return copies.select(*others, "shard", "place")
+    return copies.select(*others, F.col("_mx_shard").alias("shard"), F.col("_mx_place").alias("place"))
