@@ -93,6 +93,21 @@ def test_simhash_edge_cases(spark):
     assert simhash.near_duplicates(d.limit(0)).count() == 0 and simhash.keep_one(d.limit(0)).count() == 0
 
 
+def test_repeated_ids_lose_no_text(spark):
+    far, near = "q " * 30 + "some words of a text", "other things altogether in this one here " * 3
+    rows = [(1, far, "x", 1), (1, near, "y", 2), (1, near, "y", 3), (2, near, "z", 4), (3, far, "w", 5), (4, None, "v", 6), (4, None, "v", 6), (5, "alone", "u", 7)]
+    d = spark.createDataFrame(rows, "doc_id int, text string, _sim_id string, _sim int").repartition(3)
+    for parts in (1, 4):  # the same rows whatever the order they are read in
+        kept = simhash.keep_one(d.repartition(parts))
+        assert kept.schema == d.schema
+        got = sorted(map(tuple, kept.collect()), key=str)
+        assert [(r[0], r[1]) for r in got] == [(1, near), (1, far), (4, None), (5, "alone")] and got[0][3] in (2, 3)
+        assert parts == 1 or got == first
+        first = got
+    found = {(r.doc_id, r.fp): r.component_id for r in simhash.near_duplicates(d).collect()}
+    assert sorted(found.values()) == [1, 1, 1, 1, 4, 5]
+
+
 def test_components(spark):
     rng = np.random.default_rng(5)
     pairs = [(i, i + 1) for i in range(0, 400)] + [(1000, 1000 + i) for i in range(1, 300)] + [(int(a), int(b)) for a, b in

@@ -30,6 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from webloom.llm.common import Scratch, in_pieces, utf8, with_columns
 from webloom.llm.components import connected_components
@@ -68,11 +69,17 @@ def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
 
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, fp long) of every row."""
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return _with_fingerprint(slim, "fp", shingle_words, ["doc_id"])
+
+
+def _with_fingerprint(docs: DataFrame, name: str, shingle_words: int, keep: list[str]) -> DataFrame:
+    """Some columns of ``docs`` and the fingerprint of its text."""
     def run(batches):
         for b in in_pieces(batches):
             fp = np.array([fingerprint(t, shingle_words) for t in utf8(b.column("text"))], dtype=np.uint64)
-            yield with_columns(b, ["doc_id"], fp=pa.array(fp.view(np.int64)))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+            yield with_columns(b, keep, **{name: pa.array(fp.view(np.int64))})
+    return docs.mapInArrow(run, StructType([*(docs.schema[c] for c in keep), StructField(name, LongType())]))
 
 
 def group_bits(bits: np.ndarray, parts: int) -> list[list[int]]:
@@ -179,32 +186,51 @@ def links(fps: DataFrame, distance: int = DISTANCE, sample: int = SAMPLE) -> Dat
     return have.join(want, (have.p == want.p) & (have.key == want.key) & (have.x < want.y) & near).select("x", "y")
 
 
+def _components(rows: DataFrame, distance: int, scratch: Scratch) -> DataFrame:
+    """(fp, component): the smallest fingerprint reachable from each fingerprint of ``rows``."""
+    nodes = scratch.save(rows.select("fp").distinct())
+    joined = connected_components(links(nodes, distance).select(F.col("x").alias("a"), F.col("y").alias("b")), scratch)
+    return scratch.save(nodes.join(joined, nodes.fp == joined.node, "left").select("fp", F.coalesce("component", "fp").alias("component")))
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, distance: int = DISTANCE) -> DataFrame:
-    """(doc_id, fp, component_id) of every row of ``docs`` (doc_id, text):
-    component_id is the smallest doc_id reachable over links."""
+    """(doc_id, fp, component_id) of every row of ``docs`` (doc_id, text): component_id is the smallest
+    doc_id reachable over linked texts.  A doc_id that repeats has a row for each of its rows, with the
+    component of that row's text; rows without a doc_id have none."""
     scratch = Scratch(docs.sparkSession, "simhash")
     rows = scratch.save(fingerprints(docs, shingle_words))
-    first = scratch.save(rows.filter("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    found = scratch.save(links(first, distance))
-    pairs = (found.join(first.select(F.col("fp").alias("x"), F.col("rep").alias("a")), "x")
-             .join(first.select(F.col("fp").alias("y"), F.col("rep").alias("b")), "y"))
-    joined = connected_components(pairs.select("a", "b"), scratch)
-    named = scratch.save(first.join(joined, first.rep == joined.node, "left")
-                         .select("fp", F.coalesce("component", "rep").alias("component_id")))
+    first = scratch.save(rows.filter("doc_id IS NOT NULL").groupBy("fp").agg(F.min("doc_id").alias("first")))
+    named = _components(first, distance, scratch)
+    smallest = scratch.save(named.join(first, "fp").groupBy("component").agg(F.min("first").alias("component_id")))
+    named = scratch.save(named.join(smallest, "component").select("fp", "component_id"))
     return rows.join(named, "fp", "left").select(
         "doc_id", "fp", F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-def keep_one(docs: DataFrame, **how) -> DataFrame:
-    """``docs`` without near-duplicates: of each component, the row of its smallest
-    doc_id stays (one row of it, if that doc_id repeats); rows without a doc_id stay."""
-    found = near_duplicates(docs, **how).filter("component_id = doc_id")
-    kept = Scratch(docs.sparkSession, "simhash-kept").save(
-        found.groupBy("doc_id").agg((F.count(F.lit(1)) > 1).alias("_sim_again")).withColumnRenamed("doc_id", "_sim_id"))
+def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, distance: int = DISTANCE) -> DataFrame:
+    """``docs`` without near-duplicates: of each component of linked texts the row with the smallest
+    doc_id stays; rows without a doc_id stay.  If that doc_id repeats, the row with the component's
+    smallest fingerprint of it stays, of several the one with the smallest hash of its text and then of the
+    whole row; so a doc_id with texts that are not linked keeps one row for each.  Null text is empty.
+    Extra columns pass through, whatever their names."""
+    scratch = Scratch(docs.sparkSession, "simhash-kept")
+    rows = scratch.save(fingerprints(docs, shingle_words).filter("doc_id IS NOT NULL"))
+    one = rows.groupBy("fp").agg(F.min("doc_id").alias("id"))
+    named = _components(rows, distance, scratch)
+    best = scratch.save(one).join(named, "fp").groupBy("component").agg(F.min(F.struct("id", "fp")).alias("c"))
+    again = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("doc_id").alias("id"), F.lit(True).alias("again"))
+    kept = scratch.save(best.select("c.id", "c.fp").join(again, "id", "left").fillna(False, ["again"]))
     # rows stream past a hash table of the ids: texts are shuffled once and not sorted
-    own = lambda again: docs.join(kept.filter(F.col("_sim_again") == again).hint("shuffle_hash"),
-                                  docs.doc_id == F.col("_sim_id"), "left_semi")
-    out = own(False).unionByName(docs.filter("doc_id IS NULL"))
-    if kept.filter("_sim_again").take(1):  # doc_ids that repeat need one of their rows
-        out = out.unionByName(own(True).dropDuplicates(["doc_id"]))
+    single, repeated = kept.filter("NOT again").hint("shuffle_hash"), kept.filter("again")
+    out = docs.join(single, docs["doc_id"] == single["id"], "left_semi").unionByName(docs.filter(docs["doc_id"].isNull()))
+    if repeated.take(1):  # of doc_ids that repeat, the text decides which row it is
+        name = "_sim"
+        while name in docs.columns:
+            name += "_"
+        ids = repeated.select("id").distinct()
+        found = _with_fingerprint(docs.join(ids, docs["doc_id"] == ids["id"], "left_semi"), name, shingle_words, docs.columns)
+        found = found.join(repeated, (found["doc_id"] == repeated["id"]) & (found[name] == repeated["fp"]), "left_semi")
+        row = F.struct(*docs.columns)
+        order = F.struct(F.xxhash64(F.coalesce("text", F.lit(""))), F.xxhash64(F.to_json(row)))
+        out = out.unionByName(found.groupBy("doc_id", name).agg(F.min_by(row, order).alias(f"{name}_row")).select(f"{name}_row.*"))
     return out
