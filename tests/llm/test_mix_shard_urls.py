@@ -96,6 +96,29 @@ def test_shards_hot_text_ties_and_nulls(spark):
     assert len(sharding.shard(d.limit(1), 8).collect()) == 1
 
 
+def test_equal_rows_are_shared_out(spark):
+    rows = [(1, "the same text, over and over", "a")] * 2000 + [(i, f"other {i}", "a") for i in range(2, 402)]
+    d = docs(spark, rows).repartition(5)
+    pdf = sharding.shard(d, 8).withColumn("size", F.octet_length("text") + 1).toPandas()
+    assert len(pdf) == 2400 and pdf.drop(columns=["shard", "slot"]).value_counts().max() == 2000
+    per = check_shards(pdf)
+    assert per.max() - per.min() <= 0.03 * per.mean()
+    # a cut in the middle of a smaller group of equal rows
+    rows = [(i, f"text {i}", "a") for i in range(4000)] + [(7_000, "again and again", "a")] * 90
+    per = check_shards(sharding.shard(docs(spark, rows), 8).withColumn("size", F.octet_length("text") + 1).toPandas())
+    assert per.max() - per.min() <= 60
+
+
+def test_words_taken_come_through_the_tree(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_WORDS", 40)
+    d = docs(spark, [(i, f"w{i} x " * (1 + i % 9), "ab"[i % 2]) for i in range(60)])
+    whole = {r.doc_id: r.taken for r in mixing.quotas(d).collect()}
+    copies = mixing.mix(d).groupBy("doc_id").agg(F.sum(mixing.n_words("text")).alias("n")).collect()
+    assert {i: n for i, n in whole.items() if n} == dict(map(tuple, copies))
+    monkeypatch.setattr(mixing, "splitting_tree", lambda blocks, shards, seed: np.zeros((shards, len(blocks)), dtype=np.int64))
+    assert sum(r.taken for r in mixing.quotas(d).collect()) == 0 and mixing.mix(d).count() == 0
+
+
 def test_small_groups_of_copies_stay_together(spark):
     rows = [(i, f"text number {i // 4} " * 5, "a") for i in range(8000)]
     pdf = sharding.shard(docs(spark, rows), 8).toPandas()
@@ -141,7 +164,7 @@ def test_propagation_against_dense_power_iteration(spark):
     seeds = spark.createDataFrame([(h, float(a), float(b)) for h, a, b in zip(hosts, t0, d0)], "host string, t0 double, d0 double")
     arcs = spark.createDataFrame([(hosts[a], hosts[b], n) for a, b, n in links], "src string, dst string, n long")
     got = {r.host: (r.trust, r.distrust) for r in url_filter.propagate(
-        seeds, arcs, Scratch(spark, "t"), tolerance=1e-10, max_steps=200).collect()}
+        seeds, arcs, Scratch(spark, "t"), tolerance=1e-10).collect()}
     for i, h in enumerate(hosts):
         assert got[h] == pytest.approx((rank(w, t0)[i], rank(w.T, d0)[i]), abs=1e-8)
 
@@ -160,14 +183,29 @@ def test_links_and_verdicts(spark):
     assert url_filter.filter_urls(pages, URL_RULES).count() == 6
 
 
-def test_links_do_not_shrink_distrust(spark):
+def linked_pages(spark):
     page = lambda host, path, to="": (f"http://{host}{path}", f"<a href='http://{to}/'>x</a>" if to else None)
     bad = lambda host: [page(host, p) for p in ("/fr/1", "/fr/2", "/es/3", "/x", "/y")]
     rows = [*bad("alone.net"), *bad("linked.net"), page("fan.org", "/", "linked.net"),
             *bad("known.net"), page("fine.com", "/", "known.net"), page("half.net", "/fr/1"), page("half.net", "/x"),
             *bad("ring.net"), page("ring.net", "/fr/2", "friend.org"), page("friend.org", "/", "ring.net")]
-    pages = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string")
-    got = {r.host: r for r in url_filter.filter_urls(pages, URL_RULES).filter("rule IS NULL").collect()}
+    return spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string")
+
+
+def test_query_matches_sql_on_linked_hosts(spark, scratch):
+    import duckdb
+
+    import __spark_entry__ as E
+    linked_pages(spark).coalesce(1).write.parquet(f"{scratch}/pages.parquet")
+    got = E.queries()["op10_filter_urls"](spark, scratch)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{scratch}/pages.parquet/*.parquet')")
+    want = con.execute(E.oracle_sql()["op10_filter_urls"]).fetchall()
+    assert sorted(map(tuple, got.collect())) == sorted(want) and {r[4] for r in want if r[3] is None} == {"allow", "block"}
+
+
+def test_links_do_not_shrink_distrust(spark):
+    got = {r.host: r for r in url_filter.filter_urls(linked_pages(spark), URL_RULES).filter("rule IS NULL").collect()}
     assert {h: r.verdict for h, r in got.items()} == {
         "alone.net": "block", "linked.net": "block", "fan.org": "allow", "known.net": "block", "half.net": "block",
         "ring.net": "block", "friend.org": "allow"}

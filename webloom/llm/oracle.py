@@ -49,41 +49,44 @@ FROM kept"""
 ORACLE = {"op5_substring_dedup": OP5, "op7_chat_format": OP7}
 
 
-def _op10(steps: int = 30) -> str:
-    """Rules by hand, links by RE2, trust and distrust by an unrolled power iteration."""
+def _op10(steps: int = 120) -> str:
+    """Rules by hand, links by RE2; trust and distrust and what full seeds everywhere would give by a recursive
+    power iteration, one row per direction and host."""
     link = r"""(?i)\bhref\s*=\s*["'']?\s*(?:[a-z][a-z0-9+.\-]{0,20}:)?//([^/?#"''\s<>]+)"""
     lower = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     under = lambda h: f"(host = '{h}' OR ends_with(host, '.{h}'))"
-    ctes = [f"""pg AS (
+    return f"""
+WITH RECURSIVE pg AS (
   SELECT page_id, {lower.format("coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '')")} AS host,
-         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path, html FROM pages)""",
-            f"""judged AS (SELECT page_id, host, path, html,
+         coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path, html FROM pages),
+judged AS (SELECT page_id, host, path, html,
   CASE WHEN {under('www.example.com')} AND starts_with(path, '/en/') THEN 'www.example.com/en/'
        WHEN {under('example.com')} AND starts_with(path, '/en/') THEN 'example.com/en/'
        WHEN {under('net')} AND starts_with(path, '/es/') THEN 'net/es/'
        WHEN {under('net')} AND starts_with(path, '/fr/') THEN 'net/fr/'
-       WHEN {under('com')} AND starts_with(path, '/') THEN 'com/' END AS rule FROM pg)""",
-            """said AS (SELECT *, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS by_rule
-  FROM judged)""",
-            f"""links AS (SELECT src, {lower.format('dst')} AS dst, count(*) AS n FROM (
+       WHEN {under('com')} AND starts_with(path, '/') THEN 'com/' END AS rule FROM pg),
+said AS (SELECT *, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS by_rule FROM judged),
+links AS (SELECT src, {lower.format('dst')} AS dst, count(*) AS n FROM (
   SELECT host AS src, unnest(regexp_extract_all(html, '{link}', 1)) AS dst FROM pg)
-  WHERE src <> {lower.format('dst')} AND src <> '' GROUP BY 1, 2)""",
-            "outs AS (SELECT src, sum(n) AS s FROM links GROUP BY src)", "ins AS (SELECT dst, sum(n) AS s FROM links GROUP BY dst)",
-            """nodes AS (SELECT host, max(t0) AS t0, max(d0) AS d0 FROM (
-  SELECT host, avg(CASE WHEN by_rule = 'allow' THEN 1.0 ELSE 0.0 END) AS t0, avg(CASE WHEN by_rule = 'block' THEN 1.0 ELSE 0.0 END) AS d0
-  FROM said GROUP BY host UNION ALL SELECT DISTINCT dst, 0.0, 0.0 FROM links) GROUP BY host)""",
-            "s0 AS MATERIALIZED (SELECT host, t0 AS t, d0 AS d FROM nodes)"]
-    for i in range(1, steps + 1):
-        ctes.append(f"""s{i} AS MATERIALIZED (SELECT n.host,
-  0.15 * n.t0 + 0.85 * coalesce((SELECT sum(l.n * p.t / o.s) FROM links l JOIN s{i - 1} p ON p.host = l.src JOIN outs o ON o.src = l.src
-    WHERE l.dst = n.host), 0) + CASE WHEN n.host IN (SELECT src FROM outs) THEN 0 ELSE 0.85 * x.t END AS t,
-  0.15 * n.d0 + 0.85 * coalesce((SELECT sum(l.n * p.d / o.s) FROM links l JOIN s{i - 1} p ON p.host = l.dst JOIN ins o ON o.dst = l.dst
-    WHERE l.src = n.host), 0) + CASE WHEN n.host IN (SELECT dst FROM ins) THEN 0 ELSE 0.85 * x.d END AS d
-  FROM nodes n JOIN s{i - 1} x ON x.host = n.host)""")
-    return "WITH " + ",\n".join(ctes) + f"""
+  WHERE src <> {lower.format('dst')} AND src <> '' GROUP BY 1, 2),
+shares AS (SELECT host, avg((by_rule IS NOT DISTINCT FROM 'allow')::INT) AS t0, avg((by_rule IS NOT DISTINCT FROM 'block')::INT) AS d0
+           FROM said GROUP BY host UNION ALL SELECT DISTINCT dst, 0.0, 0.0 FROM links),
+seeds AS (SELECT unnest([{{'dir': 't', 'seed': max(t0)}}, {{'dir': 'd', 'seed': max(d0)}}], recursive := true), host FROM shares GROUP BY host),
+arcs AS MATERIALIZED (
+  SELECT 't' AS dir, src AS a, dst AS b, n / sum(n) OVER (PARTITION BY src) AS w FROM links
+  UNION ALL SELECT 'd', dst, src, n / sum(n) OVER (PARTITION BY dst) FROM links
+  -- a host without arcs keeps its own mass; the zeros keep every host in the sums
+  UNION ALL SELECT s.dir, host, host, (NOT EXISTS (SELECT 1 FROM links l WHERE host = CASE s.dir WHEN 't' THEN l.src ELSE l.dst END))::INT FROM seeds s),
+steps AS (
+  SELECT 0 AS i, dir, host, seed AS x, 1.0::DOUBLE AS most FROM seeds
+  UNION ALL
+  SELECT p.i + 1, a.dir, a.b, 0.15 * max(s.seed) + 0.85 * sum(a.w * p.x), 0.15 + 0.85 * sum(a.w * p.most)
+  FROM steps p JOIN arcs a ON a.dir = p.dir AND a.a = p.host JOIN seeds s ON s.dir = a.dir AND s.host = a.b
+  WHERE p.i < {steps} GROUP BY p.i, a.dir, a.b),
+final AS (SELECT p.dir, p.host, greatest(s.seed, p.x / p.most) AS v FROM steps p JOIN seeds s ON s.dir = p.dir AND s.host = p.host WHERE i = {steps})
 SELECT j.page_id, j.host, j.path, j.rule,
-       coalesce(j.by_rule, CASE WHEN s.d > s.t AND s.d >= 0.5 THEN 'block' ELSE 'allow' END) AS verdict
-FROM said j JOIN s{steps} s ON s.host = j.host"""
+       coalesce(j.by_rule, CASE WHEN d.v > t.v + 1e-9 AND d.v >= 0.5 - 1e-9 THEN 'block' ELSE 'allow' END) AS verdict
+FROM said j JOIN final t ON t.host = j.host AND t.dir = 't' JOIN final d ON d.host = j.host AND d.dir = 'd'"""
 
 
 ORACLE["op10_filter_urls"] = _op10()
