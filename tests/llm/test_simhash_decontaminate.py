@@ -1,3 +1,4 @@
+import time
 from itertools import combinations
 
 import numpy as np
@@ -128,6 +129,31 @@ def test_masks_hit_every_stretch_with_two_substitutions():
                    for o in range(decontaminate.MIN_WORDS - m[-1]))
 
 
+def test_short_masks_hit_every_stretch_that_counts():
+    for length in range(4, decontaminate.SHORT_ITEM):
+        for miss in combinations(range(length), length // 5):
+            assert any(all(o + p not in miss for p in m) for m in decontaminate.SHORT_MASKS for o in range(length - m[-1]))
+
+
+@pytest.mark.parametrize("n", range(1, 18))
+def test_short_items_against_brute_force(n):
+    rng = np.random.default_rng(n)
+    item = [f"w{i}" for i in range(n)]
+    block = decontaminate.Block([(0, " ".join(item).encode())])
+    for miss in [m for k in range(4) for m in combinations(range(n), k)][:300]:
+        doc = ["x"] * int(rng.integers(0, 3)) + ["y" if i in miss else w for i, w in enumerate(item)][int(rng.integers(0, 2)):] + ["z"] * int(rng.integers(0, 2))
+        got = block.matches(decontaminate.words_of(" ".join(doc).encode()), 13, 0.8)
+        assert bool(got) == (bool(brute_best(doc, item)) if n >= 5 else doc == item), (doc, got)
+
+
+def test_repetitive_text_is_not_quadratic():
+    block = decontaminate.Block([(0, b"la " * 400), (1, b"la " * 200 + b"li " * 200)])
+    start = time.time()
+    words = decontaminate.words_of(b"la " * 100_000)
+    assert block.matches(words, 13, 0.8) == [(0, 400, 400, 0), (1, 200, 250, 99_750)] or block.matches(words, 13, 0.8)[1][1:3] == (200, 250)
+    assert time.time() - start < 10
+
+
 def tokens(text):
     out, word = [], ""
     for c in (text or "") + " ":
