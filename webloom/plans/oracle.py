@@ -9,6 +9,7 @@ uses, so a parameter changes in one place.
 from __future__ import annotations
 
 from webloom.functions import text as T
+from webloom.operators import alignment as ALIGN
 from webloom.plans import inputs as I
 
 ORACLE: dict[str, str] = {}
@@ -448,3 +449,17 @@ SELECT source AS file_name, 'documents ' || CAST(count(*) AS VARCHAR) AS line FR
 sql("vectors_from_files", f"""
 SELECT CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos, round(CAST(unnest(embedding) AS DOUBLE), {R}) AS value
 FROM embeddings""")
+
+
+# A passage of at least MIN_SCORE / MATCH words that lies whole in a document: its words joined by a
+# character that is in no token, looked up in the document's.
+def _joined(col: str) -> str:
+    return f"(' ' || array_to_string({tokens_expr(col)}, ' ') || ' ')"
+
+
+sql("passage_hits_whole", f"""
+SELECT DISTINCT b.item_id, d.doc_id, CAST(b.n AS INTEGER) AS aln_length, 1 AS q_start, CAST(b.n AS INTEGER) AS q_end,
+       CAST({ALIGN.MATCH} * b.n AS INTEGER) AS score
+FROM (SELECT item_id, {_joined('text')} AS s, len({tokens_expr('text')}) AS n FROM benchmark) b
+JOIN (SELECT doc_id, {_joined('text')} AS s FROM documents) d ON contains(d.s, b.s)
+WHERE b.n >= {max(ALIGN.SEED_WORDS, -(-ALIGN.MIN_SCORE // ALIGN.MATCH))}""")

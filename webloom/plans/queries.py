@@ -608,3 +608,35 @@ def q_edges_from_adjacency_files(spark, sf):
     path = scratch_path(spark, f"adjacency-{uuid.uuid4().hex}")
     G.adjacency_lines(edges, nodes).select(F.col("line").alias("value")).write.text(path)
     return SRC.read_adjacency(spark, path, sep=" ")[1]
+
+
+# ------------------------------------------------- alignments of passages
+from webloom.operators import alignment as AL  # noqa: E402
+
+
+def _passage_hits(spark, sf):
+    return AL.passage_hits(table(spark, sf, "benchmark"), table(spark, sf, "documents", spread_out=True))
+
+
+@query("passage_hits")
+def q_passage_hits(spark, sf):
+    """Gapped local alignments of the benchmark passages with the documents, in the 12 columns of a hit."""
+    h = _passage_hits(spark, sf)
+    return h.drop("query_words").withColumns({c: _r(c, 6) for c in ("pct_identity", "evalue", "bit_score")})
+
+
+@query("passage_hits_whole")
+def q_passage_hits_whole(spark, sf):
+    """The hits that hold a whole passage word for word."""
+    h = _passage_hits(spark, sf).filter((F.col("mismatches") == 0) & (F.col("gap_opens") == 0) & (F.col("aln_length") == F.col("query_words")))
+    return h.select(F.col("query_id").cast("long").alias("item_id"), F.col("subject_id").cast("long").alias("doc_id"),
+                    "aln_length", "q_start", "q_end", "score").distinct()
+
+
+@query("passage_hits_best")
+def q_passage_hits_best(spark, sf):
+    """Best hit of each passage, from hits stored in the tool's TAB format and read back."""
+    path = scratch_path(spark, f"passage-hits-{uuid.uuid4().hex}")
+    _passage_hits(spark, sf).drop("score", "query_words").write.option("sep", "\t").csv(path)
+    b = HT.hits_best(SRC.read_hits(spark, path))
+    return b.select("query_id", "best_subject", _r("best_bit_score", 6).alias("best_bit_score"), "n_hits")
