@@ -145,3 +145,23 @@ def test_no_shared_folder_is_an_error_outside_local_mode():
     for master in ("yarn", "spark://h:7077", "local-cluster[2,1,1024]", "k8s://x"):
         with pytest.raises(RuntimeError):
             require_local(master)
+
+
+def test_links_stay_in_place(spark):
+    """The iteration's plan reads the links bucketed: the shares and the sums are exchanged, the links are not."""
+    from webloom.session import Scratch, shuffle_partitions
+    edges = spark.range(3000).selectExpr("id % 97 AS src", "id * 7 % 211 AS dst")
+    scratch = Scratch(spark, "plan")
+    salted, deg = G._salted_edges(edges, 10, scratch, shuffle_partitions(spark))
+    ranks = scratch.save(G.pagerank_init(G.all_nodes(None, edges)))
+    state = scratch.save(G._state(ranks, deg))
+    plan = G._carried(salted, state)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "Bucketed: true" in plan
+    assert plan.count("Exchange ") == 1 and "Sort " not in plan
+    links, shares = plan.split("FileScan parquet")[1], plan[:plan.index("FileScan parquet")]
+    assert "Exchange" not in shares and "Exchange" in links
+    name = next(iter(scratch.tables.values()))
+    scratch.drop(salted)
+    assert not spark.catalog.tableExists(name)
+    assert G.pagerank(edges, iterations=2, salt_chunk=10).agg({"rank": "sum"}).first()[0] == pytest.approx(1.0)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("webloom_")]

@@ -9,8 +9,10 @@ PageRank plan:
     keys: a node with over ``salt_chunk`` distinct links gets several salts by
     a hash of dst, and its rank share is replicated once per salt, so a node
     holding a third of all links is split evenly over tasks;
-  * per iteration the small share table (a row per node and salt) meets the
-    links; contributions are summed per dst with a map-side partial sum;
+  * the links are a table bucketed by (src, salt), which stays where it is: per
+    iteration the small share table (a row per node and salt) moves to the links and is
+    looked up in a hash table, without a sort; contributions are summed per dst with a
+    map-side partial sum, so only shares and sums are shuffled;
   * the mass of nodes without links is one number, added as mass / N to every
     node (no scatter of N rows per such node);
   * links, degrees and each state are tables in the shared folder, so lineage
@@ -23,12 +25,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from webloom.session import Scratch
+from webloom.session import Scratch, shuffle_partitions
 
 # Damping factor of the reference's rank update (fixed value).
 DAMPING = 0.85
 # Distinct links of one source that go by one key.
 SALT_CHUNK = 1_000_000
+# Buckets of the links at most (Spark's own limit).
+MAX_BUCKETS = 100_000
 
 
 # ---------------------------------------------------------------- structure
@@ -122,8 +126,8 @@ def pagerank_step(ranks: DataFrame, edges: DataFrame, num_nodes: int,
     return _step(_state(ranks, deg), salted, num_nodes, damping).select("id", "rank")
 
 
-def _salted_edges(edges: DataFrame, salt_chunk: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """(src, salt, dst, w) and (src, out_degree, nsalt).
+def _salted_edges(edges: DataFrame, salt_chunk: int, scratch: Scratch, buckets: int = 0) -> tuple[DataFrame, DataFrame]:
+    """(src, salt, dst, w) and (src, out_degree, nsalt); the links in ``buckets``, if given.
 
     Links are counted to distinct weighted ones before anything is keyed by
     src; degrees are a plain table before links meet them, so adaptive
@@ -132,8 +136,9 @@ def _salted_edges(edges: DataFrame, salt_chunk: int, scratch: Scratch) -> tuple[
     links = scratch.save(weighted(edges))
     deg = scratch.save(links.groupBy("src").agg(
         F.sum("w").alias("out_degree"), F.ceil(F.count(F.lit(1)) / F.lit(salt_chunk)).cast("int").alias("nsalt")))
-    salted = scratch.save(links.join(deg.select("src", "nsalt"), "src").select(
-        "src", F.pmod(F.xxhash64("dst"), F.col("nsalt")).cast("int").alias("salt"), "dst", "w"))
+    salted = links.join(deg.select("src", "nsalt"), "src").select(
+        "src", F.pmod(F.xxhash64("dst"), F.col("nsalt")).cast("int").alias("salt"), "dst", "w")
+    salted = scratch.save_bucketed(salted, buckets, "src", "salt") if buckets else scratch.save(salted)
     scratch.drop(links)
     return salted, deg
 
@@ -153,11 +158,16 @@ def _shares(state: DataFrame) -> DataFrame:
         F.explode(F.sequence(F.lit(0), F.col("nsalt") - 1)).alias("salt"))
 
 
+def _carried(salted: DataFrame, state: DataFrame) -> DataFrame:
+    """Links with their source's share; a task holds the shares of its bucket."""
+    return salted.join(_shares(state).hint("shuffle_hash"), ["src", "salt"])
+
+
 def _step(state: DataFrame, salted: DataFrame, n: int, damping: float,
           dangling: float | None = None) -> DataFrame:
     """One update.  ``dangling`` (the rank mass of nodes without links) is a
     number the caller already has; otherwise a scalar subquery computes it."""
-    sums = salted.join(_shares(state), ["src", "salt"]).groupBy("dst").agg(F.sum(F.col("share") * F.col("w")).alias("_in"))
+    sums = _carried(salted, state).groupBy("dst").agg(F.sum(F.col("share") * F.col("w")).alias("_in"))
     mass = state.agg(_dangling_mass()).scalar() if dangling is None else F.lit(float(dangling))
     nn = F.lit(float(n))
     new_rank = (F.lit(round(1.0 - damping, 12)) / nn
@@ -181,7 +191,7 @@ def pagerank(edges: DataFrame, nodes: DataFrame | None = None, iterations: int =
     the mass of nodes without links is observed while the state is written.
     """
     scratch = Scratch(edges.sparkSession, "pagerank")
-    salted, deg = _salted_edges(edges, salt_chunk, scratch)
+    salted, deg = _salted_edges(edges, salt_chunk, scratch, min(MAX_BUCKETS, shuffle_partitions(edges.sparkSession)))
     ids = scratch.save(all_nodes(nodes, salted.select("src", "dst")))
     n = num_nodes if num_nodes is not None else ids.count()
 

@@ -122,6 +122,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.base, self.n = spark, scratch_path(spark, f"{name}-{uuid.uuid4().hex}"), 0
         self.paths: dict[int, str] = {}
+        self.tables: dict[int, str] = {}
 
     def save(self, df: DataFrame, partition_by: str | None = None) -> DataFrame:
         self.n += 1
@@ -132,8 +133,20 @@ class Scratch:
         self.paths[id(out)] = path
         return out
 
+    def save_bucketed(self, df: DataFrame, buckets: int, *keys: str) -> DataFrame:
+        """A table whose files are dealt by the hash of ``keys``: a join on them does not move it.
+        It is entered in the catalog under a name of its own until it is dropped."""
+        self.n += 1
+        path, name = f"{self.base}/{self.n}", f"webloom_{uuid.uuid4().hex}"
+        (df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).format("parquet").option("path", path).saveAsTable(name))
+        out = self.spark.table(name)
+        self.paths[id(out)], self.tables[id(out)] = path, name
+        return out
+
     def drop(self, *tables: DataFrame) -> None:
         for t in tables:
+            if id(t) in self.tables:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self.tables.pop(id(t))}")
             if id(t) in self.paths:
                 delete_path(self.spark, self.paths.pop(id(t)))
 
