@@ -87,3 +87,39 @@ def test_search_reads_the_stored_tables_by_key(spark):
     page = S.get_page(t["pages"], key)
     assert f"EqualTo(doc_id,{key})" in plan(page) and page.count() == 1
     assert S.search_keyword(t["postings"], t["pages"], t["ranks"], "nosuchword").count() == 0
+
+
+def _rows_scanned(df):
+    """Rows that the file scans of an executed plan put out."""
+    def leaves(plan):
+        if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            return leaves(plan.executedPlan())
+        if plan.getClass().getSimpleName().endswith("QueryStageExec"):
+            return leaves(plan.plan())
+        kids = plan.children()
+        return [x for i in range(kids.size()) for x in leaves(kids.apply(i))] or [plan]
+    df.collect()
+    scans = [x for x in leaves(df._jdf.queryExecution().executedPlan()) if "FileSourceScan" in x.getClass().getSimpleName()]
+    assert scans
+    return sum(x.metrics().get("numOutputRows").get().value() for x in scans)
+
+
+def test_ranked_index_gives_the_same_and_reads_little(spark, scratch):
+    n = 60_000
+    pages = spark.range(n).select(F.format_string("d%07d", "id").alias("doc_id"), F.concat(F.lit("u"), "id").alias("uri"), F.lit("").alias("content"))
+    # two thirds of the pages have one and the same rank, some have none, some postings have no page
+    ranks = spark.range(n + 50).filter("id % 50 <> 7").select(
+        F.format_string("d%07d", "id").alias("doc_id"), F.when(F.col("id") % 3 == 0, (F.col("id") * 37 % 1009) / 1009).otherwise(0.25).cast("float").alias("page_rank"))
+    words = spark.range(n + 100).select(F.format_string("d%07d", "id").alias("doc_id"), F.col("id"))
+    postings = (words.filter("id % 3 < 2").select(F.lit("hot").alias("term"), "doc_id", (F.col("id") % 5).cast("int").alias("tf"))
+                .unionByName(words.filter("id % 3 = 1").select(F.lit("tied").alias("term"), "doc_id", F.lit(1).alias("tf")))
+                .unionByName(words.filter("id < 7").select(F.lit("rare").alias("term"), "doc_id", F.lit(2).alias("tf"))))
+    S.write_ranked_index(postings, pages, ranks, f"{scratch}/ranked", block=256)
+    for word, k in [("Hot", 20), ("hot", 700), ("tied", 20), ("rare", 20), ("none", 20)]:
+        want = S.search_keyword(postings, pages, ranks, word, k).collect()
+        assert S.search_ranked(spark, f"{scratch}/ranked", pages, word, k).collect() == want
+    assert _rows_scanned(S.ranked_hits(spark, f"{scratch}/ranked", "hot", 20)) <= 2_000
+    assert _rows_scanned(S.ranked_hits(spark, f"{scratch}/ranked", "tied", 20)) <= 2_000
+    directory = spark.read.parquet(f"{scratch}/ranked/directory").groupBy("term").agg({"n": "sum"})
+    stored = spark.read.parquet(f"{scratch}/ranked/postings").groupBy("term").count()
+    assert sorted(map(tuple, directory.collect())) == sorted(map(tuple, stored.collect()))

@@ -2,14 +2,25 @@
 
 Tables: ``pages(doc_id, uri, content)``, postings ``(term, doc_id, tf)`` and
 ``ranks(doc_id, page_rank float)``.
+
+``write_ranked_index`` stores the postings that a search can return in the order in which it
+returns them, by (term, page rank descending, doc_id), and a directory with the first and last
+place of every ``BLOCK`` postings of a term.  ``search_ranked`` reads of the directory the k first
+blocks of the keyword, and of the postings only those up to the place where k are reached: no
+block behind it can win.  The place is a filter on stored columns, and the files are sorted by
+them with short pages, so a word in a third of all pages costs about as much as a rare one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webloom.functions.text import doc_key
+from webloom.session import Scratch
+
+# Postings of a block, and rows of a page of the stored file.
+BLOCK = 1024
 
 
 def doc_rank_load(id_map: DataFrame, node_ranks: DataFrame, order_col: str | None = None) -> DataFrame:
@@ -57,6 +68,47 @@ def search_keyword(postings: DataFrame, pages: DataFrame, ranks: DataFrame,
             .orderBy(F.desc("page_rank"), F.asc("doc_id")))
 
 
+def write_ranked_index(postings: DataFrame, pages: DataFrame, ranks: DataFrame, path: str,
+                       block: int = BLOCK, row_group_bytes: int = 8 << 20) -> None:
+    """Stores ``path``/postings (term, page_rank, doc_id, tf) and ``path``/directory (term, first, last, n).
+
+    Pages without a rank or a page row are left out, as a failed lookup leaves them out of a search.
+    Range bounds include rank and doc_id, so a hot term is spread over tasks."""
+    spark = postings.sparkSession
+    found = (postings.join(pages.select("doc_id"), "doc_id", "left_semi").join(ranks.select("doc_id", "page_rank"), "doc_id")
+             .select("term", "page_rank", "doc_id", "tf"))
+    found = Scratch(spark, "ranked-postings").save(found)  # range partitioning samples its input first
+    (found.repartitionByRange("term", F.desc("page_rank"), "doc_id").sortWithinPartitions("term", F.desc("page_rank"), "doc_id")
+     .write.mode("overwrite").option("parquet.block.size", row_group_bytes).option("parquet.page.row.count.limit", block).parquet(f"{path}/postings"))
+    stored = spark.read.parquet(f"{path}/postings")
+    place = F.struct((-F.col("page_rank")).alias("less"), "doc_id")
+    blocks = (stored.withColumn("_file", F.col("_metadata.file_name")).withColumn("_block", F.floor(F.col("_metadata.row_index") / block))
+              .groupBy("term", "_file", "_block").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count(F.lit(1)).alias("n")))
+    (blocks.select("term", "first", "last", "n").repartitionByRange("term", "first").sortWithinPartitions("term", "first")
+     .write.mode("overwrite").parquet(f"{path}/directory"))
+
+
+def search_ranked(spark: SparkSession, path: str, pages: DataFrame, keyword: str, k: int = 20) -> DataFrame:
+    """The rows of ``search_keyword``, from a ranked index."""
+    top = ranked_hits(spark, path, keyword, k)
+    return (pages.select("doc_id", "uri").join(F.broadcast(top), "doc_id")  # k rows
+            .select("doc_id", "uri", "page_rank", "term_freq").orderBy(F.desc("page_rank"), F.asc("doc_id")))
+
+
+def ranked_hits(spark: SparkSession, path: str, keyword: str, k: int) -> DataFrame:
+    """(doc_id, page_rank, term_freq) of the k best pages of a keyword."""
+    word = F.lower(F.lit(keyword))
+    first = (spark.read.parquet(f"{path}/directory").filter(F.col("term") == word).orderBy("first").limit(k).collect())  # k blocks hold k rows
+    hits, held = spark.read.parquet(f"{path}/postings").filter(F.col("term") == word), 0
+    for b in first:
+        held += b["n"]
+        if held >= k:
+            worst = F.lit(-b["last"]["less"]).cast("float")
+            hits = hits.filter((F.col("page_rank") > worst) | ((F.col("page_rank") == worst) & (F.col("doc_id") <= F.lit(b["last"]["doc_id"]))))
+            break
+    return hits.select("doc_id", "page_rank", F.col("tf").alias("term_freq")).orderBy(F.desc("page_rank"), F.asc("doc_id")).limit(k)
+
+
 def get_page(pages: DataFrame, doc_id) -> DataFrame:
     """Point lookup: (doc_id, uri, content) of one key (pushed to the scan)."""
     return pages.filter(F.col("doc_id") == F.lit(doc_id)).select("doc_id", "uri", "content")

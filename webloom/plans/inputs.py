@@ -71,25 +71,38 @@ def page_ranks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return id_map, ranks.select(F.col("id").alias("node_id"), "rank")
 
 
+#: Stored tables of this application, by input folder: (folder, names that are there).
+_STORED: dict[tuple[str, str], tuple[str, set[str]]] = {}
+
+
 def search_tables(spark: SparkSession, sf_dir: str, ranks: bool = True) -> dict[str, DataFrame]:
-    """The stored page table, index and (if asked for) rank table of the pages,
-    each laid out by the key it is looked up by, and read back."""
+    """The stored page table, index and (if asked for) rank table and ranked index of the pages, each laid
+    out by the key it is looked up by, and read back.  They are built once per application and input
+    folder, whose files are taken not to change meanwhile."""
     import uuid
 
     from webloom.operators.index import term_freqs, write_index
-    from webloom.operators.search import doc_rank_load
-    from webloom.session import scratch_path
-    base = scratch_path(spark, f"search-{uuid.uuid4().hex}")
-
-    def stored(name, df):
-        df.repartitionByRange("doc_id").sortWithinPartitions("doc_id").write.parquet(f"{base}/{name}")
-        return spark.read.parquet(f"{base}/{name}")
-
-    out = {"pages": stored("pages", search_pages(spark, sf_dir))}
-    write_index(term_freqs(out["pages"], text_col="content"), f"{base}/postings")
-    out["postings"] = spark.read.parquet(f"{base}/postings")
+    from webloom.operators.search import doc_rank_load, write_ranked_index
+    from webloom.session import path_exists, scratch_path
+    key = (spark.sparkContext.applicationId, sf_dir)
+    base, there = _STORED.get(key, ("", set()))
+    if not base or not path_exists(spark, base):
+        base, there = _STORED[key] = scratch_path(spark, f"search-{uuid.uuid4().hex}"), set()
+
+    def sorted_by_key(df, path):
+        df.repartitionByRange("doc_id").sortWithinPartitions("doc_id").write.mode("overwrite").parquet(path)
+
+    def stored(name, write):
+        if name not in there:
+            write(f"{base}/{name}")
+            there.add(name)
+        return spark.read.parquet(f"{base}/{name}") if name != "ranked" else f"{base}/{name}"
+
+    out = {"pages": stored("pages", lambda path: sorted_by_key(search_pages(spark, sf_dir), path))}
+    out["postings"] = stored("postings", lambda path: write_index(term_freqs(out["pages"], text_col="content"), path))
     if ranks:
-        out["ranks"] = stored("ranks", doc_rank_load(*page_ranks(spark, sf_dir)).select("doc_id", "page_rank"))
+        out["ranks"] = stored("ranks", lambda path: sorted_by_key(doc_rank_load(*page_ranks(spark, sf_dir)).select("doc_id", "page_rank"), path))
+        out["ranked"] = stored("ranked", lambda path: write_ranked_index(out["postings"], out["pages"], out["ranks"], path))
     return out
 
 

@@ -193,9 +193,9 @@ def q_doc_rank_load(spark, sf):
 
 @query("search_keyword")
 def q_search_keyword(spark, sf):
-    """Lookup in the stored index, ranks and pages; filters reach their scans."""
+    """Lookup in the stored ranked index and pages; filters reach their scans."""
     t = I.search_tables(spark, sf)
-    res = S.search_keyword(t["postings"], t["pages"], t["ranks"], I.SEARCH_KEYWORD, 20)
+    res = S.search_ranked(spark, t["ranked"], t["pages"], I.SEARCH_KEYWORD, 20)
     return res.select("doc_id", "uri", _r(F.col("page_rank").cast("double")).alias("page_rank"),
                       F.col("term_freq").cast("long").alias("term_freq"))
 

@@ -114,6 +114,11 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 class Scratch:
     """Intermediate tables in the shared folder: they cut lineage, survive the
     loss of executors, and as plain tables let adaptive execution split a hot
