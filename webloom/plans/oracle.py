@@ -441,9 +441,12 @@ sql("read_manifests", ORACLE["warc_records"])
 sql("file_inventory", """
 SELECT 'bucket=' || CAST(page_id % 7 AS VARCHAR) AS folder, count(DISTINCT page_id % 7) AS files,
        CAST(sum(strlen(html) + 1) AS BIGINT) AS bytes FROM pages GROUP BY page_id % 7""")
-sql("load_tables", """
-SELECT 'pages' AS name, count(*) AS n FROM pages
-UNION ALL SELECT 'page_rank', 0 UNION ALL SELECT 'postings', 0 UNION ALL SELECT 'word_count', 0""")
+sql("load_tables", f"""WITH {SEARCH_CTE}
+SELECT 'pages' AS name, count(*) AS n FROM pages_t UNION ALL SELECT 'page_rank', count(*) FROM doc_ranks
+UNION ALL SELECT 'postings', count(*) FROM post UNION ALL SELECT 'word_count', count(DISTINCT term) FROM post""")
+sql("keyed_store_put", ORACLE["upsert_latest"])
+sql("keyed_store_delete", ORACLE["upsert_latest"].replace("FROM events", "FROM (SELECT * FROM events WHERE user_id NOT IN "
+    "(SELECT user_id FROM events WHERE event_type = 'error' AND value >= 99.0 AND user_id IS NOT NULL)) AS left_over"))
 sql("outputs_by_input", """
 SELECT source AS file_name, 'documents ' || CAST(count(*) AS VARCHAR) AS line FROM documents GROUP BY source""")
 sql("vectors_from_files", f"""

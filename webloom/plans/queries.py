@@ -514,11 +514,13 @@ def q_read_manifests(spark, sf):
 
 @query("load_tables")
 def q_load_tables(spark, sf):
-    """The crawl tables created empty, the page table then filled; rows of each."""
+    """The four crawl tables created empty, then loaded with pages, index, word counts and ranks; rows of each."""
     from webloom.sinks.text import TABLE_SCHEMAS, init_tables
     base = scratch_path(spark, f"tables-{uuid.uuid4().hex}")
     paths = dict(zip(TABLE_SCHEMAS, init_tables(spark, base)))
-    I.search_pages(spark, sf).write.mode("append").parquet(paths["pages"])
+    t = I.search_tables(spark, sf)
+    for name, rows in {"pages": t["pages"], "postings": t["postings"], "word_count": IX.word_count(t["postings"]), "page_rank": t["ranks"]}.items():
+        rows.select(*(f.split()[0] for f in TABLE_SCHEMAS[name].split(", "))).write.mode("append").option("compression", "gzip").parquet(paths[name])
     counts = [spark.read.schema(TABLE_SCHEMAS[n]).parquet(p).agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("n"))
               for n, p in paths.items()]
     return reduce(DataFrame.unionByName, counts)
@@ -610,6 +612,31 @@ def q_edges_from_adjacency_files(spark, sf):
     return SRC.read_adjacency(spark, path, sep=" ")[1]
 
 
+# ------------------------------------------------- keyed table with deltas
+def _event_store(spark, sf):
+    """The latest event of each user in a keyed table: two batches of puts, the first one compacted."""
+    from webloom.operators.keyed_store import KeyedTable
+    ev = table(spark, sf, "events")
+    store = KeyedTable.create(spark, scratch_path(spark, f"events-{uuid.uuid4().hex}"), ev.schema, ["user_id"], ["ts", "event_id"], 16)
+    early = F.col("event_type").isin("signup", "click", "view")
+    store.put(ev.filter(early))
+    store.compact(1)
+    store.put(ev.filter(~early))
+    return ev, store
+
+
+@query("keyed_store_put")
+def q_keyed_store_put(spark, sf):
+    return _event_out(_event_store(spark, sf)[1].read())
+
+
+@query("keyed_store_delete")
+def q_keyed_store_delete(spark, sf):
+    ev, store = _event_store(spark, sf)
+    store.delete(ev.filter((F.col("event_type") == "error") & (F.col("value") >= 99.0)).select("user_id"))
+    return _event_out(store.read())
+
+
 # ------------------------------------------------- alignments of passages
 from webloom.operators import alignment as AL  # noqa: E402
 
