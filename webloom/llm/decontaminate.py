@@ -102,9 +102,13 @@ class Block:
         for number, mask in self.masks:
             h = seeds(words, mask, number)
             at = np.flatnonzero(self.table[h >> np.uint64(64 - _BITS)])
-            at = at[np.argsort(h[at], kind="stable")]
-            low, high = np.searchsorted(self.hashes, h[at], "left"), np.searchsorted(self.hashes, h[at], "right")
-            at, low, high = at[low < high], low[low < high], high[low < high]
+            low = np.searchsorted(self.hashes, h[at], "left")
+            hit = np.flatnonzero(self.hashes[np.minimum(low, len(self.hashes) - 1)] == h[at]) if len(at) else at
+            if not len(hit):  # most texts and masks
+                continue
+            hit = hit[np.argsort(low[hit], kind="stable")]
+            at, low = at[hit], low[hit]
+            high = np.searchsorted(self.hashes, h[at], "right")
             cut = cut_points(low)
             for i, j in zip(cut[:-1], cut[1:]):  # the document's places of one seed, and the items'
                 for k in range(low[i], high[i]):
