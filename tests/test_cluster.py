@@ -88,3 +88,16 @@ def test_sample_cutoffs_equal_sample_fixed(spark):
         a = sorted(r.id for r in df.filter(SM.in_sample(sd, cuts[sd])).collect())
         b = sorted(r.id for r in SM.sample_fixed(df, 77, sd).collect())
         assert a == b and len(a) == 77
+
+
+def test_vectors_that_fit_no_centroid(spark):
+    import numpy as np
+
+    from webloom.operators import cluster as CL
+    rows = [(1, [0.0, 1.0]), (2, None), (3, []), (4, [1.0]), (5, [None, 1.0]), (6, [float("nan"), 1.0]), (7, [9.0, 9.0]), (8, [1.0, 2.0, 3.0])]
+    points = spark.createDataFrame(rows, "id long, features array<double>")
+    cents = CL.Centroids([10, 20], np.array([[0.0, 0.0], [9.0, 8.0]]), np.zeros(2))
+    got = CL.assign(points, cents)
+    assert {r.id: (r.cid, r.dist) for r in got.collect()} == {1: (10, 1.0), 7: (20, 1.0), **{i: (None, None) for i in (2, 3, 4, 5, 6, 8)}}
+    assert sorted((r.cid, list(r.sum), r.n) for r in CL.cluster_sums(got).collect()) == [(10, [0.0, 1.0], 1), (20, [9.0, 9.0], 1)]
+    assert CL.clustering_error(got).first()[0] == 2.0

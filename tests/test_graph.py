@@ -165,3 +165,10 @@ def test_links_stay_in_place(spark):
     assert not spark.catalog.tableExists(name)
     assert G.pagerank(edges, iterations=2, salt_chunk=10).agg({"rank": "sum"}).first()[0] == pytest.approx(1.0)
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("webloom_")]
+
+
+def test_a_repeated_link_is_split_over_lines(spark):
+    edges = spark.range(1000).selectExpr("1L AS src", "2L AS dst").unionByName(spark.range(40).selectExpr("1L AS src", "id + 10 AS dst"))
+    lines = G.adjacency_lines(edges, max_targets=50).collect()
+    assert len(lines) > 5 and max(len(r.targets) for r in lines) < 500
+    assert sorted(t for r in lines for t in r.targets) == sorted([2] * 1000 + list(range(10, 50)))

@@ -70,9 +70,11 @@ def nearest(x: np.ndarray, mat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def assign(points: DataFrame, cents: Centroids, features: str = "features") -> DataFrame:
-    """Points with their nearest centroid: (..., cid, dist)."""
+    """Points with their nearest centroid: (..., cid, dist); both are null for a vector that is null, of
+    another length than the centroids, or holds null or NaN."""
     from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
     import pyarrow as pa
+    import pyarrow.compute as pc
     mat, ids = np.asarray(cents.vectors, dtype=np.float64), np.asarray(cents.cids, dtype=np.int32)
     schema = StructType([*points.schema.fields, StructField("cid", IntegerType()), StructField("dist", DoubleType())])
 
@@ -81,8 +83,13 @@ def assign(points: DataFrame, cents: Centroids, features: str = "features") -> D
             if not b.num_rows:
                 continue
             col = b.column(features)
-            pick, dist = nearest(col.flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1), mat)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids[pick]), pa.array(dist)], [*b.schema.names, "cid", "dist"])
+            fits = np.flatnonzero(pc.list_value_length(col).fill_null(-1).to_numpy() == mat.shape[1])
+            x = col.take(pa.array(fits)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(fits), mat.shape[1])
+            fits, x = fits[~np.isnan(x).any(axis=1)], x[~np.isnan(x).any(axis=1)]  # nulls come as NaN
+            cid, dist, none = np.zeros(b.num_rows, dtype=np.int32), np.zeros(b.num_rows), np.ones(b.num_rows, dtype=bool)
+            pick, dist[fits] = nearest(x, mat)
+            cid[fits], none[fits] = ids[pick], False
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cid, mask=none), pa.array(dist, mask=none)], [*b.schema.names, "cid", "dist"])
 
     return points.mapInArrow(run, schema)
 
@@ -97,7 +104,7 @@ def cluster_sums(assigned: DataFrame, features: str = "features") -> DataFrame:
     from pyspark.ml.stat import Summarizer
 
     extra = [F.sum("dist").alias("err")] if "dist" in assigned.columns else []
-    agg = assigned.groupBy("cid").agg(
+    agg = assigned.filter("cid IS NOT NULL").groupBy("cid").agg(
         Summarizer.sum(array_to_vector(features)).alias("_s"), F.count(F.lit(1)).alias("n"), *extra)
     return agg.select("cid", vector_to_array("_s").alias("sum"), "n", *[e for e in ["err"] if extra])
 

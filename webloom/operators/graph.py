@@ -63,16 +63,20 @@ def adjacency_lines(edges: DataFrame, nodes: DataFrame | None = None,
                     max_targets: int = 100_000) -> DataFrame:
     """(src, chunk, targets, line) -- the adjacency text form, targets sorted.
 
-    A source with more than ``max_targets`` distinct targets is written as
-    several lines (picked by a hash of dst), which the reader unions back.
+    A source with more than ``max_targets`` links, repeats counted, is written as
+    several lines (picked by a hash), which the reader unions back; a link that
+    repeats more often than that is dealt to several of them.
     Degrees and links meet as plain tables, so a hot source can be split
     there; a repeated link is one weighted row until its line is written.
     Sources in ``nodes`` without links get a line holding only their id.
     """
     scratch = Scratch(edges.sparkSession, "adjacency")
     links = scratch.save(weighted(edges))
-    deg = scratch.save(links.groupBy("src").agg(F.ceil(F.count(F.lit(1)) / F.lit(max_targets)).cast("long").alias("_n")))
-    keyed = links.join(deg, "src").withColumn("chunk", F.pmod(F.xxhash64("dst"), F.col("_n")))
+    deg = scratch.save(links.groupBy("src").agg(F.ceil(F.sum("w") / F.lit(max_targets)).cast("long").alias("_n")))
+    most = F.lit(max_targets).cast("long")
+    parts = links.withColumn("_i", F.explode(F.expr(f"sequence(0L, (w - 1) DIV {int(max_targets)})"))) \
+        .withColumn("w", F.least(most, F.col("w") - F.col("_i") * most))
+    keyed = parts.join(deg, "src").withColumn("chunk", F.pmod(F.xxhash64("dst", "_i"), F.col("_n")))
     each = F.array_repeat("dst", F.col("w").cast("int"))
     lists = keyed.groupBy("src", "chunk").agg(F.sort_array(F.flatten(F.collect_list(each))).alias("targets"))
     if nodes is not None:

@@ -439,7 +439,7 @@ sql("edges_from_adjacency_files", ORACLE["edges_from_adjacency"])
 
 sql("read_manifests", ORACLE["warc_records"])
 sql("file_inventory", """
-SELECT 'bucket=' || CAST(page_id % 7 AS VARCHAR) AS folder, count(DISTINCT page_id % 7) AS files,
+SELECT 'bucket=' || CAST(page_id % 7 AS VARCHAR) AS folder, count(DISTINCT page_id // 1000) AS files,
        CAST(sum(strlen(html) + 1) AS BIGINT) AS bytes FROM pages GROUP BY page_id % 7""")
 sql("load_tables", f"""WITH {SEARCH_CTE}
 SELECT 'pages' AS name, count(*) AS n FROM pages_t UNION ALL SELECT 'page_rank', count(*) FROM doc_ranks

@@ -491,12 +491,12 @@ def q_pages_from_warc(spark, sf):
 
 @query("file_inventory")
 def q_file_inventory(spark, sf):
-    """Files and bytes per folder of a table written as one file per folder."""
+    """Files and bytes per folder of a table written in files of a thousand pages' range each."""
     path = scratch_path(spark, f"inventory-{uuid.uuid4().hex}")
-    p = table(spark, sf, "pages").select((F.col("page_id") % 7).alias("bucket"), F.col("html").alias("value"))
-    p.repartition("bucket").write.partitionBy("bucket").text(path)
+    p = table(spark, sf, "pages").select((F.col("page_id") % 7).alias("bucket"), F.expr("page_id DIV 1000").alias("chunk"), F.col("html").alias("value"))
+    p.repartition("bucket", "chunk").write.partitionBy("bucket", "chunk").text(path)
     files = FS.scan_files(spark, path, recursive=True).filter(F.col("file_name").startswith("part-"))
-    folder = F.element_at(F.split("path", "/"), -2)
+    folder = F.element_at(F.split("path", "/"), -3)
     return files.groupBy(folder.alias("folder")).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
 
 
