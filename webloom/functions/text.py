@@ -7,6 +7,8 @@ interpreted expression path -- never a Python worker.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,27 +23,53 @@ STOP_WORDS = (
 )
 # -----------------------------------------------------------------------------
 
-# Word-break approximation of Unicode UAX#29 as used by the standard
-# tokenizer: runs of letters / marks / digits / underscore; an apostrophe, a
-# period or a colon joins two letters; an apostrophe, period, comma or
-# semicolon joins two digits.  TOKEN_PATTERN is written without look-around
-# so RE2 (the SQL oracle) can run it.
-_W = r"[\p{L}\p{M}\p{Nd}_]"
-TOKEN_PATTERN = (
-    r"(?:" + _W + r"*(?:\p{L}(?:[':.]\p{L})+|\p{Nd}(?:[',.;]\p{Nd})+))+" + _W + r"*"
-    r"|" + _W + r"+"
-)
-# The same tokens as TOKEN_PATTERN, written with look-around so the Java
-# engine scans each word once instead of backtracking through the joiner
-# branch (about 40% less regex time).  The group is possessive: a plain one
-# recurses once per joiner and overflows the stack on long joined digits.
-# Spark uses this one; the SQL oracle
-# (RE2, no look-around) uses TOKEN_PATTERN; a property test checks they agree.
-TOKEN_PATTERN_JAVA = (
-    _W + r"+(?:(?:(?<=\p{L})[':.](?=\p{L})|(?<=\p{Nd})[',.;](?=\p{Nd}))" + _W + r"+)*+"
-)
-# A token must carry at least one letter or digit (a run of '_' is not a word).
-WORDISH_PATTERN = r"[\p{L}\p{Nd}]"
+# --- fixed values of the Unicode word-break rules (UAX #29) ------------------
+# Characters that join two letters, two digits, or either (MidLetter, MidNum,
+# MidNumLet with the single quote).
+MID_LETTER = r":\x{B7}\x{387}\x{5F4}\x{2027}\x{FE13}\x{FE55}\x{FF1A}"
+MID_NUM = r",;\x{37E}\x{589}\x{60C}\x{60D}\x{66C}\x{7F8}\x{2044}\x{FE10}\x{FE14}\x{FE50}\x{FE54}\x{FF0C}\x{FF1B}"
+MID_NUM_LET = r"'.\x{2018}\x{2019}\x{2024}\x{FE52}\x{FF07}\x{FF0E}"
+# Marks and format characters belong to what they follow (Extend, Format).
+EXTEND = r"\p{M}\x{AD}\x{200C}-\x{200F}\x{202A}-\x{202E}\x{2060}-\x{2064}\x{FEFF}\x{FF9E}\x{FF9F}"
+# Katakana with its sound and repeat marks; scripts that need a dictionary to
+# be cut into words (a run is one token); scripts whose characters stand alone.
+KATAKANA = r"\p{IsKatakana}\x{3031}-\x{3035}\x{309B}\x{309C}\x{30A0}\x{30FC}\x{FF70}"
+COMPLEX = r"\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+ALONE = r"\p{IsHan}\p{IsHiragana}"
+# -----------------------------------------------------------------------------
+
+
+def re2(pattern: str) -> str:
+    """The same pattern for RE2 (the SQL oracle): no possessive quantifiers, script
+    names without 'Is'.  Only for patterns that match alike without backtracking."""
+    return re.sub(r"([*+?])\+", r"\1", pattern).replace(r"\p{Is", r"\p{")
+
+
+# The state table of the word-break rules as one pattern, a state per line.  Every
+# choice is settled by the next character, so possessive quantifiers (which keep
+# the Java engine from recursing or backtracking on long tokens) change nothing.
+#   letters: a letter of an alphabet or Hangul, joined by MidLetter | MidNumLet
+#   digits:  joined by MidNum | MidNumLet; letters and digits join directly
+#   connectors ('_' and the like) join letters, digits and Katakana runs
+def _tokens(letter: str) -> str:
+    letters = rf"{letter}(?:{letter}++|[{EXTEND}]++)*+"
+    digits = rf"\p{{Nd}}[\p{{Nd}}{EXTEND}]*+"
+    word = (rf"(?:{letters}(?:[{MID_LETTER}{MID_NUM_LET}][{EXTEND}]*+{letters})*+"
+            rf"|{digits}(?:[{MID_NUM}{MID_NUM_LET}][{EXTEND}]*+{digits})*+)++")
+    run = rf"(?:{word}|[{KATAKANA}][{KATAKANA}{EXTEND}]*+)"
+    connect = rf"\p{{Pc}}[\p{{Pc}}{EXTEND}]*+"
+    joined = rf"{run}(?:{connect}{run})*+(?:{connect})?+"
+    return (rf"(?:{joined}|{connect}(?:{joined})?+"
+            rf"|[{ALONE}][{EXTEND}]*+|[{COMPLEX}][{COMPLEX}{EXTEND}]*+)")
+
+
+# Java looks scripts up slowly: a look-ahead passes over blanks and punctuation, and
+# a-z are named first; neither changes a match.
+_LETTER = rf"^\P{{L}}{ALONE}{KATAKANA}{COMPLEX}"
+TOKEN_PATTERN_JAVA = r"(?=[\p{L}\p{N}\p{M}\p{S}\p{Pc}\x{30A0}])" + _tokens(rf"[a-z[{_LETTER}]]")
+TOKEN_PATTERN = re2(_tokens(rf"[{_LETTER}]"))
+# A token must carry at least one letter or number (a run of '_' is not a word).
+WORDISH_PATTERN = r"[\p{L}\p{N}]"
 
 # Number test on a lower-cased token: "0x" + hex digits; otherwise only digits,
 # ',' and hex letters, or digits and ',' with at most one '.'.  Words made of
@@ -56,7 +84,9 @@ def _c(c) -> Column:
 
 
 def tokenize(text) -> Column:
-    """array<string> of lower-cased word tokens (standard-analyzer style)."""
+    """array<string> of lower-cased word tokens by the word-break rules: ideographs and
+    Hiragana one by one, Katakana and Hangul in runs, scripts without spaces (Thai, Lao,
+    Khmer, Burmese) a run each.  Null text gives null; the Hebrew quote rules are left out."""
     raw = F.regexp_extract_all(F.lower(_c(text)), F.lit(TOKEN_PATTERN_JAVA), 0)
     return F.filter(raw, lambda t: t.rlike(WORDISH_PATTERN))
 
