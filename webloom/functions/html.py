@@ -15,6 +15,8 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from webloom.functions.text import re2
+
 # --- fixed values ------------------------------------------------------------
 # Link patterns of the reference, tried in this order on each tag body.
 A_HREF = r"""[aA].+?[hH][rR][eE][fF]=['"](.+?)['"].*?"""
@@ -30,15 +32,42 @@ _EOL = r"\n\r\x{85}\x{2028}\x{2029}"
 TAG_PATTERN = "<([^>" + _EOL + "]*)>"
 HTTP_PATTERN = r"^[hH][tT][tT][pP][sS]?://[^" + _EOL + r"]*\z"
 
-# HTML split into pieces: raw-text elements, comments, tags, text runs.
-# An unclosed raw-text element runs to the end of the page.
-PIECE_PATTERN = (r"(?i:<script\b)[^>]*>(?s:.*?)(?:(?i:</script\s*>)|\z)"
-                 r"|(?i:<style\b)[^>]*>(?s:.*?)(?:(?i:</style\s*>)|\z)"
-                 r"|<!--(?s:.*?)-->"
-                 r"|<[a-zA-Z/!?][^>]*>"
-                 r"|[^<]+|<")
-RAW_OPEN = r"^(?i:<(?:script|style)\b)"
-RAW_BODY = r"^(?s:<[^>]*>(.*?)(?i:</(?:script|style)\s*>)?)$"
+# --- fixed values of the HTML tokenizer --------------------------------------
+# Elements whose content holds no tags; in the latter references are decoded.
+RAW_ELEMENTS = ("script", "style", "xmp", "iframe", "noembed", "noframes")
+TEXT_ELEMENTS = ("title", "textarea")
+# -----------------------------------------------------------------------------
+
+# The tokenizer's states as one pattern (space: the characters that separate attributes).
+# Every choice is settled by the next characters, so that possessive quantifiers change nothing.
+_S = r"\t\n\f\r "
+_VALUE = rf"""(?:"[^"]*+(?:"|\z)|'[^']*+(?:'|\z)|[^{_S}>"'][^{_S}>]*+)"""
+_ATTRIBUTES = rf"(?:[{_S}/]++|[^{_S}/>][^{_S}/>=]*+(?:[{_S}]*+=[{_S}]*+{_VALUE}?+)?+)*+(?:>|\z)"
+
+
+def _element(name: str) -> str:
+    """The element from its open tag to its end tag, or to the end of the page."""
+    return rf"<(?i:{name})(?:[{_S}/]{_ATTRIBUTES}|>)(?s:.*?)(?:</(?i:{name})(?:[{_S}/]{_ATTRIBUTES}|>)|\z)"
+
+
+PIECE_PATTERN_JAVA = "|".join([
+    *map(_element, RAW_ELEMENTS + TEXT_ELEMENTS),
+    r"<!--(?:-?>|(?s:.*?)(?:--!?>|\z))",                   # comment
+    rf"</?[a-zA-Z][^{_S}/>]*+{_ATTRIBUTES}",                # tag
+    r"<[!?][^>]*+(?:>|\z)", r"</(?:>|[^a-zA-Z>][^>]*+(?:>|\z))",  # declaration, bogus comment
+    r"[^<]++", r"<"])
+PIECE_PATTERN = re2(PIECE_PATTERN_JAVA)
+
+
+def _opening(names) -> str:
+    return rf"^<(?i:{'|'.join(names)})[{_S}/>]"
+
+
+# Pieces that are elements with raw text, of which the scripts, or with text; their content.
+RAW_OPEN, SCRIPT_OPEN, TEXT_OPEN = _opening(RAW_ELEMENTS), _opening(RAW_ELEMENTS[:2]), _opening(TEXT_ELEMENTS)
+RAW_BODY_JAVA = (rf"^<[a-zA-Z]++(?:[{_S}/]{_ATTRIBUTES}|>)((?s:.*?))"
+                 rf"(?:</(?i:{'|'.join(RAW_ELEMENTS + TEXT_ELEMENTS)})(?:[{_S}/]{_ATTRIBUTES}|>))?\z")
+RAW_BODY = re2(RAW_BODY_JAVA)
 # Characters Java's String.trim removes (every char <= U+0020).
 TRIM_PATTERN = r"^[\x00-\x20]+|[\x00-\x20]+$"
 
@@ -59,50 +88,60 @@ def java_trim(s) -> Column:
     return F.regexp_replace(_c(s), TRIM_PATTERN, "")
 
 
-# A text cut into character references and what lies between them.
-REFERENCE_PATTERN = r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);|[^&]+|&"
+# A text cut into character references, with or without their semicolon, and what lies between.
+REFERENCE_PATTERN = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[a-zA-Z][a-zA-Z0-9]*;?)|[^&]+|&"
+#: Names that need no semicolon, as one pattern in which the longest comes first.
+BARE_NAMES = "^&(?:" + "|".join(sorted((k for k in html5 if not k.endswith(";")), key=lambda k: (-len(k), k))) + ")"
+#: Numbers 128 to 159 stand for the characters of windows-1252.
+C1_CHARACTERS = {str(n): bytes([n]).decode("cp1252") for n in range(128, 160) if n not in (129, 141, 143, 144, 157)}
 
 
-def _named_references() -> Column:
-    """The standard's named references ('&name;' -> characters) as one map
-    literal, from the table of Python's standard library."""
-    table = {f"&{k}": v for k, v in html5.items() if k.endswith(";")}
-    return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
+def _table(pairs: dict) -> Column:
+    return F.from_json(F.lit(json.dumps(pairs)), "map<string,string>")
 
 
 def _numeric_reference(ref) -> Column:
     """The character of '&#N;' or '&#xH;' (any number of leading zeros);
     references to no valid code point stay as written."""
     hexed = ref.rlike("^&#[xX]")
-    digits = F.regexp_extract(ref, r"^&#[xX]?0*([0-9a-fA-F]*);$", 1)
+    digits = F.regexp_extract(ref, r"^&#[xX]?0*([0-9a-fA-F]*);?$", 1)
     short = F.when(F.length(digits) <= 7, digits).otherwise(F.lit("0"))
     cp = F.when(hexed, F.conv(short, 16, 10)).otherwise(F.when(short == "", "0").otherwise(short)).cast("bigint")
     valid = (cp >= 1) & (cp <= 0x10FFFF) & ~cp.between(0xD800, 0xDFFF)
-    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(F.when(valid, cp).otherwise(63)), 8, "0")), "UTF-32")).otherwise(ref)
+    plain = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, cp).otherwise(63)), 8, "0")), "UTF-32")
+    return (F.when(cp.between(128, 159), F.coalesce(_table(C1_CHARACTERS)[cp.cast("string")], plain))
+            .when(valid, plain).otherwise(ref))
 
 
 def unescape(s) -> Column:
-    """Decodes every character reference once ('&amp;lt;' becomes '&lt;')."""
+    """Decodes every character reference once ('&amp;lt;' becomes '&lt;').  Of a name
+    without semicolon, or an unknown one, the longest known beginning counts."""
     s = _c(s)
-    names = _named_references()
+    names = _table({f"&{k}": v for k, v in html5.items()})
+
+    def bare(p):
+        name = F.regexp_extract(p, BARE_NAMES, 0)
+        return F.when(name == "", p).otherwise(F.concat(names[name], p.substr(F.length(name) + 1, F.length(p))))
 
     def piece(p):
         return (F.when(~p.startswith("&") | (p == "&"), p).when(p.startswith("&#"), _numeric_reference(p))
-                .otherwise(F.coalesce(names[p], p)))
+                .otherwise(F.coalesce(names[p], bare(p))))
 
     decoded = F.array_join(F.transform(F.regexp_extract_all(s, F.lit(REFERENCE_PATTERN), 0), piece), "")
     return F.when(F.contains(s, F.lit("&")), decoded).otherwise(s)
 
 
 def html_text_nodes(html, keep_script: bool = True) -> Column:
-    """array<string>: trimmed, non-empty text nodes in document order."""
-    pieces = F.regexp_extract_all(_c(html), F.lit(PIECE_PATTERN), 0)
+    """array<string>: trimmed, non-empty text nodes in document order.  ``keep_script``
+    keeps the content of scripts and styles."""
+    pieces = F.regexp_extract_all(_c(html), F.lit(PIECE_PATTERN_JAVA), 0)
 
     def node(p):
-        raw = F.regexp_extract(p, RAW_BODY, 1)
-        return (F.when(p.rlike(RAW_OPEN), raw if keep_script else F.lit(None))
-                .when(p.startswith("<") & (F.length(p) > 1), F.lit(None))
-                .otherwise(unescape(p)))
+        body = F.regexp_extract(p, RAW_BODY_JAVA, 1)
+        tag = p.startswith("<") & (F.length(p) > 1)
+        return (F.when(~tag, unescape(p))
+                .when(F.lit(False) if keep_script else p.rlike(SCRIPT_OPEN), F.lit(None))
+                .when(p.rlike(RAW_OPEN), body).when(p.rlike(TEXT_OPEN), unescape(body)))
 
     texts = F.transform(F.transform(pieces, node), java_trim)
     return F.filter(texts, lambda t: t.isNotNull() & (F.length(t) > 0)

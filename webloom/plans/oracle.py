@@ -166,19 +166,26 @@ NAMED = (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "\'"), ("nbsp", "\u00
          ("middot", "·"), ("hellip", "…"), ("ndash", "–"), ("mdash", "—"), ("laquo", "«"), ("raquo", "»"), ("amp", "&"))
 
 
+# Those of them that need no semicolon, the longest first.
+BARE = ("middot", "laquo", "raquo", "quot", "nbsp", "copy", "reg", "amp", "lt", "gt")
+
+
 def unescape_sql(s: str) -> str:
-    pieces = f"regexp_extract_all({s}, '&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);|[^&]+|&', 0)"
-    digits = "regexp_extract(r, '^&#[xX]?0*([0-9a-fA-F]*);$', 1)"
+    pieces = f"regexp_extract_all({s}, '&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[a-zA-Z][a-zA-Z0-9]*;?)|[^&]+|&', 0)"
+    digits = "regexp_extract(r, '^&#[xX]?0*([0-9a-fA-F]*);?$', 1)"
     cp = (f"(CASE WHEN length({digits}) NOT BETWEEN 1 AND 7 THEN 0 WHEN r[3] IN ('x', 'X') THEN ('0x' || {digits})::INTEGER "
           f"ELSE {digits}::INTEGER END)")
     named = " ".join(f"WHEN r = '&{n};' THEN {q(c)}" for n, c in NAMED)
-    one = (f"CASE WHEN NOT starts_with(r, '&') OR r = '&' THEN r {named} WHEN NOT starts_with(r, '&#') THEN r "
-           f"WHEN {cp} BETWEEN 1 AND 1114111 AND NOT {cp} BETWEEN 55296 AND 57343 THEN chr({cp}) ELSE r END")
+    bare = " ".join(f"WHEN starts_with(r, '&{n}') THEN {q(dict(NAMED)[n])} || substring(r, {len(n) + 2})" for n in BARE)
+    one = (f"CASE WHEN NOT starts_with(r, '&') OR r = '&' THEN r {named} WHEN starts_with(r, '&#') THEN "
+           f"CASE WHEN {cp} BETWEEN 1 AND 1114111 AND NOT {cp} BETWEEN 55296 AND 57343 THEN chr({cp}) ELSE r END {bare} ELSE r END")
     return f"array_to_string(list_transform({pieces}, lambda r: {one}), '')"
 
 
 def html_text_sql(html: str) -> str:
-    node = (f"lambda p: CASE WHEN regexp_matches(p, {q(H.RAW_OPEN)}) THEN regexp_extract(p, {q(H.RAW_BODY)}, 1) "
+    body = f"regexp_extract(p, {q(H.RAW_BODY)}, 1)"
+    node = (f"lambda p: CASE WHEN regexp_matches(p, {q(H.RAW_OPEN)}) THEN {body} "
+            f"WHEN regexp_matches(p, {q(H.TEXT_OPEN)}) THEN {unescape_sql(body)} "
             f"WHEN starts_with(p, '<') AND length(p) > 1 THEN NULL ELSE {unescape_sql('p')} END")
     nodes = (f"list_filter(list_transform(list_transform(regexp_extract_all({html}, {q(H.PIECE_PATTERN)}, 0), "
              f"{node}), lambda t: regexp_replace(t, {q(H.TRIM_PATTERN)}, '', 'g')), "
