@@ -50,21 +50,28 @@ def _element(name: str) -> str:
     return rf"<(?i:{name})(?:[{_S}/]{_ATTRIBUTES}|>)(?s:.*?)(?:</(?i:{name})(?:[{_S}/]{_ATTRIBUTES}|>)|\z)"
 
 
-PIECE_PATTERN_JAVA = "|".join([
-    *map(_element, RAW_ELEMENTS + TEXT_ELEMENTS),
-    r"<!--(?:-?>|(?s:.*?)(?:--!?>|\z))",                   # comment
-    rf"</?[a-zA-Z][^{_S}/>]*+{_ATTRIBUTES}",                # tag
-    r"<[!?][^>]*+(?:>|\z)", r"</(?:>|[^a-zA-Z>][^>]*+(?:>|\z))",  # declaration, bogus comment
-    r"[^<]++", r"<"])
-PIECE_PATTERN = re2(PIECE_PATTERN_JAVA)
+def _pieces(ahead: str = "") -> str:
+    return "|".join([
+        r"[^<]++",
+        ahead + "(?:" + "|".join(map(_element, RAW_ELEMENTS + TEXT_ELEMENTS)) + ")",
+        rf"</?[a-zA-Z][^{_S}/>]*+{_ATTRIBUTES}",                # tag
+        r"<!--(?:-?>|(?s:.*?)(?:--!?>|\z))",                   # comment
+        r"<[!?][^>]*+(?:>|\z)", r"</(?:>|[^a-zA-Z>][^>]*+(?:>|\z))",  # declaration, bogus comment
+        "<"])
+
+
+# The look-ahead (Java only) passes over other tags at once; it changes no match.
+PIECE_PATTERN_JAVA = _pieces(f"(?=<(?i:{'|'.join(sorted({e[:2] for e in RAW_ELEMENTS + TEXT_ELEMENTS}))}))")
+PIECE_PATTERN = re2(_pieces())
 
 
 def _opening(names) -> str:
     return rf"^<(?i:{'|'.join(names)})[{_S}/>]"
 
 
-# Pieces that are elements with raw text, of which the scripts, or with text; their content.
-RAW_OPEN, SCRIPT_OPEN, TEXT_OPEN = _opening(RAW_ELEMENTS), _opening(RAW_ELEMENTS[:2]), _opening(TEXT_ELEMENTS)
+# Pieces that are elements with raw text or with text, all of them or all but scripts and styles; their content.
+RAW_OPEN, TEXT_OPEN = _opening(RAW_ELEMENTS), _opening(TEXT_ELEMENTS)
+ELEMENT_OPEN, KEPT_OPEN = _opening(RAW_ELEMENTS + TEXT_ELEMENTS), _opening(RAW_ELEMENTS[2:] + TEXT_ELEMENTS)
 RAW_BODY_JAVA = (rf"^<[a-zA-Z]++(?:[{_S}/]{_ATTRIBUTES}|>)((?s:.*?))"
                  rf"(?:</(?i:{'|'.join(RAW_ELEMENTS + TEXT_ELEMENTS)})(?:[{_S}/]{_ATTRIBUTES}|>))?\z")
 RAW_BODY = re2(RAW_BODY_JAVA)
@@ -117,11 +124,12 @@ def unescape(s) -> Column:
     """Decodes every character reference once ('&amp;lt;' becomes '&lt;').  Of a name
     without semicolon, or an unknown one, the longest known beginning counts."""
     s = _c(s)
-    names = _table({f"&{k}": v for k, v in html5.items()})
+    names = _table({f"&{k}": v for k, v in html5.items() if k.endswith(";")})
+    bare_names = _table({f"&{k}": v for k, v in html5.items() if not k.endswith(";")})
 
     def bare(p):
         name = F.regexp_extract(p, BARE_NAMES, 0)
-        return F.when(name == "", p).otherwise(F.concat(names[name], p.substr(F.length(name) + 1, F.length(p))))
+        return F.when(name == "", p).otherwise(F.concat(bare_names[name], p.substr(F.length(name) + 1, F.length(p))))
 
     def piece(p):
         return (F.when(~p.startswith("&") | (p == "&"), p).when(p.startswith("&#"), _numeric_reference(p))
@@ -137,13 +145,14 @@ def html_text_nodes(html, keep_script: bool = True) -> Column:
     pieces = F.regexp_extract_all(_c(html), F.lit(PIECE_PATTERN_JAVA), 0)
 
     def node(p):
-        body = F.regexp_extract(p, RAW_BODY_JAVA, 1)
+        """A piece's text, if it has one, and whether references are decoded in it."""
         tag = p.startswith("<") & (F.length(p) > 1)
-        return (F.when(~tag, unescape(p))
-                .when(F.lit(False) if keep_script else p.rlike(SCRIPT_OPEN), F.lit(None))
-                .when(p.rlike(RAW_OPEN), body).when(p.rlike(TEXT_OPEN), unescape(body)))
+        dropped = tag & ~p.rlike(ELEMENT_OPEN if keep_script else KEPT_OPEN)
+        text = F.when(~tag, p).when(~dropped, F.regexp_extract(p, RAW_BODY_JAVA, 1))
+        return F.struct(text.alias("text"), (~tag | p.rlike(TEXT_OPEN)).alias("decoded"))
 
-    texts = F.transform(F.transform(pieces, node), java_trim)
+    texts = F.transform(F.filter(F.transform(pieces, node), lambda n: n["text"].isNotNull()),
+                        lambda n: java_trim(F.when(n["decoded"], unescape(n["text"])).otherwise(n["text"])))
     return F.filter(texts, lambda t: t.isNotNull() & (F.length(t) > 0)
                     & ~(t.startswith("<!--") & t.endswith("-->"))
                     & ~(t.startswith("/*") & t.endswith("*/")))
