@@ -137,6 +137,10 @@ COMMAND_TEMPLATE = "blastx -db nr -query #_INPUTFILE_# -out #_OUTPUTFILE_#"
 HTTP_PREFIX = "HTTP/1.1 200 OK\nContent-Type: text/html\nContent-Length: "
 
 
+#: Bytes of an archive that a task reads in the queries (the given pages are small).
+ARCHIVE_SPLIT = 1 << 20
+
+
 def http_body(pages: DataFrame) -> F.Column:
     """An HTTP response (status line, headers, blank line, HTML) per page."""
     return F.concat(F.lit(HTTP_PREFIX), F.octet_length("html").cast("string"), F.lit("\n\n"), F.col("html"))

@@ -445,6 +445,7 @@ sql("hits_from_files", ORACLE["hits_best"])
 sql("edges_from_adjacency_files", ORACLE["edges_from_adjacency"])
 
 sql("read_manifests", ORACLE["warc_records"])
+sql("warc_split_records", ORACLE["warc_records"])
 sql("file_inventory", """
 SELECT 'bucket=' || CAST(page_id % 7 AS VARCHAR) AS folder, count(DISTINCT page_id // 1000) AS files,
        CAST(sum(strlen(html) + 1) AS BIGINT) AS bytes FROM pages GROUP BY page_id % 7""")

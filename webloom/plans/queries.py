@@ -481,6 +481,18 @@ def q_warc_records(spark, sf):
                        F.col("metadata")["WARC-Target-URI"].alias("uri"), "content_length")
 
 
+@query("warc_split_records")
+def q_warc_split_records(spark, sf):
+    """The pages as a few archives of many gzip members, each read by several tasks."""
+    from webloom.sinks.text import write_archives
+    path = scratch_path(spark, f"members-{uuid.uuid4().hex}")
+    pages = table(spark, sf, "pages")
+    write_archives(pages.select(I.warc_record_text(pages).alias("value")), path)
+    recs = W.read_warc_split(spark, path, glob="*.warc.gz", split_bytes=I.ARCHIVE_SPLIT).filter(F.col("type") == "response")
+    return recs.select(F.col("metadata")["WARC-TREC-ID"].alias("trec_id"),
+                       F.col("metadata")["WARC-Target-URI"].alias("uri"), "content_length")
+
+
 @query("pages_from_warc")
 def q_pages_from_warc(spark, sf):
     recs = W.read_warc(spark, I.write_pages_as_warc(spark, sf))

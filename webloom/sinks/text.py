@@ -48,3 +48,34 @@ def init_tables(spark: SparkSession, base: str, names: list[str] | None = None)
             .option("compression", "gzip").parquet(path)
         out.append(path)
     return out
+
+
+def write_archives(records: DataFrame, path: str, text_col: str = "value") -> int:
+    """Writes each partition as one archive with a gzip member per record; returns the archives.
+
+    A task writes under a name of its own and renames at its end, so a task that
+    is lost or run twice leaves one whole archive per partition; other files under ``path``
+    end in ``.tmp``.  Null texts are left out; empty partitions write nothing."""
+    def archive(batches):
+        import gzip
+        import uuid
+
+        import pyarrow as pa
+        import pyarrow.fs as pfs
+        from pyspark import TaskContext
+        fs, folder = pfs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+        name = f"{folder}/part-{TaskContext.get().partitionId():05d}.warc.gz"
+        out, trial = None, f"{folder}/{uuid.uuid4().hex}.tmp"
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                if text is None:
+                    continue
+                if out is None:
+                    fs.create_dir(folder)
+                    out = fs.open_output_stream(trial)
+                out.write(gzip.compress(text.encode(), mtime=0))
+        if out is not None:
+            out.close()
+            fs.move(trial, name)
+            yield pa.RecordBatch.from_arrays([pa.array([name])], ["name"])
+    return records.select(text_col).mapInArrow(archive, "name string").count()

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from webloom.functions.html import html_to_text
 from webloom.functions.text import doc_key, strip_http_header
 from webloom.operators.index import term_freqs
-from webloom.sources.warc import RECORD_SCHEMA, _open_path, record_batches, text_of
+from webloom.sources.warc import RECORD_SCHEMA, _open_path, page_text, record_batches
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 PAGES_SCHEMA = "doc_id string, uri string, content string, loaded long, stream string, batch long"
@@ -41,7 +41,7 @@ def _decode(batches):
 def page_rows(records: DataFrame) -> DataFrame:
     """(doc_id, uri, content) from decoded records (response records only)."""
     resp = records.filter((F.col("type") == "response") & F.col("content").isNotNull())
-    html = strip_http_header(text_of("content"))
+    html = strip_http_header(page_text("content"))
     rows = resp.select(doc_key(F.col("metadata")["WARC-TREC-ID"]).alias("doc_id"),
                        F.col("metadata")["WARC-Target-URI"].alias("uri"),
                        html_to_text(html).alias("content"), "file_name", "record_no")
