@@ -56,6 +56,7 @@ def runs(html):
 @pytest.mark.parametrize("html,want", [
     ("", []), ("a<b>b</b>c", ["abc"]), ("<p>a<p>b", ["a", "b"]), ("a &lt;b&gt; &amp;amp; &#x41;", ["a <b> &amp; A"]),
     ("a<br>b", ["a b"]), ("<!-- <p>x</p> -->y<!-- open <p>z", ["y"]), ("<script>a</p></script >b", ["b"]), ("<script>never closed <p>x", []),
+    ('<script src="a.js"/>var x=1;</script>b', ["b"]), ("<style/>p{}</style>b<svg/>c", ["b c"]),
     ("a < b", ["a < b"]), ("<p title='a>b'>c</p>", ["c"]), ("<p title='open>c</p>", ["c"]), ("<ul><li>a<li>b</ul>c", ["a", "b", "c"]),
     ("<td>a</td><td>b", ["a", "b"]), ("</p>a</div>b", ["ab"]), ("<STYLE>x</StyLe>y", ["y"]),
     ("<a href=x>l<a href=y>m</a>n", ["lmn"]), ("<p", []), ("<p>x</p", ["x"]), ("<?php x ?>y", ["y"]), ("\x00a\xa0 b", ["\x00a b"])])

@@ -17,6 +17,8 @@ INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em fon
 small span strike strong sub sup time tt u var wbr br picture source""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea noscript iframe template svg math object select xmp noframes canvas audio video".split())
+#: Those whose start tag may close itself; on the others the slash means nothing.
+CLOSES_ITSELF = frozenset("svg math object canvas audio video".split())
 #: Opening one of these ends an open paragraph.
 ENDS_P = frozenset("""address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form
 h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul""".split())
@@ -135,7 +137,7 @@ class Page:
                     close(tag)
                 continue
             if tag in RAW:
-                if not attrs.endswith("/"):
+                if tag not in CLOSES_ITSELF or not attrs.endswith("/"):
                     at = self._skip(html, tag, at)
                 if tag not in ("title", "script", "style", "noscript", "template"):
                     run.append(" ")
