@@ -76,3 +76,17 @@ def test_ties_repeats_and_long_texts(spark):
     for r in quality.score(docs, quality.train(docs, lab)).collect():
         got.setdefault(r.doc_id, []).append(r.score)
     assert got[3][0] >= 0.7 > got[4][0] and got[5] == got[7] and got[4] == got[6] and len(got[0]) == 2
+
+
+def test_a_repeated_id_is_learnt_from_once_and_the_sample_has_a_bound(spark):
+    rows = [(i, f"good words here and there {i} " * 3 if i % 2 else f"BAD!! SPAM!! {i} " * 4) for i in range(80)]
+    lab = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, quality int")
+    once = quality.train(spark.createDataFrame(rows, "doc_id long, text string"), lab)
+    again = quality.train(spark.createDataFrame(rows + rows[:9] * 20, "doc_id long, text string"), lab)
+    assert (once.weights == again.weights).all() and (once.a, once.b) == (again.a, again.b)
+    other = [quality.train(spark.createDataFrame(r, "doc_id long, text string"), lab) for r in (rows + [(1, "BAD!!")] * 5, [(1, "BAD!!")] + rows)]
+    assert (other[0].weights == other[1].weights).all()  # whatever the order of the rows
+    few = quality.train(spark.createDataFrame(rows, "doc_id long, text string"), lab, sample_bytes=8000)
+    assert np.isfinite(few.a) and (few.weights != once.weights).any()
+    none = quality.train(spark.createDataFrame(rows, "doc_id long, text string"), lab, sample_bytes=0)
+    assert not none.weights.any()

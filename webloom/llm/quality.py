@@ -9,8 +9,10 @@ dual coordinate descent.  Margins become probabilities by a logistic fit on
 rows kept out of that fit.
 
 The fit sees a sample of labelled rows, drawn by a hash of doc_id, of about
-``SAMPLE`` rows (documented bound; all rows if there are fewer).  Scores need one
-pass over the documents and a model of fixed size.
+``SAMPLE`` rows (documented bound; all rows if there are fewer), and of those, in the
+order of another hash, as many as have n-gram sets of ``SAMPLE_BYTES`` in all: that is what the
+driver holds.  A doc_id that repeats is learnt from once, by its text of the smallest hash.
+Scores need one pass over the documents and a model of fixed size.
 
 Only the text is an input of a score.  Rows whose crc32(doc_id) mod 4 is 2 are
 held out and never learnt from.  Defined results: null text scores as the
@@ -28,11 +30,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webloom.llm.common import in_pieces, prepare, utf8, with_columns, word_bounds, word_hashes
+from webloom.llm.common import Scratch, in_pieces, mix64, prepare, utf8, with_columns, word_bounds, word_hashes
 
 GRAMS = (1, 2, 3, 4)
 BUCKETS = 1 << 18
 SAMPLE = 12_000
+SAMPLE_BYTES = 512 << 20
 SMOOTHING = 1.0
 COST = 1.0
 EPOCHS = 20
@@ -178,7 +181,7 @@ def held_out(doc_id="doc_id") -> F.Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> Model:
     prepare(docs.sparkSession)
     known = (labels.select(F.col("doc_id").cast("long").alias("_q_id"), F.col("quality").cast("double").alias("_q"))
              .filter("_q_id IS NOT NULL AND _q IS NOT NULL").filter(~held_out("_q_id"))
@@ -193,9 +196,19 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         of = Grams()
         for b in in_pieces(batches):
             found = [of(t).astype(np.int32) for t in utf8(b.column("text"))]
-            yield with_columns(b, ["_q_id", "_q"], grams=pa.array([f.tobytes() for f in found], pa.binary()))
-
-    got = rows.select("_q_id", "_q", "text").mapInArrow(grams, "_q_id long, _q int, grams binary").toArrow()
+            yield with_columns(b, ["_q_id", "_q", "_q_hash"], grams=pa.array([f.tobytes() for f in found], pa.binary()))
+
+    found = (rows.select("_q_id", "_q", F.xxhash64("text").alias("_q_hash"), "text")
+             .mapInArrow(grams, "_q_id long, _q int, _q_hash long, grams binary"))
+    scratch = Scratch(docs.sparkSession, "quality")
+    stored = one = scratch.save(found.groupBy("_q_id", "_q").agg(F.min_by("grams", F.struct("_q_hash", "grams")).alias("grams")))
+    sizes = one.select("_q_id", F.octet_length("grams").alias("n")).toPandas().assign(place=lambda d: mix64(d["_q_id"].to_numpy().astype(np.uint64)))
+    sizes = sizes.sort_values("place", kind="stable")
+    fits = sizes["_q_id"][sizes["n"].cumsum() <= sample_bytes]
+    if len(fits) < len(sizes):
+        one = one.join(F.broadcast(docs.sparkSession.createDataFrame([(int(i),) for i in fits], "_q_id long")), "_q_id")
+    got = one.toArrow()
+    scratch.drop(stored)
     ids, y = got.column("_q_id").to_numpy(), got.column("_q").to_numpy()
     sets = [s for chunk in got.column("grams").chunks for s in _views(chunk)]
     order = sorted(range(len(ids)), key=lambda i: (ids[i], len(sets[i]), sets[i][:50].tolist()))
