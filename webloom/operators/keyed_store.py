@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
+from webloom.operators.versions import VersionFiles
+
 BUCKETS = 64
 MAX_DELTAS = 4
 
@@ -37,6 +39,7 @@ class KeyedTable:
 
     def __init__(self, spark: SparkSession, path: str, spec: dict):
         self.spark, self.path = spark, path.rstrip("/")
+        self.files = VersionFiles(spark, path)
         self.schema = StructType.fromJson(spec["schema"])
         self.key, self.version, self.buckets = spec["key"], spec["version"], spec["buckets"]
         self.stored = StructType([*self.schema, StructField("_seq", LongType()), StructField("_deleted", BooleanType())])
@@ -56,36 +59,15 @@ class KeyedTable:
         probe = cls(spark, path, {"schema": StructType([]).jsonValue(), "key": [], "version": [], "buckets": 1})
         return cls(spark, path, probe._state()["spec"])
 
-    def _fs(self, path: str):
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
-
     def _last(self) -> int:
-        fs, folder = self._fs(f"{self.path}/versions")
-        if not fs.exists(folder):
-            return 0
-        names = (s.getPath().getName() for s in fs.listStatus(folder))
-        return max((int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit()), default=0)
+        return self.files.last()
 
     def _state(self, number: int | None = None) -> dict:
-        fs, file = self._fs(f"{self.path}/versions/{self._last() if number is None else number}.json")
-        stream = fs.open(file)
-        try:
-            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
+        return self.files.read(number)
 
     def _commit(self, number: int, buckets: dict[str, dict]) -> None:
-        """Version ``number`` of the table; fails if another writer has it already."""
         spec = {"schema": json.loads(self.schema.json()), "key": self.key, "version": self.version, "buckets": self.buckets}
-        fs, ready = self._fs(f"{self.path}/versions/.{uuid.uuid4().hex}")
-        out = fs.create(ready)
-        out.write(json.dumps({"version": number, "spec": spec, "buckets": buckets}).encode())
-        out.close()
-        _, file = self._fs(f"{self.path}/versions/{number}.json")
-        if fs.exists(file) or not fs.rename(ready, file):
-            fs.delete(ready, False)
-            raise RuntimeError(f"version {number} of {self.path} has been written by another job")
+        self.files.commit(number, {"version": number, "spec": spec, "buckets": buckets})
 
     # -------------------------------------------------------------- writing
     def _bucket(self) -> F.Column:
@@ -96,7 +78,7 @@ class KeyedTable:
         folder = f"{self.path}/data/{uuid.uuid4().hex}"
         (rows.select(*self.stored.names, self._bucket().alias("_bucket")).repartition("_bucket")
          .write.partitionBy("_bucket").parquet(folder))
-        fs, at = self._fs(folder)
+        fs, at = self.files.fs(folder)
         names = [s.getPath().getName() for s in fs.listStatus(at)]
         return {n.split("=")[1]: f"{folder}/{n}" for n in names if n.startswith("_bucket=")}
 
@@ -177,13 +159,4 @@ class KeyedTable:
     def vacuum(self) -> int:
         """Deletes batches and versions that the last version does not need; returns how many batches.  Not
         to be run while another job writes or reads an older version."""
-        last = self._last()
-        used = {f.rsplit("/", 2)[1] for b in self._state(last)["buckets"].values() for f in [b["base"], *b["deltas"]] if f}
-        fs, data = self._fs(f"{self.path}/data")
-        old = [s.getPath() for s in (fs.listStatus(data) if fs.exists(data) else []) if s.getPath().getName() not in used]
-        for p in old:
-            fs.delete(p, True)
-        for s in fs.listStatus(self._fs(f"{self.path}/versions")[1]):
-            if s.getPath().getName() != f"{last}.json":
-                fs.delete(s.getPath(), False)
-        return len(old)
+        return self.files.vacuum({f.rsplit("/", 2)[1] for b in self._state()["buckets"].values() for f in [b["base"], *b["deltas"]] if f})

@@ -455,6 +455,10 @@ UNION ALL SELECT 'postings', count(*) FROM post UNION ALL SELECT 'word_count', c
 sql("keyed_store_put", ORACLE["upsert_latest"])
 sql("keyed_store_delete", ORACLE["upsert_latest"].replace("FROM events", "FROM (SELECT * FROM events WHERE user_id NOT IN "
     "(SELECT user_id FROM events WHERE event_type = 'error' AND value >= 99.0 AND user_id IS NOT NULL)) AS left_over"))
+sql("segment_postings", f"""WITH crawled AS (
+  SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL) THEN text || ' ' || text ELSE text END AS text
+  FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL))
+SELECT doc_id, term, tf FROM {_DOC_POST.replace('FROM documents', 'FROM crawled')}""")
 sql("outputs_by_input", """
 SELECT source AS file_name, 'documents ' || CAST(count(*) AS VARCHAR) AS line FROM documents GROUP BY source""")
 sql("vectors_from_files", f"""

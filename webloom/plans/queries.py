@@ -649,6 +649,21 @@ def q_keyed_store_delete(spark, sf):
     return _event_out(store.read())
 
 
+# ------------------------------------------------- segmented index
+@query("segment_postings")
+def q_segment_postings(spark, sf):
+    """Postings of ``documents`` from an index in segments: those labelled good have been crawled twice and hold
+    their text twice, those labelled toxic have been deleted."""
+    from webloom.operators.segments import SegmentIndex
+    docs, labels = _docs(spark, sf), table(spark, sf, "labels")
+    index = SegmentIndex.create(spark, scratch_path(spark, f"segments-{uuid.uuid4().hex}"), fanout=2)
+    index.add(docs)
+    good = docs.join(labels.filter("quality = 1").select("doc_id"), "doc_id", "left_semi")
+    index.add(good.select("doc_id", F.concat("text", F.lit(" "), "text").alias("text")))
+    index.delete(labels.filter("toxic = 1"))
+    return index.postings().select(F.col("doc_id").cast("long").alias("doc_id"), "term", "tf")
+
+
 # ------------------------------------------------- alignments of passages
 from webloom.operators import alignment as AL  # noqa: E402
 

@@ -12,7 +12,8 @@ a failure overwrites its own partition only, so replays are idempotent.  Rows
 carry the time their batch was loaded, and readers take the latest version of a
 page (``current_pages``) and the postings of that version
 (``current_postings``).  ``compact`` writes the current rows to new folders.
-Checkpoint and table folders must be on shared storage.
+With an ``index_path`` the postings go to a segmented index instead
+(``operators.segments``), whose readers meet no versions.  Checkpoint and table folders must be on shared storage.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from webloom.functions.html import html_to_text
 from webloom.functions.text import doc_key, strip_http_header
 from webloom.operators.index import term_freqs
+from webloom.operators.segments import SegmentIndex
 from webloom.sources.warc import RECORD_SCHEMA, _open_path, page_text, record_batches
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -81,10 +83,11 @@ def compact(spark: SparkSession, pages_path: str, postings_path: str, new_pages:
     _append(current_postings(spark, postings_path, pages_path), new_postings, "compacted", 0, loaded)
 
 
-def start_ingest(spark: SparkSession, input_dir: str, pages_path: str, postings_path: str,
+def start_ingest(spark: SparkSession, input_dir: str, pages_path: str, postings_path: str | None,
                  checkpoint: str, glob: str = "*.gz", trigger_once: bool = False,
-                 max_files_per_trigger: int = 64):
-    """Start the stream; returns the ``StreamingQuery``."""
+                 max_files_per_trigger: int = 64, index_path: str | None = None):
+    """Start the stream; returns the ``StreamingQuery``.  Postings go to ``postings_path``, to the
+    segmented index in ``index_path``, or to both."""
     files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", glob)
              .option("maxFilesPerTrigger", max_files_per_trigger).load(input_dir).select("path"))
     recs = files.mapInPandas(_decode, RECORD_SCHEMA)
@@ -95,7 +98,10 @@ def start_ingest(spark: SparkSession, input_dir: str, pages_path: str, postings_
         loaded = time.time_ns() // 1000
         pages = page_rows(batch).persist()
         if not pages.isEmpty():
-            _append(term_freqs(pages, text_col="content").select("term", "doc_id", "tf"), postings_path, stream, epoch_id, loaded)
+            if postings_path:
+                _append(term_freqs(pages, text_col="content").select("term", "doc_id", "tf"), postings_path, stream, epoch_id, loaded)
+            if index_path:
+                SegmentIndex.open_or_create(batch.sparkSession, index_path).add(pages, text_col="content", stream=stream, batch=epoch_id)
             _append(pages, pages_path, stream, epoch_id, loaded)  # last: a page is current only with its postings
         pages.unpersist()
 
