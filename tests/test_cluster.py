@@ -101,3 +101,42 @@ def test_vectors_that_fit_no_centroid(spark):
     assert {r.id: (r.cid, r.dist) for r in got.collect()} == {1: (10, 1.0), 7: (20, 1.0), **{i: (None, None) for i in (2, 3, 4, 5, 6, 8)}}
     assert sorted((r.cid, list(r.sum), r.n) for r in CL.cluster_sums(got).collect()) == [(10, [0.0, 1.0], 1), (20, [9.0, 9.0], 1)]
     assert CL.clustering_error(got).first()[0] == 2.0
+
+
+def _one_by_one(x, mat):
+    total = sum((x[:, None, j] - mat[None, :, j]) ** 2 for j in range(mat.shape[1]))
+    return total.argmin(axis=1), np.sqrt(total.min(axis=1))
+
+
+@pytest.mark.parametrize("k,dims,scale,clusters,share", [
+    (2000, 3, 0.0, 0, 0.2), (2000, 16, 0.0, 40, 0.1), (300, 2, 1e8, 0, 0.5), (200, 64, 0.0, 0, 1.2), (40, 1, 0.0, 0, 1.0)])
+def test_pruned_assignment_is_brute_force(k, dims, scale, clusters, share):
+    rng = np.random.default_rng(k + dims)
+    middles = rng.normal(size=(clusters, dims)) * 10 if clusters else np.zeros((1, dims))
+    draw = lambda n: scale + middles[rng.integers(0, len(middles), n)] + rng.normal(size=(n, dims))
+    mat, x = draw(k), draw(3000)
+    mat[k // 2] = mat[3]  # a tie: the first counts
+    x[:50], x[50:60], x[60] = mat[rng.integers(0, k, 50)], mat[3], np.inf
+    pick, dist, made = C.Groups(mat).nearest(x)
+    with np.errstate(invalid="ignore"):
+        want = _one_by_one(x, mat)
+    assert (pick == want[0]).all() and np.array_equal(dist, want[1])
+    assert made < share * len(x) * k
+
+
+def test_equal_and_evenly_spaced_centroids():
+    x = np.arange(200, dtype=float).reshape(-1, 1) / 4  # many points halfway between two centroids
+    for mat in (np.arange(50, dtype=float).reshape(-1, 1), np.arange(50, dtype=float)[::-1].reshape(-1, 1).copy(), np.ones((40, 1))):
+        pick, dist, _ = C.Groups(mat).nearest(x)
+        assert (pick == _one_by_one(x, mat)[0]).all() and (dist == _one_by_one(x, mat)[1]).all()
+
+
+def test_assign_counts_distances(spark):
+    rng = np.random.default_rng(1)
+    mat, x = rng.normal(size=(400, 2)), rng.normal(size=(2000, 2))
+    made = spark.sparkContext.accumulator(0)
+    some = pts(spark, enumerate(x)).unionByName(spark.createDataFrame([(9998, None), (9999, [1.0])], "id long, features array<double>"))
+    got = {r.id: (r.cid, r.dist) for r in C.assign(some, C.Centroids(list(range(400)), mat, np.zeros(400, dtype=np.int64)), made=made).collect()}
+    want = _one_by_one(x, mat)
+    assert all(got[i] == (want[0][i], want[1][i]) for i in range(2000)) and got[9998] == got[9999] == (None, None)
+    assert 2000 < made.value < 0.3 * 2000 * 400

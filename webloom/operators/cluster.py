@@ -19,6 +19,10 @@ from webloom.session import Scratch
 
 # Cells of distances that a task holds at a time.
 CELLS = 1 << 20
+# Fewer centroids are compared one and all.
+PRUNE_FROM = 32
+# Share of a block's pairs from which on all of them are worked out.
+DENSE = 0.15
 
 
 def euclidean(a, b) -> Column:
@@ -51,32 +55,107 @@ class Centroids:
         return spark.createDataFrame(rows, "cid int, features array<double>, n long")
 
 
-def nearest(x: np.ndarray, mat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row of the nearest centroid (the first wins ties) and the distance to it.
+def _squares(x: np.ndarray, mat: np.ndarray) -> np.ndarray:
+    """Squared distances of vectors (last axis; the others broadcast), summed left to right over the
+    dimensions, so results don't depend on how many are worked out at once."""
+    total = np.zeros(np.broadcast_shapes(x.shape[:-1], mat.shape[:-1]))
+    for j in range(mat.shape[-1]):
+        diff = x[..., j] - mat[..., j]
+        total += diff * diff
+    return total
+
 
-    Squared differences are summed left to right over the dimensions, for all
-    pairs of a chunk at once, so results don't depend on the size of K or D."""
+def nearest(x: np.ndarray, mat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row of the nearest centroid (the first wins ties) and the distance to it, from all distances."""
     pick, dist = np.zeros(len(x), dtype=np.int64), np.full(len(x), np.inf)
     rows = max(1, CELLS // max(1, len(mat)))
     for s in range(0, len(x), rows):
-        part = x[s:s + rows]
-        total = np.zeros((len(part), len(mat)))
-        for j in range(mat.shape[1]):
-            diff = part[:, j, None] - mat[None, :, j]
-            total += diff * diff
+        total = _squares(x[s:s + rows, None], mat[None])
         pick[s:s + rows] = total.argmin(axis=1)
         dist[s:s + rows] = np.sqrt(total.min(axis=1))
     return pick, dist
 
 
-def assign(points: DataFrame, cents: Centroids, features: str = "features") -> DataFrame:
+class Groups:
+    """Centroids in about sqrt(K) groups, each around one of them (farthest first), with their distances to it.
+
+    For a point at distance t of a group's middle, a centroid at distance g of that middle is at least
+    |t - g| away; if that is more than the distance to a centroid known already, it is passed over.  The
+    margin for rounding is many times what the sums can be off, so the nearest centroid, and every
+    other at the same distance, is always compared: results are those of ``nearest``.
+    """
+
+    def __init__(self, mat: np.ndarray):
+        self.mat = mat
+        owner, gap, middles = np.zeros(len(mat), dtype=np.int64), np.full(len(mat), np.inf), []
+        for _ in range(int(np.ceil(np.sqrt(len(mat))))):
+            at = int(gap.argmax())
+            if gap[at] == 0:
+                break
+            d = np.sqrt(_squares(mat, mat[at]))
+            closer = d < gap
+            owner[closer], gap[closer] = len(middles), d[closer]
+            middles.append(at)
+        self.gap, self.middles = gap, np.array(middles)
+        self.members = [np.flatnonzero(owner == g) for g in range(len(middles))]
+        self.reach = np.array([gap[m].max() for m in self.members])
+        self.margin = 8 * (mat.shape[1] + 8) * np.finfo(float).eps
+
+    def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        """As ``nearest``, and how many distances were worked out."""
+        pick, dist, made = np.zeros(len(x), dtype=np.int64), np.full(len(x), np.inf), 0
+        rows = max(1, CELLS // (len(self.members) + max(map(len, self.members))))
+        for s in range(0, len(x), rows):
+            pick[s:s + rows], dist[s:s + rows], n = self._chunk(x[s:s + rows])
+            made += n
+        return pick, dist, made
+
+    def _chunk(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        best = _squares(x[:, None], self.mat[self.middles][None])
+        to, made = np.sqrt(best), best.size
+        own, pick = to.argmin(axis=1), np.full(len(x), len(self.mat))
+        best = best.min(axis=1)
+        slack = self.margin * (to.max(axis=1) + self.gap.max())
+        odd = ~np.isfinite(to).all(axis=1)  # infinite components or sums: all distances
+        for first in (True, False):  # a point's own group first: it bounds the others
+            for g, members in enumerate(self.members):
+                limit = np.sqrt(best) + slack
+                at = np.flatnonzero(((own == g) == first) & ~odd & (to[:, g] - self.reach[g] <= limit))
+                near = np.abs(to[at, g, None] - self.gap[members][None]) <= limit[at, None]
+                n = np.count_nonzero(near)
+                if not n:
+                    continue
+                if n > DENSE * near.size:  # little to spare: all pairs, which need not be gathered
+                    total = _squares(x[at][:, None], self.mat[members][None])
+                    least, which, of = total.min(axis=1), members[total.argmin(axis=1)], at
+                    n = total.size
+                else:
+                    i, j = np.nonzero(near)
+                    total = _squares(x[at[i]], self.mat[members[j]])
+                    runs = np.flatnonzero(np.r_[True, i[1:] != i[:-1]])
+                    least, of = np.minimum.reduceat(total, runs), at[i[runs]]
+                    tied = total == np.repeat(least, np.diff(np.r_[runs, len(i)]))
+                    which = np.minimum.reduceat(np.where(tied, members[j], len(self.mat)), runs)
+                made += n
+                wins = (least < best[of]) | ((least == best[of]) & (which < pick[of]))
+                best[of[wins]], pick[of[wins]] = least[wins], which[wins]
+        dist = np.sqrt(best)
+        pick[odd], dist[odd] = nearest(x[odd], self.mat)
+        return pick, dist, made + int(odd.sum()) * len(self.mat)
+
+
+def assign(points: DataFrame, cents: Centroids, features: str = "features", made=None) -> DataFrame:
     """Points with their nearest centroid: (..., cid, dist); both are null for a vector that is null, of
-    another length than the centroids, or holds null or NaN."""
+    another length than the centroids, or holds null or NaN.
+
+    From ``PRUNE_FROM`` centroids on, bounds between them spare most distances (see ``Groups``; same
+    results).  ``made``, an accumulator, counts the distances worked out."""
     from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
     import pyarrow as pa
     import pyarrow.compute as pc
     mat, ids = np.asarray(cents.vectors, dtype=np.float64), np.asarray(cents.cids, dtype=np.int32)
     schema = StructType([*points.schema.fields, StructField("cid", IntegerType()), StructField("dist", DoubleType())])
+    groups = Groups(mat) if len(mat) >= PRUNE_FROM and np.isfinite(mat).all() else None
 
     def run(batches):
         for b in batches:
@@ -87,7 +166,13 @@ def assign(points: DataFrame, cents: Centroids, features: str = "features") -> D
             x = col.take(pa.array(fits)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(fits), mat.shape[1])
             fits, x = fits[~np.isnan(x).any(axis=1)], x[~np.isnan(x).any(axis=1)]  # nulls come as NaN
             cid, dist, none = np.zeros(b.num_rows, dtype=np.int32), np.zeros(b.num_rows), np.ones(b.num_rows, dtype=bool)
-            pick, dist[fits] = nearest(x, mat)
+            if groups is None:
+                pick, dist[fits] = nearest(x, mat)
+                n = len(x) * len(mat)
+            else:
+                pick, dist[fits], n = groups.nearest(x)
+            if made is not None:
+                made.add(n)
             cid[fits], none[fits] = ids[pick], False
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cid, mask=none), pa.array(dist, mask=none)], [*b.schema.names, "cid", "dist"])
 

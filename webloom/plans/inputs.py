@@ -17,6 +17,7 @@ SEARCH_KEYWORD = "der"
 PAGE_KEYWORD = "und"
 PAGERANK_ITERATIONS = 5
 KMEANS_K = 5
+MANY_CENTROIDS = 100
 KMEANS_ITERATIONS = 10
 KMEANS_BATCH = 100
 KMEANS_SEED = 7

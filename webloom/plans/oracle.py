@@ -271,6 +271,8 @@ sql("get_page_snapshot", f"""WITH {SEARCH_CTE},
 snap AS (SELECT doc_id FROM post WHERE term = lower({q(I.PAGE_KEYWORD)}) ORDER BY tf DESC, doc_id ASC LIMIT 1)
 SELECT p.doc_id, p.uri, p.content FROM pages_t p JOIN snap s ON p.doc_id = s.doc_id""")
 
+sql("get_page_by_filter", ORACLE["get_page_snapshot"])
+
 # --------------------------------------------------------------- clustering
 from webloom.operators.sampling import seeded_hash_sql  # noqa: E402
 
@@ -282,10 +284,10 @@ def dist_sql(a: str, b: str) -> str:
             f"lambda x, y: x + y))")
 
 
-def init_cte(name: str = "c0") -> str:
+def init_cte(name: str = "c0", k: int = I.KMEANS_K) -> str:
     h = seeded_hash_sql("id", I.KMEANS_SEED)
     return (f"{name} AS (SELECT CAST(row_number() OVER (ORDER BY h, id) - 1 AS INTEGER) AS cid, id, f FROM "
-            f"(SELECT id, f, {h} AS h FROM pts ORDER BY h, id LIMIT {I.KMEANS_K}))")
+            f"(SELECT id, f, {h} AS h FROM pts ORDER BY h, id LIMIT {k}))")
 
 
 def assign_cte(name: str, points: str, cents: str) -> str:
@@ -327,6 +329,8 @@ SELECT id, CAST(pos - 1 AS INTEGER) AS pos, round(v, {R}) AS value FROM (
          generate_subscripts(f, 1) AS pos FROM pts)""")
 sql("nearest_centroid", f"WITH {PTS},\n{init_cte()},\n{assign_cte('a0', 'pts', 'c0')}\n"
     f"SELECT id, cid, round(dist, {R}) AS dist FROM a0")
+sql("nearest_of_many", f"WITH {PTS},\n{init_cte(k=I.MANY_CENTROIDS)},\n{assign_cte('a0', 'pts', 'c0')}\n"
+    f"SELECT id, cid, round(dist, {R}) AS dist FROM a0")
 sql("cluster_sums", f"""WITH {PTS},
 {init_cte()},
 {assign_cte('a0', 'pts', 'c0')}

@@ -213,6 +213,16 @@ def q_get_page_snapshot(spark, sf):
     return S.get_page(t["pages"], hit["doc_id"] if hit else "")
 
 
+@query("get_page_by_filter")
+def q_get_page_by_filter(spark, sf):
+    """As ``get_page_snapshot``, from a page table in the order of its arrival, by the filters of its row groups."""
+    t = I.search_tables(spark, sf, ranks=False)
+    hit = S.keyword_postings(t["postings"], I.PAGE_KEYWORD).orderBy(F.desc("term_freq"), F.asc("doc_id")).first()
+    path = scratch_path(spark, f"arrivals-{uuid.uuid4().hex}")
+    S.with_key_filter(I.search_pages(spark, sf).write, "doc_id").parquet(path)
+    return S.get_page(spark.read.parquet(path), hit["doc_id"] if hit else "")
+
+
 @query("page_keyword_lines")
 def q_page_keyword_lines(spark, sf):
     return S.page_keyword_lines(I.page_table(spark, sf), I.PAGE_KEYWORD)
@@ -297,6 +307,14 @@ def q_nearest_centroid(spark, sf):
     return a.select("id", "cid", _r("dist").alias("dist"))
 
 
+@query("nearest_of_many")
+def q_nearest_of_many(spark, sf):
+    """The nearest of many centroids, most of the distances passed over."""
+    pts = I.points(spark, sf)
+    a = C.assign(pts, C.init_centroids(pts, I.MANY_CENTROIDS, I.KMEANS_SEED))
+    return a.select("id", "cid", _r("dist").alias("dist"))
+
+
 @query("cluster_sums")
 def q_cluster_sums(spark, sf):
     s = C.cluster_sums(C.assign(I.points(spark, sf), _init(spark, sf)))
