@@ -123,3 +123,16 @@ def test_ranked_index_gives_the_same_and_reads_little(spark, scratch):
     directory = spark.read.parquet(f"{scratch}/ranked/directory").groupBy("term").agg({"n": "sum"})
     stored = spark.read.parquet(f"{scratch}/ranked/postings").groupBy("term").count()
     assert sorted(map(tuple, directory.collect())) == sorted(map(tuple, stored.collect()))
+
+
+def test_a_lookup_in_unsorted_files_reads_one_row_group(spark, scratch):
+    """Keys spread over 12 files without order: least and greatest keys spare nothing, the filters do."""
+    n = 24_000
+    keys = spark.range(n, numPartitions=12).select(F.md5(F.col("id").cast("string").cast("binary")).alias("doc_id"), F.lit("u").alias("uri"), F.lit("c").alias("content"))
+    S.with_key_filter(keys.write, "doc_id").parquet(scratch + "/filtered")
+    keys.write.parquet(scratch + "/plain")
+    key = keys.filter("doc_id > '8'").first()["doc_id"]
+    read = {name: S.get_page(spark.read.parquet(f"{scratch}/{name}"), key) for name in ("filtered", "plain")}
+    assert _rows_scanned(read["plain"]) == n and _rows_scanned(read["filtered"]) == n // 12
+    assert [r.doc_id for r in read["filtered"].collect()] == [key]
+    assert _rows_scanned(S.get_page(spark.read.parquet(scratch + "/filtered"), "9" * 32)) <= n // 12

@@ -3,7 +3,7 @@ import os
 
 import pytest
 
-from webloom.streaming.ingest import compact, current_pages, current_postings, start_ingest
+from webloom.streaming.ingest import compact, current_pages, current_postings, get_page, start_ingest
 
 
 def _record(trec, uri, html):
@@ -45,6 +45,7 @@ def test_latest_version_of_a_page_wins(spark, tmp_path):
     assert before.items() < after.items()
     got = {r.doc_id: r.content for r in current_pages(spark, pages).collect()}
     assert got == {"00000000001": "delta\n", "00000000002": ""}
+    assert [r.content for r in get_page(spark, pages, "00000000001").collect()] == ["delta\n"]
     terms = sorted((r.doc_id, r.term) for r in current_postings(spark, post, pages).collect())
     assert terms == [("00000000001", "delta")]  # earlier terms of both pages are gone
     compact(spark, pages, post, str(tmp_path / "p2"), str(tmp_path / "i2"))

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from webloom.functions.html import html_to_text
 from webloom.functions.text import doc_key, strip_http_header
 from webloom.operators.index import term_freqs
+from webloom.operators.search import with_key_filter
 from webloom.operators.segments import SegmentIndex
 from webloom.sources.warc import RECORD_SCHEMA, _open_path, page_text, record_batches
 
@@ -55,7 +56,8 @@ def page_rows(records: DataFrame) -> DataFrame:
 def _append(rows: DataFrame, path: str, stream: str, batch: int, loaded: int) -> None:
     """Writes the batch's own partition; no other is touched."""
     rows = rows.withColumns({"loaded": F.lit(loaded).cast("long"), "stream": F.lit(stream), "batch": F.lit(batch).cast("long")})
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("stream", "batch").parquet(path))
+    out = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("stream", "batch")
+    with_key_filter(out, "doc_id").parquet(path)
 
 
 def _versions(spark: SparkSession, pages_path: str) -> DataFrame:
@@ -76,6 +78,13 @@ def current_postings(spark: SparkSession, postings_path: str, pages_path: str) -
     return posts.join(latest, ["doc_id", *at]).select("term", "doc_id", "tf")
 
 
+def get_page(spark: SparkSession, pages_path: str, doc_id: str) -> DataFrame:
+    """The latest version of one page; row groups without the key are not read."""
+    last = F.max_by(F.struct("uri", "content"), F.struct("loaded", "stream", "batch"))
+    found = _versions(spark, pages_path).filter(F.col("doc_id") == F.lit(doc_id))
+    return found.groupBy("doc_id").agg(last.alias("_r")).select("doc_id", "_r.uri", "_r.content")
+
+
 def compact(spark: SparkSession, pages_path: str, postings_path: str, new_pages: str, new_postings: str) -> None:
     """Writes the current rows, as one version, to new folders; the old ones stay as they are."""
     loaded = time.time_ns() // 1000
