@@ -35,7 +35,7 @@ from webloom.llm.common import Scratch, in_pieces, mix64, prepare, utf8, with_co
 GRAMS = (1, 2, 3, 4)
 BUCKETS = 1 << 18
 SAMPLE = 12_000
-SAMPLE_BYTES = 512 << 20
+SAMPLE_BYTES = 256 << 20
 SMOOTHING = 1.0
 COST = 1.0
 EPOCHS = 20
