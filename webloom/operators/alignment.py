@@ -113,11 +113,15 @@ _COLUMNS = [c.split()[0] for c in _SCHEMA.split(", ")]
 
 
 def _cells(words: DataFrame, id_col: str, k: int) -> DataFrame:
-    """(id, seed, cell): the cells in which a text's seeds begin, each once."""
+    """(id, seed, cell): the cells in which a text's seeds begin, once for each place.
+
+    A word is taken by its place (a slice would copy all words of the text for each seed), and repeats
+    stay in (an array of structs is made distinct by comparing all pairs); callers drop them from the rows."""
     n = F.size("words") - k + 1
-    seeds = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.struct(
-        F.xxhash64(F.array_join(F.slice("words", i + 1, F.lit(k)), " ")).alias("seed"), F.floor(i / CELL).cast("int").alias("cell"))))
-    return words.select(id_col, F.explode(F.array_distinct(seeds)).alias("s")).select(id_col, "s.seed", "s.cell")
+    seeds = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.xxhash64(
+        F.concat_ws(" ", *[F.try_element_at("words", i + j) for j in range(1, k + 1)]))))
+    return words.select(id_col, F.posexplode(seeds).alias("i", "seed")).select(
+        id_col, "seed", F.floor(F.col("i") / CELL).cast("int").alias("cell"))
 
 
 def _bands(shared: DataFrame, lengths: DataFrame) -> DataFrame:
@@ -145,9 +149,10 @@ def passage_hits(queries: DataFrame, corpus: DataFrame, k: int = SEED_WORDS, min
     d = corpus.select(F.col(d_id).cast("string").alias("subject_id"), tokenize(d_text).alias("words"))
     seen = scratch.save(d.select("subject_id", F.size("words").alias("n")))
     corpus_words = seen.agg(F.sum(F.greatest("n", F.lit(0)))).first()[0] or 0
-    q_cells = scratch.save(_cells(q, "query_id", k).withColumnRenamed("cell", "q_cell"))
-    # only what occurs in a query goes on; Spark broadcasts the seeds if they are few
-    d_cells = scratch.save(_cells(d, "subject_id", k).withColumnRenamed("cell", "d_cell").join(q_cells.select("seed").distinct(), "seed", "left_semi"))
+    q_cells = scratch.save(_cells(q, "query_id", k).distinct().withColumnRenamed("cell", "q_cell"))
+    seeds = scratch.save(q_cells.select("seed").distinct())
+    # only what occurs in a query goes on, each cell once; Spark broadcasts the seeds if they are few
+    d_cells = scratch.save(_cells(d, "subject_id", k).join(seeds, "seed", "left_semi").distinct().withColumnRenamed("cell", "d_cell"))
     shared = d_cells.join(q_cells, "seed").select("query_id", "subject_id", "q_cell", "d_cell").distinct()
     bands = scratch.save(_bands(shared, q.select("query_id", F.size("words").alias("n"))))
     texts = d.join(bands.select("subject_id").distinct(), "subject_id", "left_semi").select("subject_id", F.col("words").alias("text_words"))
