@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from webloom.operators import alignment as A
+from webloom.operators import search as S
 
 
 def _plan(df, optimized=False):
@@ -18,3 +19,13 @@ def test_seeds_copy_no_text_and_compare_no_pairs(spark):
     seed = F.xxhash64(F.lit("a b c d e"))
     assert [tuple(r) for r in cells.filter("id = 4").collect()] == [(4, spark.range(1).select(seed).first()[0], 0)]
     assert cells.distinct().groupBy("id").count().filter("id = 0").first()["count"] == 200_002 // A.CELL + 2
+
+
+def test_postings_meet_the_ranks_of_pages_in_one_join(spark):
+    rows = lambda name, n: spark.range(n).select(F.concat(F.lit("d"), "id").alias("doc_id"), F.lit(name).alias("uri"))
+    ranks = rows("r", 5).select("doc_id", F.lit(0.5).cast("float").alias("page_rank"))
+    postings = rows("p", 6).select(F.lit("zug").alias("term"), "doc_id", F.lit(1).alias("tf"))
+    plan = _plan(S.ranked_postings(postings, rows("u", 4), ranks.union(ranks.limit(1))))
+    assert "ShuffledHashJoin" in plan
+    got = S.ranked_postings(postings, rows("u", 4), ranks.union(ranks.filter("doc_id = 'd0'"))).groupBy("doc_id").count()
+    assert sorted(map(tuple, got.collect())) == [("d0", 2), ("d1", 1), ("d2", 1), ("d3", 1)]
