@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from webloom.operators import alignment as A
 from webloom.operators import search as S
+from webloom.operators.segments import SegmentIndex
 
 
 def _plan(df, optimized=False):
@@ -21,6 +22,17 @@ def test_seeds_copy_no_text_and_compare_no_pairs(spark):
     assert cells.distinct().groupBy("id").count().filter("id = 0").first()["count"] == 200_002 // A.CELL + 2
 
 
+def test_a_merge_stores_postings_once(spark, scratch):
+    index = SegmentIndex.create(spark, f"{scratch}/index", fanout=2)
+    asked, fs = [], index.files.fs
+    index.files.fs = lambda path: (asked.append(path), fs(path))[1]
+    for i in range(2):
+        index.add(spark.createDataFrame([(f"p{i}", f"zug horst{i}")], "doc_id string, text string"), merge=False)
+    before = sum("unsorted" in p for p in asked)
+    assert index.merge() == 1 and sum("unsorted" in p for p in asked) == before == 2
+    assert sorted(map(tuple, index.postings().collect())) == [("horst0", "p0", 1), ("horst1", "p1", 1), ("zug", "p0", 1), ("zug", "p1", 1)]
+
+
 def test_postings_meet_the_ranks_of_pages_in_one_join(spark):
     rows = lambda name, n: spark.range(n).select(F.concat(F.lit("d"), "id").alias("doc_id"), F.lit(name).alias("uri"))
     ranks = rows("r", 5).select("doc_id", F.lit(0.5).cast("float").alias("page_rank"))

@@ -72,19 +72,22 @@ class SegmentIndex:
         return self.files.read()["segments"]
 
     # -------------------------------------------------------------- writing
-    def _write(self, number: int, docs: DataFrame, postings: DataFrame) -> dict:
-        """Stores a segment; its entry in the version."""
+    def _write(self, number: int, docs: DataFrame, postings: DataFrame, stored: bool = False) -> dict:
+        """Stores a segment; its entry in the version.  ``stored``: the postings come from stored segments."""
         name = f"{number}-{uuid.uuid4().hex}"
         folder = f"{self.path}/data/{name}"
         seg = F.lit(number).alias("_seg")
         docs.select("doc_id", seg).write.parquet(f"{folder}/docs")
         # Range partitioning samples its input first: stored, a text is tokenized once.
-        postings.select("term", "doc_id", "tf", seg).write.parquet(f"{folder}/unsorted")
-        rows = self.spark.read.schema(POSTINGS).parquet(f"{folder}/unsorted")
+        rows = postings.select("term", "doc_id", "tf", seg)
+        if not stored:
+            rows.write.parquet(f"{folder}/unsorted")
+            rows = self.spark.read.schema(POSTINGS).parquet(f"{folder}/unsorted")
         (rows.repartitionByRange("term", "doc_id").sortWithinPartitions("term", "doc_id")
          .write.option("parquet.block.size", 8 << 20).parquet(f"{folder}/postings"))
-        fs, raw = self.files.fs(f"{folder}/unsorted")
-        fs.delete(raw, True)
+        if not stored:
+            fs, raw = self.files.fs(f"{folder}/unsorted")
+            fs.delete(raw, True)
         return {"number": number, "folder": name, "docs": self._read("docs", [name], DOCS).count(), "deleted": 0, "lists": []}
 
     def _delete(self, number: int, state: dict, ids: DataFrame) -> None:
@@ -181,7 +184,7 @@ class SegmentIndex:
             state["segments"] = [s for s in state["segments"] if s not in due]
             left = [s for s in due if s["docs"] > s["deleted"]]
             if left:
-                state["segments"].append(self._write(number, self._docs(left), self._alive("postings", left, POSTINGS)))
+                state["segments"].append(self._write(number, self._docs(left), self._alive("postings", left, POSTINGS), stored=True))
             self.files.commit(number, state)
             done += 1
         return done
