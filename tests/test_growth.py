@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from webloom.functions.html import html_to_text
 from webloom.operators import alignment as A
 from webloom.operators import search as S
 from webloom.operators.segments import SegmentIndex
@@ -12,6 +13,12 @@ def _plan(df, optimized=False):
     return (q.optimizedPlan() if optimized else q.executedPlan()).toString()
 
 
+def test_page_text_is_extracted_once(spark):
+    df = spark.createDataFrame([("<p>a</p><p> b </p>",), ("",), ("<p> </p>",), (None,)], "h string").select(html_to_text("h").alias("t"))
+    assert _plan(df, True).count("regexp_extract_all(h") == 1
+    assert [r.t for r in df.collect()] == ["a\nb\n", "", "", None]
+
+
 def test_seeds_copy_no_text_and_compare_no_pairs(spark):
     words = [["la"] * 200_000 + ["li", "lo"], [], None, ["a", "b", "c", "d"], ["a", "b", "c", "d", "e"]]
     df = spark.createDataFrame(list(enumerate(words)), "id long, words array<string>")
