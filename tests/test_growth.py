@@ -29,6 +29,12 @@ def test_seeds_copy_no_text_and_compare_no_pairs(spark):
     assert cells.distinct().groupBy("id").count().filter("id = 0").first()["count"] == 200_002 // A.CELL + 2
 
 
+def test_the_links_of_a_step_are_joined_once(spark):
+    from webloom.plans import queries as Q
+    ids, edges = Q._stored_graph_b(spark, "/root/testdata/sf0.001")
+    assert "Join" not in _plan(edges) and "Aggregate" not in _plan(ids)
+
+
 def test_a_merge_stores_postings_once(spark, scratch):
     index = SegmentIndex.create(spark, f"{scratch}/index", fanout=2)
     asked, fs = [], index.files.fs
