@@ -1,9 +1,14 @@
 """Steps whose work must grow with the input: each is done once, and nothing in it is compared or copied for every word."""
 
+import random
+from collections import Counter
+
 from pyspark.sql import functions as F
 
+from webloom.functions import text as T
 from webloom.functions.html import html_to_text
 from webloom.operators import alignment as A
+from webloom.operators import index as IX
 from webloom.operators import search as S
 from webloom.operators.segments import SegmentIndex
 
@@ -13,6 +18,30 @@ def _plan(df, optimized=False):
     return (q.optimizedPlan() if optimized else q.executedPlan()).toString()
 
 
+def test_plain_words_are_taken_first_and_change_no_token(spark):
+    assert T.TOKEN_PATTERN_JAVA.startswith(f"(?:{T._PLAIN}|")
+    rest = "(?:" + T.TOKEN_PATTERN_JAVA[len(f"(?:{T._PLAIN}|"):]
+    rng = random.Random(5)
+    pieces = ["a", "der", "é", "ß", "ÿ", " ", " ", "\n", ". ", ".", ",", ", ", "'", ":", "_", "7", "3.5", "́", "­", "Ω", "漢", "カ", "ไทย", "é.", "x,y", "\t", "\x85", " "]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(30))) for _ in range(2000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    both = [F.regexp_extract_all(F.lower("t"), F.lit(p), 0) for p in (T.TOKEN_PATTERN_JAVA, rest)]
+    assert df.select(*both).filter(both[0] != both[1]).count() == 0
+
+
+def test_postings_are_counted_by_runs(spark):
+    rng = random.Random(6)
+    words = ["der", "des", "desto", "the", "bad", "0x1f", "12", "zug", "éa", "漢", "g", "{", "ab_", "fa"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(60))) for _ in range(50)] + ["zug " * 300_000, "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = IX.term_freqs(df)
+    assert "lambda" not in _plan(got).split("Generate")[0]  # nothing is interpreted for each word after the tokenizer
+    tokens = {r.doc_id: r.t for r in df.select("doc_id", T.index_terms("text").alias("t")).collect()}
+    want = {(i, w, n) for i, t in tokens.items() for w, n in Counter(t or []).items()}
+    rows = [tuple(r) for r in got.collect()]
+    assert len(rows) == len(want) and set(rows) == want
+
+
 def test_page_text_is_extracted_once(spark):
     df = spark.createDataFrame([("<p>a</p><p> b </p>",), ("",), ("<p> </p>",), (None,)], "h string").select(html_to_text("h").alias("t"))
     assert _plan(df, True).count("regexp_extract_all(h") == 1
